@@ -20,7 +20,9 @@ def stg_generation(raw: DataFrame, as_of=None, loaded_at=None, tz: str = LOCAL_T
 
     ``as_of`` reproduces the operational filter ``fecha_hora < now`` (it also
     drops NULL and future hours). Ties on ``_extracted_at`` (one stamp per
-    landed page) go to the greatest ``tiebreak``.
+    landed page) go to the greatest ``tiebreak``, then to the greatest
+    (tipo_tecnologia, generacion_real_mw, potencia_maxima_mw, timestamp_local),
+    so exact re-deliveries resolve the same way every run.
     """
     src = raw.filter(F.col("fecha_hora") < clock(as_of))
     typed = src.select(
@@ -33,7 +35,9 @@ def stg_generation(raw: DataFrame, as_of=None, loaded_at=None, tz: str = LOCAL_T
         "_extracted_at",
         F.col(tiebreak).alias("__tiebreak"),
     )
-    latest = latest_per_key(typed, ["id_central", "timestamp_utc"], ["_extracted_at", "__tiebreak"])
+    latest = latest_per_key(typed, ["id_central", "timestamp_utc"],
+                            ["_extracted_at", "__tiebreak", "tipo_tecnologia", "generacion_real_mw",
+                             "potencia_maxima_mw", "timestamp_local"])
     return latest.select(*GENERATION_OUT[:-1], clock(loaded_at).alias("_loaded_at"))
 
 
