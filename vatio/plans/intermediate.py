@@ -123,8 +123,8 @@ def solar_target(enriched: DataFrame, cells: DataFrame, forward_fill_capacity: b
 
     The inner join to the cell lookup also keeps only normal plants.
     Options from the model documentation, off by default as in its SQL:
-    ``forward_fill_capacity`` (last non-NULL capacity per plant over time) and
-    ``min_generation``.
+    ``forward_fill_capacity`` (last non-NULL capacity per plant over time;
+    the plant factor is then recomputed from it) and ``min_generation``.
     """
     src = enriched.filter(F.col("tipo_tecnologia") == "Solar")
     if min_generation is not None:
@@ -133,4 +133,6 @@ def solar_target(enriched: DataFrame, cells: DataFrame, forward_fill_capacity: b
     out = join_dimension(src, lookup, "id_central").select(*SOLAR_TARGET_OUT)
     if forward_fill_capacity:
         out = forward_fill(out, "id_central", "timestamp_utc", ["potencia_maxima_mw"])
+        out = out.withColumn("factor_planta", round_half_away(
+            safe_divide("generacion_real_mw", "potencia_maxima_mw"), 6))
     return out
