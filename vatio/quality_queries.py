@@ -1 +1,144 @@
-"""Data-quality and metric queries (filled in below)."""
+"""Data-quality (dq_*) and metric (metric_*) queries with their oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from . import oracle as O
+from .operators.metrics import AVERAGE_DIGITS, METRICS, on_spine, query_metrics
+from .operators.quality import run_checks
+from .plans.pipeline import Models
+from .plans.tests_declared import CHECKS, KIND_GROUPS
+from .registry import MODEL_QUERIES, register
+
+CTE_OF = {name: cte for name, (_, cte) in MODEL_QUERIES.items()}
+
+
+def _tables(m: Models, names) -> dict:
+    return {n: getattr(m, n) for n in names}
+
+
+def _lit(v) -> str:
+    return O.q(v) if isinstance(v, str) else repr(v)
+
+
+def _check_sql(c) -> str:
+    t = CTE_OF[c.model]
+    head = f"SELECT CAST({c.id} AS BIGINT) AS test_id, CAST("
+    if c.kind == "not_null":
+        f = f"(SELECT count(*) FROM {t} WHERE {c.column} IS NULL)"
+    elif c.kind == "unique":
+        f = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL "
+             f"GROUP BY {c.column} HAVING count(*) > 1) x)")
+    elif c.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.args["values"])
+        f = (f"(SELECT count(*) FROM (SELECT {c.column} AS v FROM {t} GROUP BY {c.column}) x "
+             f"WHERE v NOT IN ({vals}))")
+    elif c.kind == "relationships":
+        p = CTE_OF[c.args["to"]]
+        f = (f"(SELECT count(*) FROM {t} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {p} pa WHERE pa.{c.args['field']} = ch.{c.column}))")
+    elif c.kind == "unique_combination":
+        cols = ", ".join(c.args["columns"])
+        f = f"(SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) x)"
+    elif c.kind == "accepted_range":
+        f = (f"(SELECT count(*) FROM {t} WHERE NOT ({c.column} >= {c.args['min']} "
+             f"AND {c.column} <= {c.args['max']}))")
+    elif c.kind == "bbox":
+        a = c.args
+        f = (f"(SELECT count(*) FROM {t} WHERE {a['lat']} IS NOT NULL AND {a['lon']} IS NOT NULL AND "
+             f"({a['lat']} > {a['lat_max']} OR {a['lat']} < {a['lat_min']} OR "
+             f"{a['lon']} > {a['lon_max']} OR {a['lon']} < {a['lon_min']}))")
+    else:
+        raise ValueError(c.kind)
+    err = "FALSE"
+    if c.error_if:
+        err = f"failures {c.error_if[0:2] if c.error_if[1] == '=' else c.error_if[0]} {c.error_if.lstrip('<>=!')}"
+    status = (f"CASE WHEN failures = 0 THEN 'pass' WHEN {err} THEN 'fail' "
+              f"WHEN {O.q(c.severity)} = 'warn' THEN 'warn' ELSE 'fail' END")
+    col = "NULL" if c.column is None else O.q(c.column)
+    return (f"SELECT test_id, model, test, column_name, failures, {status} AS status FROM ("
+            f"{head}{f} AS BIGINT) AS failures, {O.q(c.model)} AS model, {O.q(c.kind)} AS test, "
+            f"CAST({col} AS VARCHAR) AS column_name) r")
+
+
+def _dq_sql(checks) -> str:
+    deps = sorted({CTE_OF[c.model] for c in checks} |
+                  {CTE_OF[c.args["to"]] for c in checks if c.kind == "relationships"})
+    return O.sql("\nUNION ALL\n".join(_check_sql(c) for c in checks), deps)
+
+
+def _dq_builder(checks):
+    models = sorted({c.model for c in checks} | {c.args["to"] for c in checks if c.kind == "relationships"})
+
+    def build(spark, sf):
+        return run_checks(_tables(Models.from_testdata(spark, sf), models), checks)
+    return build
+
+
+for _qname, _kinds in KIND_GROUPS.items():
+    _cs = [c for c in CHECKS if c.kind in _kinds]
+    register(_qname, _dq_sql(_cs))(_dq_builder(_cs))
+register("dq_summary", _dq_sql(CHECKS))(_dq_builder(CHECKS))
+
+
+# ---- metrics -------------------------------------------------------------------
+def _msql(m, group_sql: str | None, grain: str | None) -> tuple[str, str]:
+    x = m.expr
+    agg = {"sum": f"sum({x})", "max": f"max({x})", "min": f"min({x})", "count": f"count({x})",
+           "average": O.rnd(f"avg({x})", AVERAGE_DIGITS)}[m.agg]
+    return agg, CTE_OF[m.model]
+
+
+def _time_sql(col: str, grain: str) -> str:
+    if grain == "day":
+        return f"CAST({col} AS DATE)"
+    return f"CAST(date_trunc('{grain}', {col}) AS DATE)"
+
+
+def _metric_builder(names, group_by=(), grain=None):
+    def build(spark, sf):
+        m = Models.from_testdata(spark, sf)
+        models = {METRICS[n].model for n in names}
+        return query_metrics(_tables(m, models), names, group_by, grain)
+    return build
+
+
+def _metric_sql(names, group_by=(), grain=None) -> str:
+    ms = [METRICS[n] for n in names]
+    assert len({m.model for m in ms}) == 1
+    t = CTE_OF[ms[0].model]
+    keys = ([f"{_time_sql(ms[0].time_dimension, grain)} AS metric_time"] if grain else []) + list(group_by)
+    gkeys = (["metric_time"] if grain else []) + list(group_by)
+    aggs = ", ".join(f"{_msql(m, None, grain)[0]} AS {m.name}" for m in ms)
+    sel = ", ".join(keys + [aggs])
+    gb = f" GROUP BY {', '.join(gkeys)}" if gkeys else ""
+    return O.sql(f"SELECT {sel} FROM {t}{gb}", [t])
+
+
+for _n in METRICS:
+    register(f"metric_{_n}", _metric_sql([_n], grain="day"))(_metric_builder([_n], grain="day"))
+
+_DIM = ["generacion"]
+register("metric_by_dimension", _metric_sql(_DIM, ["tipo_tecnologia", "region"]))(
+    _metric_builder(_DIM, ["tipo_tecnologia", "region"]))
+
+_MONTHLY = ["generacion_sistema_total", "generacion_renovable_total", "generacion_convencional_total",
+            "pct_renovable_promedio"]
+register("metric_by_month", _metric_sql(_MONTHLY, grain="month"))(_metric_builder(_MONTHLY, grain="month"))
+
+
+@register("metric_on_spine", O.sql("""
+SELECT s.metric_time, m.generacion_sistema_total
+FROM (SELECT CAST(unnest(generate_series(min(fecha), max(fecha), INTERVAL 1 DAY)) AS DATE) AS metric_time
+      FROM mart_resumen_sistema) s
+LEFT JOIN (SELECT CAST(fecha AS DATE) AS metric_time, sum(generacion_total_mwh) AS generacion_sistema_total
+           FROM mart_resumen_sistema GROUP BY 1) m ON s.metric_time = m.metric_time""", ["mart_resumen_sistema"]))
+def metric_on_spine(spark, sf):
+    """Daily system energy on the calendar between the first and last day with
+    data; days without data show NULL."""
+    m = Models.from_testdata(spark, sf)
+    daily = query_metrics({"system_summary": m.system_summary}, ["generacion_sistema_total"], grain="day")
+    bounds = m.system_summary.agg(F.min("fecha").alias("a"), F.max("fecha").alias("b"))
+    spine = bounds.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date_day"))
+    return on_spine(daily, spine)
