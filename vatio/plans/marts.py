@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.energy import CONVENTIONAL, RENEWABLE, classify_source
 from ..functions.numeric import round_half_away, safe_divide
 from ..operators.joins import join_dimension
-from ..operators.topk import top1_per_group
 
 HOURS_PER_DAY = 24.0
 
@@ -46,27 +45,39 @@ def daily_by_technology(enriched: DataFrame) -> DataFrame:
     so one (day, technology) can carry two classes; each such row reports the
     full (day, technology) capacity. Rows with NULL technology are dropped
     (they have no capacity row to join).
+
+    Plan: rows -> (day, tech, class, plant) partials -> GROUPING SETS
+    {(day, tech, class), (day, tech, plant)} -> (day, tech): capacity plus the
+    (at most two) class rows carried in a small array. A straight chain of
+    aggregates, so no branch re-reads the hourly rows.
     """
     s = _normal(enriched)
     gen = F.col("generacion_real_mw")
     per_plant = s.groupBy("fecha", "tipo_tecnologia", "clasificacion_fuente", "id_central").agg(
         F.sum(gen).alias("g"), F.count(gen).alias("n"), F.max(gen).alias("mx"),
         F.count_if(gen > 0).alias("hrs"), F.max("potencia_maxima_mw").alias("p"))
-    capacity = (per_plant.groupBy("fecha", "tipo_tecnologia", "id_central").agg(F.max("p").alias("p"))
-                .groupBy("fecha", "tipo_tecnologia").agg(F.sum("p").alias("capacidad_instalada_mw")))
-    by_class = per_plant.groupBy("fecha", "tipo_tecnologia", "clasificacion_fuente").agg(
-        F.sum("g").alias("generacion_total_mwh"),
-        safe_divide(F.sum("g"), F.sum("n")).alias("__avg"),
-        F.max("mx").alias("generacion_maxima_mw"),
-        F.sum("hrs").alias("horas_con_generacion"),
-        F.count_if(F.col("mx") > 0).alias("num_centrales_activas"))
-    joined = by_class.join(capacity, ["fecha", "tipo_tecnologia"], "inner")
-    return joined.select(
-        "fecha", "tipo_tecnologia", "clasificacion_fuente", "generacion_total_mwh",
-        round_half_away("__avg", 2).alias("generacion_promedio_mw"),
-        "generacion_maxima_mw", "horas_con_generacion", "num_centrales_activas",
-        "capacidad_instalada_mw",
-        _daily_factor(F.col("generacion_total_mwh"), F.col("capacidad_instalada_mw")).alias("factor_planta"),
+    sets = per_plant.groupingSets(
+        [["fecha", "tipo_tecnologia", "clasificacion_fuente"], ["fecha", "tipo_tecnologia", "id_central"]],
+        "fecha", "tipo_tecnologia", "clasificacion_fuente", "id_central",
+    ).agg(F.grouping_id().alias("gid"), F.sum("g").alias("g"), F.sum("n").alias("n"),
+          F.max("mx").alias("mx"), F.sum("hrs").alias("hrs"),
+          F.count_if(F.col("mx") > 0).alias("active"), F.max("p").alias("p"))
+    by_class = F.col("gid") == 1            # id_central rolled up
+    per_plant_rows = F.col("gid") == 2      # clasificacion_fuente rolled up
+    per_tech = sets.groupBy("fecha", "tipo_tecnologia").agg(
+        F.sum(F.when(per_plant_rows, F.col("p"))).alias("capacidad_instalada_mw"),
+        F.collect_list(F.when(by_class, F.struct(
+            "clasificacion_fuente", "g", "n", "mx", "hrs", "active"))).alias("classes"))
+    rows = per_tech.filter(F.col("tipo_tecnologia").isNotNull()) \
+        .select("fecha", "tipo_tecnologia", "capacidad_instalada_mw", F.explode("classes").alias("c"))
+    total = F.col("c.g")
+    return rows.select(
+        "fecha", "tipo_tecnologia", F.col("c.clasificacion_fuente").alias("clasificacion_fuente"),
+        total.alias("generacion_total_mwh"),
+        round_half_away(safe_divide(total, F.col("c.n")), 2).alias("generacion_promedio_mw"),
+        F.col("c.mx").alias("generacion_maxima_mw"), F.col("c.hrs").alias("horas_con_generacion"),
+        F.col("c.active").alias("num_centrales_activas"), "capacidad_instalada_mw",
+        _daily_factor(total, F.col("capacidad_instalada_mw")).alias("factor_planta"),
     )
 
 
@@ -126,48 +137,68 @@ def plant_efficiency(enriched: DataFrame, plants: DataFrame) -> DataFrame:
 def system_summary(enriched: DataFrame) -> DataFrame:
     """One row per day for the whole system.
 
-    One scan of the hourly rows feeds a GROUPING SETS aggregate with two sets:
-    (day, plant, technology, class) and (day, local hour). Everything else
-    rolls up from those partial results.
+    One chain of aggregates over a single read of the hourly rows:
+    1. GROUPING SETS {(day, plant, tech, class), (day, hour)}: energy, max
+       output and max rating per plant-tech, and energy per local hour.
+    2. GROUPING SETS {(day, plant), (day, tech), (day, hour)} over those
+       partials: capacity and activity per plant, energy per technology,
+       system energy per hour. Each aggregate only counts the step-1 rows of
+       its own kind (``when`` on the step-1 grouping id).
+    3. per day: sums over plants, peak and valley over hours, and the top
+       technology (largest energy, ties to the smaller name).
+    Distinct active plants are counted as plant groups with positive output.
     """
     s = _normal(enriched)
     gen = F.col("generacion_real_mw")
-    parts = s.groupingSets(
-        [["fecha", "id_central", "tipo_tecnologia", "clasificacion_fuente"], ["fecha", "hora"]],
-        "fecha", "id_central", "tipo_tecnologia", "clasificacion_fuente", "hora",
-    ).agg(F.sum(gen).alias("g"), F.max(gen).alias("mx"), F.max("potencia_maxima_mw").alias("p"),
-          F.grouping_id().alias("gid"))
-    plant_rows = parts.filter(F.col("gid") == 1)
-    hour_rows = parts.filter(F.col("gid") == 14)
-
-    plant_day = plant_rows.groupBy("fecha", "id_central").agg(
-        F.max("p").alias("p"), F.max("mx").alias("mx"),
-        F.sum(F.when(F.col("clasificacion_fuente") == RENEWABLE, F.col("g")).otherwise(F.lit(0.0))).alias("ren"),
-        F.sum(F.when(F.col("clasificacion_fuente") == CONVENTIONAL, F.col("g")).otherwise(F.lit(0.0))).alias("conv"),
-        F.sum("g").alias("g"),
-        F.max(F.when(F.col("clasificacion_fuente") == RENEWABLE, F.col("mx"))).alias("mx_ren"))
-    daily = plant_day.groupBy("fecha").agg(
-        F.sum("g").alias("generacion_total_mwh"),
-        F.sum("ren").alias("generacion_renovable_mwh"),
-        F.sum("conv").alias("generacion_convencional_mwh"),
-        F.count_if(F.col("mx") > 0).alias("num_centrales_activas"),
-        F.count_if(F.col("mx_ren") > 0).alias("num_centrales_renovables_activas"),
-        F.sum("p").alias("capacidad_instalada_total_mw"))
-    peak = hour_rows.groupBy("fecha").agg(F.max("g").alias("demanda_maxima_mw"),
-                                          F.min("g").alias("demanda_minima_mw"))
-    per_tech = plant_rows.groupBy("fecha", "tipo_tecnologia").agg(F.sum("g").alias("gen_tech_mwh"))
-    top = top1_per_group(per_tech, ["fecha"], "gen_tech_mwh", ["tipo_tecnologia"],
-                         ["tipo_tecnologia"]).withColumnRenamed("tipo_tecnologia", "top_tecnologia")
-    out = daily.join(peak, "fecha").join(top, "fecha")
+    keys = ["fecha", "id_central", "tipo_tecnologia", "clasificacion_fuente", "hora"]
+    step1 = s.groupingSets(
+        [["fecha", "id_central", "tipo_tecnologia", "clasificacion_fuente"], ["fecha", "hora"]], *keys,
+    ).agg(F.grouping_id().alias("g1"), F.sum(gen).alias("g"), F.max(gen).alias("mx"),
+          F.max("potencia_maxima_mw").alias("p"))
+    plant_tech = F.col("g1") == 1           # hour rolled up
+    hourly = F.col("g1") == 14              # plant, tech and class rolled up
+    ren = F.col("clasificacion_fuente") == RENEWABLE
+    conv = F.col("clasificacion_fuente") == CONVENTIONAL
+
+    def only(cond, c):
+        return F.when(cond, F.col(c))
+
+    step2 = step1.groupingSets(
+        [["fecha", "id_central"], ["fecha", "tipo_tecnologia"], ["fecha", "hora"]],
+        "fecha", "id_central", "tipo_tecnologia", "hora",
+    ).agg(F.grouping_id().alias("g2"),
+          F.count_if(plant_tech).alias("n_pt"), F.count_if(hourly).alias("n_h"),
+          F.sum(only(plant_tech, "g")).alias("g"),
+          F.sum(F.when(plant_tech, F.when(ren, F.col("g")).otherwise(F.lit(0.0)))).alias("ren"),
+          F.sum(F.when(plant_tech, F.when(conv, F.col("g")).otherwise(F.lit(0.0)))).alias("conv"),
+          F.max(only(plant_tech, "mx")).alias("mx"),
+          F.max(F.when(plant_tech & ren, F.col("mx"))).alias("mx_ren"),
+          F.max(only(plant_tech, "p")).alias("p"),
+          F.sum(only(hourly, "g")).alias("hour_g"))
+    plant = (F.col("g2") == 3) & (F.col("n_pt") > 0)      # (day, plant)
+    tech = (F.col("g2") == 5) & (F.col("n_pt") > 0)       # (day, tech)
+    hour = (F.col("g2") == 6) & (F.col("n_h") > 0)        # (day, hour)
+    top = F.min(F.when(tech, F.struct(F.col("g").isNull().alias("n"), (-F.col("g")).alias("v"),
+                                      F.col("tipo_tecnologia").alias("t"))))
+    daily = step2.groupBy("fecha").agg(
+        F.sum(F.when(plant, F.col("g"))).alias("generacion_total_mwh"),
+        F.sum(F.when(plant, F.col("ren"))).alias("generacion_renovable_mwh"),
+        F.sum(F.when(plant, F.col("conv"))).alias("generacion_convencional_mwh"),
+        F.max(F.when(hour, F.col("hour_g"))).alias("demanda_maxima_mw"),
+        F.min(F.when(hour, F.col("hour_g"))).alias("demanda_minima_mw"),
+        F.count_if(plant & (F.col("mx") > 0)).alias("num_centrales_activas"),
+        F.count_if(plant & (F.col("mx_ren") > 0)).alias("num_centrales_renovables_activas"),
+        F.sum(F.when(plant, F.col("p"))).alias("capacidad_instalada_total_mw"),
+        top.alias("top"))
     total = F.col("generacion_total_mwh")
-    return out.select(
+    return daily.select(
         "fecha", "generacion_total_mwh", "generacion_renovable_mwh", "generacion_convencional_mwh",
         round_half_away(safe_divide("generacion_renovable_mwh", total) * F.lit(100.0), 2).alias("pct_renovable"),
         round_half_away(safe_divide("generacion_convencional_mwh", total) * F.lit(100.0), 2).alias("pct_convencional"),
         "demanda_maxima_mw", "demanda_minima_mw", "num_centrales_activas",
         "num_centrales_renovables_activas", "capacidad_instalada_total_mw",
         _daily_factor(total, F.col("capacidad_instalada_total_mw")).alias("factor_planta_sistema"),
-        "top_tecnologia")
+        F.col("top.t").alias("top_tecnologia"))
 
 
 TRAINING_OUT = ["id_central", "timestamp_utc", "fecha", "lat_era5", "lon_era5", "factor_planta",
