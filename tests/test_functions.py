@@ -115,3 +115,17 @@ def test_distance_and_category(spark):
     assert round(d, 2) == pytest.approx(10029.60, abs=0.02)
     cats = one(spark, precision_category("x"), [(999.9,), (1000.0,), (5000.0,), (14999.0,), (15000.0,), (None,)], "x double")
     assert cats == ["Perfecta", "Excelente", "Buena", "Regular", "Mala", "Mala"]
+
+
+def test_sql_functions(spark):
+    from vatio.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    r = spark.sql("SELECT clasificar_fuente('Eolica') a, clasificar_fuente(NULL) b, decimal_comma('61,5') c, "
+                  "safe_divide(1.0, 0.0) d").first()
+    assert tuple(r) == ("Renovable", "Convencional", 61.5, None)
+
+
+def test_views(spark, models):
+    from vatio.sources.catalog import register_views
+    register_views({"sys_summary": models.system_summary})
+    assert spark.sql("SELECT count(*) FROM sys_summary").first()[0] == models.system_summary.count()

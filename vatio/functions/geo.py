@@ -89,8 +89,9 @@ def with_utm_latlon(df: DataFrame, easting: str, northing: str, zone: str,
     """
     e, n, z = F.col(easting).cast("double"), F.col(northing).cast("double"), F.col(zone)
     stages = _utm_stages(e, n, z)
-    for name, col in stages:
-        df = df.withColumn(name, col)
+    # Stages that do not read each other share one projection.
+    for group in (stages[0:2], stages[2:4], stages[4:5], stages[5:7]):
+        df = df.select("*", *[col.alias(name) for name, col in group])
     lat, lon = F.col("__lat"), F.col("__lon")
     ok = e.isNotNull() & n.isNotNull() & z.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
     df = df.withColumn(out, F.when(ok, F.struct(

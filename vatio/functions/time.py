@@ -37,6 +37,31 @@ def local_hour_to_utc(ts_local, hour_1_24, tz: str = LOCAL_TZ) -> Column:
     return F.timestamp_add("HOUR", h, local_midnight_utc(ts_local, tz))
 
 
+# Days covered by the local-midnight calendar (outside it the
+# conversion is computed per row).
+CALENDAR_START, CALENDAR_DAYS = "1990-01-01", 25567   # 1990-01-01 .. 2059-12-31
+
+
+def local_midnight_calendar(spark, tz: str = LOCAL_TZ):
+    """One row per calendar day: (day, UTC instant of local midnight).
+
+    Fixed size (independent of the data), so it is always safe to broadcast.
+    """
+    days = spark.range(CALENDAR_DAYS).select(
+        F.date_add(F.lit(CALENDAR_START).cast("date"), F.col("id").cast("int")).alias("__cal_day"))
+    return days.select("__cal_day", local_midnight_utc(F.col("__cal_day"), tz).alias("__cal_midnight"))
+
+
+def with_local_hour_utc(df, ts_local: str, hour_1_24: str, out: str, tz: str = LOCAL_TZ):
+    """Add ``out`` = :func:`local_hour_to_utc` through a broadcast calendar
+    lookup instead of per-row time-zone arithmetic (a hash probe per row)."""
+    cal = F.broadcast(local_midnight_calendar(df.sparkSession, tz))
+    joined = df.join(cal, F.to_date(F.col(ts_local)) == F.col("__cal_day"), "left")
+    midnight = F.coalesce(F.col("__cal_midnight"), local_midnight_utc(ts_local, tz))
+    h = F.col(hour_1_24).try_cast("bigint") - F.lit(1)
+    return joined.withColumn(out, F.timestamp_add("HOUR", h, midnight)).drop("__cal_day", "__cal_midnight")
+
+
 def utc_now_ntz() -> Column:
     """Current instant as UTC wall-clock ``timestamp_ntz``."""
     return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))

@@ -130,3 +130,42 @@ def stream_load(spark, sf):
     q = stream_landing(spark, root, "generacion_real", table, f"{root}/_checkpoints/generacion_real")
     q.awaitTermination()
     return spark.read.parquet(table).select(*GEN_COLS)
+
+
+@register("era5_wind_load", O.sql("SELECT * FROM raw_era5_wind", ["raw_era5_wind"]))
+def era5_wind_load(spark, sf):
+    """Wind variables: landed as JSONL for one date and appended to the
+    day-partitioned raw table (the raw contract; no model reads it)."""
+    root = scratch_path(spark, "wind")
+    wind = testdata.raw_tables(spark, sf).era5_wind
+    landing.write_landing(wind, root, "era5", "era5_grid_wind", RUN_DATE, testdata.ERA5_STAMP)
+    table = landing.load_landing(spark, root, "era5_wind", RUN_DATE, f"{root}/tables/era5_wind")
+    return table.drop("fecha_part")
+
+
+@register("registry_replace", O.sql(f"""
+SELECT id_central, central, region, provincia, comuna, tipo_tecnologia, coordenada_este,
+       coordenada_norte, zona_huso, {O.ts(BATCH_B)} AS _extracted_at
+FROM raw_centrales""", ["raw_centrales"]))
+def registry_replace(spark, sf):
+    """Plant registry loads replace the table: two landing dates are loaded
+    in turn and only the second survives."""
+    root = scratch_path(spark, "registry")
+    cen = testdata.raw_centrales(spark, sf)
+    table = f"{root}/tables/centrales_info"
+    landing.write_landing(cen.filter("id_central % 2 = 0"), root, "cen", "centrales_v4_findByDate",
+                          "2026-06-01", BATCH_A)
+    landing.load_landing(spark, root, "centrales_info", "2026-06-01", table)
+    landing.write_landing(cen, root, "cen", "centrales_v4_findByDate", "2026-06-02", BATCH_B)
+    out = landing.load_landing(spark, root, "centrales_info", "2026-06-02", table)
+    return out.select("id_central", "central", "region", "provincia", "comuna", "tipo_tecnologia",
+                      "coordenada_este", "coordenada_norte", "zona_huso", "_extracted_at")
+
+
+@register("extraction_slice", O.sql(f"""
+SELECT {_GEN_SQL} FROM raw_generacion
+WHERE CAST(fecha_hora AS DATE) BETWEEN DATE '2024-09-01' AND DATE '2024-09-03' AND id_central = 7""",
+                                    ["raw_generacion"]))
+def extraction_slice_q(spark, sf):
+    return catalog.extraction_slice(_raw(spark, sf), "fecha_hora", "2024-09-01", "2024-09-03",
+                                    id_central=7).select(*GEN_COLS)

@@ -1,8 +1,13 @@
-"""Joins to dimension-sized tables with a checked broadcast.
+"""Joins to dimension tables.
 
-A side is broadcast only after counting it under a cap (``limit(cap+1)``
-keeps the check itself bounded); above the cap the join is left to the
-planner (sort-merge, with AQE skew splitting).
+``join_dimension`` adds no hint: Spark broadcasts the dimension only when
+its size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and
+adaptive execution switches a planned sort-merge join to a broadcast once the
+dimension's shuffle output has been measured; a registry too large for that
+stays a sort-merge join, with skewed partitions split by AQE.
+
+``broadcast_if_small`` is the explicit form for callers that want a hint:
+it counts the side under a cap first (``limit(cap + 1)`` bounds the check).
 """
 
 from __future__ import annotations
@@ -23,5 +28,5 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str,
-                   how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return fact.join(broadcast_if_small(dim, max_rows), on, how)
+                   how: str = "inner") -> DataFrame:
+    return fact.join(dim, on, how)

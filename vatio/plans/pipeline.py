@@ -4,8 +4,8 @@
 default run clock is fixed for registered queries so that re-runs agree;
 pass ``as_of=None, loaded_at=None`` for wall-clock behaviour.
 
-``materialize`` writes the hourly enriched table once per run (six marts
-read it) and re-reads it, which also cuts the lineage for the mart jobs.
+``materialize`` writes models once per run and continues from the written
+tables (six marts read the hourly enriched table), which also cuts lineage.
 """
 
 from __future__ import annotations
@@ -91,19 +91,37 @@ class Models:
     def time_spine(self) -> DataFrame:
         return marts.time_spine(self.spark)
 
-    def materialize(self, root: str) -> Models:
-        """Write the hourly enriched table (partitioned by day) and the plant
-        dimension under ``root``; later marts read them back instead of
-        recomputing staging, deduplication, projection and the join."""
+    def materialize(self, root: str, names=None) -> Models:
+        """Write models (dependency order) as Parquet tables under ``root`` and
+        continue from the written tables: each model is computed once, later
+        models and checks read it back, and the lineage is cut at each table.
+        The daily marts are written partitioned by day and clustered."""
         from ..sources.catalog import write_table  # noqa: PLC0415
-        enr_path = f"{root.rstrip('/')}/int_generacion_enriched"
-        geo_path = f"{root.rstrip('/')}/int_centrales_geo"
-        write_table(self.generation_enriched, enr_path, partition_by=["fecha"],
-                    cluster_by=["id_central"])
-        write_table(self.plants_geo, geo_path)
-        self.__dict__["generation_enriched"] = self.spark.read.parquet(enr_path)
-        self.__dict__["plants_geo"] = self.spark.read.parquet(geo_path)
-        for k in ("era5_cells", "solar_target", "fact_hourly", "daily_by_technology",
-                  "daily_by_plant", "plant_efficiency", "system_summary", "training_solar"):
-            self.__dict__.pop(k, None)
+        wanted = [n for n in MODEL_ORDER if names is None or n in names]
+        for n in MODEL_ORDER:
+            if n in wanted:
+                self.__dict__.pop(n, None)
+        for n in MODEL_ORDER:
+            if n not in wanted:
+                continue
+            path = f"{root.rstrip('/')}/{n}"
+            part, cluster = MART_LAYOUT.get(n, ((), ()))
+            if part:
+                write_table(getattr(self, n), path, partition_by=part, cluster_by=cluster)
+            else:
+                getattr(self, n).write.mode("overwrite").parquet(path)
+            self.__dict__[n] = self.spark.read.parquet(path)
         return self
+
+
+MODEL_ORDER = ["stg_generation", "stg_plants", "stg_era5_solar", "plants_geo", "era5_cells",
+               "era5_features", "generation_enriched", "solar_target", "fact_hourly",
+               "daily_by_technology", "daily_by_plant", "plant_efficiency", "system_summary",
+               "training_solar"]
+
+# Partitioned + clustered marts (day partitions; clustering columns sort each file).
+MART_LAYOUT = {
+    "daily_by_technology": (["fecha"], ["tipo_tecnologia", "clasificacion_fuente"]),
+    "daily_by_plant": (["fecha"], ["id_central", "region"]),
+    "system_summary": (["fecha"], []),
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decimal_comma, leading_int, state_tag, strip_tags
-from ..functions.time import LOCAL_TZ, local_hour_to_utc
+from ..functions.time import LOCAL_TZ, with_local_hour_utc
 from ..operators.dedup import latest_per_key
 from ._clock import clock
 
@@ -25,13 +25,14 @@ def stg_generation(raw: DataFrame, as_of=None, loaded_at=None, tz: str = LOCAL_T
     so exact re-deliveries resolve the same way every run.
     """
     src = raw.filter(F.col("fecha_hora") < clock(as_of))
+    src = with_local_hour_utc(src, "fecha_hora", "hora", "__utc", tz)
     typed = src.select(
         F.col("id_central").try_cast("bigint").alias("id_central"),
         F.col("tipo_tecnologia").cast("string").alias("tipo_tecnologia"),
         decimal_comma("gen_real_mw").alias("generacion_real_mw"),
         decimal_comma("potencia_maxima").alias("potencia_maxima_mw"),
         F.col("fecha_hora").alias("timestamp_local"),
-        local_hour_to_utc("fecha_hora", "hora", tz).alias("timestamp_utc"),
+        F.col("__utc").alias("timestamp_utc"),
         "_extracted_at",
         F.col(tiebreak).alias("__tiebreak"),
     )

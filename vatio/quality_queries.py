@@ -10,9 +10,30 @@ from .operators.quality import run_checks
 from .plans.pipeline import Models
 from .plans.tests_declared import CHECKS, KIND_GROUPS
 from .registry import MODEL_QUERIES, register
+from .session import scratch_path
 
 CTE_OF = {name: cte for name, (_, cte) in MODEL_QUERIES.items()}
 
+SHARED_LAYER = ["stg_generation", "stg_plants", "plants_geo", "era5_cells", "era5_features",
+                "generation_enriched", "solar_target"]
+_UP = {"stg_generation": [], "stg_plants": [], "stg_era5_solar": [], "plants_geo": ["stg_plants"],
+       "era5_cells": ["plants_geo"], "era5_features": ["stg_era5_solar", "era5_cells"],
+       "generation_enriched": ["stg_generation", "plants_geo"],
+       "solar_target": ["generation_enriched", "era5_cells"], "fact_hourly": ["generation_enriched"],
+       "daily_by_technology": ["generation_enriched"], "daily_by_plant": ["generation_enriched"],
+       "plant_efficiency": ["generation_enriched", "plants_geo"], "system_summary": ["generation_enriched"],
+       "training_solar": ["solar_target", "era5_features"]}
+
+
+def _closure(n):
+    out = set()
+    for u in _UP[n]:
+        out |= {u} | _closure(u)
+    return out
+
+
+DEPENDS = {n: _closure(n) for n in _UP}
+
 
 def _tables(m: Models, names) -> dict:
     return {n: getattr(m, n) for n in names}
@@ -72,7 +93,11 @@ def _dq_builder(checks):
     models = sorted({c.model for c in checks} | {c.args["to"] for c in checks if c.kind == "relationships"})
 
     def build(spark, sf):
-        return run_checks(_tables(Models.from_testdata(spark, sf), models), checks)
+        # Checks run over written intermediate tables (shared by several models),
+        # so no check branch recomputes staging, deduplication or the joins.
+        shared = [n for n in SHARED_LAYER if n in models or any(n in DEPENDS[x] for x in models)]
+        m = Models.from_testdata(spark, sf).materialize(scratch_path(spark, "models"), shared)
+        return run_checks(_tables(m, models), checks)
     return build
 
 

@@ -66,13 +66,16 @@ class Source:
     mode: str                  # append | overwrite
     partition_column: str | None = None
     time_column: str | None = None
+    cluster_by: tuple[str, ...] = ()
 
 
 # The raw sources, their landing file patterns and load modes.
 SOURCES: dict[str, Source] = {
     "generacion_real": Source("generacion_real", RAW["generacion_real"], "generacion-real*",
-                              "cen", "append", "fecha_part", "fecha_hora"),
-    "centrales_info": Source("centrales_info", RAW["centrales_info"], "centrales_v4*", "cen", "overwrite"),
+                              "cen", "append", "fecha_part", "fecha_hora",
+                              ("id_central", "tipo_tecnologia", "id_propietario")),
+    "centrales_info": Source("centrales_info", RAW["centrales_info"], "centrales_v4*", "cen", "overwrite",
+                             cluster_by=("id_central", "tipo_central")),
     "era5_solar": Source("era5_solar", RAW["era5_solar"], "era5_*_solar*", "era5", "append",
                          "fecha_part", "valid_time"),
     "era5_wind": Source("era5_wind", RAW["era5_wind"], "era5_*_wind*", "era5", "append",
@@ -84,3 +87,19 @@ def rows_for_day(df: DataFrame, time_column: str, day: str) -> DataFrame:
     """One-row frame: rows whose ``time_column`` falls on ``day``."""
     return df.filter(F.to_date(F.col(time_column)) == F.lit(day).cast("date")) \
         .agg(F.count(F.lit(1)).alias("total_rows"))
+
+
+def extraction_slice(df: DataFrame, time_column: str, start: str, end: str, **equals) -> DataFrame:
+    """A parameterised slice of landed or raw data: [start, end] by day on
+    ``time_column`` plus equality filters (e.g. ``id_central=42``)."""
+    d = F.to_date(F.col(time_column))
+    out = df.filter((d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
+    for col, value in equals.items():
+        out = out.filter(F.col(col) == F.lit(value))
+    return out
+
+
+def register_views(tables: dict, prefix: str = "") -> None:
+    """Expose models to SQL users as temporary views (view materialisation)."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)

@@ -72,9 +72,10 @@ def load_landing(spark: SparkSession, root: str, table: str, run_date: str, tabl
     df = read_landing(spark, root, table, run_date)
     if src.partition_column:
         df = df.withColumn(src.partition_column, F.to_date(F.col(src.time_column)))
-        write_table(df, table_path, partition_by=[src.partition_column], mode=src.mode)
+        write_table(df, table_path, partition_by=[src.partition_column], cluster_by=src.cluster_by,
+                    mode=src.mode)
     else:
-        write_table(df, table_path, mode=src.mode)
+        write_table(df, table_path, cluster_by=src.cluster_by, mode=src.mode)
     return spark.read.parquet(table_path)
 
 

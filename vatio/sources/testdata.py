@@ -8,13 +8,12 @@ so latest-located selection (E2) has something to choose.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
 from ..schemas import ERA5_SOLAR, ERA5_WIND, GENERATION, PLANTS
 
 # ---- Fixed values -----------------------------------------------------------
@@ -49,12 +48,32 @@ def era5_hour_ranges() -> list[tuple[int, int]]:
     return [(epoch_hour(d), epoch_hour(d) + 24 * n - 1) for d, n in ERA5_WINDOWS]
 
 
-@dataclass
 class RawTables:
-    generacion_real: DataFrame
-    centrales_info: DataFrame
-    era5_solar: DataFrame
-    era5_wind: DataFrame
+    """The four raw tables, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def generacion_real(self) -> DataFrame:
+        return raw_generacion(self.spark, self.sf_dir)
+
+    @cached_property
+    def centrales_info(self) -> DataFrame:
+        return raw_centrales(self.spark, self.sf_dir)
+
+    @cached_property
+    def _cells(self) -> DataFrame:
+        from ..plans import intermediate, staging  # noqa: PLC0415 - cells come from the plant models
+        return intermediate.era5_cells(intermediate.plants_geo(staging.stg_plants(self.centrales_info)))
+
+    @cached_property
+    def era5_solar(self) -> DataFrame:
+        return raw_era5_solar(self._cells)
+
+    @cached_property
+    def era5_wind(self) -> DataFrame:
+        return raw_era5_wind(self._cells)
 
 
 def _tech(code: Column) -> Column:
@@ -77,15 +96,23 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table reader; the (read-only) inputs are listed once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def raw_centrales(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = broadcast_if_small(n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey))
+    geo = n.join(r, n.n_regionkey == r.r_regionkey)
     k = F.col("s_suppkey")
     versions = F.when(k % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     base = s.join(geo, s.s_nationkey == geo.n_nationkey).withColumn("__v", F.explode(versions))
@@ -189,7 +216,4 @@ def raw_era5_wind(cells: DataFrame) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    from ..plans import intermediate, staging  # noqa: PLC0415 - cells come from the plant models
-    cen = raw_centrales(spark, sf_dir)
-    cells = intermediate.era5_cells(intermediate.plants_geo(staging.stg_plants(cen)))
-    return RawTables(raw_generacion(spark, sf_dir), cen, raw_era5_solar(cells), raw_era5_wind(cells))
+    return RawTables(spark, sf_dir)
