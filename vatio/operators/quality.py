@@ -1,7 +1,8 @@
 """Data-quality checks (K1-K9): one result row per declared test.
 
-Row-level checks of a model (not_null, accepted_range, accepted_values, the
-bounding box) share a single aggregate pass over it; uniqueness checks are a
+Row-level checks of a model (not_null, accepted_range, the bounding box)
+share a single pass of conditional counts over it (no distinct aggregate, so
+no row expansion); accepted_values and uniqueness checks are one filtered
 grouped count each; relationships are a left anti join. Failure counts follow
 the usual data-test conventions:
 
@@ -39,7 +40,7 @@ class Check:
     error_if: str | None = None
 
 
-ROW_KINDS = ("not_null", "accepted_range", "accepted_values", "bbox")
+ROW_KINDS = ("not_null", "accepted_range", "bbox")
 
 _OPS = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le,
         "=": operator.eq, "!=": operator.ne}
@@ -68,9 +69,6 @@ def _row_failure(df: DataFrame, c: Check) -> Column:
     if c.kind == "accepted_range":
         x = F.col(c.column)
         return F.count_if(~((x >= F.lit(c.args["min"])) & (x <= F.lit(c.args["max"]))))
-    if c.kind == "accepted_values":
-        x = F.col(c.column)
-        return F.count_distinct(F.when(~x.isin(*c.args["values"]), x))
     if c.kind == "bbox":
         la, lo = F.col(c.args["lat"]), F.col(c.args["lon"])
         out = ((la > F.lit(c.args["lat_max"])) | (la < F.lit(c.args["lat_min"]))
@@ -104,6 +102,10 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             if c.kind == "unique":
                 g = df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
                 n = g.filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias(f"f{c.id}"))
+            elif c.kind == "accepted_values":
+                x = F.col(c.column)
+                bad = df.filter(x.isNotNull() & ~x.isin(*c.args["values"])).groupBy(c.column).count()
+                n = bad.agg(F.count(F.lit(1)).alias(f"f{c.id}"))
             elif c.kind == "unique_combination":
                 g = df.groupBy(*c.args["columns"]).count()
                 n = g.filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias(f"f{c.id}"))
