@@ -53,7 +53,8 @@ def scan_day_partitioned(spark: SparkSession, path: str, time_column: str,
         raise MissingTimeFilter(f"a time range is required to scan {path}")
     df = spark.read.parquet(path)
     s, e = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    return df.filter((F.col(partition_column) >= F.to_date(s)) & (F.col(partition_column) <= F.to_date(e))
+    last_day = F.to_date(e - F.expr("INTERVAL 1 MICROSECOND"))   # end is exclusive
+    return df.filter((F.col(partition_column) >= F.to_date(s)) & (F.col(partition_column) <= last_day)
                      & (F.col(time_column) >= s) & (F.col(time_column) < e))
 
 
