@@ -69,6 +69,5 @@ def test_broadcast_check(spark):
     assert broadcast_if_small(big, 50) is big          # over the cap: left to the planner
     hinted = broadcast_if_small(small, 50)
     assert hinted is not small
-    plan = spark.range(1000).join(hinted, "id")._sc._jvm is not None and \
-        spark.range(1000).join(hinted, "id")
-    assert sorted(r.id for r in plan.collect()) == list(range(10))
+    joined = spark.range(1000).join(hinted, "id")
+    assert sorted(r.id for r in joined.collect()) == list(range(10))

@@ -1,9 +1,10 @@
 """Data-quality checks (K1-K9): one result row per declared test.
 
-Row-level checks of a model (not_null, accepted_range, the bounding box)
-share a single pass of conditional counts over it (no distinct aggregate, so
-no row expansion); accepted_values and uniqueness checks are one filtered
-grouped count each; relationships are a left anti join. Failure counts follow
+All checks of a model except relationships run in one GROUPING SETS pass:
+the empty set carries the row-level conditional counts (not_null,
+accepted_range, bounding box), and each grouped check (unique, accepted
+values, unique combination) has its own set; relationships are a left anti
+join. Failure counts follow
 the usual data-test conventions:
 
   not_null              rows where the column is NULL
@@ -84,6 +85,51 @@ def _result_rows(checks: Sequence[Check], counts: DataFrame) -> DataFrame:
     return counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
+def _model_failures(df: DataFrame, cs: Sequence[Check]) -> DataFrame:
+    """All non-relationship checks of one model in one pass.
+
+    A GROUPING SETS aggregate holds the empty set (row-level conditional
+    counts) plus one set per grouped check (unique, accepted values, unique
+    combination); a global aggregate then counts the failing groups of each
+    set. Rows are read once per model instead of once per check.
+    """
+    grouped = [c for c in cs if c.kind not in ROW_KINDS]
+    row_checks = [c for c in cs if c.kind in ROW_KINDS]
+    set_cols: list[tuple[str, ...]] = []
+    for c in grouped:
+        cols = tuple(c.args["columns"]) if c.kind == "unique_combination" else (c.column,)
+        if cols not in set_cols:
+            set_cols.append(cols)
+    all_cols = list(dict.fromkeys(col for cols in set_cols for col in cols))
+
+    def gid(cols) -> int:
+        k = len(all_cols)
+        return sum(1 << (k - 1 - i) for i, col in enumerate(all_cols) if col not in cols)
+
+    empty = gid(())
+    counts = [_row_failure(df, c).alias(f"r{c.id}") for c in row_checks]
+    if all_cols:
+        g = df.groupingSets([[]] + [list(cols) for cols in set_cols], *all_cols).agg(
+            F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n"), *counts)
+    else:
+        g = df.agg(F.lit(empty).cast("bigint").alias("__gid"), F.count(F.lit(1)).alias("__n"), *counts)
+    gcol, n = F.col("__gid"), F.col("__n")
+    outs = [F.max(F.when(gcol == empty, F.col(f"r{c.id}"))).alias(f"f{c.id}") for c in row_checks]
+    for c in grouped:
+        if c.kind == "unique":
+            x = F.col(c.column)
+            cond = (gcol == gid((c.column,))) & x.isNotNull() & (n > 1)
+        elif c.kind == "accepted_values":
+            x = F.col(c.column)
+            cond = (gcol == gid((c.column,))) & x.isNotNull() & ~x.isin(*c.args["values"])
+        elif c.kind == "unique_combination":
+            cond = (gcol == gid(tuple(c.args["columns"]))) & (n > 1)
+        else:
+            raise ValueError(c.kind)
+        outs.append(F.count_if(cond).alias(f"f{c.id}"))
+    return _result_rows(list(row_checks) + grouped, g.agg(*outs))
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Run ``checks`` against ``tables`` (model name -> DataFrame)."""
     parts: list[DataFrame] = []
@@ -92,30 +138,15 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
         df = tables[model]
-        row_checks = [c for c in cs if c.kind in ROW_KINDS]
-        if row_checks:
-            counts = df.agg(*[_row_failure(df, c).alias(f"f{c.id}") for c in row_checks])
-            parts.append(_result_rows(row_checks, counts))
+        local = [c for c in cs if c.kind != "relationships"]
+        if local:
+            parts.append(_model_failures(df, local))
         for c in cs:
-            if c.kind in ROW_KINDS:
-                continue
-            if c.kind == "unique":
-                g = df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                n = g.filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias(f"f{c.id}"))
-            elif c.kind == "accepted_values":
-                x = F.col(c.column)
-                bad = df.filter(x.isNotNull() & ~x.isin(*c.args["values"])).groupBy(c.column).count()
-                n = bad.agg(F.count(F.lit(1)).alias(f"f{c.id}"))
-            elif c.kind == "unique_combination":
-                g = df.groupBy(*c.args["columns"]).count()
-                n = g.filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias(f"f{c.id}"))
-            elif c.kind == "relationships":
+            if c.kind == "relationships":
                 parent = tables[c.args["to"]].select(F.col(c.args["field"]).alias("__k")).distinct()
                 child = df.filter(F.col(c.column).isNotNull()).select(F.col(c.column).alias("__k"))
                 n = child.join(parent, "__k", "left_anti").agg(F.count(F.lit(1)).alias(f"f{c.id}"))
-            else:
-                raise ValueError(c.kind)
-            parts.append(_result_rows([c], n))
+                parts.append(_result_rows([c], n))
     results = reduce(DataFrame.unionByName, parts)
     meta = results.sparkSession.createDataFrame(
         [(c.id, c.model, c.kind, c.column, c.severity, c.error_if) for c in checks],
