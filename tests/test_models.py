@@ -71,3 +71,16 @@ def test_daily_marts_read_hourly_rows_once(models):
         plan = _final_plan(df)
         assert plan.count("lineitem.parquet") == 1
         assert "Expand" in plan and "ReusedExchange" not in plan
+
+
+def test_run_pipeline(spark):
+    from vatio.plans.pipeline import MODEL_ORDER, run_pipeline
+    from vatio.session import scratch_path
+    from vatio.sources.testdata import raw_tables
+    from conftest import SF_SMALL
+    root = scratch_path(spark, "pipeline")
+    res = run_pipeline(spark, raw_tables(spark, SF_SMALL), root, run_ts="2026-06-01 00:00:00")
+    assert res.count() == 82
+    daily = spark.read.parquet(f"{root}/system_summary")
+    assert "fecha" in daily.columns and daily.count() > 0
+    assert len(MODEL_ORDER) == 14

@@ -53,5 +53,9 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    otypes = {r[0]: r[1] for r in con.execute(f"SELECT column_name, column_type FROM (DESCRIBE {ORACLE[name]})").fetchall()}
+    assert {c: types.get(t, t) for c, t in df.dtypes} == otypes
     assert len(rows) == len(orows)
     assert _digest(rows, df.columns) == _digest(orows, ocols)

@@ -277,7 +277,7 @@ FROM (
     sum(s.generacion_real_mw) AS generacion_total_mwh,
     avg(s.generacion_real_mw) AS generacion_promedio_mw,
     max(s.generacion_real_mw) AS generacion_maxima_mw,
-    count_if(s.generacion_real_mw > 0) AS horas_con_generacion,
+    CAST(count_if(s.generacion_real_mw > 0) AS BIGINT) AS horas_con_generacion,
     count(DISTINCT CASE WHEN s.generacion_real_mw > 0 THEN s.id_central END) AS num_centrales_activas,
     c.capacidad_instalada_mw
   FROM src_normal s
@@ -305,7 +305,7 @@ FROM (
     max(generacion_real_mw) AS generacion_maxima_mw,
     min(generacion_real_mw) AS generacion_minima_mw,
     max(potencia_maxima_mw) AS potencia_maxima_mw,
-    count_if(generacion_real_mw > 0) AS horas_operacion,
+    CAST(count_if(generacion_real_mw > 0) AS BIGINT) AS horas_operacion,
     count(*) AS horas_con_datos
   FROM src_normal GROUP BY fecha, id_central
 ) d""")
@@ -323,8 +323,8 @@ FROM (
     max(potencia_maxima_mw) AS potencia_maxima_mw,
     {rnd('avg(factor_planta_dia)', 4)} AS factor_planta_promedio,
     {rnd('max(factor_planta_dia)', 4)} AS factor_planta_mejor_dia,
-    sum(horas_operacion_dia) AS horas_operacion_totales,
-    sum(horas_con_datos_dia) AS horas_con_datos_totales
+    CAST(sum(horas_operacion_dia) AS BIGINT) AS horas_operacion_totales,
+    CAST(sum(horas_con_datos_dia) AS BIGINT) AS horas_con_datos_totales
   FROM (SELECT *, {sdiv('generacion_diaria_mwh', f'potencia_maxima_mw * {dbl(24.0)}')} AS factor_planta_dia
         FROM (SELECT id_central, fecha, sum(generacion_real_mw) AS generacion_diaria_mwh,
                      max(potencia_maxima_mw) AS potencia_maxima_mw,

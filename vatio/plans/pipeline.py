@@ -125,3 +125,16 @@ MART_LAYOUT = {
     "daily_by_plant": (["fecha"], ["id_central", "region"]),
     "system_summary": (["fecha"], []),
 }
+
+
+def run_pipeline(spark: SparkSession, raw: RawTables, root: str, run_ts=None) -> DataFrame:
+    """A full run: every model written once under ``root`` in dependency
+    order (marts partitioned by day), then all declared data tests over the
+    written tables, saved as ``root/dq_results``. Returns the test results."""
+    from ..operators.quality import run_checks  # noqa: PLC0415
+    from .tests_declared import CHECKS  # noqa: PLC0415
+    m = Models(spark, raw, as_of=run_ts, loaded_at=run_ts).materialize(root)
+    results = run_checks({n: getattr(m, n) for n in MODEL_ORDER}, CHECKS)
+    path = f"{root.rstrip('/')}/dq_results"
+    results.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
