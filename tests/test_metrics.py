@@ -24,3 +24,9 @@ def test_where_and_dimension(models):
                        where=F.col("region") == "AMERICA")
     total = models.fact_hourly.filter("region = 'AMERICA'").agg(F.sum("generacion_real_mw")).first()[0]
     assert df.agg(F.sum("generacion")).first()[0] == total
+
+
+def test_global_metrics_from_two_models(models):
+    tables = {"system_summary": models.system_summary, "daily_by_technology": models.daily_by_technology}
+    row = query_metrics(tables, ["generacion_sistema_total", "generacion_diaria_total"]).first()
+    assert row.generacion_sistema_total >= row.generacion_diaria_total > 0

@@ -74,10 +74,11 @@ def pages_audit(spark, sf):
 
 @register("era5_zip", O.sql("""
 SELECT valid_time, latitude, longitude, t2m, ssrd, tcc, fdir,
-       'era5_lat' || CAST(latitude AS VARCHAR) || '_lon' || CAST(longitude AS VARCHAR) || '_solar' AS entity
+       'era5_lat' || CAST(latitude AS VARCHAR) || '_lon' || CAST(longitude AS VARCHAR) || '_solar_'
+         || CAST(year(valid_time) AS VARCHAR) AS entity
 FROM raw_era5_solar""", ["raw_era5_solar"]))
 def era5_zip(spark, sf):
-    """ERA5 rows -> one ZIP+CSV per grid point -> typed rows again."""
+    """ERA5 rows -> one ZIP+CSV per grid point and year -> typed rows again."""
     raw = testdata.raw_tables(spark, sf).era5_solar
     root = scratch_path(spark, "era5")
     era5.write_archives(raw, root, "solar").count()

@@ -105,8 +105,9 @@ def query_metrics(tables: Mapping[str, DataFrame], metrics: Sequence[str],
         frames.append(df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs))
     if len(frames) == 1:
         return frames[0]
-    if not keys:
-        return reduce(lambda a, b: a.crossJoin(b), frames)  # single-row frames
+    if not keys:   # one-row frames: attach side by side on a constant key
+        frames = [f.withColumn("__one", F.lit(1)) for f in frames]
+        return reduce(lambda a, b: a.join(b, "__one"), frames).drop("__one")
     return reduce(lambda a, b: a.join(b, keys, "full_outer"), frames)
 
 

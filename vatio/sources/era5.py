@@ -38,8 +38,9 @@ ERA5_PRESETS = {
 }
 
 
-def archive_name(lat: float, lon: float, preset: str) -> str:
-    return f"era5_lat{lat}_lon{lon}_{preset}"
+def archive_name(lat: float, lon: float, preset: str, year: int | None = None) -> str:
+    base = f"era5_lat{lat}_lon{lon}_{preset}"
+    return base if year is None else f"{base}_{year}"
 
 
 def _schema(preset: str) -> str:
@@ -60,15 +61,16 @@ def _open_output(uri: str):
 
 
 def write_archives(df: DataFrame, root: str, preset: str = "solar") -> DataFrame:
-    """Write one ZIP (one CSV inside) per (latitude, longitude) under
-    ``root``; returns (path, rows) per archive."""
+    """Write one ZIP (one CSV inside) per grid point and year under ``root``
+    (a year of hours bounds each group); returns (path, rows) per archive."""
     cols = ERA5_PRESET_COLUMNS[preset]
     base = root.rstrip("/")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        year = int(pdf["__year"].iloc[0])
         pdf = pdf[cols].sort_values("valid_time")
         lat, lon = float(pdf["latitude"].iloc[0]), float(pdf["longitude"].iloc[0])
-        name = archive_name(lat, lon, preset)
+        name = archive_name(lat, lon, preset, year)
         csv = pdf.to_csv(index=False, date_format="%Y-%m-%d %H:%M:%S")
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
@@ -78,7 +80,8 @@ def write_archives(df: DataFrame, root: str, preset: str = "solar") -> DataFrame
             out.write(buf.getvalue())
         return pd.DataFrame({"path": [uri], "rows": [len(pdf)]})
 
-    return df.select(*cols).groupBy("latitude", "longitude").applyInPandas(one, "path string, rows bigint")
+    keyed = df.select(*cols, F.year("valid_time").alias("__year"))
+    return keyed.groupBy("latitude", "longitude", "__year").applyInPandas(one, "path string, rows bigint")
 
 
 def read_archives(spark: SparkSession, glob: str, preset: str = "solar") -> DataFrame:
