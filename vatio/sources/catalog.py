@@ -23,14 +23,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     """Write Parquet, optionally partitioned by ``partition_by`` and sorted by
     ``cluster_by`` inside each file (row-group min/max then skip data).
 
-    A range repartition on (partition, cluster) keys gives each task a
-    contiguous slice: few partition directories per task, and a hot day is
-    split over several tasks instead of landing in one.
+    The REBALANCE hint shuffles by the partition columns and lets adaptive
+    execution split a hot day over several tasks and merge small ones, with
+    no sampling pass over the input (a range repartition would evaluate the
+    whole input plan twice). Each task then writes few day directories.
     """
     keys = list(partition_by) + list(cluster_by)
     out = df
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
     if keys:
-        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
