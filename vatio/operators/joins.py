@@ -1,13 +1,14 @@
-"""Joins to dimension tables.
+"""Joins to dimension tables (C1, C2, C5) with a checked broadcast.
 
-``join_dimension`` adds no hint: Spark broadcasts the dimension only when
-its size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and
-adaptive execution switches a planned sort-merge join to a broadcast once the
-dimension's shuffle output has been measured; a registry too large for that
-stays a sort-merge join, with skewed partitions split by AQE.
+The dimension side is counted under a cap first (``limit(cap + 1)`` keeps
+the check itself bounded) and broadcast only when it fits; above the cap the
+join is left to the planner (sort-merge, with AQE skew splitting).
 
-``broadcast_if_small`` is the explicit form for callers that want a hint:
-it counts the side under a cap first (``limit(cap + 1)`` bounds the check).
+Spark's own size estimate is not usable for this: without cost-based
+statistics an inner join is estimated as the product of its sides, so the
+registry (supplier x nation x region, then an aggregate) is "estimated" at
+tens of GB while holding a few thousand rows, and the planner would
+re-shuffle the hourly fact by plant instead of broadcasting.
 """
 
 from __future__ import annotations
@@ -28,5 +29,5 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str,
-                   how: str = "inner") -> DataFrame:
-    return fact.join(dim, on, how)
+                   how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    return fact.join(broadcast_if_small(dim, max_rows), on, how)

@@ -112,7 +112,8 @@ def raw_centrales(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey)
+    # nation and region have fixed sizes (25 and 5 rows) at every scale factor.
+    geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
     k = F.col("s_suppkey")
     versions = F.when(k % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     base = s.join(geo, s.s_nationkey == geo.n_nationkey).withColumn("__v", F.explode(versions))
