@@ -42,3 +42,30 @@ def test_landing_roundtrip_small(spark):
     back = landing.read_landing(spark, root, "generacion_real", "2026-01-01").first()
     assert back.gen_real_mw == 2.5 and str(back._extracted_at) == "2026-01-01 05:00:00"
     assert str(back.fecha_hora) == "2024-01-01 03:00:00"
+
+
+def test_models_from_loaded_landing(spark):
+    """Landed JSONL for all four sources -> raw tables -> models from storage."""
+    from conftest import SF_SMALL
+    from vatio.plans.pipeline import Models
+    from vatio.sources.stored import StoredRawTables
+    from vatio.sources.testdata import raw_tables
+    src = raw_tables(spark, SF_SMALL)
+    root = scratch_path(spark, "t-stored")
+    raw_root = f"{root}/raw"
+    for table, source, entity in [("generacion_real", "cen", "generacion-real_v3_findByDate"),
+                                  ("centrales_info", "cen", "centrales_v4_findByDate"),
+                                  ("era5_solar", "era5", "era5_grid_solar"),
+                                  ("era5_wind", "era5", "era5_grid_wind")]:
+        df = getattr(src, table)
+        landing.write_landing(df, root, source, entity, "2026-06-01", "2026-06-01 00:00:00")
+        out = landing.load_landing(spark, root, table, "2026-06-01", f"{raw_root}/{table}")
+        assert out.count() == df.count()
+    stored = Models(spark, StoredRawTables(spark, raw_root))
+    direct = Models(spark, src)
+    assert stored.stg_generation.count() == direct.stg_generation.count()
+    assert stored.system_summary.count() == direct.system_summary.count()
+    assert stored.training_solar.count() == direct.training_solar.count()
+    windowed = StoredRawTables(spark, raw_root, "2024-04-01 00:00:00", "2024-04-03 00:00:00")
+    days = {r.d for r in windowed.generacion_real.select(F.to_date("fecha_hora").alias("d")).distinct().collect()}
+    assert days and all(str(d) in ("2024-04-01", "2024-04-02") for d in days)
