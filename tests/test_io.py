@@ -69,3 +69,18 @@ def test_models_from_loaded_landing(spark):
     windowed = StoredRawTables(spark, raw_root, "2024-04-01 00:00:00", "2024-04-03 00:00:00")
     days = {r.d for r in windowed.generacion_real.select(F.to_date("fecha_hora").alias("d")).distinct().collect()}
     assert days and all(str(d) in ("2024-04-01", "2024-04-02") for d in days)
+
+
+def test_audit_per_series(spark, tmp_path):
+    schema = GENERATION.__class__([f for f in GENERATION.fields if f.name == "id_central"])
+    for series, n in (("a", 5), ("b", 3)):
+        d = tmp_path / series
+        d.mkdir()
+        rows = [{"id_central": i} for i in range(n)]
+        (d / "p1.json").write_text(json.dumps({"data": rows[:2], "totalCount": n, "page": 1}))
+        (d / "p2.json").write_text(json.dumps({"data": rows[2:4], "totalCount": n, "page": 2}))
+    got = {r.series.rsplit("/", 1)[-1]: r for r in
+           landing.audit_pages(landing.read_pages(spark, str(tmp_path) + "/*", schema), 2, by_series=True,
+                               max_pages=2).collect()}
+    assert got["a"].rows == 4 and got["a"].expected_pages == 3 and not got["a"].complete
+    assert got["b"].rows == 3 and got["b"].complete and got["b"].reached_max_pages

@@ -136,21 +136,33 @@ def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
         F.explode_outer("items").alias("row"))
 
 
-def audit_pages(pages: DataFrame, page_size: int) -> DataFrame:
-    """Per page series (the files of one path): pages seen, rows, declared
-    total, expected pages = ceil(total / page_size), whether a short page
-    ended the series, and completeness."""
+def audit_pages(pages: DataFrame, page_size: int, by_series: bool = False,
+                max_pages: int | None = None) -> DataFrame:
+    """Completeness of page series: pages seen, rows, declared total,
+    expected pages = ceil(total / page_size), short and empty pages, and
+    ``complete`` (all declared rows and pages present, at most one short
+    page). ``by_series`` audits each landing folder separately; with
+    ``max_pages`` a series that reached the cap is flagged."""
     per_page = pages.groupBy("file", "page").agg(F.max("page_rows").alias("n"),
                                                  F.max("declared_total").alias("t"))
-    return per_page.agg(
+    keys = []
+    if by_series:
+        per_page = per_page.withColumn("series", F.regexp_extract("file", r"^(.*)/[^/]*$", 1))
+        keys = ["series"]
+    aggs = [
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("rows"),
         F.max("t").alias("declared_total"),
         F.ceil(F.max("t") / F.lit(page_size)).cast("bigint").alias("expected_pages"),
         F.count_if(F.col("n") < page_size).alias("short_pages"),
         F.count_if(F.col("n") == 0).alias("empty_pages"),
-    ).withColumn("complete", (F.col("rows") == F.col("declared_total"))
-                 & (F.col("pages") == F.col("expected_pages")) & (F.col("short_pages") <= 1))
+    ]
+    out = (per_page.groupBy(*keys).agg(*aggs) if keys else per_page.agg(*aggs)).withColumn(
+        "complete", (F.col("rows") == F.col("declared_total"))
+        & (F.col("pages") == F.col("expected_pages")) & (F.col("short_pages") <= 1))
+    if max_pages is not None:
+        out = out.withColumn("reached_max_pages", F.col("pages") >= F.lit(max_pages))
+    return out
 
 
 def inventory(spark: SparkSession, root: str, source: str, run_date: str) -> DataFrame:
