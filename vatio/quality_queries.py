@@ -108,11 +108,10 @@ register("dq_summary", _dq_sql(CHECKS))(_dq_builder(CHECKS))
 
 
 # ---- metrics -------------------------------------------------------------------
-def _msql(m, group_sql: str | None, grain: str | None) -> tuple[str, str]:
+def _metric_agg_sql(m) -> str:
     x = m.expr
-    agg = {"sum": f"sum({x})", "max": f"max({x})", "min": f"min({x})", "count": f"count({x})",
-           "average": O.rnd(f"avg({x})", AVERAGE_DIGITS)}[m.agg]
-    return agg, CTE_OF[m.model]
+    return {"sum": f"sum({x})", "max": f"max({x})", "min": f"min({x})", "count": f"count({x})",
+            "average": O.rnd(f"avg({x})", AVERAGE_DIGITS)}[m.agg]
 
 
 def _time_sql(col: str, grain: str) -> str:
@@ -135,7 +134,7 @@ def _metric_sql(names, group_by=(), grain=None) -> str:
     t = CTE_OF[ms[0].model]
     keys = ([f"{_time_sql(ms[0].time_dimension, grain)} AS metric_time"] if grain else []) + list(group_by)
     gkeys = (["metric_time"] if grain else []) + list(group_by)
-    aggs = ", ".join(f"{_msql(m, None, grain)[0]} AS {m.name}" for m in ms)
+    aggs = ", ".join(f"{_metric_agg_sql(m)} AS {m.name}" for m in ms)
     sel = ", ".join(keys + [aggs])
     gb = f" GROUP BY {', '.join(gkeys)}" if gkeys else ""
     return O.sql(f"SELECT {sel} FROM {t}{gb}", [t])
