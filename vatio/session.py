@@ -52,14 +52,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     object store). Only a local-mode session without it gets a private folder,
     as tests do.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
+        sc = None
+    d = (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")) if sc else None
     if not d:
         try:
             d = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             d = None
     if not d:
+        if sc is None:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         if not (sc.master or "").startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vatio-ckpt-")

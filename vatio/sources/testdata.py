@@ -113,10 +113,12 @@ def read_fact(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame
     the files yield fewer splits than the default parallelism (a small input
     with a few large row groups); large inputs are read as they are split."""
     df = read_table(spark, sf_dir, name).select(*columns)
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    try:
+        target = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session): read as split
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def raw_centrales(spark: SparkSession, sf_dir: str) -> DataFrame:
