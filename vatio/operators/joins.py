@@ -23,11 +23,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str,
-                   how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return fact.join(broadcast_if_small(dim, max_rows), on, how)
+                   how: str = "inner", small: bool | None = None,
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a dimension; ``small`` passes a bound already proven for it (for
+    instance a subset or projection of a table that was counted), otherwise
+    it is counted here."""
+    if small is None:
+        small = fits_broadcast(dim, max_rows)
+    return fact.join(F.broadcast(dim) if small else dim, on, how)

@@ -88,7 +88,7 @@ ENRICHED_OUT = ["id_central", "nombre_central", "tipo_tecnologia", "clasificacio
                 "_extracted_at", "_loaded_at"]
 
 
-def generation_enriched(stg_gen: DataFrame, plants: DataFrame) -> DataFrame:
+def generation_enriched(stg_gen: DataFrame, plants: DataFrame, plants_small: bool | None = None) -> DataFrame:
     """M7: hourly generation joined to its plant (all states).
 
     ``tipo_tecnologia`` is the generation row's own; the renewable class comes
@@ -98,7 +98,7 @@ def generation_enriched(stg_gen: DataFrame, plants: DataFrame) -> DataFrame:
         "id_central", "nombre_central",
         classify_source("tipo_tecnologia").alias("clasificacion_fuente"),
         "state_central", "region", "comuna", "provincia", "latitude", "longitude", "geo_point")
-    joined = join_dimension(stg_gen, dim, "id_central")
+    joined = join_dimension(stg_gen, dim, "id_central", small=plants_small)
     ts = F.col("timestamp_local")
     return joined.select(
         "id_central", "nombre_central", "tipo_tecnologia", "clasificacion_fuente",
@@ -118,7 +118,7 @@ SOLAR_TARGET_OUT = ["id_central", "timestamp_utc", "fecha", "lat_era5", "lon_era
 
 
 def solar_target(enriched: DataFrame, cells: DataFrame, forward_fill_capacity: bool = False,
-                 min_generation: float | None = None) -> DataFrame:
+                 min_generation: float | None = None, cells_small: bool | None = None) -> DataFrame:
     """M8: solar hours with their weather cell.
 
     The inner join to the cell lookup also keeps only normal plants.
@@ -130,7 +130,7 @@ def solar_target(enriched: DataFrame, cells: DataFrame, forward_fill_capacity: b
     if min_generation is not None:
         src = src.filter(F.col("generacion_real_mw") >= F.lit(float(min_generation)))
     lookup = cells.select("id_central", "lat_era5", "lon_era5")
-    out = join_dimension(src, lookup, "id_central").select(*SOLAR_TARGET_OUT)
+    out = join_dimension(src, lookup, "id_central", small=cells_small).select(*SOLAR_TARGET_OUT)
     if forward_fill_capacity:
         out = forward_fill(out, "id_central", "timestamp_utc", ["potencia_maxima_mw"])
         out = out.withColumn("factor_planta", round_half_away(

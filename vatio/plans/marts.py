@@ -104,7 +104,7 @@ def daily_by_plant(enriched: DataFrame) -> DataFrame:
         "horas_operacion", "horas_con_datos")
 
 
-def plant_efficiency(enriched: DataFrame, plants: DataFrame) -> DataFrame:
+def plant_efficiency(enriched: DataFrame, plants: DataFrame, plants_small: bool | None = None) -> DataFrame:
     """Lifetime KPIs per normal plant (daily -> daily factor -> all-time)."""
     gen = F.col("generacion_real_mw")
     daily = _normal(enriched).groupBy("id_central", "fecha").agg(
@@ -124,7 +124,7 @@ def plant_efficiency(enriched: DataFrame, plants: DataFrame) -> DataFrame:
         "id_central", "nombre_central", "tipo_tecnologia",
         classify_source("tipo_tecnologia").alias("clasificacion_fuente"),
         "region", "comuna", "latitude", "longitude", "geo_point")
-    joined = join_dimension(per_plant, info, "id_central")
+    joined = join_dimension(per_plant, info, "id_central", small=plants_small)
     return joined.select(
         "id_central", "nombre_central", "tipo_tecnologia", "clasificacion_fuente", "region",
         "comuna", "latitude", "longitude", "geo_point", "dias_con_datos", "generacion_total_mwh",

@@ -46,6 +46,14 @@ class Models:
     def plants_geo(self) -> DataFrame:
         return intermediate.plants_geo(self.stg_plants)
 
+    @cached_property
+    def plants_small(self) -> bool:
+        """Size check of the plant dimension, done once: every plant-derived
+        dimension (cells, plant info) has at most one row per plant, so the
+        same bound covers them."""
+        from ..operators.joins import fits_broadcast  # noqa: PLC0415
+        return fits_broadcast(self.plants_geo)
+
     @cached_property
     def era5_cells(self) -> DataFrame:
         return intermediate.era5_cells(self.plants_geo)
@@ -56,11 +64,12 @@ class Models:
 
     @cached_property
     def generation_enriched(self) -> DataFrame:
-        return intermediate.generation_enriched(self.stg_generation, self.plants_geo)
+        return intermediate.generation_enriched(self.stg_generation, self.plants_geo, self.plants_small)
 
     @cached_property
     def solar_target(self) -> DataFrame:
-        return intermediate.solar_target(self.generation_enriched, self.era5_cells)
+        return intermediate.solar_target(self.generation_enriched, self.era5_cells,
+                                         cells_small=self.plants_small)
 
     # marts
     @cached_property
@@ -77,7 +86,7 @@ class Models:
 
     @cached_property
     def plant_efficiency(self) -> DataFrame:
-        return marts.plant_efficiency(self.generation_enriched, self.plants_geo)
+        return marts.plant_efficiency(self.generation_enriched, self.plants_geo, self.plants_small)
 
     @cached_property
     def system_summary(self) -> DataFrame:
@@ -101,6 +110,7 @@ class Models:
         for n in MODEL_ORDER:
             if n in wanted:
                 self.__dict__.pop(n, None)
+        self.__dict__.pop("plants_small", None)
         for n in MODEL_ORDER:
             if n not in wanted:
                 continue
