@@ -30,3 +30,11 @@ def test_global_metrics_from_two_models(models):
     tables = {"system_summary": models.system_summary, "daily_by_technology": models.daily_by_technology}
     row = query_metrics(tables, ["generacion_sistema_total", "generacion_diaria_total"]).first()
     assert row.generacion_sistema_total >= row.generacion_diaria_total > 0
+
+
+def test_entity_dimension(models):
+    tables = {"fact_hourly": models.fact_hourly, "plants_geo": models.plants_geo}
+    df = query_metrics(tables, ["generacion"], ["central__tipo_tecnologia"])
+    assert df.agg(F.sum("generacion")).first()[0] == models.fact_hourly.agg(F.sum("generacion_real_mw")).first()[0]
+    with pytest.raises(ValueError):
+        query_metrics({"system_summary": models.system_summary}, ["generacion_sistema_total"], ["central__region"])

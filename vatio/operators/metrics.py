@@ -56,6 +56,12 @@ DIMENSIONS: dict[str, tuple[str, ...]] = {
 
 GRAINS = ("hour", "day", "week", "month", "quarter", "year")
 
+# Entity "central": models keyed by id_central can be grouped by attributes of
+# the plant dimension, written as central__<attribute>.
+ENTITY_PREFIX = "central__"
+ENTITY_KEY = "id_central"
+ENTITY_MODELS = ("fact_hourly",)
+
 
 def time_key(col: Column, grain: str) -> Column:
     """Truncate to ``grain``; day and coarser grains give a DATE."""
@@ -91,10 +97,16 @@ def query_metrics(tables: Mapping[str, DataFrame], metrics: Sequence[str],
     keys = (["metric_time"] if grain else []) + list(group_by)
     frames = []
     for model, ms in by_model.items():
-        bad = [d for d in group_by if d not in DIMENSIONS[model]]
-        if bad:
-            raise ValueError(f"{bad} are not dimensions of {model}")
+        entity_dims = [d for d in group_by if d.startswith(ENTITY_PREFIX)]
+        bad = [d for d in group_by if d not in DIMENSIONS[model] and d not in entity_dims]
+        if bad or (entity_dims and model not in ENTITY_MODELS):
+            raise ValueError(f"{bad or entity_dims} are not dimensions of {model}")
         df = tables[model]
+        if entity_dims:
+            from .joins import join_dimension  # noqa: PLC0415
+            attrs = tables["plants_geo"].select(
+                ENTITY_KEY, *[F.col(d[len(ENTITY_PREFIX):]).alias(d) for d in entity_dims])
+            df = join_dimension(df, attrs, ENTITY_KEY, "left")
         if where is not None:
             df = df.filter(where)
         if grain:

@@ -147,6 +147,19 @@ _DIM = ["generacion"]
 register("metric_by_dimension", _metric_sql(_DIM, ["tipo_tecnologia", "region"]))(
     _metric_builder(_DIM, ["tipo_tecnologia", "region"]))
 
+@register("metric_by_entity", O.sql("""
+SELECT p.tipo_tecnologia AS central__tipo_tecnologia, p.region AS central__region,
+       sum(f.generacion_real_mw) AS generacion
+FROM fct_generacion_hora f LEFT JOIN int_centrales_geo p ON f.id_central = p.id_central
+GROUP BY 1, 2""", ["fct_generacion_hora", "int_centrales_geo"]))
+def metric_by_entity(spark, sf):
+    """Hourly generation grouped by attributes of the plant entity (the
+    registry's technology, not the generation row's)."""
+    m = Models.from_testdata(spark, sf)
+    return query_metrics({"fact_hourly": m.fact_hourly, "plants_geo": m.plants_geo}, ["generacion"],
+                         ["central__tipo_tecnologia", "central__region"])
+
+
 _MONTHLY = ["generacion_sistema_total", "generacion_renovable_total", "generacion_convencional_total",
             "pct_renovable_promedio"]
 register("metric_by_month", _metric_sql(_MONTHLY, grain="month"))(_metric_builder(_MONTHLY, grain="month"))
