@@ -28,7 +28,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", app="vatio-bench", shuffle_partitions=cpus,
-                        conf={"spark.driver.memory": "8g"})
+                        conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     times = {}
     for name in names:
         samples = []
