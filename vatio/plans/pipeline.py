@@ -100,27 +100,44 @@ class Models:
     def time_spine(self) -> DataFrame:
         return marts.time_spine(self.spark)
 
-    def materialize(self, root: str, names=None) -> Models:
-        """Write models (dependency order) as Parquet tables under ``root`` and
-        continue from the written tables: each model is computed once, later
-        models and checks read it back, and the lineage is cut at each table.
-        The daily marts are written partitioned by day and clustered."""
+    def materialize(self, root: str, names=None, threads: int = 4) -> Models:
+        """Write models as Parquet tables under ``root`` and continue from the
+        written tables: each model is computed once, later models and checks
+        read it back, and the lineage is cut at each table. Models whose
+        inputs are ready are written concurrently (``threads`` jobs at a time;
+        Spark interleaves their tasks). Daily marts are partitioned by day."""
+        from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
+
         from ..sources.catalog import write_table  # noqa: PLC0415
         wanted = [n for n in MODEL_ORDER if names is None or n in names]
-        for n in MODEL_ORDER:
-            if n in wanted:
-                self.__dict__.pop(n, None)
+        for n in wanted:
+            self.__dict__.pop(n, None)
         self.__dict__.pop("plants_small", None)
-        for n in MODEL_ORDER:
-            if n not in wanted:
-                continue
-            path = f"{root.rstrip('/')}/{n}"
+        base = root.rstrip("/")
+
+        def build(n: str) -> DataFrame:
+            path = f"{base}/{n}"
             part, cluster = MART_LAYOUT.get(n, ((), ()))
+            df = getattr(self, n)
             if part:
-                write_table(getattr(self, n), path, partition_by=part, cluster_by=cluster)
+                write_table(df, path, partition_by=part, cluster_by=cluster)
             else:
-                getattr(self, n).write.mode("overwrite").parquet(path)
-            self.__dict__[n] = self.spark.read.parquet(path)
+                df.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+
+        done: set[str] = set()
+        pending = list(wanted)
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            while pending:
+                wave = [n for n in pending if not (MODEL_DEPS[n] & set(pending))]
+                for n in wave:      # build plans in this thread; only the writes run in the pool
+                    getattr(self, n)
+                tables = list(pool.map(build, wave))
+                for n, t in zip(wave, tables):
+                    self.__dict__[n] = t
+                done.update(wave)
+                pending = [n for n in pending if n not in done]
+                self.__dict__.pop("plants_small", None)
         return self
 
 
@@ -129,6 +146,25 @@ MODEL_ORDER = ["stg_generation", "stg_plants", "stg_era5_solar", "plants_geo", "
                "daily_by_technology", "daily_by_plant", "plant_efficiency", "system_summary",
                "training_solar"]
 
+_UP = {"stg_generation": [], "stg_plants": [], "stg_era5_solar": [], "plants_geo": ["stg_plants"],
+       "era5_cells": ["plants_geo"], "era5_features": ["stg_era5_solar"],
+       "generation_enriched": ["stg_generation", "plants_geo"],
+       "solar_target": ["generation_enriched", "era5_cells"], "fact_hourly": ["generation_enriched"],
+       "daily_by_technology": ["generation_enriched"], "daily_by_plant": ["generation_enriched"],
+       "plant_efficiency": ["generation_enriched", "plants_geo"], "system_summary": ["generation_enriched"],
+       "training_solar": ["solar_target", "era5_features"]}
+
+
+def _closure(n: str) -> set[str]:
+    out: set[str] = set()
+    for u in _UP[n]:
+        out |= {u} | _closure(u)
+    return out
+
+
+# Model -> every model it reads, directly or not.
+MODEL_DEPS = {n: _closure(n) for n in _UP}
+
 # Partitioned + clustered marts (day partitions; clustering columns sort each file).
 MART_LAYOUT = {
     "daily_by_technology": (["fecha"], ["tipo_tecnologia", "clasificacion_fuente"]),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators.metrics import AVERAGE_DIGITS, METRICS, on_spine, query_metrics
 from .operators.quality import run_checks
-from .plans.pipeline import Models
+from .plans.pipeline import MODEL_DEPS, Models
 from .plans.tests_declared import CHECKS, KIND_GROUPS
 from .registry import MODEL_QUERIES, register
 from .session import scratch_path
@@ -16,23 +16,7 @@ CTE_OF = {name: cte for name, (_, cte) in MODEL_QUERIES.items()}
 
 SHARED_LAYER = ["stg_generation", "stg_plants", "plants_geo", "era5_cells", "era5_features",
                 "generation_enriched", "solar_target"]
-_UP = {"stg_generation": [], "stg_plants": [], "stg_era5_solar": [], "plants_geo": ["stg_plants"],
-       "era5_cells": ["plants_geo"], "era5_features": ["stg_era5_solar", "era5_cells"],
-       "generation_enriched": ["stg_generation", "plants_geo"],
-       "solar_target": ["generation_enriched", "era5_cells"], "fact_hourly": ["generation_enriched"],
-       "daily_by_technology": ["generation_enriched"], "daily_by_plant": ["generation_enriched"],
-       "plant_efficiency": ["generation_enriched", "plants_geo"], "system_summary": ["generation_enriched"],
-       "training_solar": ["solar_target", "era5_features"]}
-
-
-def _closure(n):
-    out = set()
-    for u in _UP[n]:
-        out |= {u} | _closure(u)
-    return out
-
-
-DEPENDS = {n: _closure(n) for n in _UP}
+DEPENDS = MODEL_DEPS
 
 
 def _tables(m: Models, names) -> dict:
