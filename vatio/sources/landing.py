@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LANDING, RAW
+from ..operators.joins import join_dimension
 from .catalog import SOURCES, write_table
 
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -90,7 +91,9 @@ def row_index(df: DataFrame, order: Sequence[str], block: Column, name: str = "_
     offsets = counts.select("__blk", (F.sum("__n").over(
         Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
     ranked = b.withColumn("__r", F.row_number().over(Window.partitionBy("__blk").orderBy(*order)))
-    return ranked.join(F.broadcast(offsets), "__blk") \
+    # One row per block: broadcast after a size check (choose blocks so that
+    # their number stays far below the cap).
+    return join_dimension(ranked, offsets, "__blk") \
         .withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__r") - 1) \
         .drop("__blk", "__r", "__off")
 
