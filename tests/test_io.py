@@ -84,3 +84,14 @@ def test_audit_per_series(spark, tmp_path):
                                max_pages=2).collect()}
     assert got["a"].rows == 4 and got["a"].expected_pages == 3 and not got["a"].complete
     assert got["b"].rows == 3 and got["b"].complete and got["b"].reached_max_pages
+
+
+def test_landing_defaults(spark):
+    from datetime import UTC, datetime
+    root = scratch_path(spark, "t-landing-now")
+    df = spark.createDataFrame([(1,)], "id_central long")
+    path = landing.write_landing(df, root, "cen", "centrales_v4_findByDate")
+    today = datetime.now(UTC).strftime("%Y-%m-%d")
+    assert f"/cen/{today}/centrales_v4_findByDate.jsonl" in path
+    back = landing.read_landing(spark, root, "centrales_info", today).first()
+    assert back.id_central == 1 and back._extracted_at is not None

@@ -24,15 +24,21 @@ def landing_dir(root: str, source: str, run_date: str) -> str:
     return f"{root.rstrip('/')}/{source}/{run_date}"
 
 
-def write_landing(df: DataFrame, root: str, source: str, entity: str, run_date: str,
-                  batch_ts: str, batch_num: int = 0) -> str:
+def write_landing(df: DataFrame, root: str, source: str, entity: str, run_date: str | None = None,
+                  batch_ts: str | None = None, batch_num: int = 0) -> str:
     """Write one landed batch as JSON lines under {root}/{source}/{date}/.
 
     ``_extracted_at`` is one value for the whole batch (it replaces any
     existing stamp); instants are written as ISO-8601 text in UTC. The batch
     suffix is added only for batch numbers above 0; writing the same name
-    again replaces it.
+    again replaces it. Without ``run_date`` / ``batch_ts`` the current UTC
+    date and instant are used.
     """
+    if batch_ts is None or run_date is None:
+        from datetime import UTC, datetime  # noqa: PLC0415
+        now = datetime.now(UTC)
+        batch_ts = batch_ts or now.strftime("%Y-%m-%d %H:%M:%S.%f")
+        run_date = run_date or now.strftime("%Y-%m-%d")
     name = f"{entity}_{batch_num:05d}" if batch_num > 0 else entity
     path = f"{landing_dir(root, source, run_date)}/{name}.jsonl"
     stamped = df.withColumn("_extracted_at", F.lit(batch_ts).cast("timestamp_ntz"))
