@@ -105,7 +105,8 @@ def test_utm_golden(spark):
                                "e double, n double, z long")
     rows = with_utm_latlon(df, "e", "n", "z").select("coords").collect()
     for (_, (lat, lon)), r in zip(GOLDEN_UTM, rows):
-        assert abs(r.coords.latitude - lat) < 1e-6 and abs(r.coords.longitude - lon) < 1e-6
+        # golden inputs are given to the millimetre: agreement within ~1 mm (1e-8 deg)
+        assert abs(r.coords.latitude - lat) < 2e-8 and abs(r.coords.longitude - lon) < 2e-8
     assert rows[-1].coords is None and rows[-2].coords is None
 
 
