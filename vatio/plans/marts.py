@@ -209,12 +209,18 @@ TRAINING_OUT = ["id_central", "timestamp_utc", "fecha", "lat_era5", "lon_era5",
 def training_solar(target: DataFrame, features: DataFrame) -> DataFrame:
     """Solar target rows with the weather of their cell and UTC hour.
 
-    Both sides are large (plants x hours, cells x hours): a shuffle join on the
-    three keys. Grid coordinates are exact quarter degrees, so double equality
-    is safe.
+    Both sides are large (plants x hours, cells x hours): a shuffle join on
+    (cell, hour). Cell coordinates are exact quarter degrees, so the join uses
+    their integer grid indices round(deg * 4) — the same equality as on the
+    doubles, with integer hashing and no float normalisation of the keys.
     """
-    feats = features.select("lat_era5", "lon_era5", "timestamp_utc", *TRAINING_OUT[6:])
-    return target.join(feats, ["lat_era5", "lon_era5", "timestamp_utc"], "inner").select(*TRAINING_OUT)
+    def cell_keys(df):
+        return (df.withColumn("__ci", F.round(F.col("lat_era5") * F.lit(4.0)).cast("int"))
+                  .withColumn("__cj", F.round(F.col("lon_era5") * F.lit(4.0)).cast("int")))
+    feats = cell_keys(features.select("lat_era5", "lon_era5", "timestamp_utc", *TRAINING_OUT[6:])) \
+        .drop("lat_era5", "lon_era5")
+    joined = cell_keys(target).join(feats, ["__ci", "__cj", "timestamp_utc"], "inner")
+    return joined.select(*TRAINING_OUT)
 
 
 # The calendar spine bounds.
