@@ -229,5 +229,13 @@ def raw_era5_wind(cells: DataFrame) -> DataFrame:
     return _conform(out, ERA5_WIND)
 
 
+_RAW: dict[tuple[int, str], RawTables] = {}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(spark, sf_dir)
+    """The raw tables of a driver folder; the (lazy, immutable) plans are
+    built once per session and folder, execution happens per query."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _RAW:
+        _RAW[key] = RawTables(spark, sf_dir)
+    return _RAW[key]
