@@ -89,3 +89,31 @@ def local_path(uri: str) -> str | None:
     if "://" in uri:
         return None
     return os.path.abspath(uri)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (needed by the
+    pandas-backed steps): zip it once per SparkContext and ``addPyFile`` it,
+    which Spark distributes to every executor."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server side provides the package
+        return
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile  # noqa: PLC0415
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="vatio-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ERA5_PRESET_COLUMNS
+from ..session import ship_package
 
 # Variables requested per preset, as named by the delivery service.
 ERA5_PRESETS = {
@@ -80,6 +81,7 @@ def write_archives(df: DataFrame, root: str, preset: str = "solar") -> DataFrame
             out.write(buf.getvalue())
         return pd.DataFrame({"path": [uri], "rows": [len(pdf)]})
 
+    ship_package(df.sparkSession)
     keyed = df.select(*cols, F.year("valid_time").alias("__year"))
     return keyed.groupBy("latitude", "longitude", "__year").applyInPandas(one, "path string, rows bigint")
 
@@ -101,6 +103,7 @@ def read_archives(spark: SparkSession, glob: str, preset: str = "solar") -> Data
                 data["entity"] = path.rsplit("/", 1)[-1].removesuffix(".zip")
                 yield data[cols + ["entity"]]
 
+    ship_package(spark)
     files = spark.read.format("binaryFile").load(glob).select("path", "content")
     return files.mapInPandas(unpack, _schema(preset) + ", entity string")
 
