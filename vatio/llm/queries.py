@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secret_scan, sharding, simhash_dedup
-from .common import read
+from . import (decontaminate, mixing, quality_classifier, quality_rules, secret_scan,
+               sharding, simhash_dedup, token_counts, toxicity)
+from .common import held_out, read
 from .oracle import ORACLE  # noqa: F401 - part of the interface
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,17 @@ def _text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+@_query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_counts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                               read(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -44,6 +56,17 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           (F.col("size") * F.col("times")).alias("taken"))
 
 
+@_query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, read(spark, sf_dir, "labels"))
+    spans = F.array_join(F.transform("toxicity.spans", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "toxicity.score",
+                         (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         spans.alias("spans"))
+
+
 @_query
 def op6_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,7 +79,19 @@ def op6_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@_query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_classifier.classify(docs, read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @_query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_dedup.near_duplicates(docs)
+
+
+@_query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
