@@ -34,15 +34,14 @@ STATISTICS = ("log_words", "word_length", "symbols", "repeats", "duplicate_lines
 GRID = 1024
 #: Least standard deviation of each statistic: rates that are zero in most documents
 #: would else make any document that has one an outlier.
-FLOORS = (0.25, 0.15, 0.06, 0.12, 0.12, 0.05, 0.06, 0.05)
+FLOORS = (0.25, 0.08, 0.03, 0.15, 0.2, 0.05, 0.08, 0.05)
 #: Share of a group's documents that the estimate is concentrated on.
 SHARE = 0.75
 STEPS = 4
 #: Groups with fewer documents are pooled: first by language, then all together.
 MIN_GROUP = 100
-#: Upper tail of the chi-square law whose quantile is the limit of the squared distance,
-#: and its factor for statistics with longer tails than a normal law's.
-TAIL, SLACK = 1e-6, 2.0
+#: Upper tail of the chi-square law whose quantile is the limit of the squared distance.
+TAIL = 1e-6
 
 _COUNTS = T.StructType([T.StructField(c, T.LongType()) for c in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals",
@@ -242,7 +241,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
     found = estimates(with_group(fit, "inner").select("grp", *[f"x{i}" for i in range(p)]))
     sizes = with_group(fit, "inner").groupBy("grp").agg(F.count("*").alias("members"))
-    limit = SLACK * chi_square_quantile(TAIL, p)
+    limit = chi_square_quantile(TAIL, p)
     far = with_group(rows, "left").join(found.join(sizes, "grp"), "grp", "left")
     distance = F.when(~F.col("base_failed"), _distance(p))
     kept = ~F.col("base_failed") & ((F.col("members") <= p) | F.coalesce(F.col("distance") <= limit, F.lit(True)))

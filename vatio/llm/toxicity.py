@@ -24,12 +24,14 @@ from .common import ship
 from .quality_classifier import training_rows
 
 #: Labelled documents in the fit (as expected), half of them toxic where there are as many.
-FIT_ROWS = 4_000
-#: A form marks toxic words from so many toxic documents on, at so small a share of others.
-MIN_TOXIC, MAX_CLEAN_SHARE = 4, 0.05
+FIT_ROWS = 2_400
+#: A form marks toxic words if it is in so many toxic documents, in such a share of them, and
+#: in others at most MAX_CLEAN_SHARE as often.
+MIN_TOXIC, MIN_TOXIC_SHARE, MAX_CLEAN_SHARE = 4, 0.015, 0.05
 PREFIXES = (3, 4, 5, 6)
-SLOTS = 1 << 18
-EPOCHS, RATE, DECAY = 12, 0.3, 1e-4
+EPOCHS, RATE, DECAY, BATCH = 8, 0.3, 1e-4, 256
+#: Words in one chain of the fit at most: longer lines are cut into such pieces.
+PIECE = 100
 THRESHOLD = 0.5
 #: Lines scored together: bounds the memory of a step, not what is read.
 LINES = 4_096
@@ -40,26 +42,16 @@ SEED = 20_240_608
 
 
 def forms(word: str) -> list[str]:
-    """The features of a word: itself and its first letters, lower-cased and
-    without marks at its ends. They depend on the word only, so a worker
-    computes them once per word."""
+    """The features of a word: itself (after "=") and its first letters,
+    lower-cased and without marks at its ends. They depend on the word only, so
+    a worker computes them once per word."""
     w = word.strip(EDGES).lower()
-    if not w:
-        return []
-    return ["w=" + w, *(f"p{k}=" + w[:k] for k in PREFIXES if len(w) > k)]
-
-
-def slot(form: str) -> int:
-    """Weight index of a form: a hash that does not vary between processes."""
-    h = 14695981039346656037
-    for b in form.encode("utf-8", "surrogatepass"):
-        h = ((h ^ b) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
-    return (h ^ (h >> 29)) % SLOTS
+    return ["=" + w, *[w[:k] for k in PREFIXES if len(w) > k]] if w else []
 
 
 @dataclass
 class Model:
-    weights: dict[int, float]   # per slot, for the tag "toxic" against "clean"
+    weights: dict[str, float]   # per form, for the tag "toxic" against "clean"
     bias: float
     start: float                # log odds of a toxic first word
     steps: np.ndarray           # 2 x 2 log weights of tag to tag
@@ -88,16 +80,14 @@ def chain(emissions: np.ndarray, lengths: np.ndarray, start: float, steps: np.nd
     return (forward + backward).T, forward.T, backward.T
 
 
-def _padded(rows: list[np.ndarray], fill: float) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-    out = np.full((len(rows), max(1, int(lengths.max(initial=1)))), fill)
-    out[np.arange(out.shape[1]) < lengths[:, None]] = np.concatenate(rows) if len(rows) else []
-    return out, lengths
+def _cells(lengths: np.ndarray) -> np.ndarray:
+    """True where a padded batch of lines holds a word."""
+    return np.arange(max(1, int(lengths.max(initial=1)))) < lengths[:, None]
 
 
 def toxic_forms(texts: list[str], labels: list[int]) -> set[str]:
-    """Forms that mark toxic words: in at least MIN_TOXIC toxic documents, and
-    in others at most MAX_CLEAN_SHARE as often, in shares of either kind."""
+    """Forms that mark toxic words, by the shares of the toxic and the other
+    documents that have them."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     total = [0, 0]
     for text, label in zip(texts, labels):
@@ -107,42 +97,45 @@ def toxic_forms(texts: list[str], labels: list[int]) -> set[str]:
         seen[label].update(found)
         total[label] += 1
     share = max(1, total[1]) / max(1, total[0])
-    return {f for f, n in seen[1].items() if n >= MIN_TOXIC and seen[0][f] * share <= MAX_CLEAN_SHARE * n}
+    least = max(MIN_TOXIC, MIN_TOXIC_SHARE * total[1])
+    return {f for f, n in seen[1].items() if n >= least and seen[0][f] * share <= MAX_CLEAN_SHARE * n}
 
 
 def fit_chain(lines: list[tuple[list[str], np.ndarray]]) -> Model:
     """Maximum likelihood of the tags of labelled lines by AdaGrad: gradients are
-    observed less expected counts, the expected ones from the marginals."""
+    observed less expected counts, the expected ones from the marginals. Forms
+    of fewer than MIN_TOXIC lines get no weight."""
+    lines = sorted(lines, key=lambda x: len(x[0]))
+    seen = Counter(f for words, _ in lines for f in {f for w in set(words) for f in forms(w)})
+    places = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= MIN_TOXIC))}
     index: dict[str, list[int]] = {}
-    weights = np.zeros(SLOTS + 1)
+    batches = []
+    for a in range(0, len(lines), BATCH):  # lines of about one length
+        batch = lines[a:a + BATCH]
+        inside = _cells(np.array([len(words) for words, _ in batch]))
+        tags = np.zeros(inside.shape)
+        tags[inside] = np.concatenate([t for _, t in batch])
+        flat: list[int] = []
+        cell: list[int] = []
+        for i, (words, _) in enumerate(batch):
+            for j, w in enumerate(words):
+                if w not in index:
+                    index[w] = [places[f] for f in forms(w) if f in places]
+                flat += index[w]
+                cell += [i * inside.shape[1] + j] * len(index[w])
+        batches.append((inside, tags, np.array(flat, np.int64), np.array(cell, np.int64)))
+    weights = np.zeros(len(places))
     bias, start, steps = -3.0, 0.0, np.array([[1.0, -1.0], [0.0, 0.0]])
-    sums = {"w": np.full(SLOTS + 1, 1e-6), "b": 1e-6, "s": 1e-6, "t": np.full((2, 2), 1e-6)}
+    sums = {"w": np.full(len(places), 1e-6), "b": 1e-6, "s": 1e-6, "t": np.full((2, 2), 1e-6)}
     rng = np.random.default_rng(SEED)
-    rows = []
-    for words, tags in lines:
-        flat, at = [], []
-        for i, w in enumerate(words):
-            if w not in index:
-                index[w] = [slot(f) for f in forms(w)]
-            flat += index[w]
-            at += [i] * len(index[w])
-        rows.append((np.array(flat, np.int64), np.array(at, np.int64), tags))
     for _ in range(EPOCHS):
-        order = rng.permutation(len(rows))
-        for a in range(0, len(order), 256):
-            batch = [rows[i] for i in order[a:a + 256]]
-            emitted = [np.bincount(at, weights[flat], len(tags)) + bias for flat, at, tags in batch]
-            e, lengths = _padded(emitted, 0.0)
-            inside = np.arange(e.shape[1]) < lengths[:, None]
-            odds, forward, backward = chain(e, lengths, start, steps)
-            marginal = np.where(inside, 1 / (1 + np.exp(-np.clip(odds, -50, 50))), 0.0)
-            tags, _ = _padded([t.astype(float) for _, _, t in batch], 0.0)
-            gap = tags - marginal
+        for k in rng.permutation(len(batches)):
+            inside, tags, flat, cell = batches[k]
+            e = np.bincount(cell, weights[flat], inside.size).reshape(inside.shape) + bias
+            odds, forward, backward = chain(e, inside.sum(1), start, steps)
+            gap = np.where(inside, tags - 1 / (1 + np.exp(-np.clip(odds, -50, 50))), 0.0)
             total = max(1.0, inside.sum() ** 0.5)
-            g = np.zeros(SLOTS + 1)
-            for i, (flat, at, t) in enumerate(batch):
-                np.add.at(g, flat, gap[i, at])
-            g = g / total - DECAY * weights
+            g = np.bincount(flat, gap.ravel()[cell], len(places)) / total - DECAY * weights
             sums["w"] += g * g
             weights += RATE * g / np.sqrt(sums["w"])
             db = gap.sum() / total
@@ -153,21 +146,17 @@ def fit_chain(lines: list[tuple[list[str], np.ndarray]]) -> Model:
             start += RATE * ds / np.sqrt(sums["s"])
             # Expected steps between neighbouring words from the pairwise marginals.
             pair = inside[:, 1:]
-            f, b = forward[:, :-1], (e + backward)[:, 1:]
-            joint = np.stack([np.stack([np.zeros_like(f) + steps[0, 0], b + steps[0, 1]], -1),
-                              np.stack([f + steps[1, 0], f + b + steps[1, 1]], -1)], -2)
-            joint = np.exp(joint - joint.max((-1, -2), keepdims=True))
-            joint /= joint.sum((-1, -2), keepdims=True)
-            seen = np.zeros((2, 2))
-            for i in (0, 1):
-                for j in (0, 1):
-                    both = (tags[:, :-1] == i) & (tags[:, 1:] == j)
-                    seen[i, j] = (both[pair]).sum() - joint[..., i, j][pair].sum()
-            dt = seen / total
+            f, b = forward[:, :-1][pair], (e + backward)[:, 1:][pair]
+            left, right = tags[:, :-1][pair], tags[:, 1:][pair]
+            joint = np.exp(np.clip([np.full_like(f, steps[0, 0]), b + steps[0, 1],
+                                    f + steps[1, 0], f + b + steps[1, 1]], -50, 50))
+            joint /= joint.sum(0)
+            gained = np.array([((left == i) & (right == j)).sum() for i in (0, 1) for j in (0, 1)]) - joint.sum(1)
+            dt = gained.reshape(2, 2) / total
             sums["t"] += dt * dt
             steps = steps + RATE * dt / np.sqrt(sums["t"])
-    used = np.flatnonzero(np.abs(weights) > 1e-4)
-    return Model({int(i): float(weights[i]) for i in used}, float(bias), float(start), steps, np.zeros(3))
+    return Model({f: float(weights[i]) for f, i in places.items() if abs(weights[i]) > 1e-2},
+                 float(bias), float(start), steps, np.zeros(3))
 
 
 class Scorer:
@@ -176,53 +165,57 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def emission(self, word: str) -> float:
-        e = self.known.get(word)
-        if e is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            e = self.known[word] = self.model.bias + sum(self.model.weights.get(slot(f), 0.0) for f in forms(word))
-        return e
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+            return self._learn_all(words)
+        self._learn_all(words - self.known.keys())
+
+    def _learn_all(self, words: set[str]) -> None:
+        weight, bias = self.model.weights.get, self.model.bias
+        for w in words:
+            self.known[w] = bias + sum([weight(f, 0.0) for f in forms(w)])
 
     def marginals(self, texts: list[str]) -> list[np.ndarray]:
         """Log odds per word of each text, its lines' words in order."""
-        known, rows, owners = self.known, [], []
-        for i, text in enumerate(texts):
+        words: list[str] = []
+        lengths: list[int] = []
+        sizes = []
+        for text in texts:
+            before = len(words)
             for line in text.split("\n"):
-                words = line.split()
-                if words:
-                    try:
-                        e = [known[w] for w in words]
-                    except KeyError:
-                        e = [self.emission(w) for w in words]
-                    rows.append(np.array(e))
-                    owners.append(i)
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        results: list[np.ndarray | None] = [None] * len(rows)
-        order = sorted(range(len(rows)), key=lambda r: len(rows[r]))
+                w = line.split()
+                if w:
+                    words += w
+                    lengths.append(len(w))
+            sizes.append(len(words) - before)
+        self._learn(set(words))
+        emitted = np.fromiter(map(self.known.__getitem__, words), float, len(words))
+        out = np.empty(len(words))
+        n = np.array(lengths, np.int64)
+        starts = np.cumsum(n) - n
+        order = np.argsort(n, kind="stable")
         a = 0
         while a < len(order):
-            b = min(len(order), a + LINES)
-            # Lines of a batch are about as long as each other, so that little is padding.
-            while b - a > 1 and len(rows[order[b - 1]]) > 2 * len(rows[order[a]]) + 8:
-                b = a + (b - a + 1) // 2
+            # Lines of a batch are at most twice as long as its first: little is padding.
+            b = min(a + LINES, int(np.searchsorted(n[order], 2 * n[order[a]], side="right")))
             some = order[a:b]
-            e, lengths = _padded([rows[r] for r in some], 0.0)
-            odds, _, _ = chain(e, lengths, self.model.start, self.model.steps)
-            for r, values, n in zip(some, odds, lengths):
-                results[r] = values[:n]
+            inside = _cells(n[some])
+            at = (starts[some][:, None] + np.arange(inside.shape[1]))[inside]
+            e = np.zeros(inside.shape)
+            e[inside] = emitted[at]
+            out[at] = chain(e, n[some], self.model.start, self.model.steps)[0][inside]
             a = b
-        for r, i in enumerate(owners):
-            out[i].append(results[r])
-        return [np.concatenate(x) if x else np.empty(0) for x in out]
+        return np.split(out, np.cumsum(sizes)[:-1]) if sizes else []
 
     def aggregate(self, odds: np.ndarray) -> list[float]:
         """What the document's score is a function of: constant, logarithm of
         one plus the expected number of toxic words, and the largest log odds."""
         if not len(odds):
             return [1.0, 0.0, -10.0]
-        p = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-        return [1.0, float(np.log1p(p[odds > -3].sum())), float(np.clip(odds.max(), -10, 10))]
+        likely = odds[odds > -3]
+        p = 1 / (1 + np.exp(-np.clip(likely, -50, 50)))
+        return [1.0, float(np.log1p(p.sum())), float(np.clip(odds.max(), -10, 10))]
 
     def score(self, odds: np.ndarray) -> float:
         z = float(np.dot(self.model.document, self.aggregate(odds)))
@@ -277,19 +270,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
                     if w not in known:
                         known[w] = any(f in marking for f in forms(w))
                     tags[i] = known[w]
-            lines.append((words, tags))
+            lines += [(words[a:a + PIECE], tags[a:a + PIECE]) for a in range(0, len(words), PIECE)]
     if not any(marks) or not lines:
         return Model({}, -10.0, 0.0, np.zeros((2, 2)), np.array([-5.0, 0.0, 0.0]))
     with_tags = [x for x in lines if x[1].any()]
     without = [x for x in lines if not x[1].any()]
     rng = np.random.default_rng(SEED)
-    # Of the lines without a toxic word, four for each with one.
-    chosen = rng.permutation(len(without))[:4 * len(with_tags) + 1000]
+    # Of the lines without a toxic word, two for each with one.
+    chosen = rng.permutation(len(without))[:2 * len(with_tags) + 1000]
     model = fit_chain(with_tags + [without[i] for i in chosen])
     scorer = Scorer(model)
     x = np.array([scorer.aggregate(o) for o in scorer.marginals(texts)])
     y = np.array(marks, float)
-    # Logistic regression by Newton steps with a small ridge, both labels weighing alike.
+    # Scores rise with the largest odds and the sum. Logistic regression by Newton steps with a small ridge, both labels weighing alike.
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
     z = np.zeros(3)
     for _ in range(50):
