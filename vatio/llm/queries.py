@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, mixing, quality_classifier, quality_rules, secret_scan,
+from . import (decontaminate, line_dedup, mixing, quality_classifier, quality_rules, secret_scan,
                sharding, simhash_dedup, token_counts, toxicity)
 from .common import held_out, read
 from .oracle import ORACLE  # noqa: F401 - part of the interface
@@ -86,6 +86,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@_query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
