@@ -61,4 +61,30 @@ SELECT p.doc_id, p.source, CAST(p.size AS BIGINT) AS size, p.source_size, p.targ
 FROM placed p LEFT JOIN times t ON p.doc_id = t.doc_id AND p.key = t.key
 """
 
-ORACLE = {"op4_mix_sources": OP4, "op6_rendezvous_shards": OP6}
+OP2 = r"""
+WITH docs AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+named AS (SELECT row_number() OVER () AS d, doc_id,
+    regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM docs),
+items AS (SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS ws
+  FROM benchmark),
+sized AS (SELECT *, len(ws) AS n, least(len(ws), 5) AS k FROM items WHERE len(ws) > 0),
+pieces AS (SELECT item_id, n, k, array_to_string(ws[q + 1 : q + k], ' ') AS sh
+  FROM (SELECT *, unnest(range(0, n - k + 1)) AS q FROM sized)),
+counted AS (SELECT item_id, n, k, sh, count(*) AS w FROM pieces GROUP BY ALL),
+parts AS (SELECT d, m, k, p, array_to_string(ws[p + 1 : p + k], ' ') AS sh
+  FROM (SELECT d, ws, len(ws) AS m, k, unnest(range(0, greatest(0, len(ws) - k + 1))) AS p
+        FROM named, (SELECT DISTINCT k FROM sized))),
+hits AS (SELECT d, m, p, c.*, least(n, m) - c.k + 1 AS size FROM parts JOIN counted c USING (sh, k)),
+starts AS (SELECT *, unnest(range(greatest(0, p - size + 1), least(p, greatest(0, m - n)) + 1)) AS s FROM hits),
+shared AS (SELECT d, item_id, n, k, m, s, size, sh, least(count(*), any_value(w)) AS common
+  FROM starts GROUP BY d, item_id, n, k, m, s, size, sh),
+scored AS (SELECT d, item_id, s, CAST(size + k - 1 AS INTEGER) AS window_words,
+    sum(common) / (size + n - k + 1 - sum(common)) AS similarity
+  FROM shared GROUP BY d, item_id, n, k, m, s, size),
+best AS (SELECT *, row_number() OVER (PARTITION BY d, item_id ORDER BY similarity DESC, s) AS r
+  FROM scored WHERE similarity >= 0.8)
+SELECT doc_id, item_id, similarity, CAST(s AS INTEGER) AS window_start, window_words
+FROM best JOIN named USING (d) WHERE r = 1
+"""
+
+ORACLE = {"op2_decontaminate": OP2, "op4_mix_sources": OP4, "op6_rendezvous_shards": OP6}

@@ -124,8 +124,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = FI
     marks = written(marks.distinct(), "labels")
     part = min(1.0, rows / max(1, marks.count()))
     chosen = marks.filter(F.pmod(F.xxhash64("__id", F.lit(SEED)), F.lit(1 << 20)) < int(part * (1 << 20)))
+    # Bounded by ``rows``, so it is sent to the texts and no text is shuffled.
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        chosen, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
+        F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS,
