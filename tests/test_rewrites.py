@@ -1,49 +1,56 @@
-"""The single-chain daily plans equal the literal multi-scan definitions,
-both run in Spark SQL over the same hourly rows."""
-
-LITERAL_M13 = """
-WITH source AS (SELECT * FROM enriched WHERE state_central = 'normal'),
-capacidad AS (SELECT fecha, sum(m) AS cap FROM (SELECT fecha, id_central, max(potencia_maxima_mw) AS m
-              FROM source GROUP BY fecha, id_central) GROUP BY fecha),
-horario AS (SELECT fecha, hora, sum(generacion_real_mw) AS s FROM source GROUP BY fecha, hora),
-pico AS (SELECT fecha, max(s) AS mx, min(s) AS mn FROM horario GROUP BY fecha),
-tech AS (SELECT fecha, tipo_tecnologia, sum(generacion_real_mw) AS g FROM source GROUP BY fecha, tipo_tecnologia),
-top AS (SELECT fecha, tipo_tecnologia FROM (SELECT *, row_number() OVER (PARTITION BY fecha
-        ORDER BY g DESC NULLS LAST, tipo_tecnologia ASC NULLS FIRST) AS rn FROM tech) WHERE rn = 1),
-ds AS (SELECT fecha, sum(generacion_real_mw) AS total,
-         sum(CASE WHEN clasificacion_fuente = 'Renovable' THEN generacion_real_mw ELSE 0 END) AS ren,
-         count(DISTINCT CASE WHEN generacion_real_mw > 0 THEN id_central END) AS act,
-         count(DISTINCT CASE WHEN generacion_real_mw > 0 AND clasificacion_fuente = 'Renovable'
-                             THEN id_central END) AS act_ren
-       FROM source GROUP BY fecha)
-SELECT ds.fecha, total, ren, act, act_ren, mx, mn, cap, top.tipo_tecnologia AS top_t
-FROM ds JOIN pico USING (fecha) JOIN capacidad USING (fecha) JOIN top USING (fecha)"""
-
-LITERAL_M10 = """
-WITH source AS (SELECT * FROM enriched WHERE state_central = 'normal'),
-cap AS (SELECT fecha, tipo_tecnologia, sum(m) AS cap FROM (SELECT fecha, tipo_tecnologia, id_central,
-        max(potencia_maxima_mw) AS m FROM source GROUP BY ALL) GROUP BY fecha, tipo_tecnologia)
-SELECT s.fecha, s.tipo_tecnologia, s.clasificacion_fuente, sum(generacion_real_mw) AS total,
-       count_if(generacion_real_mw > 0) AS hrs,
-       count(DISTINCT CASE WHEN generacion_real_mw > 0 THEN id_central END) AS act, c.cap
-FROM source s JOIN cap c ON s.fecha = c.fecha AND s.tipo_tecnologia = c.tipo_tecnologia
-GROUP BY s.fecha, s.tipo_tecnologia, s.clasificacion_fuente, c.cap"""
-
-
-def test_system_summary_rewrite(spark, models):
-    models.generation_enriched.createOrReplaceTempView("enriched")
-    lit = {r.fecha: tuple(r)[1:] for r in spark.sql(LITERAL_M13).collect()}
-    got = {r.fecha: (r.generacion_total_mwh, r.generacion_renovable_mwh, r.num_centrales_activas,
-                     r.num_centrales_renovables_activas, r.demanda_maxima_mw, r.demanda_minima_mw,
-                     r.capacidad_instalada_total_mw, r.top_tecnologia)
-           for r in models.system_summary.collect()}
-    assert lit == got and len(got) > 0
-
-
-def test_daily_by_technology_rewrite(spark, models):
-    models.generation_enriched.createOrReplaceTempView("enriched")
-    lit = sorted(tuple(r) for r in spark.sql(LITERAL_M10).collect())
-    got = sorted((r.fecha, r.tipo_tecnologia, r.clasificacion_fuente, r.generacion_total_mwh,
-                  r.horas_con_generacion, r.num_centrales_activas, r.capacidad_instalada_mw)
-                 for r in models.daily_by_technology.collect())
-    assert lit == got and len(got) > 0
+"""The daily plans against sums kept by hand over the collected hourly rows."""
+
+from collections import defaultdict
+
+
+def _hours(models):
+    return [r for r in models.generation_enriched.collect() if r["state_central"] == "normal"]
+
+
+def _known(values):
+    return [v for v in values if v is not None]
+
+
+def test_system_summary_by_hand(models):
+    days = defaultdict(list)
+    for r in _hours(models):
+        days[r["fecha"]].append(r)
+    got = {r["fecha"]: r for r in models.system_summary.collect()}
+    assert got.keys() == days.keys() and got
+    for day, rows in days.items():
+        of = lambda keep: sum(_known(r["generacion_real_mw"] for r in rows if keep(r)))  # noqa: E731, B023
+        out = got[day]
+        assert out["generacion_total_mwh"] == of(lambda r: True)
+        assert out["generacion_renovable_mwh"] == of(lambda r: r["clasificacion_fuente"] == "Renovable")
+        running = {r["id_central"] for r in rows if (r["generacion_real_mw"] or 0) > 0}
+        assert out["num_centrales_activas"] == len(running)
+        by_hour, rating, energy = defaultdict(float), {}, defaultdict(float)
+        for r in rows:
+            by_hour[r["hora"]] += r["generacion_real_mw"] or 0
+            energy[r["tipo_tecnologia"]] += r["generacion_real_mw"] or 0
+            if r["potencia_maxima_mw"] is not None:
+                rating[r["id_central"]] = max(rating.get(r["id_central"], 0), r["potencia_maxima_mw"])
+        assert (out["demanda_maxima_mw"], out["demanda_minima_mw"]) == (max(by_hour.values()), min(by_hour.values()))
+        assert out["capacidad_instalada_total_mw"] == sum(rating.values())
+        best = max(energy.values())
+        assert out["top_tecnologia"] == min((t for t, e in energy.items() if e == best), key=lambda t: t or "")
+
+
+def test_daily_by_technology_by_hand(models):
+    rows = [r for r in _hours(models) if r["tipo_tecnologia"] is not None]
+    energy, hours, active, rating = defaultdict(float), defaultdict(int), defaultdict(set), defaultdict(dict)
+    for r in rows:
+        wide, key = (r["fecha"], r["tipo_tecnologia"]), (r["fecha"], r["tipo_tecnologia"], r["clasificacion_fuente"])
+        mw, rated = r["generacion_real_mw"] or 0, rating[wide]
+        energy[key] += mw
+        hours[key] += mw > 0
+        if mw > 0:
+            active[key].add(r["id_central"])
+        if r["potencia_maxima_mw"] is not None:
+            rated[r["id_central"]] = max(rated.get(r["id_central"], 0), r["potencia_maxima_mw"])
+    got = {(r["fecha"], r["tipo_tecnologia"], r["clasificacion_fuente"]): r for r in models.daily_by_technology.collect()}
+    assert got.keys() == energy.keys() and got
+    for key, out in got.items():
+        want = (energy[key], hours[key], len(active[key]), sum(rating[key[:2]].values()) or None)
+        assert (out["generacion_total_mwh"], out["horas_con_generacion"], out["num_centrales_activas"],
+                out["capacidad_instalada_mw"]) == want
