@@ -84,7 +84,8 @@ def cte(name: str, deps: list[str], body: str) -> None:
 # ---- raw contracts from the driver tables ----------------------------------
 cte("raw_centrales", [], f"""
 SELECT s.s_suppkey AS id_central,
-  s.s_name || CASE WHEN s.s_suppkey % 10 = 3 THEN ' [EN_REVISION]'
+  CASE WHEN s.s_suppkey % 11 = 5 THEN chr(9) || chr(160) ELSE '' END || s.s_name
+    || CASE WHEN s.s_suppkey % 11 = 6 THEN chr(160) || ' ' ELSE '' END || CASE WHEN s.s_suppkey % 10 = 3 THEN ' [EN_REVISION]'
                    WHEN s.s_suppkey % 10 = 7 THEN ' [NO_MOSTRAR]'
                    WHEN v.v = 2 AND s.s_suppkey % 10 = 5 THEN ' [EN_REVISION]'
                    ELSE '' END AS central,
@@ -92,6 +93,7 @@ SELECT s.s_suppkey AS id_central,
   {tech('s.s_suppkey % 8')} AS tipo_tecnologia,
   CASE WHEN v.v = 2 AND s.s_suppkey % 10 = 0 THEN NULL
        WHEN s.s_suppkey % 17 = 16 THEN 'Sin información'
+       WHEN s.s_suppkey % 23 = 22 THEN CAST(250000 + (s.s_suppkey * 7919) % 450000 AS VARCHAR) || ',5d'
        ELSE CAST(250000 + (s.s_suppkey * 7919) % 450000 AS VARCHAR) || ',5' END AS coordenada_este,
   CAST(5000000 + (s.s_suppkey * 104729) % 2900000 AS VARCHAR) || ',25' AS coordenada_norte,
   CASE WHEN s.s_suppkey % 19 = 18 THEN 'sin huso' WHEN s.s_suppkey % 3 = 0 THEN '18H' ELSE '19G' END AS zona_huso,
@@ -110,7 +112,7 @@ SELECT l_orderkey * 10 + l_linenumber AS id_opreal,
             ELSE DATE '{_b2}' + CAST(l_partkey % 25 - {_n1} AS INTEGER) END AS TIMESTAMP)
     + to_hours(CAST(l_orderkey % 24 AS BIGINT)) AS fecha_hora,
   l_orderkey % 24 + 1 AS hora,
-  CASE WHEN l_partkey % 97 = 0 THEN '' WHEN l_partkey % 89 = 0 THEN '0'
+  CASE WHEN l_partkey % 97 = 0 THEN '' WHEN l_partkey % 89 = 0 THEN '0' WHEN l_partkey % 83 = 0 THEN '50f'
        ELSE CAST(50 + l_suppkey % 7 AS VARCHAR) || ',5' END AS potencia_maxima,
   {tech('CASE WHEN l_partkey % 31 = 0 THEN (l_suppkey + 3) % 8 ELSE l_suppkey % 8 END')} AS tipo_tecnologia,
   {ts(testdata.GENERATION_STAMP_BASE)} + to_seconds(CAST(l_orderkey AS BIGINT)) AS _extracted_at
@@ -118,17 +120,17 @@ FROM lineitem""")
 
 _hour_union = " UNION ALL ".join(f"SELECT unnest(range({a}, {b + 1})) AS h" for a, b in testdata.era5_hour_ranges())
 cte("era5_grid", ["int_compatibilidad_era5"], f"""
-SELECT c.latitude, c.longitude, t.h,
+SELECT c.latitude, c.longitude, t.h, CAST(c.latitude * 4 AS BIGINT) * 7 + CAST(c.longitude * 4 AS BIGINT) AS cell,
   TIMESTAMP '1970-01-01 00:00:00' + to_hours(t.h) AS valid_time
 FROM (SELECT DISTINCT lat_era5 AS latitude, lon_era5 AS longitude FROM int_compatibilidad_era5) c,
      ({_hour_union}) t""")
 
 cte("raw_era5_solar", ["era5_grid"], f"""
 SELECT valid_time, latitude, longitude,
-  {dbl(273.15)} + CAST(h % 24 AS DOUBLE) + {dbl(0.25)} AS t2m,
-  CAST(CASE WHEN h % 24 BETWEEN 11 AND 22 THEN ((h * 37) % 1000 + 1) * 3600 ELSE 0 END AS DOUBLE) AS ssrd,
-  CAST(h % 11 AS DOUBLE) / {dbl(10.0)} AS tcc,
-  CAST(CASE WHEN h % 24 BETWEEN 11 AND 22 THEN ((h * 37) % 1000 + 1) * 3600 ELSE 0 END AS DOUBLE)
+  {dbl(273.15)} + CAST(h % 24 + abs(cell) % 8 AS DOUBLE) + {dbl(0.25)} AS t2m,
+  CAST(CASE WHEN h % 24 BETWEEN 11 AND 22 THEN ((h + abs(cell)) * 37 % 1000 + 1) * 3600 ELSE 0 END AS DOUBLE) AS ssrd,
+  CAST((h + abs(cell)) % 11 AS DOUBLE) / {dbl(10.0)} AS tcc,
+  CAST(CASE WHEN h % 24 BETWEEN 11 AND 22 THEN ((h + abs(cell)) * 37 % 1000 + 1) * 3600 ELSE 0 END AS DOUBLE)
     * CAST(h % 10 AS DOUBLE) / {dbl(10.0)} AS fdir,
   {ts(testdata.ERA5_STAMP)} AS _extracted_at
 FROM era5_grid""")
@@ -166,7 +168,7 @@ QUALIFY row_number() OVER (PARTITION BY id_central, timestamp_utc
 
 cte("stg_centrales_info", ["raw_centrales"], f"""
 SELECT TRY_CAST(id_central AS BIGINT) AS id_central,
-  trim(regexp_replace(central, '\\[[^\\]]+\\]', '', 'g')) AS nombre_central,
+  {trimmed("regexp_replace(central, '\\[[^\\]]+\\]', '', 'g')")} AS nombre_central,
   coalesce(lower(nullif(regexp_extract(central, '\\[([^\\]]+)\\]', 1), '')), 'normal') AS state_central,
   region, comuna, provincia, tipo_tecnologia,
   {decimal_comma('coordenada_este')} AS coordenada_este_utm,

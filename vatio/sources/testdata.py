@@ -108,19 +108,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READERS[key]
 
 
-def read_fact(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
-    """Fact table reader: the needed columns, spread over the cores only when
-    the files yield fewer splits than the default parallelism (a small input
-    with a few large row groups); large inputs are read as they are split."""
-    df = read_table(spark, sf_dir, name).select(*columns)
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext (remote session): read as split
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def raw_centrales(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -137,10 +124,13 @@ def raw_centrales(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.lit("")))
     easting = (F.when(k % 17 == 16, F.lit("Sin información"))
                .otherwise(F.concat((F.lit(250000) + (k * 7919) % 450000).cast("string"), F.lit(",5"))))
+    easting = F.when((k % 23 == 22) & (k % 17 != 16), F.concat(easting, F.lit("d"))).otherwise(easting)
     easting = F.when(v2 & (k % 10 == 0), F.lit(None).cast("string")).otherwise(easting)
     out = base.select(
         k.alias("id_central"),
-        F.concat(F.col("s_name"), tag).alias("central"),
+        # Tabs and no-break spaces around some names.
+        F.concat(F.when(k % 11 == 5, F.lit("\t\u00a0")).otherwise(F.lit("")), F.col("s_name"),
+                 F.when(k % 11 == 6, F.lit("\u00a0 ")).otherwise(F.lit("")), tag).alias("central"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("provincia"),
         F.col("n_name").alias("comuna"),
@@ -156,8 +146,8 @@ def raw_centrales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_generacion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_fact(spark, sf_dir, "lineitem", [
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"])
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
     o, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     d = p % 25
     (start1, n1), (start2, _) = GENERATION_DAY_BLOCKS
@@ -167,6 +157,7 @@ def raw_generacion(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.when(p % 31 == 0, (s + 3) % 8).otherwise(s % 8)
     pot = (F.when(p % 97 == 0, F.lit(""))
            .when(p % 89 == 0, F.lit("0"))
+           .when(p % 83 == 0, F.lit("50f"))
            .otherwise(F.concat((F.lit(50) + s % 7).cast("string"), F.lit(",5"))))
     out = li.select(
         (o * 10 + F.col("l_linenumber")).alias("id_opreal"),
@@ -197,13 +188,15 @@ def raw_era5_solar(cells: DataFrame) -> DataFrame:
     h = F.col("__h")
     base = _hours(cells.select(F.col("lat_era5").alias("latitude"),
                                F.col("lon_era5").alias("longitude")).distinct())
-    ssrd = F.when((h % 24 >= 11) & (h % 24 <= 22), ((h * 37) % 1000 + 1) * 3600).otherwise(0) \
+    # Values differ between cells, so that a join to the wrong cell shows.
+    cell = F.abs((F.col("latitude") * 4).cast("bigint") * 7 + (F.col("longitude") * 4).cast("bigint"))
+    ssrd = F.when((h % 24 >= 11) & (h % 24 <= 22), (((h + cell) * 37) % 1000 + 1) * 3600).otherwise(0) \
         .cast("double")
     out = base.select(
         _valid_time(h).alias("valid_time"), "latitude", "longitude",
-        (F.lit(273.15) + (h % 24).cast("double") + F.lit(0.25)).alias("t2m"),
+        (F.lit(273.15) + (h % 24 + cell % 8).cast("double") + F.lit(0.25)).alias("t2m"),
         ssrd.alias("ssrd"),
-        ((h % 11).cast("double") / F.lit(10.0)).alias("tcc"),
+        (((h + cell) % 11).cast("double") / F.lit(10.0)).alias("tcc"),
         (ssrd * (h % 10).cast("double") / F.lit(10.0)).alias("fdir"),
         _ts(ERA5_STAMP).alias("_extracted_at"),
     )
