@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import UTC, datetime
 
 from .session import get_session
 
@@ -69,7 +70,8 @@ def main(argv=None) -> None:
             raw = raw_tables(spark, args.testdata)
         else:
             from .sources.stored import StoredRawTables
-            raw = StoredRawTables(spark, args.raw, args.start, args.end)
+            now = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+            raw = StoredRawTables(spark, args.raw, args.start, args.end, as_of=now)
         res = run_pipeline(spark, raw, args.out)
         res.groupBy("status").count().orderBy("status").show()
     elif args.cmd == "test":
@@ -82,13 +84,15 @@ def main(argv=None) -> None:
         from .sources.landing import inventory
         inventory(spark, args.landing, args.source, args.date).show(truncate=False)
     elif args.cmd == "count":
-        from .sources.catalog import SOURCES, rows_for_day
+        from .sources.catalog import SOURCES, day_scan, rows_for_day
         src = SOURCES[args.table]
-        df = spark.read.parquet(f"{args.raw.rstrip('/')}/{args.table}")
+        df = day_scan(spark, f"{args.raw.rstrip('/')}/{args.table}", src.time_column, args.date)
         rows_for_day(df, src.time_column, args.date).show()
     elif args.cmd == "metrics":
         from .operators.metrics import METRICS, query_metrics
         models = {METRICS[m].model for m in args.metric}
+        if any(k.startswith("central__") for k in args.by):  # attributes of the plant entity
+            models.add("plants_geo")
         tables = {n: spark.read.parquet(f"{args.models.rstrip('/')}/{n}") for n in models}
         query_metrics(tables, args.metric, args.by, args.grain).show(100, truncate=False)
 

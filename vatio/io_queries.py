@@ -35,39 +35,40 @@ def landing_roundtrip(spark, sf):
     return table.select(*GEN_COLS)
 
 
-_ORDER = ["id_opreal", "id_central", "gen_real_mw", "fecha_hora", "hora", "potencia_maxima",
-          "tipo_tecnologia", "_extracted_at"]
-_ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in _ORDER)
+IDS_PER_PAGE = 40_000  # a page holds the rows of so many operation ids: bounded, no global position
 
 
 def _paged(spark, sf):
+    """Page envelopes of the raw rows, one per range of ids, written and read again."""
     raw = _raw(spark, sf).select(*GEN_COLS)
     path = scratch_path(spark, "pages")
-    # Blocks of 100k operation ids keep the order and bound each ranking task.
-    landing.write_pages(raw, path, PAGE_SIZE, _ORDER, (F.col("id_opreal") / 100000).cast("bigint"))
+    total = raw.agg(F.count("*").alias("totalCount")).withColumn("one", F.lit(1))
+    pages = raw.groupBy((F.floor(F.col("id_opreal") / IDS_PER_PAGE) + 1).alias("page")).agg(
+        F.collect_list(F.struct(*GEN_COLS)).alias("data")).withColumn("one", F.lit(1))
+    envelopes = pages.join(F.broadcast(total), "one").drop("one")  # one row
+    envelopes.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
     from .schemas import GENERATION  # noqa: PLC0415
     schema = GENERATION.__class__([f for f in GENERATION.fields if f.name in GEN_COLS])
     return landing.read_pages(spark, path, schema)
 
 
 @register("pages_explode", O.sql(f"""
-SELECT page, declared_total, count(*) OVER (PARTITION BY page) AS page_rows, {_GEN_SQL}
-FROM (SELECT *, CAST((row_number() OVER (ORDER BY {_ORDER_SQL}) - 1) // {PAGE_SIZE} + 1 AS BIGINT) AS page,
-             count(*) OVER () AS declared_total
-      FROM raw_generacion) p""", ["raw_generacion"]))
+SELECT CAST(id_opreal // {IDS_PER_PAGE} + 1 AS BIGINT) AS page, count(*) OVER () AS declared_total,
+       count(*) OVER (PARTITION BY id_opreal // {IDS_PER_PAGE}) AS page_rows, {_GEN_SQL}
+FROM raw_generacion""", ["raw_generacion"]))
 def pages_explode(spark, sf):
-    """Raw rows -> page envelopes of 5,000 -> rows again, with page facts."""
+    """Raw rows -> page envelopes -> rows again, with page facts."""
     p = _paged(spark, sf)
     return p.select("page", "declared_total", F.col("page_rows").cast("bigint").alias("page_rows"),
                     *[F.col(f"row.{c}").alias(c) for c in GEN_COLS])
 
 
 @register("pages_audit", O.sql(f"""
-SELECT CAST(ceil(n / {PAGE_SIZE}.0) AS BIGINT) AS pages, n AS rows, n AS declared_total,
-       CAST(ceil(n / {PAGE_SIZE}.0) AS BIGINT) AS expected_pages,
-       CAST(CASE WHEN n % {PAGE_SIZE} = 0 THEN 0 ELSE 1 END AS BIGINT) AS short_pages,
-       CAST(0 AS BIGINT) AS empty_pages, TRUE AS complete
-FROM (SELECT count(*) AS n FROM raw_generacion) c""", ["raw_generacion"]))
+SELECT count(*) AS pages, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) AS BIGINT) AS declared_total,
+       CAST(ceil(sum(n) / {PAGE_SIZE}.0) AS BIGINT) AS expected_pages, count_if(n < {PAGE_SIZE}) AS short_pages,
+       CAST(0 AS BIGINT) AS empty_pages, count(*) = ceil(sum(n) / {PAGE_SIZE}.0)
+         AND coalesce(min(page) FILTER (n < {PAGE_SIZE}), max(page)) = max(page) AS complete
+FROM (SELECT id_opreal // {IDS_PER_PAGE} AS page, count(*) AS n FROM raw_generacion GROUP BY 1) p""", ["raw_generacion"]))
 def pages_audit(spark, sf):
     return landing.audit_pages(_paged(spark, sf), PAGE_SIZE)
 
@@ -105,14 +106,17 @@ def rows_for_day(spark, sf):
     return catalog.rows_for_day(_raw(spark, sf), "fecha_hora", "2024-09-08")
 
 
-@register("landing_inventory")
+@register("landing_inventory", O.sql(f"""
+SELECT '{ENTITY}_00001.jsonl' AS name, count(*) AS lines FROM raw_generacion
+UNION ALL SELECT 'centrales_v4_findByDate.jsonl', count(*) FROM raw_centrales""", ["raw_generacion", "raw_centrales"]))
 def landing_inventory(spark, sf):
-    """Files landed for a source and date (paths vary per run: rows-only)."""
+    """Objects landed for a source and date, with their lines."""
     root = scratch_path(spark, "inventory")
-    landing.write_landing(_raw(spark, sf), root, "cen", ENTITY, RUN_DATE, BATCH_A, batch_num=1)
-    landing.write_landing(testdata.raw_centrales(spark, sf), root, "cen", "centrales_v4_findByDate",
+    landing.write_landing(_raw(spark, sf), root, "cen", "/generacion-real/v3/findByDate/",
                           RUN_DATE, BATCH_A, batch_num=1)
-    return landing.inventory(spark, root, "cen", RUN_DATE)
+    landing.write_landing(testdata.raw_centrales(spark, sf), root, "cen", "/centrales/v4/findByDate/",
+                          RUN_DATE, BATCH_A)
+    return landing.inventory(spark, root, "cen", RUN_DATE).select("name", "lines")
 
 
 @register("stream_load", O.sql(f"""
@@ -133,6 +137,74 @@ def stream_load(spark, sf):
     return spark.read.parquet(table).select(*GEN_COLS)
 
 
+BATCH_C = "2026-06-03 01:00:00"
+
+
+@register("mixed_load", O.sql(f"""
+SELECT {_GEN_SQL.replace('_extracted_at', 'CASE (id_opreal // 10) % 3 WHEN 0 THEN ' + O.ts(BATCH_A) + ' WHEN 1 THEN '
+                         + O.ts(BATCH_B) + ' ELSE ' + O.ts(BATCH_C) + ' END AS _extracted_at')}
+FROM raw_generacion""", ["raw_generacion"]))
+def mixed_load(spark, sf):
+    """One raw table loaded by batch, then by stream, then by batch again."""
+    root = scratch_path(spark, "mixed")
+    third = F.floor(F.col("id_opreal") / 10) % 3
+    table = f"{root}/tables/generacion_real"
+    raw = _raw(spark, sf)
+    landing.write_landing(raw.filter(third == 0), f"{root}/a", "cen", ENTITY, "2026-06-01", BATCH_A)
+    landing.write_landing(raw.filter(third == 1), f"{root}/b", "cen", ENTITY, "2026-06-02", BATCH_B)
+    landing.write_landing(raw.filter(third == 2), f"{root}/a", "cen", ENTITY, "2026-06-03", BATCH_C)
+    landing.load_landing(spark, f"{root}/a", "generacion_real", "2026-06-01", table)
+    stream_landing(spark, f"{root}/b", "generacion_real", table, f"{root}/_checkpoints/g").awaitTermination()
+    return landing.load_landing(spark, f"{root}/a", "generacion_real", "2026-06-03", table).select(*GEN_COLS)
+
+
+_REWRITTEN = {"fact_hourly": "fct_generacion_hora", "daily_by_plant": "mart_generacion_por_central",
+              "system_summary": "mart_resumen_sistema"}
+
+
+@register("mart_rewrite", O.sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS model, fecha, count(*) AS n FROM {c} WHERE fecha <> DATE '2024-04-05' GROUP BY fecha"
+    for n, c in _REWRITTEN.items()), list(_REWRITTEN.values())))
+def mart_rewrite(spark, sf):
+    """Marts written whole, then written again without one day: it is gone from all."""
+    from types import SimpleNamespace  # noqa: PLC0415
+
+    from .plans.pipeline import RUN_TS, Models  # noqa: PLC0415
+    root, raw = scratch_path(spark, "rewrite"), testdata.raw_tables(spark, sf)
+    names = ["plants_geo", "generation_enriched", *_REWRITTEN]
+    Models(spark, raw, RUN_TS, RUN_TS).materialize(root, names)
+    less = SimpleNamespace(centrales_info=raw.centrales_info, era5_solar=raw.era5_solar, generacion_real=raw
+                           .generacion_real.filter(F.to_date("fecha_hora") != F.lit("2024-04-05").cast("date")))
+    Models(spark, less, RUN_TS, RUN_TS).materialize(root, names)
+    parts = [spark.read.parquet(f"{root}/{n}").groupBy("fecha").agg(F.count("*").alias("n"))
+             .select(F.lit(n).alias("model"), "fecha", "n") for n in _REWRITTEN]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("era5_solar_load", O.sql("SELECT * FROM raw_era5_solar", ["raw_era5_solar"]))
+def era5_solar_load(spark, sf):
+    """Solar variables: landed as JSONL for one date and appended to the raw table."""
+    root = scratch_path(spark, "solar")
+    landing.write_landing(testdata.raw_tables(spark, sf).era5_solar, root, "era5", "era5_grid_solar", RUN_DATE,
+                          testdata.ERA5_STAMP)
+    table = landing.load_landing(spark, root, "era5_solar", RUN_DATE, f"{root}/tables/era5_solar")
+    return table.drop("fecha_part")
+
+
+@register("utm_sql_function", O.sql("""
+SELECT id_central, coordenada_este_utm, coordenada_norte_utm, zona_huso, latitude, longitude
+FROM int_centrales_geo""", ["int_centrales_geo"]))
+def utm_sql_function(spark, sf):
+    """The projection as a SQL function."""
+    from .functions.sql import register_sql_functions  # noqa: PLC0415
+    from .plans.pipeline import Models  # noqa: PLC0415
+    register_sql_functions(spark)
+    plants = Models.from_testdata(spark, sf).plants_geo.select(
+        "id_central", "coordenada_este_utm", "coordenada_norte_utm", "zona_huso")
+    point = F.expr("utm_to_latlon(coordenada_este_utm, coordenada_norte_utm, zona_huso)")
+    return plants.withColumn("p", point).select("*", "p.latitude", "p.longitude").drop("p")
+
+
 @register("era5_wind_load", O.sql("SELECT * FROM raw_era5_wind", ["raw_era5_wind"]))
 def era5_wind_load(spark, sf):
     """Wind variables: landed as JSONL for one date and appended to the

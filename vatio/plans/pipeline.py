@@ -1,8 +1,8 @@
 """The model graph wired together (dependency order of the reference DAG).
 
-``Models`` builds each model lazily, once, from the four raw tables. The
-default run clock is fixed for registered queries so that re-runs agree;
-pass ``as_of=None, loaded_at=None`` for wall-clock behaviour.
+``Models`` builds each model lazily, once, from the four raw tables, at the
+current instant unless a run clock is given. The registered queries run at
+``RUN_TS`` so that re-runs agree.
 
 ``materialize`` writes models once per run and continues from the written
 tables (six marts read the hourly enriched table), which also cuts lineage.
@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.testdata import RawTables, raw_tables
 from . import intermediate, marts, staging
@@ -21,12 +22,12 @@ RUN_TS = "2026-06-01 00:00:00"
 
 
 class Models:
-    def __init__(self, spark: SparkSession, raw: RawTables, as_of=RUN_TS, loaded_at=RUN_TS):
+    def __init__(self, spark: SparkSession, raw: RawTables, as_of=None, loaded_at=None):
         self.spark, self.raw, self.as_of, self.loaded_at = spark, raw, as_of, loaded_at
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> Models:
-        return cls(spark, raw_tables(spark, sf_dir), **kw)
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of=RUN_TS, loaded_at=RUN_TS) -> Models:
+        return cls(spark, raw_tables(spark, sf_dir), as_of, loaded_at)
 
     # staging
     @cached_property
@@ -105,10 +106,18 @@ class Models:
         written tables: each model is computed once, later models and checks
         read it back, and the lineage is cut at each table. Models whose
         inputs are ready are written concurrently (``threads`` jobs at a time;
-        Spark interleaves their tasks). Daily marts are partitioned by day."""
+        Spark interleaves their tasks). Hourly and daily models are partitioned
+        by day.
+
+        Without a window every table is replaced whole. With ``raw.window`` the
+        days of the run replace theirs and the others stay; models over the
+        whole history (LIFETIME) are computed from the full tables, so all
+        tables of the folder speak of the same days.
+        """
         from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
 
         from ..sources.catalog import write_table  # noqa: PLC0415
+        window = getattr(self.raw, "window", None)
         wanted = [n for n in MODEL_ORDER if names is None or n in names]
         for n in wanted:
             self.__dict__.pop(n, None)
@@ -116,31 +125,53 @@ class Models:
         base = root.rstrip("/")
 
         def build(n: str) -> DataFrame:
-            path = f"{base}/{n}"
+            path, df = f"{base}/{n}", getattr(self, n)
             part, cluster = MART_LAYOUT.get(n, ((), ()))
-            df = getattr(self, n)
-            if part:
-                write_table(df, path, partition_by=part, cluster_by=cluster)
+            if n in DAY_OF:
+                write_table(df.withColumn(DAY, F.to_date(F.col(DAY_OF[n]))), path, partition_by=[DAY],
+                            cluster_by=cluster, replace_days_only=bool(window))
+            elif part:
+                write_table(df, path, partition_by=part, cluster_by=cluster, replace_days_only=bool(window))
             else:
                 df.write.mode("overwrite").parquet(path)
             return self.spark.read.parquet(path)
 
-        done: set[str] = set()
+        full: dict[str, DataFrame] = {}
+
+        def of_run(n: str, t: DataFrame) -> DataFrame:
+            """What later models of the run read: its own days."""
+            day = DAY if n in DAY_OF else "fecha" if n in MART_LAYOUT else None
+            full[n] = t.drop(DAY)
+            if window is None or day is None:
+                return full[n]
+            first, end = (F.lit(x).cast("timestamp_ntz").cast("date") for x in window)
+            pad = 1 if n in ERA5_MODELS else 0
+            return t.filter((F.col(day) >= F.date_sub(first, pad)) & (F.col(day) < F.date_add(end, pad))).drop(DAY)
+
         pending = list(wanted)
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             while pending:
                 wave = [n for n in pending if not (MODEL_DEPS[n] & set(pending))]
                 for n in wave:      # build plans in this thread; only the writes run in the pool
+                    if n in LIFETIME and window is not None and "generation_enriched" in full:
+                        self.__dict__[n] = marts.plant_efficiency(full["generation_enriched"], self.plants_geo,
+                                                                  self.plants_small)
                     getattr(self, n)
                 tables = list(pool.map(build, wave))
                 for n, t in zip(wave, tables):
-                    self.__dict__[n] = t
-                done.update(wave)
-                pending = [n for n in pending if n not in done]
+                    self.__dict__[n] = of_run(n, t)
+                pending = [n for n in pending if n not in wave]
                 self.__dict__.pop("plants_small", None)
+        self.__dict__.update(full)
         return self
 
 
+#: Partition column of the hourly tables, and the column that it is the day of.
+DAY = "fecha_part"
+DAY_OF = {"stg_generation": "timestamp_local", "stg_era5_solar": "valid_time", "era5_features": "timestamp_utc",
+          "generation_enriched": "fecha", "solar_target": "fecha", "fact_hourly": "fecha", "training_solar": "fecha"}
+ERA5_MODELS = ("stg_era5_solar", "era5_features")
+LIFETIME = ("plant_efficiency",)
 MODEL_ORDER = ["stg_generation", "stg_plants", "stg_era5_solar", "plants_geo", "era5_cells",
                "era5_features", "generation_enriched", "solar_target", "fact_hourly",
                "daily_by_technology", "daily_by_plant", "plant_efficiency", "system_summary",
@@ -175,8 +206,9 @@ MART_LAYOUT = {
 
 def run_pipeline(spark: SparkSession, raw: RawTables, root: str, run_ts=None) -> DataFrame:
     """A full run: every model written once under ``root`` in dependency
-    order (marts partitioned by day), then all declared data tests over the
-    written tables, saved as ``root/dq_results``. Returns the test results."""
+    order (hourly and daily tables partitioned by day; see ``materialize`` for
+    windowed runs), then all declared data tests over the written tables, saved
+    as ``root/dq_results``. Returns the test results."""
     from ..operators.quality import run_checks  # noqa: PLC0415
     from .tests_declared import CHECKS  # noqa: PLC0415
     m = Models(spark, raw, as_of=run_ts, loaded_at=run_ts).materialize(root)

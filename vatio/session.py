@@ -7,7 +7,9 @@ still pinned to UTC for anything that prints or parses zoned values.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -68,6 +69,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not (sc.master or "").startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vatio-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
@@ -79,19 +81,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/vatio/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str | None:
-    """Local file-system path of a ``file:`` URI or plain path, else None."""
-    if uri.startswith("file:"):
-        p = uri[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    if "://" in uri:
+def session_key(spark: SparkSession) -> str | None:
+    """Names the running application for caches; None where it has no name here.
+    (An object id could be used again after ``stop()``.)"""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session: no SparkContext
         return None
-    return os.path.abspath(uri)
 
 
-_SHIPPED: set[int] = set()
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system that Spark resolves it to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Spark resolves it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -102,7 +113,7 @@ def ship_package(spark: SparkSession) -> None:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session: the server side provides the package
         return
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import zipfile  # noqa: PLC0415
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -116,4 +127,5 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, parent))
     sc.addPyFile(path)
-    _SHIPPED.add(id(sc))
+    atexit.register(lambda: os.path.exists(path) and os.remove(path))
+    _SHIPPED.add(sc.applicationId)

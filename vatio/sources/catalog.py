@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = (), mode: str = "overwrite",
-                max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                max_records_per_file: int = MAX_RECORDS_PER_FILE,
+                replace_days_only: bool = False) -> None:
     """Write Parquet, optionally partitioned by ``partition_by`` and sorted by
     ``cluster_by`` inside each file (row-group min/max then skip data).
 
@@ -27,6 +29,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     execution split a hot day over several tasks and merge small ones, with
     no sampling pass over the input (a range repartition would evaluate the
     whole input plan twice). Each task then writes few day directories.
+
+    An overwrite replaces the whole table, whatever the session's conf says;
+    with ``replace_days_only`` it replaces the partitions present in ``df`` and
+    leaves the others (a run over a window of days).
     """
     keys = list(partition_by) + list(cluster_by)
     out = df
@@ -36,7 +42,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic" if replace_days_only else "static")
     w.parquet(path)
 
 
@@ -46,19 +53,23 @@ class MissingTimeFilter(ValueError):
 
 def scan_day_partitioned(spark: SparkSession, path: str, time_column: str,
                          start: str | None, end: str | None,
-                         partition_column: str = "fecha_part") -> DataFrame:
+                         partition_column: str = "fecha_part", open_start: bool = False) -> DataFrame:
     """Read a day-partitioned table for [start, end) only.
 
-    Refuses an unbounded scan. The predicate is put on the partition column
+    Refuses an unbounded scan; ``start`` may be open where ``end`` bounds it
+    (``open_start``: everything up to the run clock). The predicate is put on the partition column
     (directory pruning) and on the time column (row-group skipping).
     """
-    if not start or not end:
+    if not end or not (start or open_start):
         raise MissingTimeFilter(f"a time range is required to scan {path}")
     df = spark.read.parquet(path)
-    s, e = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    e = F.lit(end).cast("timestamp_ntz")
     last_day = F.to_date(e - F.expr("INTERVAL 1 MICROSECOND"))   # end is exclusive
-    return df.filter((F.col(partition_column) >= F.to_date(s)) & (F.col(partition_column) <= last_day)
-                     & (F.col(time_column) >= s) & (F.col(time_column) < e))
+    df = df.filter((F.col(partition_column) <= last_day) & (F.col(time_column) < e))
+    if start:
+        s = F.lit(start).cast("timestamp_ntz")
+        df = df.filter((F.col(partition_column) >= F.to_date(s)) & (F.col(time_column) >= s))
+    return df
 
 
 @dataclass(frozen=True)
@@ -103,7 +114,20 @@ def extraction_slice(df: DataFrame, time_column: str, start: str, end: str, **eq
     return out
 
 
-def register_views(tables: dict, prefix: str = "") -> None:
-    """Expose models to SQL users as temporary views (view materialisation)."""
+def register_views(tables: dict, prefix: str = "", schema: str | None = None) -> None:
+    """Expose models to SQL users: as temporary views, or, with ``schema``, as
+    tables of that schema of the session's catalog (created if absent) over the
+    files that the models were written to."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(prefix + name)
+        if schema is None:
+            df.createOrReplaceTempView(prefix + name)
+            continue
+        spark = df.sparkSession
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+        df.write.mode("overwrite").saveAsTable(f"`{schema}`.`{prefix + name}`")
+
+
+def day_scan(spark: SparkSession, path: str, time_column: str, day: str) -> DataFrame:
+    """The rows of one day of a day-partitioned table: its folder only."""
+    end = (date.fromisoformat(day) + timedelta(days=1)).isoformat()
+    return scan_day_partitioned(spark, path, time_column, f"{day} 00:00:00", f"{end} 00:00:00")

@@ -3,14 +3,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LANDING, RAW
-from ..operators.joins import join_dimension
+from ..session import path_exists
 from .catalog import SOURCES, write_table
 
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -27,6 +25,7 @@ def landing_dir(root: str, source: str, run_date: str) -> str:
 def write_landing(df: DataFrame, root: str, source: str, entity: str, run_date: str | None = None,
                   batch_ts: str | None = None, batch_num: int = 0) -> str:
     """Write one landed batch as JSON lines under {root}/{source}/{date}/.
+    ``entity`` may be an endpoint path: '/' becomes '_'.
 
     ``_extracted_at`` is one value for the whole batch (it replaces any
     existing stamp); instants are written as ISO-8601 text in UTC. The batch
@@ -39,6 +38,7 @@ def write_landing(df: DataFrame, root: str, source: str, entity: str, run_date:
         now = datetime.now(UTC)
         batch_ts = batch_ts or now.strftime("%Y-%m-%d %H:%M:%S.%f")
         run_date = run_date or now.strftime("%Y-%m-%d")
+    entity = entity.strip("/").replace("/", "_")
     name = f"{entity}_{batch_num:05d}" if batch_num > 0 else entity
     path = f"{landing_dir(root, source, run_date)}/{name}.jsonl"
     stamped = df.withColumn("_extracted_at", F.lit(batch_ts).cast("timestamp_ntz"))
@@ -58,10 +58,16 @@ def to_utc_ntz(c: Column) -> Column:
 
 
 def read_landing(spark: SparkSession, root: str, table: str, run_date: str) -> DataFrame:
-    """Landed JSON of one raw table for one landing date, in its raw contract."""
+    """Landed JSON of one raw table for one landing date, in its raw contract.
+    A broken line, or a value of another type, fails the read: a load is whole
+    or does not happen."""
     src = SOURCES[table]
     path = f"{landing_dir(root, src.landing_source, run_date)}/{src.landing_glob}"
-    df = spark.read.schema(LANDING[table]).json(path)
+    return typed_landing(spark.read.schema(LANDING[table]).option("mode", "FAILFAST").json(path), table)
+
+
+def typed_landing(df: DataFrame, table: str) -> DataFrame:
+    """Landed columns in the types of the raw contract, instants in UTC."""
     cols = []
     for f in RAW[table].fields:
         c = F.col(f.name)
@@ -87,99 +93,93 @@ def load_landing(spark: SparkSession, root: str, table: str, run_date: str, tabl
 
 
 # ---- pages ----------------------------------------------------------------------
-def row_index(df: DataFrame, order: Sequence[str], block: Column, name: str = "__idx") -> DataFrame:
-    """Exact 0-based position of each row in ``order``, without a global sort
-    in one task: rows are counted per block (a coarse, order-preserving key),
-    block offsets come from a running sum over the (small) block summary,
-    and each row adds its rank inside its block."""
-    b = df.withColumn("__blk", block)
-    counts = b.groupBy("__blk").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select("__blk", (F.sum("__n").over(
-        Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    ranked = b.withColumn("__r", F.row_number().over(Window.partitionBy("__blk").orderBy(*order)))
-    # One row per block: broadcast after a size check (choose blocks so that
-    # their number stays far below the cap).
-    return join_dimension(ranked, offsets, "__blk") \
-        .withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__r") - 1) \
-        .drop("__blk", "__r", "__off")
-
-
-def write_pages(df: DataFrame, path: str, page_size: int, order: Sequence[str], block: Column,
-                results_key: str = "data", total_key: str = "totalCount") -> None:
-    """Write ``df`` as API page envelopes, one JSON object per line:
-    {"page": n, results_key: [..page_size rows..], total_key: total}."""
-    idx = row_index(df, order, block)
-    rows = [c for c in df.columns]
-    pages = idx.groupBy((F.col("__idx") / page_size).cast("bigint").alias("page")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("__idx").alias("__i"), *rows))).alias("__rows"))
-    # Attach the one-row total through a constant-key broadcast join.
-    total = df.agg(F.count(F.lit(1)).alias("__total")).withColumn("__one", F.lit(1))
-    env = pages.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one")
-    env = env.select((F.col("page") + 1).alias("page"),
-                     F.transform("__rows", lambda r: F.struct(*[r[c].alias(c) for c in rows])).alias(results_key),
-                     F.col("__total").alias(total_key))
-    env.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
-
-
 def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
                results_key: str | None = "data") -> DataFrame:
-    """Page files -> rows. A line (or whole file) may be a bare JSON list of
-    rows or an envelope object whose ``results_key`` holds the list (missing
-    key -> no rows). Adds the page's declared total and its position."""
+    """Page files -> rows. A file holds one page per line, or one page over
+    several lines (a file with a line that is no JSON value of its own). A page is
+    a bare JSON list of rows or an envelope object whose ``results_key`` holds the
+    list (missing key -> no rows). Adds the file, the page's place in it, its
+    declared total and its number of rows; a page that is not JSON fails the read."""
     arr = T.ArrayType(row_schema)
     env = T.StructType([T.StructField(results_key or "data", arr), T.StructField("page", T.LongType()),
                         T.StructField("totalCount", T.LongType()), T.StructField("total", T.LongType()),
                         T.StructField("count", T.LongType())])
-    text = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    is_list = F.ltrim("value").startswith("[")
+    value = F.trim("value")
+    whole = (value.startswith("[") & value.endswith("]")) | (value.startswith("{") & value.endswith("}"))
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"),
+                                         F.monotonically_increasing_id().alias("position")) \
+        .filter(F.length(value) > 0).withColumn("is_json", whole & F.try_parse_json("value").isNotNull())
+    spread = lines.filter(~F.col("is_json")).select("file").distinct()
+    files = spark.read.option("wholetext", "true").text(path).select("value", F.input_file_name().alias("file")) \
+        .withColumn("position", F.lit(0).cast("bigint"))
+    # Pages over several lines are read again as whole files.
+    text = lines.join(spread, "file", "left_anti").select("value", "file", "position").unionByName(
+        files.join(spread, "file", "left_semi").select("value", "file", "position"))
+    is_list = F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("[")
+    fail = {"mode": "FAILFAST"}
     parsed = text.select(
-        F.input_file_name().alias("file"),
-        F.when(is_list, F.from_json("value", arr))
-        .otherwise(F.coalesce(F.from_json("value", env)[results_key or "data"], F.array().cast(arr))).alias("items"),
-        F.when(~is_list, F.from_json("value", env)).alias("env"))
+        "file", "position",
+        F.when(is_list, F.from_json("value", arr, fail)).alias("list"),
+        F.when(~is_list, F.from_json("value", env, fail)).alias("env"))
     return parsed.select(
-        "file", F.col("env.page").alias("page"),
+        "file", "position", F.col("env.page").alias("page"),
         F.coalesce(F.nullif("env.totalCount", F.lit(0)), F.nullif("env.total", F.lit(0)),
                    F.nullif("env.count", F.lit(0))).alias("declared_total"),
-        F.size("items").alias("page_rows"),
-        F.explode_outer("items").alias("row"))
+        F.coalesce("list", f"env.{results_key or 'data'}", F.array().cast(arr)).alias("items")) \
+        .select("file", "position", "page", "declared_total", F.size("items").alias("page_rows"),
+                F.explode_outer("items").alias("row"))
 
 
 def audit_pages(pages: DataFrame, page_size: int, by_series: bool = False,
                 max_pages: int | None = None) -> DataFrame:
     """Completeness of page series: pages seen, rows, declared total,
     expected pages = ceil(total / page_size), short and empty pages, and
-    ``complete`` (all declared rows and pages present, at most one short
-    page). ``by_series`` audits each landing folder separately; with
+    ``complete``: all declared rows and pages are present and a short page, which
+    ends a series, is its last (by page number; files and places order pages
+    without one). ``by_series`` audits each landing folder separately; with
     ``max_pages`` a series that reached the cap is flagged."""
-    per_page = pages.groupBy("file", "page").agg(F.max("page_rows").alias("n"),
-                                                 F.max("declared_total").alias("t"))
+    per_page = pages.groupBy("file", "position", "page").agg(F.max("page_rows").alias("n"),
+                                                             F.max("declared_total").alias("t"))
     keys = []
     if by_series:
         per_page = per_page.withColumn("series", F.regexp_extract("file", r"^(.*)/[^/]*$", 1))
         keys = ["series"]
+    place = F.struct(F.col("page").alias("p"), F.col("file").alias("f"), F.col("position").alias("i"))
+    short = F.col("n") < page_size
     aggs = [
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("rows"),
         F.max("t").alias("declared_total"),
         F.ceil(F.max("t") / F.lit(page_size)).cast("bigint").alias("expected_pages"),
-        F.count_if(F.col("n") < page_size).alias("short_pages"),
+        F.count_if(short).alias("short_pages"),
         F.count_if(F.col("n") == 0).alias("empty_pages"),
+        F.max(place).alias("__last"), F.min(F.when(short, place)).alias("__short"),
     ]
-    out = (per_page.groupBy(*keys).agg(*aggs) if keys else per_page.agg(*aggs)).withColumn(
-        "complete", (F.col("rows") == F.col("declared_total"))
-        & (F.col("pages") == F.col("expected_pages")) & (F.col("short_pages") <= 1))
+    out = per_page.groupBy(*keys).agg(*aggs) if keys else per_page.agg(*aggs)
+    out = out.withColumn(
+        "complete", (F.col("rows") == F.col("declared_total")) & (F.col("pages") == F.col("expected_pages"))
+        & (F.col("__short").isNull() | (F.col("__short") == F.col("__last")))).drop("__last", "__short")
     if max_pages is not None:
         out = out.withColumn("reached_max_pages", F.col("pages") >= F.lit(max_pages))
     return out
 
 
 def inventory(spark: SparkSession, root: str, source: str, run_date: str) -> DataFrame:
-    """Files landed for a source and date (path, bytes, modification time);
-    an empty frame means none."""
-    glob = f"{landing_dir(root, source, run_date)}/*"
-    try:
-        df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob)
-    except Exception:  # noqa: BLE001 - no such path
-        return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
-    return df.select("path", "length", "modificationTime")
+    """Objects landed for a source and date: name, files, bytes, lines. A landed
+    object is one entry of the date's folder, whether a file or a folder of part
+    files. No such folder means none; any other error is raised."""
+    folder = landing_dir(root, source, run_date)
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], "name string, files bigint, bytes bigint, lines bigint")
+
+    def name(path: str) -> Column:
+        inside = F.element_at(F.split(path, f"/{source}/{run_date}/"), -1)
+        return F.element_at(F.split(inside, "/"), 1).alias("name")
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    objects = files.select(name("path"), "length").groupBy("name").agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    text = spark.read.option("recursiveFileLookup", "true").text(folder)
+    lines = text.select(F.input_file_name().alias("path")).select(name("path")).groupBy("name").agg(
+        F.count("*").alias("lines"))
+    return objects.join(lines, "name", "left").select("name", "files", "bytes", F.coalesce("lines", F.lit(0)).alias("lines"))

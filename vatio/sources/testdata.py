@@ -14,6 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import session_key
 from ..schemas import ERA5_SOLAR, ERA5_WIND, GENERATION, PLANTS
 
 # ---- Fixed values -----------------------------------------------------------
@@ -96,13 +97,15 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[tuple[str, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table reader; the (read-only) inputs are listed once per session."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
+    if key[0] is None:
+        return spark.read.parquet(path)
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(path)
     return _READERS[key]
@@ -222,13 +225,15 @@ def raw_era5_wind(cells: DataFrame) -> DataFrame:
     return _conform(out, ERA5_WIND)
 
 
-_RAW: dict[tuple[int, str], RawTables] = {}
+_RAW: dict[tuple[str, str], RawTables] = {}
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The raw tables of a driver folder; the (lazy, immutable) plans are
     built once per session and folder, execution happens per query."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key[0] is None:
+        return RawTables(spark, sf_dir)
     if key not in _RAW:
         _RAW[key] = RawTables(spark, sf_dir)
     return _RAW[key]
