@@ -20,5 +20,7 @@ def test_cli_steps(spark, capsys):
     cli.main(["run", "--raw", f"{root}/raw", "--out", f"{root}/models"])
     cli.main(["test", "--models", f"{root}/models"])
     cli.main(["metrics", "--models", f"{root}/models", "--metric", "generacion_sistema_total", "--grain", "month"])
+    cli.main(["metrics", "--models", f"{root}/models", "--metric", "generacion", "--by", "central__region"])
     out = capsys.readouterr().out
     assert "generacion_real:" in out and "total_rows" in out and "metric_time" in out and "pass" in out
+    assert "central__region" in out

@@ -4,9 +4,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from vatio.plans.pipeline import Models
 from vatio.schemas import GENERATION
 from vatio.session import scratch_path
 from vatio.sources import catalog, landing
+from vatio.sources.stored import StoredRawTables
+from vatio.sources.testdata import raw_tables
 
 
 def test_pages_shapes(spark, tmp_path):
@@ -22,11 +26,83 @@ def test_pages_shapes(spark, tmp_path):
     assert totals["a.json"] == 3 and totals["c.json"] is None
 
 
-def test_row_index_exact(spark):
-    df = spark.range(1000).withColumn("k", (F.col("id") * 7919) % 1000)
-    idx = landing.row_index(df, ["k"], (F.col("k") / 97).cast("long"))
-    got = sorted((r["k"], r["__idx"]) for r in idx.select("k", "__idx").collect())
-    assert got == [(k, k) for k in range(1000)]
+def test_pages_in_lines_and_over_several_lines(spark, tmp_path):
+    rows = [{"id_central": i, "gen_real_mw": float(i)} for i in range(5)]
+    envelopes = [{"data": rows[:2], "totalCount": 5}, {"data": rows[2:4], "totalCount": 5}]
+    (tmp_path / "a.json").write_text("\n".join(map(json.dumps, envelopes)))
+    (tmp_path / "b.json").write_text(json.dumps({"data": rows[4:], "totalCount": 5}, indent=1))
+    schema = GENERATION.__class__([f for f in GENERATION.fields if f.name in ("id_central", "gen_real_mw")])
+    pages = landing.read_pages(spark, str(tmp_path), schema)
+    assert sorted(r.row.id_central for r in pages.collect()) == [0, 1, 2, 3, 4]
+    audit = landing.audit_pages(pages, 2).first()
+    assert (audit.pages, audit.rows, audit.short_pages, audit.complete) == (3, 5, 1, True)
+
+
+def test_short_page_inside_a_series_is_incomplete(spark, tmp_path):
+    rows = [{"id_central": i} for i in range(5)]
+    for page, part in ((1, rows[:2]), (2, rows[2:3]), (3, rows[3:])):
+        (tmp_path / f"{page}.json").write_text(json.dumps({"data": part, "totalCount": 5, "page": page}))
+    schema = GENERATION.__class__([f for f in GENERATION.fields if f.name == "id_central"])
+    audit = landing.audit_pages(landing.read_pages(spark, str(tmp_path), schema), 2).first()
+    assert (audit.pages, audit.rows, audit.complete) == (3, 5, False)
+
+
+def test_broken_landing_line_fails_the_load(spark, tmp_path):
+    folder = tmp_path / "cen" / "2026-01-01"
+    folder.mkdir(parents=True)
+    for bad in ('{"id_central": 1', '{"id_central": 1, "gen_real_mw": "many"}'):
+        (folder / "generacion-real_v3.jsonl").write_text('{"id_central": 2, "gen_real_mw": 1.0}\n' + bad)
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ"):
+            landing.read_landing(spark, str(tmp_path), "generacion_real", "2026-01-01").collect()
+
+
+def test_rewrite_drops_stale_days_and_windows_keep_them(spark):
+    path = scratch_path(spark, "t-rewrite")
+    two = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "x int, day string")
+    for conf in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", conf)
+        catalog.write_table(two, path, ["day"])
+        catalog.write_table(two.filter("x = 2"), path, ["day"])
+        assert [r.x for r in spark.read.parquet(path).collect()] == [2]
+        catalog.write_table(two.filter("x = 1"), path, ["day"], replace_days_only=True)
+        assert spark.read.parquet(path).count() == 2
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_inventory_of_nothing(spark, tmp_path):
+    assert landing.inventory(spark, str(tmp_path), "cen", "2026-01-01").count() == 0
+
+
+def test_stored_tables_need_a_bound(spark):
+    with pytest.raises(catalog.MissingTimeFilter):
+        StoredRawTables(spark, "/nonexistent")
+    with pytest.raises(catalog.MissingTimeFilter):
+        StoredRawTables(spark, "/nonexistent", start="2024-01-01 00:00:00")
+    with pytest.raises(ValueError, match="whole days"):
+        StoredRawTables(spark, "/nonexistent", "2024-01-01 06:00:00", "2024-01-02 00:00:00")
+
+
+def test_windowed_run_agrees_with_a_full_one(spark):
+    root = scratch_path(spark, "t-window")
+    src = raw_tables(spark, SF_SMALL)
+    for table in ("generacion_real", "era5_solar", "centrales_info"):
+        s, df = catalog.SOURCES[table], getattr(src, table)
+        if s.partition_column:
+            df = df.withColumn(s.partition_column, F.to_date(s.time_column))
+        catalog.write_table(df, f"{root}/raw/{table}", [s.partition_column] if s.partition_column else [])
+    clock = "2026-06-01 00:00:00"
+    whole = StoredRawTables(spark, f"{root}/raw", as_of=clock)
+    for raw in (whole, StoredRawTables(spark, f"{root}/raw", "2024-04-03 00:00:00", "2024-04-05 00:00:00")):
+        plan = raw.generacion_real._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(fecha_part" in plan
+    Models(spark, whole, clock, clock).materialize(f"{root}/full")
+    Models(spark, whole, clock, clock).materialize(f"{root}/both")
+    window = StoredRawTables(spark, f"{root}/raw", "2024-04-03 00:00:00", "2024-04-05 00:00:00")
+    Models(spark, window, clock, clock).materialize(f"{root}/both")
+    for n in ("fact_hourly", "daily_by_plant", "daily_by_technology", "system_summary", "plant_efficiency",
+              "training_solar", "stg_generation"):
+        a, b = (spark.read.parquet(f"{root}/{r}/{n}") for r in ("full", "both"))
+        assert a.count() == b.count() > 0 and a.exceptAll(b.select(a.columns)).isEmpty(), n
 
 
 def test_scan_requires_time_range(spark):
@@ -61,7 +137,7 @@ def test_models_from_loaded_landing(spark):
         landing.write_landing(df, root, source, entity, "2026-06-01", "2026-06-01 00:00:00")
         out = landing.load_landing(spark, root, table, "2026-06-01", f"{raw_root}/{table}")
         assert out.count() == df.count()
-    stored = Models(spark, StoredRawTables(spark, raw_root))
+    stored = Models(spark, StoredRawTables(spark, raw_root, as_of="2026-06-01 00:00:00"))
     direct = Models(spark, src)
     assert stored.stg_generation.count() == direct.stg_generation.count()
     assert stored.system_summary.count() == direct.system_summary.count()

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from vatio.session import scratch_path
 from vatio.sources import landing, testdata
+from vatio.sources.catalog import SOURCES, write_table
 from vatio.streaming import stream_landing
+from vatio.streaming.landing_stream import append_once
 
 
 def test_incremental_exactly_once(spark):
@@ -28,3 +30,29 @@ def test_incremental_exactly_once(spark):
     stamps = {r[0] for r in out.select(F.date_format("_extracted_at", "yyyy-MM-dd")).distinct().collect()}
     assert stamps == {"2026-06-01", "2026-06-02"}
     assert "fecha_part" in out.columns
+
+
+def test_replayed_batch_appends_what_is_missing(spark):
+    src = SOURCES["generacion_real"]
+    rows = testdata.raw_generacion(spark, SF_SMALL).withColumn("fecha_part", F.to_date("fecha_hora"))
+    root = scratch_path(spark, "t-replay")
+    table = f"{root}/table"
+    write_table(rows.filter("hora <= 6"), table, ["fecha_part"], mode="append")   # a crash left part of the batch
+    spark.range(1).write.json(f"{root}/marks/0/begun")
+    for _ in range(2):
+        append_once(rows, f"{root}/marks/0", table, src)
+        assert spark.read.parquet(table).count() == rows.count()
+
+
+def test_batch_and_stream_share_a_table(spark):
+    raw = testdata.raw_generacion(spark, SF_SMALL)
+    root = scratch_path(spark, "t-mixed")
+    table = f"{root}/table"
+    name = "generacion-real_v3_findByDate"
+    landing.write_landing(raw, f"{root}/a", "cen", name, "2026-06-01", "2026-06-01 01:00:00")
+    landing.write_landing(raw.limit(10), f"{root}/b", "cen", name, "2026-06-02", "2026-06-02 01:00:00")
+    n = raw.count()
+    assert landing.load_landing(spark, f"{root}/a", "generacion_real", "2026-06-01", table).count() == n
+    stream_landing(spark, f"{root}/b", "generacion_real", table, f"{root}/_ck").awaitTermination()
+    assert spark.read.parquet(table).count() == n + 10
+    assert landing.load_landing(spark, f"{root}/a", "generacion_real", "2026-06-01", table).count() == 2 * n + 10

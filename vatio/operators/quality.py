@@ -1,10 +1,9 @@
 """Data-quality checks (K1-K9): one result row per declared test.
 
-All checks of a model except relationships run in one GROUPING SETS pass:
-the empty set carries the row-level conditional counts (not_null,
-accepted_range, bounding box), and each grouped check (unique, accepted
-values, unique combination) has its own set; relationships are a left anti
-join. Failure counts follow
+The row-level checks of a model (not_null, accepted_range, bounding box) are
+conditional counts of one ungrouped aggregate; each key that checks group by
+(unique, accepted values, unique combination) is counted by itself, so no row
+is expanded; relationships anti-join the counted keys. Failure counts follow
 the usual data-test conventions:
 
   not_null              rows where the column is NULL
@@ -85,49 +84,36 @@ def _result_rows(checks: Sequence[Check], counts: DataFrame) -> DataFrame:
     return counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
-def _model_failures(df: DataFrame, cs: Sequence[Check]) -> DataFrame:
-    """All non-relationship checks of one model in one pass.
-
-    A GROUPING SETS aggregate holds the empty set (row-level conditional
-    counts) plus one set per grouped check (unique, accepted values, unique
-    combination); a global aggregate then counts the failing groups of each
-    set. Rows are read once per model instead of once per check.
-    """
-    grouped = [c for c in cs if c.kind not in ROW_KINDS]
-    row_checks = [c for c in cs if c.kind in ROW_KINDS]
-    set_cols: list[tuple[str, ...]] = []
-    for c in grouped:
-        cols = tuple(c.args["columns"]) if c.kind == "unique_combination" else (c.column,)
-        if cols not in set_cols:
-            set_cols.append(cols)
-    all_cols = list(dict.fromkeys(col for cols in set_cols for col in cols))
-
-    def gid(cols) -> int:
-        k = len(all_cols)
-        return sum(1 << (k - 1 - i) for i, col in enumerate(all_cols) if col not in cols)
-
-    empty = gid(())
-    counts = [_row_failure(df, c).alias(f"r{c.id}") for c in row_checks]
-    if all_cols:
-        g = df.groupingSets([[]] + [list(cols) for cols in set_cols], *all_cols).agg(
-            F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n"), *counts)
-    else:
-        g = df.agg(F.lit(empty).cast("bigint").alias("__gid"), F.count(F.lit(1)).alias("__n"), *counts)
-    gcol, n = F.col("__gid"), F.col("__n")
-    outs = [F.max(F.when(gcol == empty, F.col(f"r{c.id}"))).alias(f"f{c.id}") for c in row_checks]
-    for c in grouped:
-        if c.kind == "unique":
-            x = F.col(c.column)
-            cond = (gcol == gid((c.column,))) & x.isNotNull() & (n > 1)
-        elif c.kind == "accepted_values":
-            x = F.col(c.column)
-            cond = (gcol == gid((c.column,))) & x.isNotNull() & ~x.isin(*c.args["values"])
-        elif c.kind == "unique_combination":
-            cond = (gcol == gid(tuple(c.args["columns"]))) & (n > 1)
-        else:
-            raise ValueError(c.kind)
-        outs.append(F.count_if(cond).alias(f"f{c.id}"))
-    return _result_rows(list(row_checks) + grouped, g.agg(*outs))
+def _key_of(c: Check) -> tuple[str, ...]:
+    return tuple(c.args["columns"]) if c.kind == "unique_combination" else (c.column,)
+
+
+def _group_failure(c: Check) -> Column:
+    n = F.col("__n")
+    if c.kind == "unique_combination":
+        return F.count_if(n > 1)
+    x = F.col(c.column)
+    if c.kind == "unique":
+        return F.count_if(x.isNotNull() & (n > 1))
+    if c.kind == "accepted_values":
+        return F.count_if(x.isNotNull() & ~x.isin(*c.args["values"]))
+    raise ValueError(c.kind)
+
+
+def _model_failures(df: DataFrame, cs: Sequence[Check]) -> list[DataFrame]:
+    """All checks of one model but relationships: one ungrouped aggregate for the
+    row-level counts, which shuffles a row per task, and for each key that checks
+    group by one narrow count per key value, reading the key's columns only."""
+    rows = [c for c in cs if c.kind in ROW_KINDS]
+    out = [_result_rows(rows, df.agg(*[_row_failure(df, c).alias(f"f{c.id}") for c in rows]))] if rows else []
+    by_key: dict[tuple[str, ...], list[Check]] = {}
+    for c in cs:
+        if c.kind not in ROW_KINDS:
+            by_key.setdefault(_key_of(c), []).append(c)
+    for key, checks in by_key.items():
+        counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+        out.append(_result_rows(checks, counts.agg(*[_group_failure(c).alias(f"f{c.id}") for c in checks])))
+    return out
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -140,12 +126,15 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         df = tables[model]
         local = [c for c in cs if c.kind != "relationships"]
         if local:
-            parts.append(_model_failures(df, local))
+            parts += _model_failures(df, local)
         for c in cs:
             if c.kind == "relationships":
                 parent = tables[c.args["to"]].select(F.col(c.args["field"]).alias("__k")).distinct()
-                child = df.filter(F.col(c.column).isNotNull()).select(F.col(c.column).alias("__k"))
-                n = child.join(parent, "__k", "left_anti").agg(F.count(F.lit(1)).alias(f"f{c.id}"))
+                # Rows per key first: a key with a third of the rows is one row of the join.
+                child = df.filter(F.col(c.column).isNotNull()).groupBy(F.col(c.column).alias("__k")).agg(
+                    F.count(F.lit(1)).alias("__n"))
+                n = child.join(parent, "__k", "left_anti").agg(
+                    F.coalesce(F.sum("__n"), F.lit(0)).alias(f"f{c.id}"))
                 parts.append(_result_rows([c], n))
     results = reduce(DataFrame.unionByName, parts)
     meta = results.sparkSession.createDataFrame(

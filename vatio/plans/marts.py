@@ -112,7 +112,7 @@ def plant_efficiency(enriched: DataFrame, plants: DataFrame, plants_small: bool
         F.count_if(gen > 0).alias("d_op"), F.count(F.lit(1)).alias("d_rows"))
     daily = daily.withColumn("d_factor", safe_divide("d_gen", F.col("d_pot") * F.lit(HOURS_PER_DAY)))
     per_plant = daily.groupBy("id_central").agg(
-        F.count_distinct("fecha").alias("dias_con_datos"),
+        F.count("fecha").alias("dias_con_datos"),
         F.sum("d_gen").alias("generacion_total_mwh"),
         round_half_away(F.avg("d_gen"), 2).alias("generacion_promedio_diaria_mwh"),
         F.max("d_pot").alias("potencia_maxima_mw"),

@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators.metrics import AVERAGE_DIGITS, METRICS, on_spine, query_metrics
 from .operators.quality import run_checks
-from .plans.pipeline import MODEL_DEPS, Models
+from .plans.pipeline import Models
 from .plans.tests_declared import CHECKS, KIND_GROUPS
 from .registry import MODEL_QUERIES, register
-from .session import scratch_path
+from .session import path_exists, scratch_path, session_key
 
 CTE_OF = {name: cte for name, (_, cte) in MODEL_QUERIES.items()}
 
 SHARED_LAYER = ["stg_generation", "stg_plants", "plants_geo", "era5_cells", "era5_features",
                 "generation_enriched", "solar_target"]
-DEPENDS = MODEL_DEPS
 
 
 def _tables(m: Models, names) -> dict:
@@ -73,14 +72,28 @@ def _dq_sql(checks) -> str:
     return O.sql("\nUNION ALL\n".join(_check_sql(c) for c in checks), deps)
 
 
+_RUNS: dict[tuple[str, str], tuple[str, Models]] = {}
+
+
+def _shared_run(spark, sf) -> Models:
+    """The intermediate models of a folder, written once per application and
+    shared by all checks; written again if the tables are gone."""
+    key = (session_key(spark), sf.rstrip("/"))
+    root, m = _RUNS.get(key, ("", None))
+    if key[0] is None or m is None or not path_exists(spark, f"{root}/{SHARED_LAYER[-1]}"):
+        root = scratch_path(spark, "models")
+        m = Models.from_testdata(spark, sf).materialize(root, SHARED_LAYER)
+        _RUNS[key] = (root, m)
+    return m
+
+
 def _dq_builder(checks):
     models = sorted({c.model for c in checks} | {c.args["to"] for c in checks if c.kind == "relationships"})
 
     def build(spark, sf):
         # Checks run over written intermediate tables (shared by several models),
         # so no check branch recomputes staging, deduplication or the joins.
-        shared = [n for n in SHARED_LAYER if n in models or any(n in DEPENDS[x] for x in models)]
-        m = Models.from_testdata(spark, sf).materialize(scratch_path(spark, "models"), shared)
+        m = _shared_run(spark, sf)
         return run_checks(_tables(m, models), checks)
     return build
 

@@ -10,6 +10,7 @@ the target may be any shared store pyarrow can open.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ERA5_PRESET_COLUMNS
-from ..session import ship_package
+from ..session import qualified, ship_package
 
 # Variables requested per preset, as named by the delivery service.
 ERA5_PRESETS = {
@@ -49,23 +50,28 @@ def _schema(preset: str) -> str:
     return ", ".join(f"{c} {'timestamp_ntz' if c == 'valid_time' else 'double'}" for c in cols)
 
 
-def _open_output(uri: str):
+def _put(uri: str, content: bytes) -> None:
+    """Write a file whole or not at all: to a name of its own that no reader's
+    glob takes, then renamed. A retried or speculative task replaces it by the
+    same content."""
     from pyarrow import fs  # noqa: PLC0415
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
-    elif "://" not in uri:
-        uri = "file://" + uri
     filesystem, path = fs.FileSystem.from_uri(uri)
-    parent = path.rsplit("/", 1)[0]
+    parent, name = path.rsplit("/", 1)
     filesystem.create_dir(parent, recursive=True)
-    return filesystem.open_output_stream(path)
+    temporary = f"{parent}/_{name}-{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(temporary) as out:
+        out.write(content)
+    filesystem.move(temporary, path)
 
 
 def write_archives(df: DataFrame, root: str, preset: str = "solar") -> DataFrame:
     """Write one ZIP (one CSV inside) per grid point and year under ``root``
     (a year of hours bounds each group); returns (path, rows) per archive."""
     cols = ERA5_PRESET_COLUMNS[preset]
-    base = root.rstrip("/")
+    # As Spark resolves the path: on a cluster a path without scheme is on its default store.
+    base = qualified(df.sparkSession, root).rstrip("/")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         year = int(pdf["__year"].iloc[0])
@@ -77,8 +83,7 @@ def write_archives(df: DataFrame, root: str, preset: str = "solar") -> DataFrame
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr(f"{name}.csv", csv)
         uri = f"{base}/{name}.zip"
-        with _open_output(uri) as out:
-            out.write(buf.getvalue())
+        _put(uri, buf.getvalue())
         return pd.DataFrame({"path": [uri], "rows": [len(pdf)]})
 
     ship_package(df.sparkSession)

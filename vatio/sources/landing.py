@@ -110,7 +110,7 @@ def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
                                          F.monotonically_increasing_id().alias("position")) \
         .filter(F.length(value) > 0).withColumn("is_json", whole & F.try_parse_json("value").isNotNull())
     spread = lines.filter(~F.col("is_json")).select("file").distinct()
-    files = spark.read.option("wholetext", "true").text(path).select("value", F.input_file_name().alias("file")) \
+    files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("file")) \
         .withColumn("position", F.lit(0).cast("bigint"))
     # Pages over several lines are read again as whole files.
     text = lines.join(spread, "file", "left_anti").select("value", "file", "position").unionByName(
