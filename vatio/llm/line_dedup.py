@@ -43,17 +43,23 @@ _NO_ID = (1 << 63) - 1
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), _SPACES), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(line), _SPACES), "")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, part, line): the lines with words; ``doc`` orders the documents (null
-    ids last), ``part`` the lines of a document. Documents of one id and other
-    texts differ in the low bits of ``part``."""
+def _prepared(docs: DataFrame) -> DataFrame:
+    """(doc, mark, text): ``doc`` orders the documents (null ids last); ``mark``
+    tells documents of one id apart, and is 0 where no id is used twice."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    cut = docs.select(F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).alias("doc"),
-                      F.shiftrightunsigned(F.xxhash64(text), 33).alias("mark"),
-                      F.posexplode(F.split(text, "\n")).alias("no", "line"))
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID))
+    twice = not docs.groupBy(doc.alias("doc")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    mark = F.shiftrightunsigned(F.xxhash64(text), 33) if twice else F.lit(0).cast("bigint")
+    return docs.select(doc.alias("doc"), mark.alias("mark"), text.alias("text"))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc, part, line): the lines with words of prepared documents; ``part``
+    orders the lines of a document, with its mark in the low bits."""
+    cut = docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     return cut.filter(F.regexp_like("line", F.lit(r"[^\x20\x09-\x0D]"))).select(
         "doc", F.shiftleft(F.col("no").cast("bigint"), 31).bitwiseOR(F.col("mark")).alias("part"), "line")
 
@@ -70,7 +76,7 @@ def _needed(a: Column, b: Column, similarity: float) -> Column:
 def rarity(docs: DataFrame) -> tuple[list[tuple[int, list[int]]], list[int]]:
     """Classes of words from the commonest rare to the rarest: (class, hashes) of the
     frequent words, and the class of other words by length. Class 0 is rarest."""
-    words = docs.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), _SPACES)).alias("w"))
+    words = docs.select(F.explode(F.split(F.lower("text"), _SPACES)).alias("w"))
     counts = words.filter("w <> ''").select(F.xxhash64("w").alias("h"), F.least(F.char_length("w"), F.lit(LENGTHS))
                                             .alias("len")).groupBy("h", "len").agg(F.count("*").alias("n"))
     counts = written(counts, "words")
@@ -92,16 +98,15 @@ def _ordered(tiers: list[tuple[int, list[int]]], lengths: list[int]) -> Column:
     """The distinct words of ``line`` as numbers whose order is the rarity order:
     the class in the high bits, a hash of the word below. SQL text, as it holds
     up to 2**FREQUENT literals, which Spark looks up in hash sets."""
-    among = lambda hs: f"h IN ({', '.join(f'{h}L' for h in hs)})"
-    rank = f"element_at(array({', '.join(f'{c}L' for c in lengths)}), size + 1)"
+    among = lambda hs: f"x.h IN ({', '.join(f'{h}L' for h in hs)})"
+    rank = f"element_at(array({', '.join(f'{c}L' for c in lengths)}), x.n + 1)"
     if tiers:
         cases = " ".join(f"WHEN {among(hs)} THEN {c}L" for c, hs in tiers)
         rank = f"CASE WHEN {among([h for _, hs in tiers for h in hs])} THEN CASE {cases} END ELSE {rank} END"
-    words = f"filter(split(lower(line), r'{_SPACES}'), w -> w <> '')"
-    return F.expr(f"""sort_array(array_distinct(zip_with(
-        transform({words}, w -> xxhash64(w)),
-        transform({words}, w -> least(char_length(w), {LENGTHS})),
-        (h, size) -> shiftleft({rank}, {HASH_BITS}) | (h & {(1 << HASH_BITS) - 1}L))))""")
+    words = f"array_remove(split(lower(line), r'{_SPACES}'), '')"
+    return F.expr(f"""sort_array(array_distinct(transform(
+        transform({words}, w -> named_struct('h', xxhash64(w), 'n', least(char_length(w), {LENGTHS}))),
+        x -> shiftleft({rank}, {HASH_BITS}) | (x.h & {(1 << HASH_BITS) - 1}L))))""")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -121,7 +126,9 @@ def postings(docs: DataFrame, similarity: float) -> DataFrame:
         F.slice("set", 1, F.size("set") - F.ceil(F.size("set") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1)
         .alias("prefix"))
     records = sized.groupBy("k1", "k2").agg(F.min(F.struct("doc", "part", "n", "bits", "prefix")).alias("r"))
-    return records.select("r.*").select("doc", "part", "n", "bits", F.posexplode("prefix").alias("rn", "tok"))
+    # A word's hash is cut to 40 bits here: words that share them only add candidates.
+    return records.select("r.*").select("doc", "part", "n", "bits", F.posexplode(F.transform(
+        "prefix", lambda t: t.bitwiseAND((1 << 40) - 1))).alias("rn", "tok"))
 
 
 def _passes(a: str, b: str, similarity: float) -> Column:
@@ -137,20 +144,39 @@ def _passes(a: str, b: str, similarity: float) -> Column:
             & (rest + before >= need) & (differ <= na + nb - 2 * need))
 
 
+def _parity(words: int) -> Column:
+    """Parity bitmaps of the set, ``words`` numbers of 64 bits: bits of two sets
+    that differ bound from below how many words only one of them has."""
+    return F.array(*[F.expr(f"aggregate(filter(set, h -> (h & {words - 1}L) = {i}L), 0L, "
+                            "(a, h) -> a ^ shiftleft(1L, cast(shiftrightunsigned(h, 8) & 63 as int)))")
+                     for i in range(words)])
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (doc, part, o_doc, o_part) whose sets reach the similarity. Only
-    the lines in a pair are read again, and only their words are shuffled."""
+    the lines in a pair are read again. Their bitmaps are compared first, so that
+    the word sets are shuffled for few pairs but the true ones."""
     pairs = written(pairs, "line-pairs")
     ends = pairs.select("doc", "part").union(pairs.select("o_doc", "o_part")).distinct()
     ends = written(ends, "pair-lines")
     sets = written(_lines(docs).join(_small(ends), ["doc", "part"], "left_semi").select(
         "doc", "part", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("set"))
-        .dropDuplicates(["doc", "part"]), "pair-sets")
-    other = sets.select(F.col("doc").alias("o_doc"), F.col("part").alias("o_part"), F.col("set").alias("o_set"))
-    both = pairs.join(sets, ["doc", "part"]).join(other, ["o_doc", "o_part"])
+        .dropDuplicates(["doc", "part"]).select("*", F.size("set").alias("n"), _parity(4).alias("bits")), "pair-sets")
+
+    def attach(p: DataFrame, *columns: str) -> DataFrame:
+        other = sets.select(F.col("doc").alias("o_doc"), F.col("part").alias("o_part"),
+                            *[F.col(c).alias(f"o_{c}") for c in columns])
+        return p.join(sets.select("doc", "part", *columns), ["doc", "part"]).join(other, ["o_doc", "o_part"])
+
+    differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("o_bits")[i])) for i in range(1, 4)),
+                 F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("o_bits")[0])))
+    close = attach(pairs, "n", "bits").filter(
+        differ <= F.col("n") + F.col("o_n") - 2 * _needed(F.col("n"), F.col("o_n"), similarity))
+    close = written(close.select(*pairs.columns), "close-pairs")
     shared = F.size(F.array_intersect("set", "o_set"))
-    return written(both.filter(shared >= F.lit(similarity) * (F.size("set") + F.size("o_set") - shared) - F.lit(1e-9))
-                   .select("doc", "part", "o_doc", "o_part"), "line-links")
+    return written(attach(close, "set").filter(
+        shared >= F.lit(similarity) * (F.size("set") + F.size("o_set") - shared) - F.lit(1e-9))
+        .select("doc", "part", "o_doc", "o_part"), "line-links")
 
 
 def _classes(links: DataFrame) -> DataFrame:
@@ -165,7 +191,7 @@ def _classes(links: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST) -> DataFrame:
-    """(doc, part, o_doc, o_part) with o before the line: verified links between
+    """(doc, part, o_doc, o_part) of prepared documents, with o before the line: verified links between
     distinct lines. Every line with an earlier match has one, and two matching
     lines are connected through links."""
     listed = postings(docs, similarity)
@@ -177,25 +203,37 @@ def links(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int =
     ahead = F.when(F.col("many") <= short_list, F.collect_list(F.struct("doc", "part", "n", "rn", "bits")).over(
         by_tok.orderBy("doc", "part").rowsBetween(-short_list, -1))).otherwise(F.array(head))
     seen = lists.select("tok", "doc", "part", "n", "rn", "bits", "many", ahead.alias("ahead"))
-    met = (seen.withColumn("o", F.explode("ahead"))
-           .select("doc", "part", "n", "rn", "bits", *[F.col(f"o.{c}").alias(f"o_{c}")
-                                                       for c in ("doc", "part", "n", "rn", "bits")])
-           .filter("o_doc < doc or (o_doc = doc and o_part < part)").filter(_passes("", "o_", similarity))
-           .select("doc", "part", "o_doc", "o_part").distinct())
-    near = _verified(docs, met, similarity)
-
-    long_lists = written(lists.filter(F.col("many") > short_list).drop("many"), "long-lists")
+    # One pass gives the pairs met and the long lists, so the lines are cut and dealt out once.
+    # An entry without a partner stands for the line's place in a long list.
+    place = F.when(F.col("many") > short_list, F.array(F.lit(None).cast("struct<doc:bigint,part:bigint,n:int,rn:int,"
+                                                                        "bits:bigint>"))).otherwise(F.array())
+    met = seen.withColumn("o", F.explode(F.concat("ahead", place))).select(
+        "tok", "doc", "part", "n", "rn", "bits", F.col("o").isNull().alias("listed"),
+        *[F.col(f"o.{c}").alias(f"o_{c}") for c in ("doc", "part", "n", "rn", "bits")])
+    earlier = F.expr("o_doc < doc or (o_doc = doc and o_part < part)")
+    met = met.filter(F.col("listed") | (earlier & _passes("", "o_", similarity)))
+    kept = lambda c: F.when(F.col("listed"), F.col(c)).alias(c)
+    met = written(met.select("listed", kept("tok"), "doc", "part", kept("n"), kept("rn"), kept("bits"),
+                             "o_doc", "o_part"), "line-meetings")
+    near = _verified(docs, met.filter(~F.col("listed")).select("doc", "part", "o_doc", "o_part").distinct(), similarity)
+    long_lists = met.filter("listed").select("tok", "doc", "part", "n", "rn", "bits")
     classes = _classes(near).withColumnRenamed("doc", "l_doc").withColumnRenamed("part", "l_part")
     matched = near.select(F.col("doc").alias("m_doc"), F.col("part").alias("m_part")).distinct()
+    # One number: the class in the high bits, and whether the line has a match.
     state = classes.join(matched, (F.col("l_doc") == F.col("m_doc")) & (F.col("l_part") == F.col("m_part")), "left") \
-        .select("l_doc", "l_part", F.xxhash64("c_doc", "c_part").alias("class"), F.col("m_doc").isNotNull().alias("matched"))
+        .select("l_doc", "l_part", F.shiftleft(F.xxhash64("c_doc", "c_part"), 1).bitwiseOR(
+            F.col("m_doc").isNotNull().cast("bigint")).alias("state"))
     state = written(state, "line-states")
     known = long_lists.join(_small(state), (F.col("doc") == F.col("l_doc")) & (F.col("part") == F.col("l_part")), "left") \
         .drop("l_doc", "l_part")
-    o = known.select("tok", *[F.col(c).alias(f"o_{c}") for c in ("doc", "part", "n", "rn", "bits", "class")])
-    rest = (known.join(o, "tok").filter("o_doc < doc or (o_doc = doc and o_part < part)")
-            .filter(F.coalesce(F.col("class") != F.col("o_class"), F.lit(True)) | ~F.col("matched"))
-            .filter(_passes("", "o_", similarity)).select("doc", "part", "o_doc", "o_part").distinct())
+    # Both sides read the same columns, so that the lists are dealt out once.
+    one, two = known.alias("one"), known.alias("two")
+    alike = F.shiftright("one.state", 1) == F.shiftright("two.state", 1)
+    settled = F.coalesce(alike & (F.col("one.state").bitwiseAND(1) == 1), F.lit(False))
+    earlier = F.expr("two.doc < one.doc or (two.doc = one.doc and two.part < one.part)")
+    rest = (one.join(two, F.col("one.tok") == F.col("two.tok")).filter(earlier & ~settled)
+            .filter(_passes("one.", "two.", similarity))
+            .select("one.doc", "one.part", F.col("two.doc").alias("o_doc"), F.col("two.part").alias("o_part")).distinct())
     return near.unionByName(_verified(docs, rest, similarity))
 
 
@@ -209,7 +247,7 @@ def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list
     lines are no lines here and always stay. Rows that repeat a document repeat
     its lines, all but the first removed. Other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs = _prepared(docs)
     found = written(links(docs, similarity, short_list), "all-line-links")
     classes = _classes(found)
     counts = found.groupBy("doc", "part").agg(F.count("*").alias("n_links"))
