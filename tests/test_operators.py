@@ -66,8 +66,40 @@ def test_two_level(spark):
 
 def test_broadcast_check(spark):
     small, big = spark.range(10), spark.range(100)
-    assert broadcast_if_small(big, 50) is big          # over the cap: left to the planner
-    hinted = broadcast_if_small(small, 50)
+    assert broadcast_if_small(big, 1000) is big        # over the cap in bytes: left to the planner
+    hinted = broadcast_if_small(small, 1000)
     assert hinted is not small
     joined = spark.range(1000).join(hinted, "id")
     assert sorted(r.id for r in joined.collect()) == list(range(10))
+
+
+def test_both_ways_of_a_dimension_join(spark, models, monkeypatch):
+    """The shuffled join gives the rows of the broadcast one, in the models too."""
+    from vatio.operators import joins
+    from vatio.plans.pipeline import RUN_TS, Models
+    broadcast = models.daily_by_plant
+    assert models.plants_small
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 0)
+    shuffled = Models(spark, models.raw, RUN_TS, RUN_TS)
+    assert not shuffled.plants_small
+    other = shuffled.daily_by_plant
+    assert other.count() == broadcast.count() and other.exceptAll(broadcast).isEmpty()
+
+
+def test_models_in_a_named_schema(spark):
+    from vatio.sources.catalog import register_views
+    register_views({"days": spark.range(3)}, schema="marts_test")
+    assert spark.table("marts_test.days").count() == 3
+    spark.sql("DROP SCHEMA marts_test CASCADE")
+
+
+def test_run_clock_defaults_to_now(spark):
+    from types import SimpleNamespace
+
+    from vatio.plans.pipeline import Models
+    from vatio.sources import testdata
+    raw = testdata.raw_generacion(spark, "/root/testdata/sf0.001")
+    later = raw.withColumn("fecha_hora", raw["fecha_hora"] + F.expr("INTERVAL 700 DAYS"))
+    future = raw.withColumn("fecha_hora", raw["fecha_hora"] + F.expr("INTERVAL 7000 DAYS"))
+    count = lambda df: Models(spark, SimpleNamespace(generacion_real=df)).stg_generation.count()
+    assert count(later) > 0 and count(future) == 0
