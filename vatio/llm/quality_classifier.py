@@ -28,8 +28,7 @@ RIDGE = 1e-2
 #: Kernel width in standard deviations per statistic, times the root of their number.
 WIDTH = 0.6
 SEED = 20_240_607
-FIT_PARTITIONS = 8
-#: Fold of the labelled rows on which the calibration is fitted, of CALIBRATION_FOLDS.
+#: Parts of the labelled rows; the calibration sees each through weights fitted without it.
 CALIBRATION_FOLDS = 4
 THRESHOLD = 0.3
 
@@ -86,7 +85,11 @@ class Model:
         return features(stats, self.mean, self.scale, self.directions, self.phases) @ self.weights
 
     def scores(self, stats: np.ndarray) -> np.ndarray:
-        return np.clip(np.interp(self.values(stats), self.knots, self.levels), 0.0, 1.0)
+        """Calibrated scores; a hundredth of the score orders the values that share a level."""
+        v = self.values(stats)
+        width = self.knots[-1] - self.knots[0]
+        inside = np.clip((v - self.knots[0]) / width, 0.0, 1.0) if width > 0 else 0.5
+        return np.clip(0.99 * np.interp(v, self.knots, self.levels) + 0.01 * inside, 0.0, 1.0)
 
 
 def features(stats, mean, scale, directions, phases) -> np.ndarray:
@@ -133,47 +136,56 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
         n_features: int = FEATURES, doc_id: str = "doc_id", text: str = "text") -> Model:
     """Fit on at most ``rows`` labelled documents outside the held-out fold.
 
-    Three parts of them by hash of the id fit the ridge weights, one the
-    calibration. Without any labelled row the model scores 0.5 throughout.
+    Ridge weights are fitted to all of them; the calibration is fitted to values
+    that each part of them (by hash of the id) gets from weights fitted without
+    it. Without any labelled row the model scores 0.5 throughout.
     """
     ship(docs)
     train = written(training_rows(docs, labels, label, rows, doc_id, text).select(
-        (F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(CALIBRATION_FOLDS)) == 0).alias("calibrates"),
-        statistics(F.col("text")).alias("stats"), "label").repartition(FIT_PARTITIONS), "fit-statistics")
-    p = len(STATISTICS)
-    moments = train.filter(~F.col("calibrates")).agg(
-        F.array(*[F.avg(F.col("stats")[i]) for i in range(p)]),
-        F.array(*[F.stddev_pop(F.col("stats")[i]) for i in range(p)])).first()
+        F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(CALIBRATION_FOLDS)).cast("int").alias("fold"),
+        statistics(F.col("text")).alias("stats"), "label").repartition(CALIBRATION_FOLDS, "fold"), "fit-statistics")
+    p, size = len(STATISTICS), n_features + 1
+    moments = train.agg(F.array(*[F.avg(F.col("stats")[i]) for i in range(p)]),
+                        F.array(*[F.stddev_pop(F.col("stats")[i]) for i in range(p)])).first()
     rng = np.random.default_rng(SEED)
     directions = rng.standard_normal((p, n_features)) / (WIDTH * np.sqrt(p))
     phases = rng.uniform(0, 2 * np.pi, n_features)
     if moments[0][0] is None:
         zero, one = np.zeros(p), np.ones(p)
-        return Model(zero, one, directions, phases, np.zeros(n_features + 1), np.array([0.0]), np.array([0.5]))
+        return Model(zero, one, directions, phases, np.zeros(size), np.array([0.0]), np.array([0.5]))
     mean = np.array(moments[0])
     scale = np.maximum(np.array(moments[1]), 1e-3)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = n_features + 1
-        gram, right = np.zeros((size, size)), np.zeros(size)
+        grams: dict[int, list[np.ndarray]] = {}
         for b in batches:
-            if len(b):
-                z = features(np.array(b["stats"].tolist()), mean, scale, directions, phases)
-                gram += z.T @ z
-                right += z.T @ b["label"].to_numpy()
-        yield pd.DataFrame({"gram": [gram.tobytes()], "rhs": [right.tobytes()]})
-
-    parts = train.filter(~F.col("calibrates")).mapInPandas(sums, "gram binary, rhs binary").collect()
-    gram = sum(np.frombuffer(r[0]) for r in parts).reshape(n_features + 1, n_features + 1)
-    right = sum(np.frombuffer(r[1]) for r in parts)
-    n = gram[-1, -1]
-    weights = np.linalg.solve(gram + RIDGE * max(1.0, n ** 0.5) * 0.1 * np.eye(len(gram)), right)
-    model = Model(mean, scale, directions, phases, weights, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    # At most FIT_ROWS statistics vectors; the last part of them, or all where it is empty.
-    rest = train.filter("calibrates").select("stats", "label").toPandas()
-    if rest.empty:
-        rest = train.select("stats", "label").toPandas()
-    model.knots, model.levels = isotonic(model.values(np.array(rest["stats"].tolist())), rest["label"].to_numpy())
+            for fold, g in b.groupby("fold"):
+                z = features(np.array(g["stats"].tolist()), mean, scale, directions, phases)
+                total = grams.setdefault(int(fold), [np.zeros((size, size)), np.zeros(size)])
+                total[0] += z.T @ z
+                total[1] += z.T @ g["label"].to_numpy()
+        yield pd.DataFrame([(k, g.tobytes(), r.tobytes()) for k, (g, r) in grams.items()],
+                           columns=["fold", "gram", "rhs"])
+
+    parts: dict[int, list[np.ndarray]] = {}
+    for fold, g, r in train.mapInPandas(sums, "fold int, gram binary, rhs binary").collect():
+        have = parts.setdefault(fold, [np.zeros((size, size)), np.zeros(size)])
+        have[0] += np.frombuffer(g).reshape(size, size)
+        have[1] += np.frombuffer(r)
+    gram, right = sum(g for g, _ in parts.values()), sum(r for _, r in parts.values())
+
+    def solve(g: np.ndarray, r: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(g + RIDGE * max(1.0, g[-1, -1] ** 0.5) * 0.1 * np.eye(size), r)
+
+    model = Model(mean, scale, directions, phases, solve(gram, right), np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    # About FIT_ROWS statistics vectors: the calibration's table.
+    seen = train.select("fold", "stats", "label").toPandas()
+    values = np.empty(len(seen))
+    for fold, (g, r) in parts.items():
+        mine = (seen["fold"] == fold).to_numpy()
+        weights = solve(gram - g, right - r) if len(parts) > 1 else model.weights
+        values[mine] = features(np.array(seen["stats"][mine].tolist()), mean, scale, directions, phases) @ weights
+    model.knots, model.levels = isotonic(values, seen["label"].to_numpy())
     return model
 
 
