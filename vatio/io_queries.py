@@ -65,7 +65,7 @@ def pages_explode(spark, sf):
 
 @register("pages_audit", O.sql(f"""
 SELECT count(*) AS pages, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) AS BIGINT) AS declared_total,
-       CAST(ceil(sum(n) / {PAGE_SIZE}.0) AS BIGINT) AS expected_pages, count_if(n < {PAGE_SIZE}) AS short_pages,
+       CAST(ceil(sum(n) / {PAGE_SIZE}.0) AS BIGINT) AS expected_pages, count(*) FILTER (n < {PAGE_SIZE}) AS short_pages,
        CAST(0 AS BIGINT) AS empty_pages, count(*) = ceil(sum(n) / {PAGE_SIZE}.0)
          AND coalesce(min(page) FILTER (n < {PAGE_SIZE}), max(page)) = max(page) AS complete
 FROM (SELECT id_opreal // {IDS_PER_PAGE} AS page, count(*) AS n FROM raw_generacion GROUP BY 1) p""", ["raw_generacion"]))
