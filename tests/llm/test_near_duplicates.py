@@ -128,6 +128,39 @@ def test_line_classes_against_brute_force(spark, empty):
     assert line_dedup.line_classes(empty).count() == 0
 
 
+def brute_link_counts(rows, t=0.8):
+    first = {}
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        for line in (text or "").split("\n"):
+            words = frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line.lower()) if w)
+            if words:
+                first.setdefault(line, words)
+    sets = list(first.values())
+    counts = [sum(len(a & b) >= t * len(a | b) - 1e-9 for b in sets[:i]) for i, a in enumerate(sets)]
+    return dict(zip(first, counts))
+
+
+def test_line_links_are_all_counted(spark):
+    rng = random.Random(8)
+    rows = lines_fixture()
+    wide = [f"x{i}" for i in range(20)]
+    for i in range(80):  # matches at up to four changed words: some pairs near the limit
+        copy = list(wide)
+        for _ in range(rng.randrange(1, 4)):
+            copy[rng.randrange(20)] = f"y{rng.randrange(30)}"
+        rows.append((300 + i, " ".join(copy)))
+    want = brute_link_counts(rows)
+    assert max(want.values()) >= 59
+    lines = {}
+    for i, text in rows:
+        for n, line in enumerate((text or "").split("\n")):
+            lines[i, n] = line
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for short in (2, 16):
+        got = line_dedup.line_classes(docs, short_list=short).collect()
+        assert [r for r in got if r["n_links"] != want[lines[r["doc_id"], r["line_no"]]]] == []
+
+
 def test_lines_of_odd_rows(odd):
     got = line_dedup.line_classes(odd)
     want = brute_lines([(i, t) for i, t, *_ in ODD])

@@ -14,9 +14,11 @@ bounded size, so prefixes are cut where the lines lie.
 Equal lines are one record, put together before words are dealt out. In a list
 of lines that share a prefix word, each line is compared with the first one,
 and with all others where the list has up to SHORT_LIST lines. Longer lists are
-dealt with once these links are known: a pair is compared unless the later line
-has a match already and both are in one class. So close copies by the thousand
-cost a comparison each, and no line loses its match or its class."""
+dealt with once these links are known. One minus the Jaccard similarity is a
+metric, so lines that lie within half the allowed distance of one first line
+(a ball) all match each other: such pairs are counted by the lines' places in
+the ball, and all other pairs are compared. So close copies by the thousand
+cost a comparison each, and no line loses a link."""
 
 from __future__ import annotations
 
@@ -153,8 +155,8 @@ def _parity(words: int) -> Column:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (doc, part, o_doc, o_part) whose sets reach the similarity. Only
-    the lines in a pair are read again. Their bitmaps are compared first, so that
+    """The pairs (doc, part, o_doc, o_part) whose sets reach the similarity, and
+    ``tight``: whether they are within half the allowed distance. Only the lines in a pair are read again. Their bitmaps are compared first, so that
     the word sets are shuffled for few pairs but the true ones."""
     pairs = written(pairs, "line-pairs")
     ends = pairs.select("doc", "part").union(pairs.select("o_doc", "o_part")).distinct()
@@ -174,9 +176,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
         differ <= F.col("n") + F.col("o_n") - 2 * _needed(F.col("n"), F.col("o_n"), similarity))
     close = written(close.select(*pairs.columns), "close-pairs")
     shared = F.size(F.array_intersect("set", "o_set"))
-    return written(attach(close, "set").filter(
-        shared >= F.lit(similarity) * (F.size("set") + F.size("o_set") - shared) - F.lit(1e-9))
-        .select("doc", "part", "o_doc", "o_part"), "line-links")
+    union = F.size("set") + F.size("o_set") - shared
+    return written(attach(close, "set").filter(shared >= F.lit(similarity) * union - F.lit(1e-9))
+                   .select("doc", "part", "o_doc", "o_part",
+                           (shared >= F.lit((1 + similarity) / 2) * union).alias("tight")), "line-links")
 
 
 def _classes(links: DataFrame) -> DataFrame:
@@ -190,10 +193,12 @@ def _classes(links: DataFrame) -> DataFrame:
         "doc", "part", F.col("f.doc").alias("c_doc"), F.col("f.part").alias("c_part")), "line-classes")
 
 
-def links(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST) -> DataFrame:
-    """(doc, part, o_doc, o_part) of prepared documents, with o before the line: verified links between
-    distinct lines. Every line with an earlier match has one, and two matching
-    lines are connected through links."""
+def links(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST) -> tuple[DataFrame, DataFrame]:
+    """(doc, part, o_doc, o_part, inside) and (doc, part, ball) of prepared
+    documents. The links between distinct lines, with o before the line, are the
+    verified ones in the first table that are not ``inside`` a ball, and all
+    pairs of lines of one ball. Two matching lines are connected through the
+    first table, and every line with an earlier match is in it."""
     listed = postings(docs, similarity)
     by_tok = Window.partitionBy("tok")
     lists = listed.withColumn("many", F.count("*").over(by_tok)).filter("many > 1")
@@ -217,30 +222,48 @@ def links(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int =
                              "o_doc", "o_part"), "line-meetings")
     near = _verified(docs, met.filter(~F.col("listed")).select("doc", "part", "o_doc", "o_part").distinct(), similarity)
     long_lists = met.filter("listed").select("tok", "doc", "part", "n", "rn", "bits")
-    classes = _classes(near).withColumnRenamed("doc", "l_doc").withColumnRenamed("part", "l_part")
-    matched = near.select(F.col("doc").alias("m_doc"), F.col("part").alias("m_part")).distinct()
-    # One number: the class in the high bits, and whether the line has a match.
-    state = classes.join(matched, (F.col("l_doc") == F.col("m_doc")) & (F.col("l_part") == F.col("m_part")), "left") \
-        .select("l_doc", "l_part", F.shiftleft(F.xxhash64("c_doc", "c_part"), 1).bitwiseOR(
-            F.col("m_doc").isNotNull().cast("bigint")).alias("state"))
-    state = written(state, "line-states")
-    known = long_lists.join(_small(state), (F.col("doc") == F.col("l_doc")) & (F.col("part") == F.col("l_part")), "left") \
+    # A line's ball is named by the earliest line that is tight to it.
+    balls = written(near.filter("tight").groupBy(F.col("doc").alias("l_doc"), F.col("part").alias("l_part")).agg(
+        F.min(F.struct("o_doc", "o_part")).alias("o")).select(
+        "l_doc", "l_part", F.xxhash64("o.o_doc", "o.o_part").alias("ball")), "line-balls")
+    known = long_lists.join(_small(balls), (F.col("doc") == F.col("l_doc")) & (F.col("part") == F.col("l_part")), "left") \
         .drop("l_doc", "l_part")
     # Both sides read the same columns, so that the lists are dealt out once.
     one, two = known.alias("one"), known.alias("two")
-    alike = F.shiftright("one.state", 1) == F.shiftright("two.state", 1)
-    settled = F.coalesce(alike & (F.col("one.state").bitwiseAND(1) == 1), F.lit(False))
+    inside = F.coalesce(F.col("one.ball") == F.col("two.ball"), F.lit(False))
     earlier = F.expr("two.doc < one.doc or (two.doc = one.doc and two.part < one.part)")
-    rest = (one.join(two, F.col("one.tok") == F.col("two.tok")).filter(earlier & ~settled)
+    rest = (one.join(two, F.col("one.tok") == F.col("two.tok")).filter(earlier & ~inside)
             .filter(_passes("one.", "two.", similarity))
             .select("one.doc", "one.part", F.col("two.doc").alias("o_doc"), F.col("two.part").alias("o_part")).distinct())
-    return near.unionByName(_verified(docs, rest, similarity))
+    pair = ["doc", "part", "o_doc", "o_part"]
+    mine = balls.withColumnsRenamed({"l_doc": "doc", "l_part": "part"})
+    other = balls.withColumnsRenamed({"l_doc": "o_doc", "l_part": "o_part", "ball": "o_ball"})
+    met = near.join(_small(mine), ["doc", "part"], "left").join(_small(other), ["o_doc", "o_part"], "left").select(
+        *pair, F.coalesce(F.col("ball") == F.col("o_ball"), F.lit(False)).alias("inside"))
+    # A pair met before may be met again in a long list.
+    found = met.unionByName(_verified(docs, rest, similarity).select(*pair, F.lit(False).alias("inside"))).distinct()
+    return found, mine
+
+
+def _places(balls: DataFrame) -> DataFrame:
+    """(doc, part, place): the number of earlier lines of a line's ball. Ranges of
+    the lines' order are numbered each by itself, so a large ball is no one task."""
+    parts = int(balls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(balls.repartitionByRange(parts, "ball", "doc", "part")
+                     .withColumn("range", F.spark_partition_id()), "ball-ranges")
+    per_range = ranged.groupBy("ball", "range").agg(F.count("*").alias("n"))
+    starts = written(per_range.select("ball", "range", (F.sum("n").over(
+        Window.partitionBy("ball").orderBy("range")) - F.col("n")).alias("start")), "ball-starts")
+    own = F.row_number().over(Window.partitionBy("ball", "range").orderBy("doc", "part"))
+    return ranged.withColumn("own", own).join(_small(starts), ["ball", "range"]).select(
+        "doc", "part", (F.col("start") + F.col("own") - 1).alias("place"))
 
 
 def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST) -> DataFrame:
     """One row per line with words: doc_id, line_no (from 0), class_doc_id and
     class_line_no (the first line that a chain of matches and equal lines
-    reaches), n_links (verified earlier matches found for the line's text) and
+    reaches), n_links (earlier matches of the line's text, equal texts counted
+    once) and
     ``removed``: whether an earlier line is equal or a match.
 
     Lines are ordered by doc_id (null last) and place. Null, empty and blank
@@ -248,9 +271,12 @@ def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list
     its lines, all but the first removed. Other columns are ignored.
     """
     docs = _prepared(docs)
-    found = written(links(docs, similarity, short_list), "all-line-links")
+    found, balls = links(docs, similarity, short_list)
+    found = written(found, "all-line-links")
     classes = _classes(found)
-    counts = found.groupBy("doc", "part").agg(F.count("*").alias("n_links"))
+    counts = found.filter(~F.col("inside")).groupBy("doc", "part").agg(F.count("*").alias("apart"))
+    counts = counts.join(_places(balls), ["doc", "part"], "full").select(
+        "doc", "part", (F.coalesce("apart", F.lit(0)) + F.coalesce("place", F.lit(0))).alias("n_links"))
     state = written(classes.join(counts, ["doc", "part"], "left").withColumnsRenamed(
         {"doc": "f_doc", "part": "f_part"}), "line-results")
     lines = _lines(docs).select("doc", "part", *_line_key(F.col("line")))
