@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -117,6 +118,19 @@ def test_secrets_against_brute_force(spark, odd, empty):
     assert secret_scan.find_secrets(odd).count() == len(ODD) and secret_scan.find_secrets(empty).count() == 0
 
 
+def test_letters_alone_can_be_secrets():
+    encode = secret_scan.encoding(secret_scan.read_vocabulary()).encode_ordinary
+    for run in ("qzxkvjwpqlmzxnvbq", "XKQJZVWPLMNBTRQSHG", "Xqzkvjwpqlmzxnvbq", "abcdqwfp-zxcvplmk-qjwhgnbt"):
+        assert secret_scan.random_spans(f"a {run} b", [], encode) == [(2, 2 + len(run), "random")], run
+    rng = random.Random(6)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        runs = ["".join(rng.choice(letters) for _ in range(rng.randrange(16, 33))) for _ in range(300)]
+        assert sum(bool(secret_scan.random_spans(r, [], encode)) for r in runs) >= 0.95 * len(runs)
+    for name in ("snake_case_identifier_names", "src/main/java/example/Handler", "MAX_RETRY_COUNT_2024", "use-the-key-for-the-job",
+                 "internationalization", "2024-01-31/10_20_30"):
+        assert secret_scan.random_spans(name, [], encode) == [], name
+
+
 def test_secret_query_digest(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
     got = {r["doc_id"]: r for r in queries.op3_secret_scan(spark, SMALL).collect()}

@@ -1,7 +1,8 @@
 """Secret scans: three fixed patterns, and a token-efficiency test that finds
 random strings. A byte-pair vocabulary learnt from ordinary text spends many
 tokens on a random string, so a run of secret-like characters with few
-characters per token is reported, unless it is a known digest or identifier."""
+characters per token is reported, unless it is a known digest or identifier or
+a name whose parts are words by the same test."""
 
 from __future__ import annotations
 
@@ -30,12 +31,14 @@ MIN_LENGTH = 16
 #: Characters per token at or below which a run counts as random.
 MAX_RATIO = 2.2
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
-#: Known digests (MD5, SHA-1, SHA-2 in hex) and identifiers: UUIDs, numbers and
-#: dates, names made of words and short numbers, paths of such names.
+#: Known digests (MD5, SHA-1, SHA-2 in hex) and identifiers: UUIDs, numbers and dates.
 KNOWN = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
                    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-                   r"|[0-9+/_=-]+"
-                   r"|[/_=+-]*(?:[A-Z]*[a-z]*|[A-Z]+)[0-9]{0,4}(?:[/_=+-]+(?:[A-Z]*[a-z]*|[A-Z]+)[0-9]{0,4})*)\Z")
+                   r"|[0-9+/_=-]+)\Z")
+#: The form of a name, or path of names, of letters and short numbers. Each run of
+#: its letters still has to be a word.
+NAME = re.compile(r"[/_=+-]*[A-Z]*[a-z]*[0-9]{0,4}(?:[/_=+-]+[A-Z]*[a-z]*[0-9]{0,4})*\Z")
+LETTERS = re.compile(r"[A-Za-z]+")
 _ENCODINGS: dict = {}
 
 
@@ -66,6 +69,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def made_of_words(run: str, encode, max_ratio: float = MAX_RATIO) -> bool:
+    """Whether a run is a name all of whose parts have more characters per token."""
+    return bool(NAME.match(run)) and all(len(w) > max_ratio * len(encode(w)) for w in LETTERS.findall(run))
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]], encode, max_ratio: float = MAX_RATIO,
                  ) -> list[tuple[int, int, str]]:
     """Runs with few characters per token that touch no span of ``taken``."""
@@ -74,7 +82,7 @@ def random_spans(text: str, taken: list[tuple[int, int, str]], encode, max_ratio
         run, (a, b) = m.group(), m.span()
         if KNOWN.match(run) or any(s < b and a < e for s, e, _ in taken):
             continue
-        if len(run) <= max_ratio * len(encode(run)):
+        if len(run) <= max_ratio * len(encode(run)) and not made_of_words(run, encode, max_ratio):
             found.append((a, b, "random"))
     return found
 
