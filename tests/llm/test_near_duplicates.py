@@ -218,6 +218,23 @@ def test_leaks_against_brute_force(spark, odd, empty):
     assert decontaminate.remove_leaks(docs_df, items_df.limit(0)).count() == len(docs)
 
 
+def test_leaks_of_null_and_repeated_item_ids(spark):
+    words = [f"w{i}" for i in range(120)]
+    one, two, three = " ".join(words[:30]), " ".join(words[40:70]), " ".join(words[:45])
+    items = [(None, " ".join(words[80:110])), (1, one), (1, two), (2, one), (2, three)]
+    docs = [(1, "x " + one), (2, "x " + two + " y"), (3, " ".join(words[78:112])), (4, "a b " + three),
+            (5, " ".join(words[:20] + words[40:50]))]
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string")
+    items_df = spark.createDataFrame(items, "item_id long, text string")
+    best = {}
+    for d, i, *r in brute_leaks(docs, items):
+        best[d, i] = max(best.get((d, i), (0,)), (r[0], -r[1], r[2]))
+    got = {(r["doc_id"], r["item_id"]): (round(r["similarity"], 9), -r["window_start"], r["window_words"])
+           for r in decontaminate.leaks(docs_df, items_df).collect()}
+    assert got == best and set(got) >= {(1, 1), (1, 2), (2, 1), (3, None), (4, 1), (4, 2)} and got[4, 2][0] == 1
+    assert [r["doc_id"] for r in decontaminate.remove_leaks(docs_df, items_df).collect()] == [5]
+
+
 def test_blocks_guarantee_the_radius(spark):
     rng = random.Random(1)
     pairs = []

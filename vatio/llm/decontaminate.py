@@ -79,9 +79,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMIL
     ``window_start`` counts words from 0; the earliest of equally similar
     windows. A document shorter than an item is one window. Null and wordless
     texts and items match nothing. Rows equal in every column give one row.
+    Each text of an item_id is compared by itself, and the best one counts; a
+    null item_id is an id like any other.
     """
     spark = docs.sparkSession
     items = written(benchmark.select("item_id", words(F.col("text")).alias("ws")).distinct()
+                    .withColumn("item", F.xxhash64(F.col("item_id").isNull(), "item_id", "ws"))
                     .withColumn("n", F.size("ws")).filter("n > 0")
                     .withColumn("width", F.least("n", F.lit(SHINGLE_WORDS))), "items")
     widths = [r[0] for r in items.select("width").distinct().collect()]  # five values at most
@@ -90,13 +93,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMIL
     if not widths:
         return spark.createDataFrame([], spec)
     by_width = [items.filter(F.col("width") == k).select(
-        "item_id", "n", "width", F.posexplode(_shingles("ws", k)).alias("at", "h")) for k in widths]
+        "item", "n", "width", F.posexplode(_shingles("ws", k)).alias("at", "h")) for k in widths]
     shingles = by_width[0]
     for more in by_width[1:]:
         shingles = shingles.unionByName(more)
-    counts = written(shingles.groupBy("item_id", "n", "width", "h").agg(F.count("*").alias("w")), "item-shingles")
+    counts = written(shingles.groupBy("item", "n", "width", "h").agg(F.count("*").alias("w")), "item-shingles")
     n_rows = counts.count()
-    index = _small(counts.select("item_id", "n", "width", "h"), n_rows)
+    index = _small(counts.select("item", "n", "width", "h"), n_rows)
 
     keyed = docs.select(row_key(docs).alias("doc_key1"), row_key(docs, 1).alias("doc_key2"),
                         words(F.col(text)).alias("ws")).withColumn("m", F.size("ws"))
@@ -105,14 +108,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMIL
     rows = placed[0]
     for more in placed[1:]:
         rows = rows.unionByName(more)
-    hits = rows.join(index, ["h", "width"]).select("doc_key1", "doc_key2", "m", "item_id", "n", "width", "p").distinct()
+    hits = rows.join(index, ["h", "width"]).select("doc_key1", "doc_key2", "m", "item", "n", "width", "p").distinct()
     # Windows that hold a shared position, by item; those with enough of them stay.
     size = F.least("n", "m") - F.col("width") + 1
     starts = F.sequence(F.greatest(F.lit(0), F.col("p") - size + 1),
                         F.least(F.col("p"), F.greatest(F.lit(0), F.col("m") - F.col("n"))))
     near = (hits.filter(F.col("p") - size + 1 <= F.greatest(F.lit(0), F.col("m") - F.col("n")))
             .withColumn("s", F.explode(starts))
-            .groupBy("doc_key1", "doc_key2", "m", "item_id", "n", "width", "s").agg(F.count("*").alias("shared"))
+            .groupBy("doc_key1", "doc_key2", "m", "item", "n", "width", "s").agg(F.count("*").alias("shared"))
             .filter(F.col("shared") >= _needed(size, F.col("n") - F.col("width") + 1, similarity)))
     windows = written(near.select("doc_key1", "doc_key2", "n", "width", "s").distinct(), "windows")
 
@@ -133,21 +136,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMIL
     prints = weighed.withColumn("h", F.explode(F.array_repeat("h", F.col("w").cast("int")))) \
         .groupBy(*key).agg(_fingerprint(F.col("h")).alias("fp"), F.count("*").alias("size"))
     item_prints = counts.withColumn("h", F.explode(F.array_repeat("h", F.col("w").cast("int")))) \
-        .groupBy("item_id", "n", "width").agg(_fingerprint(F.col("h")).alias("item_fp"), F.count("*").alias("item_size"))
+        .groupBy("item", "n", "width").agg(_fingerprint(F.col("h")).alias("item_fp"), F.count("*").alias("item_size"))
     blocks = item_prints.withColumn("block", _blocks("item_fp", radius)).select(
-        "item_id", "n", "width", "item_fp", "item_size", "block.no", "block.value")
+        "item", "n", "width", "item_fp", "item_size", "block.no", "block.value")
     blocks = _small(written(blocks, "item-blocks"), n_rows * (radius + 1))
     candidates = (prints.withColumn("block", _blocks("fp", radius))
                   .select(*key, "fp", "size", "block.no", "block.value")
                   .join(blocks, ["n", "width", "no", "value"])
                   .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-                  .select(*key, "item_id", "size", "item_size").distinct())
+                  .select(*key, "item", "size", "item_size").distinct())
     shared = (candidates.join(weighed, key)
-              .join(_small(counts.select("item_id", "h", F.col("w").alias("item_w")), n_rows), ["item_id", "h"])
-              .groupBy(*key, "item_id", "size", "item_size").agg(F.sum(F.least("w", "item_w")).alias("both")))
+              .join(_small(counts.select("item", "h", F.col("w").alias("item_w")), n_rows), ["item", "h"])
+              .groupBy(*key, "item", "size", "item_size").agg(F.sum(F.least("w", "item_w")).alias("both")))
     scored = shared.withColumn("similarity", F.col("both") / (F.col("size") + F.col("item_size") - F.col("both"))) \
         .filter(F.col("similarity") >= similarity)
-    best = scored.groupBy("doc_key1", "doc_key2", "item_id").agg(
+    ids = items.select("item", "item_id")
+    best = scored.join(_small(ids, n_rows), "item").groupBy("doc_key1", "doc_key2", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("s")).alias("s"), (F.col("size") + F.col("width") - 1).alias("words"))).alias("b"))
     return best.select("doc_key1", "doc_key2", "item_id", "b.similarity", (-F.col("b.s")).alias("window_start"),
                        F.col("b.words").cast("int").alias("window_words"))
