@@ -87,6 +87,25 @@ def test_held_out_accuracy(spark, module, label, least):
         assert (module.fit(docs, flipped).weights == model.weights).all()
 
 
+def test_fit_rows_are_bounded_where_ids_repeat(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join(rng.choice(["one", "two", "three", "four!", "FIVE", "6"]) for _ in range(20))
+    rows = [(i, text()) for i in range(1, 80)]
+    hot = next(i for i in range(1, 80) if zlib.crc32(str(i).encode()) % 5)
+    marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 80)], "doc_id long, quality int, toxic int")
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string")
+    plain = quality_classifier.training_rows(frame(rows), marks, "quality")
+    copies = quality_classifier.training_rows(frame(rows + [rows[hot - 1]] * 300), marks, "quality")
+    seen = lambda df: sorted(tuple(r) for r in df.collect())
+    assert seen(copies) == seen(plain) and plain.count() == sum(bool(zlib.crc32(str(i).encode()) % 5) for i in range(1, 80))
+    many = frame(rows + [(hot, text()) for _ in range(600)])
+    got = Counter(r["doc_id"] for r in quality_classifier.training_rows(many, marks, "quality", 100).collect())
+    assert set(got) == {r["doc_id"] for r in plain.collect()} and 80 <= sum(got.values()) <= 130 and got[hot] > 10
+    texts = [(i, -i, 10) for i in range(50)] + [(99, 5, 1000)]
+    out = toxicity.beyond_bytes(texts, 205)
+    assert len(out) == 31 and (99, 5) in out and toxicity.beyond_bytes(texts, 1500) == []
+
+
 def test_classifiers_on_odd_rows(spark, odd, empty, labels):
     got = quality_classifier.classify(odd, labels).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in ODD)

@@ -6,7 +6,7 @@ function; a text is read once, where it lies."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +21,8 @@ STATISTICS = (
     "stutters", "symbols", "marks", "exclamations", "bars", "capitals", "digits", "lines", "line_words",
     "duplicate_lines", "entropy", "top_word")
 #: Labelled documents in the fit (as expected; the count varies by its root): those whose id
-#: hashes under a share of the range. The bound keeps the training table small at any size.
+#: hashes under a share of the range, and of those with many texts a like share of these.
+#: The bound keeps the training table small at any size.
 FIT_ROWS = 40_000
 FEATURES = 400
 RIDGE = 1e-2
@@ -117,33 +118,64 @@ def isotonic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nda
     return xs, ys
 
 
+def _level(sizes: list[tuple[int, int]], rows: int) -> int | None:
+    """The most texts an id may give (at least one) so that all give up to ``rows``;
+    None if they do as they are. ``sizes``: (texts, ids that have so many)."""
+    if sum(n * ids for n, ids in sizes) <= rows:
+        return None
+    low, high = 1, max(n for n, _ in sizes)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(min(n, middle) * ids for n, ids in sizes) <= rows else (low, middle - 1)
+    return low
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS,
-                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, label) of about ``rows`` labelled documents that are not held
-    out, chosen by a hash of their id; all where there are no more. Null labels
-    and ids are left out; an id labelled twice alike counts once."""
+                  doc_id: str = "doc_id", text: str = "text",
+                  made: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """(doc_id, key, label, bytes, made) of about ``rows`` texts of labelled documents
+    that are not held out, chosen by a hash of their id; all where there are no
+    more. Null labels and ids are left out; an id labelled twice alike counts
+    once, and so does a text that an id has several times. Where ids with many
+    texts go beyond ``rows``, these give a like number each, chosen by hash.
+    ``made`` is worked out from the text, ``key`` and ``bytes`` are its hash and
+    length."""
     marks = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("double").alias("label")) \
         .filter("__id is not null and label is not null").filter(~held_out(F.col("__id")))
     marks = written(marks.distinct(), "labels")
     part = min(1.0, rows / max(1, marks.count()))
     chosen = marks.filter(F.pmod(F.xxhash64("__id", F.lit(SEED)), F.lit(1 << 20)) < int(part * (1 << 20)))
     # Bounded by ``rows``, so it is sent to the texts and no text is shuffled.
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
+        F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
+        "doc_id", "text", "label", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    distinct = written(found.select("doc_id", "label", "key").distinct(), "label-texts")
+    sizes = distinct.groupBy("doc_id").agg(F.count("*").alias("n"))
+    level = _level([tuple(r) for r in sizes.groupBy("n").count().collect()], rows)
+    if level is not None:
+        # One row per chosen id with more texts: bounded as ``chosen``.
+        many = sizes.filter(F.col("n") > level).withColumnRenamed("doc_id", "__id")
+        share = F.pmod(F.xxhash64("doc_id", "key", F.lit(SEED)), F.lit(1 << 40)) < F.lit(level * 2.0 ** 40) / F.col("n")
+        found = found.join(F.broadcast(many), F.col("doc_id") == F.col("__id"), "left").filter(
+            F.col("n").isNull() | share)
+    return found.select("doc_id", "key", "label", F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"),
+                        made(F.col("text")).alias("made")) \
+        .groupBy("doc_id", "key", "label").agg(F.first("bytes").alias("bytes"), F.first("made").alias("made"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS,
         n_features: int = FEATURES, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold.
+    """Fit on about ``rows`` texts of labelled documents outside the held-out fold.
 
     Ridge weights are fitted to all of them; the calibration is fitted to values
     that each part of them (by hash of the id) gets from weights fitted without
     it. Without any labelled row the model scores 0.5 throughout.
     """
     ship(docs)
-    train = written(training_rows(docs, labels, label, rows, doc_id, text).select(
+    train = written(training_rows(docs, labels, label, rows, doc_id, text, statistics).select(
         F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(CALIBRATION_FOLDS)).cast("int").alias("fold"),
-        statistics(F.col("text")).alias("stats"), "label").repartition(CALIBRATION_FOLDS, "fold"), "fit-statistics")
+        F.col("made").alias("stats"), "label", "doc_id", "key").repartition(CALIBRATION_FOLDS, "fold")
+        .sortWithinPartitions("doc_id", "key", "label").drop("doc_id", "key"), "fit-statistics")
     p, size = len(STATISTICS), n_features + 1
     moments = train.agg(F.array(*[F.avg(F.col("stats")[i]) for i in range(p)]),
                         F.array(*[F.stddev_pop(F.col("stats")[i]) for i in range(p)])).first()

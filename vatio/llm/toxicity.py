@@ -14,17 +14,20 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, written
 from .quality_classifier import training_rows
 
 #: Labelled documents in the fit (as expected), half of them toxic where there are as many.
 FIT_ROWS = 2_400
+#: Bytes of their texts at most, half for each label: the fit runs on the driver.
+FIT_BYTES = 64 << 20
 #: A form marks toxic words if it is in so many toxic documents, in such a share of them, and
 #: in others at most MAX_CLEAN_SHARE as often.
 MIN_TOXIC, MIN_TOXIC_SHARE, MAX_CLEAN_SHARE = 4, 0.015, 0.05
@@ -242,17 +245,34 @@ def spans_of(text: str, odds: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans]
 
 
+def beyond_bytes(texts: list[tuple[int, int, int]], limit: int) -> list[tuple[int, int]]:
+    """(doc_id, key) of the texts (doc_id, key, bytes) that do not fit into ``limit``
+    bytes, taken in the order of a hash."""
+    out, total = [], 0
+    for doc, key, size in sorted(texts, key=lambda t: (crc32(f"{t[0]}:{t[1]}".encode()), t)):
+        if total + size > limit:
+            out.append((doc, key))
+        else:
+            total += size
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS,
         doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Fit on about ``rows`` labelled documents outside the held-out fold, toxic
+    """Fit on about ``rows`` texts (FIT_BYTES at most) of labelled documents outside the held-out fold, toxic
     and other ones alike in number where there are enough. Without toxic rows
     every score is that of a clean text."""
     ship(docs)
     parts = []
     for value in (0, 1):
         mine = labels.filter(F.col(label) == value)
-        parts += training_rows(docs, mine, label, rows // 2, doc_id, text).select(
-            "doc_id", "text", "label").collect()
+        some = written(training_rows(docs, mine, label, rows // 2, doc_id, text), "fit-texts")
+        # About rows // 2 hashes and lengths; the texts that come to the driver are bounded by their bytes too.
+        order = some.select("doc_id", "key", "bytes").collect()
+        if out := beyond_bytes([tuple(r) for r in order], FIT_BYTES // 2):
+            beyond = docs.sparkSession.createDataFrame(out, some.select("doc_id", "key").schema)
+            some = some.join(F.broadcast(beyond), ["doc_id", "key"], "left_anti")
+        parts += some.select("doc_id", F.col("made").alias("text"), "label").collect()
     parts.sort(key=lambda r: (r["doc_id"], r["label"], r["text"] or ""))
     texts = [r["text"] or "" for r in parts]
     marks = [int(r["label"]) for r in parts]
