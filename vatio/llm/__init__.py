@@ -1,3 +1,4 @@
 """Operators of a training-data pipeline: token counts, decontamination, secret
-scans, source mixing, toxicity, sharding, quality, line and document near
-duplicates, outlier rules. Nothing outside this folder imports it."""
+scans, source mixing, toxicity, sharding, quality, line, document and embedding
+near duplicates, outlier rules, lexical search, spelling variants. Nothing outside
+this folder imports it."""

@@ -87,4 +87,33 @@ SELECT doc_id, item_id, similarity, CAST(s AS INTEGER) AS window_start, window_w
 FROM best JOIN named USING (d) WHERE r = 1
 """
 
-ORACLE = {"op2_decontaminate": OP2, "op4_mix_sources": OP4, "op6_rendezvous_shards": OP6}
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+size AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM docs),
+items AS (SELECT DISTINCT item_id, text FROM benchmark),
+asked AS (
+  SELECT k, item_id, term, count(*) AS times FROM (
+    SELECT k, item_id, unnest(ts) AS term FROM (
+      SELECT row_number() OVER () AS k, item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM items)) GROUP BY ALL),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM docs)
+       WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, size GROUP BY term, n_docs),
+scores AS (
+  SELECT k, item_id, doc_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS score
+  FROM (SELECT r, doc_id, 25 + (75 * len(ts) * n_docs) // n_terms AS m FROM docs, size WHERE len(ts) > 0)
+  JOIN tf USING (r) JOIN w USING (term) JOIN asked USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE = {"op2_decontaminate": OP2, "op4_mix_sources": OP4, "op6_rendezvous_shards": OP6,
+          "op11_lexical_search": OP11}

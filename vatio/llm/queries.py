@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, line_dedup, mixing, quality_classifier, quality_rules, secret_scan,
-               sharding, simhash_dedup, token_counts, toxicity)
+from . import (decontaminate, embedding_dedup, lexical_search, line_dedup, mixing, quality_classifier,
+               quality_rules, secret_scan, sharding, simhash_dedup, spelling, token_counts, toxicity)
 from .common import held_out, read
 from .oracle import ORACLE  # noqa: F401 - part of the interface
 
@@ -100,3 +100,20 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
+@_query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling.group_variants(words)
