@@ -12,7 +12,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from vatio.session import get_session
-    s = get_session("local[4]", app="vatio-tests", shuffle_partitions=8)
+    s = get_session(os.environ.get("TEST_MASTER", "local[4]"), app="vatio-tests", shuffle_partitions=8)
     yield s
 
 

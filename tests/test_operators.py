@@ -86,13 +86,6 @@ def test_both_ways_of_a_dimension_join(spark, models, monkeypatch):
     assert other.count() == broadcast.count() and other.exceptAll(broadcast).isEmpty()
 
 
-def test_models_in_a_named_schema(spark):
-    from vatio.sources.catalog import register_views
-    register_views({"days": spark.range(3)}, schema="marts_test")
-    assert spark.table("marts_test.days").count() == 3
-    spark.sql("DROP SCHEMA marts_test CASCADE")
-
-
 def test_run_clock_defaults_to_now(spark):
     from types import SimpleNamespace
 

@@ -2,22 +2,32 @@
 
   python -m vatio.cli load      --landing ROOT --table generacion_real --date 2026-05-19 --raw RAW
   python -m vatio.cli stream    --landing ROOT --table generacion_real --raw RAW --checkpoint CK
-  python -m vatio.cli run       --raw RAW --out OUT [--start S --end E]   (or --testdata SF_DIR)
+  python -m vatio.cli run       --raw RAW --out OUT [--start S --end E] [--schema NAME]   (or --testdata SF_DIR)
   python -m vatio.cli test      --models OUT
   python -m vatio.cli files     --landing ROOT --source cen --date 2026-05-19
   python -m vatio.cli count     --raw RAW --table generacion_real --date 2026-05-19
   python -m vatio.cli metrics   --models OUT --metric generacion_sistema_total --grain month [--by ...]
+
+``run`` and ``test`` end with status 1 if a data test fails (a warning is no failure).
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import UTC, datetime
 
 from .session import get_session
 
 
-def main(argv=None) -> None:
+def _verdict(results) -> int:
+    """Exit status of a set of test results: 1 if one of them failed."""
+    counts = {r["status"]: r["count"] for r in results.groupBy("status").count().collect()}
+    print(", ".join(f"{s}: {counts[s]}" for s in sorted(counts)))
+    return int(counts.get("fail", 0) > 0)
+
+
+def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="vatio")
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("load")
@@ -36,6 +46,7 @@ def main(argv=None) -> None:
     a.add_argument("--out", required=True)
     a.add_argument("--start")
     a.add_argument("--end")
+    a.add_argument("--schema", help="register the written tables under this schema of the catalog")
     a = sub.add_parser("test")
     a.add_argument("--models", required=True)
     a = sub.add_parser("files")
@@ -72,14 +83,15 @@ def main(argv=None) -> None:
             from .sources.stored import StoredRawTables
             now = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
             raw = StoredRawTables(spark, args.raw, args.start, args.end, as_of=now)
-        res = run_pipeline(spark, raw, args.out)
-        res.groupBy("status").count().orderBy("status").show()
+        return _verdict(run_pipeline(spark, raw, args.out, schema=args.schema))
     elif args.cmd == "test":
         from .operators.quality import run_checks
         from .plans.pipeline import MODEL_ORDER
         from .plans.tests_declared import CHECKS
         tables = {n: spark.read.parquet(f"{args.models.rstrip('/')}/{n}") for n in MODEL_ORDER}
-        run_checks(tables, CHECKS).orderBy("test_id").show(100, truncate=False)
+        results = run_checks(tables, CHECKS).persist()    # one row for each declared test
+        results.orderBy("test_id").show(100, truncate=False)
+        return _verdict(results)
     elif args.cmd == "files":
         from .sources.landing import inventory
         inventory(spark, args.landing, args.source, args.date).show(truncate=False)
@@ -95,7 +107,8 @@ def main(argv=None) -> None:
             models.add("plants_geo")
         tables = {n: spark.read.parquet(f"{args.models.rstrip('/')}/{n}") for n in models}
         query_metrics(tables, args.metric, args.by, args.grain).show(100, truncate=False)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

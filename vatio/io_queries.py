@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .registry import register
+from .schemas import GENERATION
 from .session import scratch_path
-from .sources import catalog, era5, landing, testdata
+from .sources import catalog, era5, landing, testdata, testdata_files
+from .sources.testdata_files import IDS_PER_PAGE
 from .streaming import stream_landing
 
 GEN_COLS = ["id_opreal", "id_central", "gen_real_mw", "fecha_hora", "hora", "potencia_maxima",
@@ -35,21 +37,10 @@ def landing_roundtrip(spark, sf):
     return table.select(*GEN_COLS)
 
 
-IDS_PER_PAGE = 40_000  # a page holds the rows of so many operation ids: bounded, no global position
-
-
-def _paged(spark, sf):
-    """Page envelopes of the raw rows, one per range of ids, written and read again."""
-    raw = _raw(spark, sf).select(*GEN_COLS)
-    path = scratch_path(spark, "pages")
-    total = raw.agg(F.count("*").alias("totalCount")).withColumn("one", F.lit(1))
-    pages = raw.groupBy((F.floor(F.col("id_opreal") / IDS_PER_PAGE) + 1).alias("page")).agg(
-        F.collect_list(F.struct(*GEN_COLS)).alias("data")).withColumn("one", F.lit(1))
-    envelopes = pages.join(F.broadcast(total), "one").drop("one")  # one row
-    envelopes.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
-    from .schemas import GENERATION  # noqa: PLC0415
+def _pages(spark, sf):
+    """Page envelopes of the raw rows, read as pages."""
     schema = GENERATION.__class__([f for f in GENERATION.fields if f.name in GEN_COLS])
-    return landing.read_pages(spark, path, schema)
+    return landing.read_pages(spark, testdata_files.write_pages(_raw(spark, sf).select(*GEN_COLS)), schema)
 
 
 @register("pages_explode", O.sql(f"""
@@ -58,7 +49,7 @@ SELECT CAST(id_opreal // {IDS_PER_PAGE} + 1 AS BIGINT) AS page, count(*) OVER ()
 FROM raw_generacion""", ["raw_generacion"]))
 def pages_explode(spark, sf):
     """Raw rows -> page envelopes -> rows again, with page facts."""
-    p = _paged(spark, sf)
+    p = _pages(spark, sf)
     return p.select("page", "declared_total", F.col("page_rows").cast("bigint").alias("page_rows"),
                     *[F.col(f"row.{c}").alias(c) for c in GEN_COLS])
 
@@ -70,7 +61,7 @@ SELECT count(*) AS pages, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) AS BIGINT)
          AND coalesce(min(page) FILTER (n < {PAGE_SIZE}), max(page)) = max(page) AS complete
 FROM (SELECT id_opreal // {IDS_PER_PAGE} AS page, count(*) AS n FROM raw_generacion GROUP BY 1) p""", ["raw_generacion"]))
 def pages_audit(spark, sf):
-    return landing.audit_pages(_paged(spark, sf), PAGE_SIZE)
+    return landing.audit_pages(_pages(spark, sf), PAGE_SIZE)
 
 
 @register("era5_zip", O.sql("""
@@ -82,7 +73,7 @@ def era5_zip(spark, sf):
     """ERA5 rows -> one ZIP+CSV per grid point and year -> typed rows again."""
     raw = testdata.raw_tables(spark, sf).era5_solar
     root = scratch_path(spark, "era5")
-    era5.write_archives(raw, root, "solar").count()
+    testdata_files.write_archives(raw, root, "solar").count()
     return era5.read_archives(spark, f"{root}/*.zip", "solar")
 
 

@@ -54,8 +54,12 @@ DIMENSIONS: dict[str, tuple[str, ...]] = {
     "system_summary": ("top_tecnologia",),
 }
 
+#: From fine to coarse; a week may cross months, so it is a grain of its own between day and month.
 GRAINS = ("hour", "day", "week", "month", "quarter", "year")
 
+# The declared granularity of each model's time dimension.
+MODEL_GRAIN = {"fact_hourly": "hour", "daily_by_technology": "day", "system_summary": "day"}
+
 # Entity "central": models keyed by id_central can be grouped by attributes of
 # the plant dimension, written as central__<attribute>.
 ENTITY_PREFIX = "central__"
@@ -111,7 +115,9 @@ def query_metrics(tables: Mapping[str, DataFrame], metrics: Sequence[str],
             df = df.filter(where)
         if grain:
             if grain not in GRAINS:
-                raise ValueError(grain)
+                raise ValueError(f"{grain} is not one of {', '.join(GRAINS)}")
+            if GRAINS.index(grain) < GRAINS.index(MODEL_GRAIN[model]):
+                raise ValueError(f"{model} has a row per {MODEL_GRAIN[model]}: {grain} is finer")
             df = df.withColumn("metric_time", time_key(F.col(ms[0].time_dimension), grain))
         aggs = [_agg(m).alias(m.name) for m in ms]
         frames.append(df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs))

@@ -1,7 +1,8 @@
 """Data-quality checks (K1-K9): one result row per declared test.
 
 The row-level checks of a model (not_null, accepted_range, bounding box) are
-conditional counts of one ungrouped aggregate; each key that checks group by
+conditional counts: observed by the tasks that write the model (``RowChecks``),
+or of one ungrouped aggregate over a table that is there already; each key that checks group by
 (unique, accepted values, unique combination) is counted by itself, so no row
 is expanded; relationships anti-join the counted keys. Failure counts follow
 the usual data-test conventions:
@@ -25,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -84,6 +85,26 @@ def _result_rows(checks: Sequence[Check], counts: DataFrame) -> DataFrame:
     return counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
+class RowChecks:
+    """Row-level checks of one model, counted while it is written: no second scan.
+    The others among ``checks`` are left to ``run_checks``."""
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = [c for c in checks if c.kind in ROW_KINDS]
+        self.observation = Observation() if self.checks else None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """Put directly before the write, in its last stage: a stage before a range
+        shuffle runs once more for the sample, and would count twice."""
+        if self.observation is None:
+            return df
+        return df.observe(self.observation, *[_row_failure(df, c).alias(f"f{c.id}") for c in self.checks])
+
+    def failures(self) -> dict[int, int]:
+        """Failures by test id, after the write."""
+        return {c.id: int(self.observation.get[f"f{c.id}"]) for c in self.checks}
+
+
 def _key_of(c: Check) -> tuple[str, ...]:
     return tuple(c.args["columns"]) if c.kind == "unique_combination" else (c.column,)
 
@@ -116,12 +137,19 @@ def _model_failures(df: DataFrame, cs: Sequence[Check]) -> list[DataFrame]:
     return out
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Run ``checks`` against ``tables`` (model name -> DataFrame)."""
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check],
+               counted: Mapping[int, int] | None = None) -> DataFrame:
+    """Run ``checks`` against ``tables`` (model name -> DataFrame). ``counted`` has
+    failures by test id that are known already: their tables are not read again."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    counted = {c.id: counted[c.id] for c in checks if c.id in counted} if counted else {}
+    if counted:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(list(counted.items()), "test_id bigint, failures bigint"))
     for c in checks:
-        by_model.setdefault(c.model, []).append(c)
+        if c.id not in counted:
+            by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
         df = tables[model]
         local = [c for c in cs if c.kind != "relationships"]

@@ -81,49 +81,63 @@ def daily_by_technology(enriched: DataFrame) -> DataFrame:
     )
 
 
-def daily_by_plant(enriched: DataFrame) -> DataFrame:
-    """Day x plant. Descriptive columns that may vary inside a day take
-    the minimum (a repeatable choice for 'any value')."""
+def plant_days(enriched: DataFrame) -> DataFrame:
+    """Mergeable partials of normal plants, one row per day and plant.
+
+    The daily plant mart and the lifetime figures are both made from these rows
+    (sums, counts and extremes combine); stored by day, a run over a window
+    replaces its days and the lifetime figures read no hourly row again.
+
+    Text cannot be the buffer of a hash aggregate, so the hours are grouped by
+    the row's technology as well, and its least value is taken from the few
+    rows that remain of a day and plant.
+    """
     gen = F.col("generacion_real_mw")
-    agg = _normal(enriched).groupBy("fecha", "id_central").agg(
-        *[F.min(c).alias(c) for c in ("nombre_central", "tipo_tecnologia", "clasificacion_fuente",
-                                      "region", "comuna", "latitude", "longitude")],
-        F.sum(gen).alias("generacion_total_mwh"),
-        round_half_away(F.avg(gen), 2).alias("generacion_promedio_mw"),
-        F.max(gen).alias("generacion_maxima_mw"),
-        F.min(gen).alias("generacion_minima_mw"),
-        F.max("potencia_maxima_mw").alias("potencia_maxima_mw"),
-        F.count_if(gen > 0).alias("horas_operacion"),
-        F.count(F.lit(1)).alias("horas_con_datos"))
-    return agg.select(
+    per_tech = _normal(enriched).groupBy("fecha", "id_central", "tipo_tecnologia").agg(
+        F.sum(gen).alias("mwh"), F.count(gen).alias("n"), F.max(gen).alias("mx"), F.min(gen).alias("mn"),
+        F.max("potencia_maxima_mw").alias("rated"), F.count_if(gen > 0).alias("running"),
+        F.count(F.lit(1)).alias("hours"))
+    return per_tech.groupBy("fecha", "id_central").agg(
+        F.min("tipo_tecnologia").alias("tipo_tecnologia"), F.sum("mwh").alias("mwh"), F.sum("n").alias("n"),
+        F.max("mx").alias("mx"), F.min("mn").alias("mn"), F.max("rated").alias("rated"),
+        F.sum("running").alias("running"), F.sum("hours").alias("hours"))
+
+
+def _plant_attributes(plants: DataFrame, *more) -> DataFrame:
+    """What a plant's id determines: one row per plant."""
+    return plants.select("id_central", "nombre_central",
+                         classify_source("tipo_tecnologia").alias("clasificacion_fuente"),
+                         "region", "comuna", "latitude", "longitude", *more)
+
+
+def daily_by_plant(days: DataFrame, plants: DataFrame, plants_small: bool | None = None) -> DataFrame:
+    """Day x plant, from ``plant_days``. The plant's attributes depend on its
+    id alone and are looked up after the aggregate; the technology is the rows'
+    own and may vary inside a day: its minimum (a repeatable 'any value')."""
+    joined = join_dimension(days, _plant_attributes(plants), "id_central", small=plants_small)
+    return joined.select(
         "fecha", "id_central", "nombre_central", "tipo_tecnologia", "clasificacion_fuente",
-        "region", "comuna", "latitude", "longitude", "generacion_total_mwh",
-        "generacion_promedio_mw", "generacion_maxima_mw", "generacion_minima_mw",
-        "potencia_maxima_mw",
-        _daily_factor(F.col("generacion_total_mwh"), F.col("potencia_maxima_mw")).alias("factor_planta"),
-        "horas_operacion", "horas_con_datos")
+        "region", "comuna", "latitude", "longitude", F.col("mwh").alias("generacion_total_mwh"),
+        round_half_away(safe_divide("mwh", "n"), 2).alias("generacion_promedio_mw"),
+        F.col("mx").alias("generacion_maxima_mw"), F.col("mn").alias("generacion_minima_mw"),
+        F.col("rated").alias("potencia_maxima_mw"),
+        _daily_factor(F.col("mwh"), F.col("rated")).alias("factor_planta"),
+        F.col("running").alias("horas_operacion"), F.col("hours").alias("horas_con_datos"))
 
 
-def plant_efficiency(enriched: DataFrame, plants: DataFrame, plants_small: bool | None = None) -> DataFrame:
-    """Lifetime KPIs per normal plant (daily -> daily factor -> all-time)."""
-    gen = F.col("generacion_real_mw")
-    daily = _normal(enriched).groupBy("id_central", "fecha").agg(
-        F.sum(gen).alias("d_gen"), F.max("potencia_maxima_mw").alias("d_pot"),
-        F.count_if(gen > 0).alias("d_op"), F.count(F.lit(1)).alias("d_rows"))
-    daily = daily.withColumn("d_factor", safe_divide("d_gen", F.col("d_pot") * F.lit(HOURS_PER_DAY)))
+def plant_efficiency(days: DataFrame, plants: DataFrame, plants_small: bool | None = None) -> DataFrame:
+    """Lifetime KPIs per normal plant, from ``plant_days`` (daily -> daily factor -> all-time)."""
+    daily = days.withColumn("d_factor", safe_divide("mwh", F.col("rated") * F.lit(HOURS_PER_DAY)))
     per_plant = daily.groupBy("id_central").agg(
         F.count("fecha").alias("dias_con_datos"),
-        F.sum("d_gen").alias("generacion_total_mwh"),
-        round_half_away(F.avg("d_gen"), 2).alias("generacion_promedio_diaria_mwh"),
-        F.max("d_pot").alias("potencia_maxima_mw"),
+        F.sum("mwh").alias("generacion_total_mwh"),
+        round_half_away(F.avg("mwh"), 2).alias("generacion_promedio_diaria_mwh"),
+        F.max("rated").alias("potencia_maxima_mw"),
         round_half_away(F.avg("d_factor"), 4).alias("factor_planta_promedio"),
         round_half_away(F.max("d_factor"), 4).alias("factor_planta_mejor_dia"),
-        F.sum("d_op").alias("horas_operacion_totales"),
-        F.sum("d_rows").alias("horas_con_datos_totales"))
-    info = _normal(plants).select(
-        "id_central", "nombre_central", "tipo_tecnologia",
-        classify_source("tipo_tecnologia").alias("clasificacion_fuente"),
-        "region", "comuna", "latitude", "longitude", "geo_point")
+        F.sum("running").alias("horas_operacion_totales"),
+        F.sum("hours").alias("horas_con_datos_totales"))
+    info = _plant_attributes(_normal(plants), F.col("tipo_tecnologia"), F.col("geo_point"))
     joined = join_dimension(per_plant, info, "id_central", small=plants_small)
     return joined.select(
         "id_central", "nombre_central", "tipo_tecnologia", "clasificacion_fuente", "region",
@@ -206,21 +220,30 @@ TRAINING_OUT = ["id_central", "timestamp_utc", "fecha", "lat_era5", "lon_era5",
                 "hora_cos", "hora_sin", "mes_cos", "mes_sin"]
 
 
+#: Integer grid indices of a weather cell, round(deg * 4): exact, as cells are quarter degrees.
+CELL_KEYS = ("cell_i", "cell_j")
+#: Join key of the training set, and bucket key of both its sides when they are stored.
+TRAINING_KEYS = (*CELL_KEYS, "timestamp_utc")
+
+
+def with_cell_keys(df: DataFrame) -> DataFrame:
+    """``df`` with the grid indices of its cell; a stored table has them already."""
+    if CELL_KEYS[0] in df.columns:
+        return df
+    return (df.withColumn(CELL_KEYS[0], F.round(F.col("lat_era5") * F.lit(4.0)).cast("int"))
+              .withColumn(CELL_KEYS[1], F.round(F.col("lon_era5") * F.lit(4.0)).cast("int")))
+
+
 def training_solar(target: DataFrame, features: DataFrame) -> DataFrame:
     """Solar target rows with the weather of their cell and UTC hour.
 
-    Both sides are large (plants x hours, cells x hours): a shuffle join on
-    (cell, hour). Cell coordinates are exact quarter degrees, so the join uses
-    their integer grid indices round(deg * 4) — the same equality as on the
-    doubles, with integer hashing and no float normalisation of the keys.
+    Both sides are large (plants x hours, cells x hours): a join on the cell's
+    grid indices and the hour — the same equality as on the doubles, with integer
+    hashing and no float normalisation of the keys. Sides stored in buckets of
+    these keys (``pipeline.BUCKETED``) meet bucket by bucket, without a shuffle.
     """
-    def cell_keys(df):
-        return (df.withColumn("__ci", F.round(F.col("lat_era5") * F.lit(4.0)).cast("int"))
-                  .withColumn("__cj", F.round(F.col("lon_era5") * F.lit(4.0)).cast("int")))
-    feats = cell_keys(features.select("lat_era5", "lon_era5", "timestamp_utc", *TRAINING_OUT[6:])) \
-        .drop("lat_era5", "lon_era5")
-    joined = cell_keys(target).join(feats, ["__ci", "__cj", "timestamp_utc"], "inner")
-    return joined.select(*TRAINING_OUT)
+    feats = with_cell_keys(features).select(*TRAINING_KEYS, *TRAINING_OUT[6:])
+    return with_cell_keys(target).join(feats, list(TRAINING_KEYS), "inner").select(*TRAINING_OUT)
 
 
 # The calendar spine bounds.

@@ -81,13 +81,17 @@ class Models:
     def daily_by_technology(self) -> DataFrame:
         return marts.daily_by_technology(self.generation_enriched)
 
+    @cached_property
+    def plant_days(self) -> DataFrame:
+        return marts.plant_days(self.generation_enriched)
+
     @cached_property
     def daily_by_plant(self) -> DataFrame:
-        return marts.daily_by_plant(self.generation_enriched)
+        return marts.daily_by_plant(self.plant_days, self.plants_geo, self.plants_small)
 
     @cached_property
     def plant_efficiency(self) -> DataFrame:
-        return marts.plant_efficiency(self.generation_enriched, self.plants_geo, self.plants_small)
+        return marts.plant_efficiency(self.plant_days, self.plants_geo, self.plants_small)
 
     @cached_property
     def system_summary(self) -> DataFrame:
@@ -101,61 +105,73 @@ class Models:
     def time_spine(self) -> DataFrame:
         return marts.time_spine(self.spark)
 
-    def materialize(self, root: str, names=None, threads: int = 4) -> Models:
+    def materialize(self, root: str, names=None, threads: int = 4, checks=()) -> Models:
         """Write models as Parquet tables under ``root`` and continue from the
         written tables: each model is computed once, later models and checks
         read it back, and the lineage is cut at each table. Models whose
         inputs are ready are written concurrently (``threads`` jobs at a time;
         Spark interleaves their tasks). Hourly and daily models are partitioned
-        by day.
+        by day; the sides of the training join are also bucketed by its key.
 
         Without a window every table is replaced whole. With ``raw.window`` the
         days of the run replace theirs and the others stay; models over the
-        whole history (LIFETIME) are computed from the full tables, so all
-        tables of the folder speak of the same days.
+        whole history (LIFETIME) are computed from the stored daily partials,
+        so all tables of the folder speak of the same days.
+
+        Row-level ``checks`` of a model are counted by the tasks that write it;
+        ``observed`` holds their failures by test id. A table of which a window
+        replaces some days is not counted (the test speaks of the whole table).
         """
         from concurrent.futures import ThreadPoolExecutor  # noqa: PLC0415
 
-        from ..sources.catalog import write_table  # noqa: PLC0415
+        from ..operators.quality import RowChecks  # noqa: PLC0415
+        from ..sources.catalog import bucketed_table, write_bucketed, write_table  # noqa: PLC0415
         window = getattr(self.raw, "window", None)
         wanted = [n for n in MODEL_ORDER if names is None or n in names]
         for n in wanted:
             self.__dict__.pop(n, None)
         self.__dict__.pop("plants_small", None)
         base = root.rstrip("/")
+        self.observed: dict[int, int] = {}
+        self.tables: dict[str, str] = {}
 
         def build(n: str) -> DataFrame:
             path, df = f"{base}/{n}", getattr(self, n)
-            part, cluster = MART_LAYOUT.get(n, ((), ()))
+            part, cluster = layout_of(n)
+            rows = RowChecks([c for c in checks if c.model == n] if not (window and part) else [])
             if n in DAY_OF:
-                write_table(df.withColumn(DAY, F.to_date(F.col(DAY_OF[n]))), path, partition_by=[DAY],
-                            cluster_by=cluster, replace_days_only=bool(window))
-            elif part:
-                write_table(df, path, partition_by=part, cluster_by=cluster, replace_days_only=bool(window))
+                df = df.withColumn(DAY, F.to_date(F.col(DAY_OF[n])))
+            if n in BUCKETED:
+                write_bucketed(marts.with_cell_keys(df), path, BUCKETED[n], part[0], replace_days_only=bool(window),
+                               watch=rows.watch)
+                out = bucketed_table(self.spark, path)
             else:
-                df.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+                write_table(df, path, partition_by=part, cluster_by=cluster, replace_days_only=bool(window),
+                            watch=rows.watch)
+                out = self.spark.read.parquet(path)
+            self.observed |= rows.failures()
+            self.tables[n] = path
+            return out
 
         full: dict[str, DataFrame] = {}
 
         def of_run(n: str, t: DataFrame) -> DataFrame:
             """What later models of the run read: its own days."""
-            day = DAY if n in DAY_OF else "fecha" if n in MART_LAYOUT else None
-            full[n] = t.drop(DAY)
-            if window is None or day is None:
-                return full[n]
+            full[n] = t.drop(DAY, *marts.CELL_KEYS)
+            part, _ = layout_of(n)
+            if window is None or not part:
+                return t.drop(DAY)
             first, end = (F.lit(x).cast("timestamp_ntz").cast("date") for x in window)
             pad = 1 if n in ERA5_MODELS else 0
-            return t.filter((F.col(day) >= F.date_sub(first, pad)) & (F.col(day) < F.date_add(end, pad))).drop(DAY)
+            return t.filter((F.col(part[0]) >= F.date_sub(first, pad)) & (F.col(part[0]) < F.date_add(end, pad))).drop(DAY)
 
         pending = list(wanted)
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             while pending:
                 wave = [n for n in pending if not (MODEL_DEPS[n] & set(pending))]
                 for n in wave:      # build plans in this thread; only the writes run in the pool
-                    if n in LIFETIME and window is not None and "generation_enriched" in full:
-                        self.__dict__[n] = marts.plant_efficiency(full["generation_enriched"], self.plants_geo,
-                                                                  self.plants_small)
+                    if n in LIFETIME and window is not None and "plant_days" in full:
+                        self.__dict__[n] = marts.plant_efficiency(full["plant_days"], self.plants_geo, self.plants_small)
                     getattr(self, n)
                 tables = list(pool.map(build, wave))
                 for n, t in zip(wave, tables):
@@ -173,7 +189,7 @@ DAY_OF = {"stg_generation": "timestamp_local", "stg_era5_solar": "valid_time", "
 ERA5_MODELS = ("stg_era5_solar", "era5_features")
 LIFETIME = ("plant_efficiency",)
 MODEL_ORDER = ["stg_generation", "stg_plants", "stg_era5_solar", "plants_geo", "era5_cells",
-               "era5_features", "generation_enriched", "solar_target", "fact_hourly",
+               "era5_features", "generation_enriched", "plant_days", "solar_target", "fact_hourly",
                "daily_by_technology", "daily_by_plant", "plant_efficiency", "system_summary",
                "training_solar"]
 
@@ -181,8 +197,9 @@ _UP = {"stg_generation": [], "stg_plants": [], "stg_era5_solar": [], "plants_geo
        "era5_cells": ["plants_geo"], "era5_features": ["stg_era5_solar"],
        "generation_enriched": ["stg_generation", "plants_geo"],
        "solar_target": ["generation_enriched", "era5_cells"], "fact_hourly": ["generation_enriched"],
-       "daily_by_technology": ["generation_enriched"], "daily_by_plant": ["generation_enriched"],
-       "plant_efficiency": ["generation_enriched", "plants_geo"], "system_summary": ["generation_enriched"],
+       "plant_days": ["generation_enriched"], "daily_by_technology": ["generation_enriched"],
+       "daily_by_plant": ["plant_days", "plants_geo"], "plant_efficiency": ["plant_days", "plants_geo"],
+       "system_summary": ["generation_enriched"],
        "training_solar": ["solar_target", "era5_features"]}
 
 
@@ -196,23 +213,38 @@ def _closure(n: str) -> set[str]:
 # Model -> every model it reads, directly or not.
 MODEL_DEPS = {n: _closure(n) for n in _UP}
 
-# Partitioned + clustered marts (day partitions; clustering columns sort each file).
+# Partitioned + clustered marts (day partitions; the files of a day hold ranges of the clustering columns).
 MART_LAYOUT = {
+    "plant_days": (["fecha"], ["id_central"]),
     "daily_by_technology": (["fecha"], ["tipo_tecnologia", "clasificacion_fuente"]),
     "daily_by_plant": (["fecha"], ["id_central", "region"]),
     "system_summary": (["fecha"], []),
 }
 
+#: Both sides of the training join: number of buckets. At 100 TB some thousands; a
+#: bucket of a day should hold a few files' worth of rows at most.
+BUCKETS = 16
+BUCKETED = {n: (BUCKETS, marts.TRAINING_KEYS) for n in ("era5_features", "solar_target")}
+
+
+def layout_of(n: str) -> tuple[list[str], list[str]]:
+    """(partition columns, clustering columns) of a model's table."""
+    return MART_LAYOUT.get(n, ([DAY] if n in DAY_OF else [], []))
+
 
-def run_pipeline(spark: SparkSession, raw: RawTables, root: str, run_ts=None) -> DataFrame:
+def run_pipeline(spark: SparkSession, raw: RawTables, root: str, run_ts=None, schema: str | None = None) -> DataFrame:
     """A full run: every model written once under ``root`` in dependency
-    order (hourly and daily tables partitioned by day; see ``materialize`` for
-    windowed runs), then all declared data tests over the written tables, saved
-    as ``root/dq_results``. Returns the test results."""
+    order (see ``materialize``), then the declared data tests, saved as
+    ``root/dq_results``. Row-level tests are counted while a model is written,
+    the others over the written tables. With ``schema`` the written files are
+    registered as tables of that schema. Returns the test results."""
     from ..operators.quality import run_checks  # noqa: PLC0415
     from .tests_declared import CHECKS  # noqa: PLC0415
-    m = Models(spark, raw, as_of=run_ts, loaded_at=run_ts).materialize(root)
-    results = run_checks({n: getattr(m, n) for n in MODEL_ORDER}, CHECKS)
+    m = Models(spark, raw, as_of=run_ts, loaded_at=run_ts).materialize(root, checks=CHECKS)
+    results = run_checks({n: getattr(m, n) for n in MODEL_ORDER}, CHECKS, counted=m.observed)
     path = f"{root.rstrip('/')}/dq_results"
     results.write.mode("overwrite").parquet(path)
+    if schema:
+        from ..sources.catalog import register_tables  # noqa: PLC0415
+        register_tables(spark, {n: (m.tables[n], layout_of(n)[0]) for n in MODEL_ORDER}, schema)
     return spark.read.parquet(path)

@@ -11,6 +11,7 @@ from .plans.pipeline import Models
 from .plans.tests_declared import CHECKS, KIND_GROUPS
 from .registry import MODEL_QUERIES, register
 from .session import path_exists, scratch_path, session_key
+from .sources import testdata
 
 CTE_OF = {name: cte for name, (_, cte) in MODEL_QUERIES.items()}
 
@@ -66,24 +67,42 @@ def _check_sql(c) -> str:
             f"CAST({col} AS VARCHAR) AS column_name) r")
 
 
-def _dq_sql(checks) -> str:
+def dq_sql(checks) -> str:
     deps = sorted({CTE_OF[c.model] for c in checks} |
                   {CTE_OF[c.args["to"]] for c in checks if c.kind == "relationships"})
     return O.sql("\nUNION ALL\n".join(_check_sql(c) for c in checks), deps)
 
 
-_RUNS: dict[tuple[str, str], tuple[str, Models]] = {}
+_RUNS: dict[tuple, tuple[str, tuple, Models]] = {}
+#: Driver tables that the models are made of.
+INPUTS = ("nation", "region", "supplier", "lineitem")
 
 
-def _shared_run(spark, sf) -> Models:
+def input_identity(spark, sf: str) -> tuple:
+    """Path, size and time of every input file: another file, another run."""
+    files = []
+    for table in INPUTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{table}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            f = found.next()
+            files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(files))
+
+
+def shared_run(spark, sf) -> Models:
     """The intermediate models of a folder, written once per application and
-    shared by all checks; written again if the tables are gone."""
+    shared by all checks; written again if an input file changed or the tables
+    are gone."""
     key = (session_key(spark), sf.rstrip("/"))
-    root, m = _RUNS.get(key, ("", None))
-    if key[0] is None or m is None or not path_exists(spark, f"{root}/{SHARED_LAYER[-1]}"):
+    identity = input_identity(spark, sf)
+    root, known, m = _RUNS.get(key, ("", None, None))
+    if key[0] is None or known != identity or not path_exists(spark, f"{root}/{SHARED_LAYER[-1]}"):
+        testdata.forget(spark, sf)
         root = scratch_path(spark, "models")
         m = Models.from_testdata(spark, sf).materialize(root, SHARED_LAYER)
-        _RUNS[key] = (root, m)
+        _RUNS[key] = (root, identity, m)
     return m
 
 
@@ -93,15 +112,15 @@ def _dq_builder(checks):
     def build(spark, sf):
         # Checks run over written intermediate tables (shared by several models),
         # so no check branch recomputes staging, deduplication or the joins.
-        m = _shared_run(spark, sf)
+        m = shared_run(spark, sf)
         return run_checks(_tables(m, models), checks)
     return build
 
 
 for _qname, _kinds in KIND_GROUPS.items():
     _cs = [c for c in CHECKS if c.kind in _kinds]
-    register(_qname, _dq_sql(_cs))(_dq_builder(_cs))
-register("dq_summary", _dq_sql(CHECKS))(_dq_builder(CHECKS))
+    register(_qname, dq_sql(_cs))(_dq_builder(_cs))
+register("dq_summary", dq_sql(CHECKS))(_dq_builder(CHECKS))
 
 
 # ---- metrics -------------------------------------------------------------------
@@ -112,6 +131,8 @@ def _metric_agg_sql(m) -> str:
 
 
 def _time_sql(col: str, grain: str) -> str:
+    if grain == "hour":
+        return f"date_trunc('hour', {col})"
     if grain == "day":
         return f"CAST({col} AS DATE)"
     return f"CAST(date_trunc('{grain}', {col}) AS DATE)"
@@ -162,6 +183,15 @@ _MONTHLY = ["generacion_sistema_total", "generacion_renovable_total", "generacio
 register("metric_by_month", _metric_sql(_MONTHLY, grain="month"))(_metric_builder(_MONTHLY, grain="month"))
 
 
+# Every other grain: hours of the hourly fact, weeks, quarters and years of the daily models.
+register("metric_by_hour", _metric_sql(_DIM, grain="hour"))(_metric_builder(_DIM, grain="hour"))
+register("metric_by_week", _metric_sql(_MONTHLY, grain="week"))(_metric_builder(_MONTHLY, grain="week"))
+register("metric_by_quarter", _metric_sql(["generacion_diaria_total", "maxima_generacion_diaria_mw"],
+                                          ["tipo_tecnologia"], "quarter"))(
+    _metric_builder(["generacion_diaria_total", "maxima_generacion_diaria_mw"], ["tipo_tecnologia"], "quarter"))
+register("metric_by_year", _metric_sql(_MONTHLY, grain="year"))(_metric_builder(_MONTHLY, grain="year"))
+
+
 @register("metric_on_spine", O.sql("""
 SELECT s.metric_time, m.generacion_sistema_total
 FROM (SELECT CAST(unnest(generate_series(min(fecha), max(fecha), INTERVAL 1 DAY)) AS DATE) AS metric_time

@@ -1,24 +1,21 @@
-"""ERA5 deliveries (A9, A10): one ZIP archive per grid point holding one CSV.
+"""ERA5 deliveries (A9, A10): ZIP archives of CSV, one grid point's series in each.
 
-Archives are read with the ``binaryFile`` source and unpacked per file in
-``mapInPandas`` (one archive = one coordinate's series, so a task holds one
-small file at a time). Writing archives (to build deliveries from a table)
-goes through ``applyInPandas`` per grid point and pyarrow's file systems, so
-the target may be any shared store pyarrow can open.
+Spark lists the archives; a task opens each on the shared store and reads its
+members as a stream, in chunks, so its memory does not grow with the archive.
 """
 
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ERA5_PRESET_COLUMNS
-from ..session import qualified, ship_package
+from ..session import ship_package
 
 # Variables requested per preset, as named by the delivery service.
 ERA5_PRESETS = {
@@ -50,67 +47,52 @@ def _schema(preset: str) -> str:
     return ", ".join(f"{c} {'timestamp_ntz' if c == 'valid_time' else 'double'}" for c in cols)
 
 
-def _put(uri: str, content: bytes) -> None:
-    """Write a file whole or not at all: to a name of its own that no reader's
-    glob takes, then renamed. A retried or speculative task replaces it by the
-    same content."""
+CHUNK_ROWS = 100_000
+
+
+def _open(uri: str):
+    """A seekable stream over a file of a store that pyarrow can open: parts of it are read when asked for."""
     from pyarrow import fs  # noqa: PLC0415
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
     filesystem, path = fs.FileSystem.from_uri(uri)
-    parent, name = path.rsplit("/", 1)
-    filesystem.create_dir(parent, recursive=True)
-    temporary = f"{parent}/_{name}-{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(temporary) as out:
-        out.write(content)
-    filesystem.move(temporary, path)
+    return filesystem.open_input_file(path)
 
 
-def write_archives(df: DataFrame, root: str, preset: str = "solar") -> DataFrame:
-    """Write one ZIP (one CSV inside) per grid point and year under ``root``
-    (a year of hours bounds each group); returns (path, rows) per archive."""
-    cols = ERA5_PRESET_COLUMNS[preset]
-    # As Spark resolves the path: on a cluster a path without scheme is on its default store.
-    base = qualified(df.sparkSession, root).rstrip("/")
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        year = int(pdf["__year"].iloc[0])
-        pdf = pdf[cols].sort_values("valid_time")
-        lat, lon = float(pdf["latitude"].iloc[0]), float(pdf["longitude"].iloc[0])
-        name = archive_name(lat, lon, preset, year)
-        csv = pdf.to_csv(index=False, date_format="%Y-%m-%d %H:%M:%S")
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr(f"{name}.csv", csv)
-        uri = f"{base}/{name}.zip"
-        _put(uri, buf.getvalue())
-        return pd.DataFrame({"path": [uri], "rows": [len(pdf)]})
-
-    ship_package(df.sparkSession)
-    keyed = df.select(*cols, F.year("valid_time").alias("__year"))
-    return keyed.groupBy("latitude", "longitude", "__year").applyInPandas(one, "path string, rows bigint")
-
-
-def read_archives(spark: SparkSession, glob: str, preset: str = "solar") -> DataFrame:
-    """ZIP archives -> typed rows of the preset, plus the archive's entity name."""
+def csv_chunks(stream, cols: list[str], chunk_rows: int = CHUNK_ROWS) -> Iterator[pd.DataFrame]:
+    """Rows of every CSV member of a ZIP archive, a bounded chunk at a time; members
+    are inflated as they are read, so neither archive nor CSV is ever whole in memory."""
+    with zipfile.ZipFile(stream) as z:
+        for member in (n for n in z.namelist() if n.endswith(".csv")):
+            with z.open(member) as f:
+                for data in pd.read_csv(f, float_precision="round_trip", chunksize=chunk_rows, usecols=cols):
+                    data["valid_time"] = pd.to_datetime(data["valid_time"])
+                    yield data.astype({c: "float64" for c in cols if c != "valid_time"})[cols]
+
+
+def read_archives(spark: SparkSession, glob: str, preset: str = "solar", streamed: bool = True) -> DataFrame:
+    """ZIP archives -> typed rows of the preset, plus the archive's entity name.
+
+    Spark lists the files and deals them out; the task of an archive opens it on the
+    shared store and reads its CSV in chunks of ``CHUNK_ROWS``. ``streamed=False`` is
+    for stores that only Spark can open: it passes the archive's bytes through Spark,
+    one archive at a time in a task's memory.
+    """
     cols = ERA5_PRESET_COLUMNS[preset]
 
     def unpack(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    member = next(n for n in z.namelist() if n.endswith(".csv"))
-                    data = pd.read_csv(z.open(member), float_precision="round_trip")
-                data["valid_time"] = pd.to_datetime(data["valid_time"])
-                for c in cols:
-                    if c != "valid_time":
-                        data[c] = data[c].astype("float64")
-                data["entity"] = path.rsplit("/", 1)[-1].removesuffix(".zip")
-                yield data[cols + ["entity"]]
+                with (_open(path) if streamed else io.BytesIO(content)) as stream:
+                    for data in csv_chunks(stream, cols):
+                        yield data.assign(entity=path.rsplit("/", 1)[-1].removesuffix(".zip"))
 
     ship_package(spark)
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    return files.mapInPandas(unpack, _schema(preset) + ", entity string")
+    files = spark.read.format("binaryFile").load(glob)
+    if streamed:    # the content is not read by the scan; a few names of files make no large partition
+        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        files = files.select("path").repartition(slots, "path").withColumn("content", F.lit(None).cast("binary"))
+    return files.select("path", "content").mapInPandas(unpack, _schema(preset) + ", entity string")
 
 
 def stamp(df: DataFrame, batch_ts: str) -> DataFrame:

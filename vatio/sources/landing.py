@@ -93,69 +93,100 @@ def load_landing(spark: SparkSession, root: str, table: str, run_date: str, tabl
 
 
 # ---- pages ----------------------------------------------------------------------
-def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
-               results_key: str | None = "data") -> DataFrame:
-    """Page files -> rows. A file holds one page per line, or one page over
-    several lines (a file with a line that is no JSON value of its own). A page is
-    a bare JSON list of rows or an envelope object whose ``results_key`` holds the
-    list (missing key -> no rows). Adds the file, the page's place in it, its
-    declared total and its number of rows; a page that is not JSON fails the read."""
+#: Column of a page's text where it is no JSON value of the page's shape.
+BROKEN = "__broken"
+
+
+def _page_schema(row_schema: T.StructType, results_key: str | None) -> T.StructType:
+    return T.StructType([T.StructField(results_key or "data", T.ArrayType(row_schema)), T.StructField("page", T.LongType()),
+                         T.StructField("totalCount", T.LongType()), T.StructField("total", T.LongType()),
+                         T.StructField("count", T.LongType()), T.StructField(BROKEN, T.StringType())])
+
+
+def _parsed(text: DataFrame, row_schema: T.StructType, results_key: str | None) -> DataFrame:
+    """``env`` for each page of ``value``: one parse. A bare list is put into an envelope first."""
+    key = results_key or "data"
+    envelope = F.when(F.substring(F.ltrim(F.translate("value", "\t\r\n", "   ")), 1, 1) == "[",
+                      F.concat(F.lit('{"%s":' % key), F.col("value"), F.lit("}"))).otherwise(F.col("value"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    return text.withColumn("env", F.from_json(envelope, _page_schema(row_schema, results_key), options))
+
+
+def _page_facts(parsed: DataFrame, row_schema: T.StructType, results_key: str | None) -> DataFrame:
+    """A row for each page: file, position, page, declared total, number of rows, and the rows."""
     arr = T.ArrayType(row_schema)
-    env = T.StructType([T.StructField(results_key or "data", arr), T.StructField("page", T.LongType()),
-                        T.StructField("totalCount", T.LongType()), T.StructField("total", T.LongType()),
-                        T.StructField("count", T.LongType())])
-    value = F.trim("value")
-    whole = (value.startswith("[") & value.endswith("]")) | (value.startswith("{") & value.endswith("}"))
-    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"),
-                                         F.monotonically_increasing_id().alias("position")) \
-        .filter(F.length(value) > 0).withColumn("is_json", whole & F.try_parse_json("value").isNotNull())
-    spread = lines.filter(~F.col("is_json")).select("file").distinct()
-    files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("file")) \
-        .withColumn("position", F.lit(0).cast("bigint"))
-    # Pages over several lines are read again as whole files.
-    text = lines.join(spread, "file", "left_anti").select("value", "file", "position").unionByName(
-        files.join(spread, "file", "left_semi").select("value", "file", "position"))
-    is_list = F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("[")
-    fail = {"mode": "FAILFAST"}
-    parsed = text.select(
-        "file", "position",
-        F.when(is_list, F.from_json("value", arr, fail)).alias("list"),
-        F.when(~is_list, F.from_json("value", env, fail)).alias("env"))
-    return parsed.select(
+    out = parsed.select(
         "file", "position", F.col("env.page").alias("page"),
         F.coalesce(F.nullif("env.totalCount", F.lit(0)), F.nullif("env.total", F.lit(0)),
                    F.nullif("env.count", F.lit(0))).alias("declared_total"),
-        F.coalesce("list", f"env.{results_key or 'data'}", F.array().cast(arr)).alias("items")) \
-        .select("file", "position", "page", "declared_total", F.size("items").alias("page_rows"),
-                F.explode_outer("items").alias("row"))
+        F.coalesce(f"env.{results_key or 'data'}", F.array().cast(arr)).alias("items"))
+    return out.withColumn("page_rows", F.size("items"))
 
 
-def audit_pages(pages: DataFrame, page_size: int, by_series: bool = False,
-                max_pages: int | None = None) -> DataFrame:
-    """Completeness of page series: pages seen, rows, declared total,
-    expected pages = ceil(total / page_size), short and empty pages, and
-    ``complete``: all declared rows and pages are present and a short page, which
-    ends a series, is its last (by page number; files and places order pages
-    without one). ``by_series`` audits each landing folder separately; with
-    ``max_pages`` a series that reached the cap is flagged."""
-    per_page = pages.groupBy("file", "position", "page").agg(F.max("page_rows").alias("n"),
-                                                             F.max("declared_total").alias("t"))
-    keys = []
-    if by_series:
-        per_page = per_page.withColumn("series", F.regexp_extract("file", r"^(.*)/[^/]*$", 1))
-        keys = ["series"]
+def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
+               results_key: str | None = "data") -> DataFrame:
+    """Page files -> rows. A file holds one page per line, or one page over
+    several lines (its first line is no page of its own). A page is a bare JSON list of
+    rows or an envelope object whose ``results_key`` holds the list (missing key -> no
+    rows). Adds the file, the page's place in it, its declared total and its number of
+    rows. Every line is parsed once; a page that is not JSON, or not of this shape,
+    fails the read, also where other pages of its file are sound."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("at")) \
+        .filter(F.length(F.trim("value")) > 0)
+    parsed = _parsed(lines, row_schema, results_key).withColumn("broken", F.col("env").isNull() | F.col(f"env.{BROKEN}").isNotNull())
+    # Files with a broken line: pages over several lines if the first line is broken, else an error.
+    spread = parsed.groupBy("file").agg(F.max("broken").alias("some"), F.min_by("broken", "at").alias("first")).filter("some")
+    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")) \
+        .join(spread.filter("first").select("file"), "file").withColumn("position", F.lit(0).cast("bigint"))
+    whole = _parsed(whole, row_schema, results_key)
+    fine = parsed.join(spread.select("file", "first"), "file", "left").filter(~F.coalesce("first", F.lit(False)))
+    fine = fine.withColumn("position", F.col("at.line"))
+    both = fine.select("file", "position", "value", "env").unionByName(whole.select("file", "position", "value", "env"))
+    sound = F.col("env").isNotNull() & F.col(f"env.{BROKEN}").isNull()
+    checked = both.withColumn("env", F.when(sound, F.col("env")).otherwise(F.raise_error(
+        F.concat(F.lit("malformed page in "), F.col("file"), F.lit(": "), F.substring("value", 1, 200)))))
+    return _page_facts(checked, row_schema, results_key).select(
+        "file", "position", "page", "declared_total", "page_rows", F.explode_outer("items").alias("row"))
+
+
+def landed_pages(files: DataFrame, row_schema: T.StructType, results_key: str | None = "data") -> DataFrame:
+    """A row for each page of whole files (``value``; a stream or a table): file, page,
+    declared_total, page_rows. A file whose text is no page as it stands holds a page a line."""
+    named = files.select("value", F.col("_metadata.file_path").alias("file"), F.lit(0).alias("position"))
+    first = F.regexp_extract("value", r"^\s*([^\r\n]*)", 1)
+    broken = F.col("env").isNull() | F.col(f"env.{BROKEN}").isNotNull()
+    by_line = _parsed(named.withColumn("whole", F.col("value")).withColumn("value", first), row_schema, results_key)
+    # The first line alone is a page: a page a line.
+    parts = F.when(broken, F.array("whole")).otherwise(F.filter(F.split("whole", r"\r?\n"), lambda x: F.trim(x) != ""))
+    text = by_line.select("file", F.posexplode(parts).alias("position", "value"))
+    parsed = _parsed(text, row_schema, results_key)
+    sound = F.when(~broken, F.col("env")).otherwise(F.raise_error(F.concat(F.lit("malformed page in "), F.col("file"))))
+    return _page_facts(parsed.withColumn("env", sound), row_schema, results_key).drop("items", "position")
+
+
+def series_of(file: str) -> Column:
+    """The landing folder of a page file."""
+    return F.regexp_extract(file, r"^(.*)/[^/]*$", 1)
+
+
+def _audited(per_page: DataFrame, keys: list[str], page_size: int, max_pages: int | None) -> DataFrame:
+    """The audit over a row for each page: batch groups and stream state alike."""
     place = F.struct(F.col("page").alias("p"), F.col("file").alias("f"), F.col("position").alias("i"))
     short = F.col("n") < page_size
     aggs = [
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("rows"),
         F.max("t").alias("declared_total"),
-        F.ceil(F.max("t") / F.lit(page_size)).cast("bigint").alias("expected_pages"),
         F.count_if(short).alias("short_pages"),
         F.count_if(F.col("n") == 0).alias("empty_pages"),
         F.max(place).alias("__last"), F.min(F.when(short, place)).alias("__short"),
     ]
     out = per_page.groupBy(*keys).agg(*aggs) if keys else per_page.agg(*aggs)
+    out = out.select(
+        *keys, "pages", "rows", "declared_total",
+        F.ceil(F.col("declared_total") / F.lit(page_size)).cast("bigint").alias("expected_pages"),
+        "short_pages", "empty_pages", "__last", "__short")
     out = out.withColumn(
         "complete", (F.col("rows") == F.col("declared_total")) & (F.col("pages") == F.col("expected_pages"))
         & (F.col("__short").isNull() | (F.col("__short") == F.col("__last")))).drop("__last", "__short")
@@ -164,6 +195,22 @@ def audit_pages(pages: DataFrame, page_size: int, by_series: bool = False,
     return out
 
 
+def audit_pages(pages: DataFrame, page_size: int, by_series: bool = False,
+                max_pages: int | None = None) -> DataFrame:
+    """Completeness of page series: pages seen, rows, declared total,
+    expected pages = ceil(total / page_size), short and empty pages, and
+    ``complete``: all declared rows and pages are present and a short page, which
+    ends a series, is its last (by page number; files and places order pages
+    without one). ``by_series`` audits each landing folder separately; with
+    ``max_pages`` a series that reached the cap is flagged."""
+    per_page = pages.groupBy("file", "position", "page").agg(F.max("page_rows").alias("n"),
+                                                             F.max("declared_total").alias("t"))
+    keys = ["series"] if by_series else []
+    if by_series:
+        per_page = per_page.withColumn("series", series_of("file"))
+    return _audited(per_page, keys, page_size, max_pages)
+
+
 def inventory(spark: SparkSession, root: str, source: str, run_date: str) -> DataFrame:
     """Objects landed for a source and date: name, files, bytes, lines. A landed
     object is one entry of the date's folder, whether a file or a folder of part

@@ -237,3 +237,11 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     if key not in _RAW:
         _RAW[key] = RawTables(spark, sf_dir)
     return _RAW[key]
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Drop the plans kept for a folder: its files have changed and are listed anew."""
+    key, folder = session_key(spark), sf_dir.rstrip("/")
+    _RAW.pop((key, folder), None)
+    for k in [k for k in _READERS if k[0] == key and k[1].rsplit("/", 1)[0] == folder]:
+        _READERS.pop(k, None)
