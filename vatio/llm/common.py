@@ -51,6 +51,22 @@ def row_key(df: DataFrame, seed: int = 0) -> Column:
     return F.xxhash64(*cols)
 
 
+def plain_names(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: no column of the caller can clash with
+    one that an operator adds, and equal names are told apart. Row keys stay the same."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def plain(docs: DataFrame, column: str) -> str:
+    """The name under :func:`plain_names` of a column of ``docs``."""
+    return f"c{docs.columns.index(column)}"
+
+
+def own_names(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names, from a frame that has them under plain ones."""
+    return df.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 def ship(df: DataFrame) -> None:
     """Make this package importable in the Python workers."""
     ship_package(df.sparkSession)

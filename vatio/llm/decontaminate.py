@@ -11,14 +11,18 @@ of the larger ones.
 Only windows that can reach the threshold are fingerprinted: a similarity of t
 between windows of A and B shingles needs t / (1 + t) * (A + B) shared ones, so
 a window with fewer positions whose shingle the item has is out. This loses no
-window, and leaves the windows around passages of the benchmark."""
+window, and leaves the windows around passages of the benchmark.
+
+The radius is a bound on the fingerprints, not on the similarity. Windows of items
+with few different shingles, whose fingerprints tell little, are all compared
+exactly; of other windows right at the threshold some 0.05 to 0.08 % lie outside."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, written
+from .common import own_names, plain_names, row_key, written
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -26,6 +30,9 @@ MIN_SIMILARITY = 0.8
 #: vectors: 9.7 of 64 bits on average, with a standard deviation of 2.9.
 RADIUS = 20
 BITS = 64
+#: Items of up to so many different shingles are compared without the index: their
+#: fingerprints are made of few hashes, and say little of the similarity.
+FEW_SHINGLES = 16
 #: Rows of a side that may be broadcast (32 bytes each); above, Spark shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -117,6 +124,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMIL
             .withColumn("s", F.explode(starts))
             .groupBy("doc_key1", "doc_key2", "m", "item", "n", "width", "s").agg(F.count("*").alias("shared"))
             .filter(F.col("shared") >= _needed(size, F.col("n") - F.col("width") + 1, similarity)))
+    near = written(near, "window-items")
     windows = written(near.select("doc_key1", "doc_key2", "n", "width", "s").distinct(), "windows")
 
     touched = written(windows.select("doc_key1", "doc_key2").distinct(), "window-documents")
@@ -144,7 +152,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_SIMIL
                   .select(*key, "fp", "size", "block.no", "block.value")
                   .join(blocks, ["n", "width", "no", "value"])
                   .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-                  .select(*key, "item", "size", "item_size").distinct())
+                  .select(*key, "item", "size", "item_size"))
+    few = counts.groupBy("item").agg(F.count("*").alias("different"), F.sum("w").alias("item_size")) \
+        .filter(F.col("different") <= FEW_SHINGLES).select("item", "item_size")
+    direct = near.join(_small(few, n_rows), "item").select(*key, "item", size.cast("bigint").alias("size"), "item_size")
+    candidates = candidates.unionByName(direct).distinct()
     shared = (candidates.join(weighed, key)
               .join(_small(counts.select("item", "h", F.col("w").alias("item_w")), n_rows), ["item", "h"])
               .groupBy(*key, "item", "size", "item_size").agg(F.sum(F.least("w", "item_w")).alias("both")))
@@ -173,6 +185,6 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = MIN_
     """``docs`` without the documents that hold a window similar to an item."""
     found = written(matches(docs, benchmark, similarity, radius, text)
                     .select("doc_key1", "doc_key2").distinct(), "leaks")
-    keyed = docs.withColumn("doc_key1", row_key(docs)).withColumn("doc_key2", row_key(docs, 1))
-    return keyed.join(_small(found, found.count()), ["doc_key1", "doc_key2"], "left_anti") \
-        .drop("doc_key1", "doc_key2")
+    own = plain_names(docs)
+    keyed = own.withColumn("doc_key1", row_key(own)).withColumn("doc_key2", row_key(own, 1))
+    return own_names(keyed.join(_small(found, found.count()), ["doc_key1", "doc_key2"], "left_anti"), docs)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import connected_components, written
+from .common import connected_components, own_names, plain, plain_names, row_key, written
 
 MIN_SIMILARITY = 0.8
 #: Words of a share of 2**-FREQUENT and more are ranked by their own occurrences.
@@ -48,14 +48,19 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), _SPACES), "")
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    """(doc, mark, text): ``doc`` orders the documents (null ids last); ``mark``
-    tells documents of one id apart, and is 0 where no id is used twice."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID))
+def _named(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
+    """(doc, mark): ``doc`` orders the documents (null ids last); ``mark`` tells
+    documents of one id apart, and is 0 where no id is used twice."""
+    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NO_ID))
     twice = not docs.groupBy(doc.alias("doc")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
-    mark = F.shiftrightunsigned(F.xxhash64(text), 33) if twice else F.lit(0).cast("bigint")
-    return docs.select(doc.alias("doc"), mark.alias("mark"), text.alias("text"))
+    mark = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 33) if twice else F.lit(0).cast("bigint")
+    return doc, mark
+
+
+def _prepared(docs: DataFrame) -> DataFrame:
+    """(doc, mark, text) of documents (doc_id, text)."""
+    doc, mark = _named(docs, "doc_id", "text")
+    return docs.select(doc.alias("doc"), mark.alias("mark"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -270,7 +275,27 @@ def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list
     lines are no lines here and always stay. Rows that repeat a document repeat
     its lines, all but the first removed. Other columns are ignored.
     """
-    docs = _prepared(docs)
+    placed = _placed(_prepared(docs), similarity, short_list)
+    number = lambda c: F.shiftrightunsigned(c, 31).cast("int")
+    ident = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
+    out = placed.select(
+        ident("doc").alias("doc_id"), number(F.col("part")).alias("line_no"),
+        F.coalesce(ident("c_doc"), ident("f_doc")).alias("class_doc_id"),
+        number(F.coalesce("c_part", "f_part")).alias("class_line_no"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), _repeats().alias("removed"), "times")
+    return out.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).withColumn(
+        "removed", F.col("removed") | (F.col("time") > 1)).drop("time", "times")
+
+
+def _repeats() -> Column:
+    """Of the rows of ``_placed``: the line equals or matches an earlier one."""
+    first = (F.col("doc") == F.col("f_doc")) & (F.col("part") == F.col("f_part"))
+    return ~first | (F.coalesce("n_links", F.lit(0)) > 0)
+
+
+def _placed(docs: DataFrame, similarity: float, short_list: int) -> DataFrame:
+    """A row for each line of prepared documents (equal rows once, counted in ``times``): its
+    place (doc, part), the first of its equal lines, its class and its number of links."""
     found, balls = links(docs, similarity, short_list)
     found = written(found, "all-line-links")
     classes = _classes(found)
@@ -284,29 +309,33 @@ def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list
         .select("k1", "k2", F.col("f.doc").alias("f_doc"), F.col("f.part").alias("f_part"), "copies")
     firsts = firsts.join(_small(state), ["f_doc", "f_part"], "left")
     firsts = written(firsts, "line-firsts")
-    number = lambda c: F.shiftrightunsigned(c, 31).cast("int")
-    ident = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    first = (F.col("doc") == F.col("f_doc")) & (F.col("part") == F.col("f_part"))
     # Equal rows have equal places: of these, all but one are removed.
     again = lines.groupBy("doc", "part", "k1", "k2").agg(F.count("*").alias("times"))
-    placed = again.join(firsts, ["k1", "k2"])
-    out = placed.select(
-        ident("doc").alias("doc_id"), number(F.col("part")).alias("line_no"),
-        F.coalesce(ident("c_doc"), ident("f_doc")).alias("class_doc_id"),
-        number(F.coalesce("c_part", "f_part")).alias("class_line_no"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        (~first | (F.coalesce("n_links", F.lit(0)) > 0)).alias("removed"), "times")
-    return out.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).withColumn(
-        "removed", F.col("removed") | (F.col("time") > 1)).drop("time", "times")
+    return again.join(firsts, ["k1", "k2"])
 
 
 def remove_repeats(docs: DataFrame, similarity: float = MIN_SIMILARITY) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with the removed lines cut out of the texts.
-    Documents of one id are taken to be one text each."""
-    gone = line_classes(docs, similarity).filter("removed").groupBy("doc_id").agg(
-        F.collect_set("line_no").alias("__gone"))
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("__gone", i))
-    own = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    cut = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return docs.join(gone, "doc_id", "left").select(*own, cut.alias("text")).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` (doc_id, text, ...) with the removed lines cut out of the texts; all rows
+    and columns stay. Of rows with one id and text, one keeps its lines (rows that are
+    equal in every column are told apart by counting) and the others lose all lines with
+    words. Rows without an id are cut like any other, texts of one id each by its own
+    lines. Null texts stay null; blank lines stay."""
+    own = plain_names(docs)
+    doc_id, text = plain(docs, "doc_id"), plain(docs, "text")
+    lines = _placed(_prepared(own.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), similarity, SHORT_LIST)
+    gone = lines.filter(_repeats()).groupBy("doc", F.col("part").bitwiseAND((1 << 31) - 1).alias("mark")).agg(
+        F.collect_set(F.shiftrightunsigned("part", 31).cast("int")).alias("gone"))
+    doc, mark = _named(own, doc_id, text)
+    rows = own.withColumn("doc", doc).withColumn("mark", mark).withColumn("key", row_key(own))
+    # Equal rows are one with a count, so that a large group of copies is no task's burden.
+    counted = written(rows.groupBy("doc", "mark", "key").agg(F.first(F.struct(*own.columns)).alias("row"),
+                                                             F.count("*").alias("n")), "line-rows")
+    keeps = counted.groupBy("doc", "mark").agg(F.min("key").alias("keeps"))
+    each = (counted.join(keeps, ["doc", "mark"]).join(gone, ["doc", "mark"], "left")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))))
+    whole = (F.col("key") == F.col("keeps")) & (F.col("copy") == 1)
+    words = lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]"))
+    kept = F.filter(F.split(F.col(f"row.{text}"), "\n"), lambda line, i: ~words(line) | (
+        whole & ~F.coalesce(F.array_contains("gone", i), F.lit(False))))
+    cut = F.when(F.col(f"row.{text}").isNotNull(), F.array_join(kept, "\n"))
+    return own_names(each.select(*[cut.alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in own.columns]), docs)

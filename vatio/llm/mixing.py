@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import running_sum, words_in, written
+from .common import own_names, plain, plain_names, running_sum, words_in, written
 
 #: Relative weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -151,8 +151,7 @@ def mix_counts(docs: DataFrame, weights: Sequence[int] = WEIGHTS, total: float =
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, total: float = TOTAL,
         text: str = "text", source: str = "source") -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, each document as often as
-    :func:`mix_counts` reads it."""
-    counted = mix_counts(docs, weights, total, text, source).filter("times > 0")
-    return (counted.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("times"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns if c in counted.columns]))
+    """The mixed corpus: the columns of ``docs`` as they are, whatever their names, each
+    document as often as :func:`mix_counts` reads it."""
+    counted = mix_counts(plain_names(docs), weights, total, plain(docs, text), plain(docs, source)).filter("times > 0")
+    return own_names(counted.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("times")))), docs)

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, ship, written
+from .common import held_out, own_names, plain, plain_names, ship, written
 
 STATISTICS = (
     "log_words", "word_length", "word_length_spread", "long_words", "distinct_words", "repeated_triples",
@@ -249,5 +249,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """``docs`` without the documents that the classifier rejects."""
     ship(docs)
     model = fit(docs, labels)
-    return docs.withColumn("__score", quality_score(F.col("text"), model)) \
-        .filter(F.col("__score") >= threshold).drop("__score")
+    own = plain_names(docs)
+    scored = own.withColumn("__score", quality_score(F.col(plain(docs, "text")), model))
+    return own_names(scored.filter(F.col("__score") >= threshold), docs)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, row_key, ship, written
+from .common import connected_components, own_names, plain, plain_names, row_key, ship, written
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -214,14 +214,14 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, width: int = SHINGLE_WOR
     equal in every column count as one. The texts are shuffled once, after
     equal rows have been put together in the map tasks."""
     ship(docs)
-    keyed = docs.withColumn("__k1", row_key(docs)).withColumn("__k2", row_key(docs, 1))
-    rows = written(keyed.select(F.col(doc_id).alias("doc_id"), "__k1", "__k2",
-                                fingerprint(F.col(text), width).alias("fp")), "document-fingerprints")
+    own = plain_names(docs)
+    keyed = own.withColumn("__k1", row_key(own)).withColumn("__k2", row_key(own, 1))
+    rows = written(keyed.select(F.col(plain(docs, doc_id)).alias("doc_id"), "__k1", "__k2",
+                                fingerprint(F.col(plain(docs, text)), width).alias("fp")), "document-fingerprints")
     best = (rows.join(components(rows, max_bits), "fp")
             # A component without any id is named by its fingerprint's chain: its null ids stay apart by fp.
             .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("__fp"))
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__k1", "__k2")).alias("best"))
             .select("best.__k1", "best.__k2"))
-    one = keyed.groupBy("__k1", "__k2").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-                                            .alias("__row"))
-    return one.join(written(best, "kept"), ["__k1", "__k2"], "left_semi").select("__row.*")
+    one = keyed.groupBy("__k1", "__k2").agg(F.first(F.struct(*own.columns)).alias("__row"))
+    return own_names(one.join(written(best, "kept"), ["__k1", "__k2"], "left_semi").select("__row.*"), docs)
