@@ -83,4 +83,4 @@ def test_run_pipeline(spark):
     assert res.count() == 82
     daily = spark.read.parquet(f"{root}/system_summary")
     assert "fecha" in daily.columns and daily.count() > 0
-    assert len(MODEL_ORDER) == 14
+    assert len(MODEL_ORDER) == 15   # the fourteen models and the stored daily partials
