@@ -3,10 +3,10 @@ each language and source a minimum-covariance-determinant estimate of location
 and scatter is fitted to transformed document statistics, and documents far
 from it by Mahalanobis distance are rejected.
 
-The estimate starts from medians and median absolute deviations and takes
-concentration steps (deterministic MCD: no random subsets), each over all
-documents: the distances' quantile, then sums over the closest share, per
-group. Statistics are whole multiples of 1 / GRID, so sums and quantiles are
+The estimate is a deterministic MCD (no random subsets): three starts take
+concentration steps, each over all documents (the distances' quantile, then sums
+over the closest share, per group), the smallest determinant goes on until its
+steps converge. Statistics are whole multiples of 1 / GRID, so sums and quantiles are
 exact and reruns agree; each step is two groupings with map-side sums, so a
 source with a third of all rows is no single task's work."""
 
@@ -37,7 +37,12 @@ GRID = 1024
 FLOORS = (0.25, 0.08, 0.03, 0.15, 0.2, 0.05, 0.08, 0.05)
 #: Share of a group's documents that the estimate is concentrated on.
 SHARE = 0.75
-STEPS = 4
+#: Concentration steps that every start takes before the best one goes on.
+TRIAL_STEPS = 2
+#: A step that lowers the logarithm of the determinant by no more than this is the last.
+CONVERGED = 1e-6
+#: Estimates of all groups are broadcast up to this size, by their counted rows.
+BROADCAST_BYTES = 32 << 20
 #: Groups with fewer documents are pooled: first by language, then all together.
 MIN_GROUP = 100
 #: Upper tail of the chi-square law whose quantile is the limit of the squared distance.
@@ -152,63 +157,143 @@ def _distance(p: int) -> Column:
     return total
 
 
-_STEP = "grp string, mu array<double>, prec array<double>"
+_STEP = "grp string, start int, mu array<double>, prec array<double>, logdet double"
+
+
+def _sums(p: int) -> list[Column]:
+    """Count, sums and sums of products. Whole numbers below 2^15 each, so longs hold a
+    group of 10^10 documents."""
+    xs = [F.col(f"x{i}") for i in range(p)]
+    return [F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)],
+            *[F.sum(xs[i] * xs[j]).alias(f"q{i}_{j}") for i in range(p) for j in range(i, p)]]
+
+
+def moments(r, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance from a group's exact sums."""
+    n = float(r.n)
+    mean = np.array([float(getattr(r, f"s{i}")) for i in range(p)]) / n / GRID
+    second = np.zeros((p, p))
+    for i in range(p):
+        for j in range(i, p):
+            second[i, j] = second[j, i] = float(getattr(r, f"q{i}_{j}")) / n / GRID / GRID
+    return mean, second - np.outer(mean, mean)
+
+
+def consistency(share: float, p: int) -> float:
+    """The scatter of the closest share of a normal law is too small by this factor."""
+    return share / (1 - chi_square_tail(chi_square_quantile(1 - share, p), p + 2))
 
 
 def _estimate(sums: DataFrame, p: int, share: float) -> DataFrame:
-    """Location and inverse scatter per group from its exact sums: linear algebra
-    on one row per group. ``share``: kept share, for the consistency factor."""
+    """Location, inverse scatter and its log determinant for each (grp, start), from exact
+    sums: linear algebra on one row per group. ``share``: kept share, for consistency."""
     ship(sums)
-    floors = np.diag(np.square(np.array(FLOORS)))
-    # The scatter of the closest share of a normal law is too small by this factor.
-    factor = share / (1 - chi_square_tail(chi_square_quantile(1 - share, p), p + 2))
+    floors, factor = np.diag(np.square(np.array(FLOORS))), consistency(share, p)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
-                n = float(r.n)
-                mean = np.array([float(getattr(r, f"s{i}")) for i in range(p)]) / n / GRID
-                second = np.zeros((p, p))
-                for i in range(p):
-                    for j in range(i, p):
-                        second[i, j] = second[j, i] = float(getattr(r, f"q{i}_{j}")) / n / GRID / GRID
-                scatter = factor * (second - np.outer(mean, mean)) + floors
-                out.append((r.grp, mean.tolist(), np.linalg.inv(scatter).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["grp", "mu", "prec"])
+                mean, scatter = moments(r, p)
+                scatter = factor * scatter + floors
+                out.append((r.grp, r.start, mean.tolist(), np.linalg.inv(scatter).ravel().tolist(),
+                            float(np.linalg.slogdet(scatter)[1])))
+            yield pd.DataFrame(out, columns=["grp", "start", "mu", "prec", "logdet"])
 
     return sums.mapInPandas(solve, _STEP)
 
 
-def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """(grp, mu, prec) from ``rows`` (grp, x0, x1, ...), one row per group."""
+def _starts(rows: DataFrame, p: int, hint) -> DataFrame:
+    """Three deterministic starts for each group: medians with median absolute deviations;
+    mean and covariance; medians with the correlations of the standardised statistics'
+    hyperbolic tangents, which far values hardly move."""
+    # The values are whole numbers of a bounded range, so exact percentiles keep bounded counts.
+    mid = written(rows.groupBy("grp").agg(*[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(p)]), "medians")
+    spread = written(rows.join(hint(mid), "grp").groupBy("grp").agg(
+        *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
+        *[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i in range(p)]), "spreads")
+    scale = [F.sqrt(F.pow(F.col(f"d{i}") * F.lit(1.4826 / GRID), F.lit(2.0)) + F.lit(FLOORS[i] ** 2)) for i in range(p)]
+    # Rounded like the statistics, so that sums are exact.
+    bent = rows.join(hint(spread), "grp").select("grp", *[
+        F.round(F.tanh((F.col(f"x{i}") - F.col(f"m{i}")) / F.lit(float(GRID)) / scale[i]) * GRID).cast("bigint").alias(f"x{i}")
+        for i in range(p)])
+    sums = rows.groupBy("grp").agg(*_sums(p)).withColumn("start", F.lit(1)).unionByName(
+        bent.groupBy("grp").agg(*_sums(p)).withColumn("start", F.lit(2)))
+    both = sums.join(hint(spread), "grp")
+    ship(rows)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                mean, cov = moments(r, p)
+                mid = np.array([getattr(r, f"m{i}") for i in range(p)], dtype=float) / GRID
+                sd = np.sqrt(np.square(np.array([getattr(r, f"d{i}") for i in range(p)], dtype=float) * 1.4826 / GRID)
+                             + np.square(FLOORS))
+                for start, mu, scatter in starts_from(int(r.start), mean, cov, mid, sd):
+                    out.append((r.grp, start, mu.tolist(), np.linalg.inv(scatter).ravel().tolist(),
+                                float(np.linalg.slogdet(scatter)[1])))
+            yield pd.DataFrame(out, columns=["grp", "start", "mu", "prec", "logdet"])
+
+    return written(both.mapInPandas(solve, _STEP), "estimate")
+
+
+def starts_from(kind: int, mean: np.ndarray, cov: np.ndarray, mid: np.ndarray, sd: np.ndarray) -> list:
+    """(start, location, scatter) from the moments of the statistics (1, which gives the start
+    of medians alone as well) or of their tangents (2)."""
+    if kind == 1:
+        return [(0, mid, np.diag(np.square(sd))), (1, mean, cov + np.diag(np.square(FLOORS)))]
+    width = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+    corr = cov / np.outer(width, width)
+    np.fill_diagonal(corr, 1.0)
+    # A little of the identity: statistics that hardly vary leave the matrix near singular.
+    return [(2, mid, np.outer(sd, sd) * (0.95 * corr + 0.05 * np.eye(len(sd))))]
+
+
+def estimates(rows: DataFrame, share: float = SHARE) -> DataFrame:
+    """(grp, mu, prec) from ``rows`` (grp, x0, x1, ...), one row per group: the minimum
+    covariance determinant over deterministic starts.
+
+    Every start takes TRIAL_STEPS concentration steps: the closest share of the group's
+    documents by the estimate gives the next. The start of the smallest determinant then
+    goes on until a step no longer lowers it; at last one reweighting step.
+    """
     p = len(STATISTICS)
     xs = [f"x{i}" for i in range(p)]
-    sums = [F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)],
-            *[F.sum(F.col(xs[i]) * F.col(xs[j])).alias(f"q{i}_{j}") for i in range(p) for j in range(i, p)]]
-    # Start: medians, and deviations from them, coordinate by coordinate. The values are
-    # whole numbers of a bounded range, so exact percentiles keep bounded counts.
-    mid = written(rows.groupBy("grp").agg(*[F.percentile(x, F.lit(0.5)).alias(f"m{i}")
-                                            for i, x in enumerate(xs)]), "medians")
-    spread = rows.join(mid, "grp").groupBy("grp").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
-        *[F.percentile(F.abs(F.col(x) - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i, x in enumerate(xs)])
-    prec = [F.lit(0.0)] * (p * p)
-    for i in range(p):
-        sd = F.col(f"d{i}") * F.lit(1.4826 / GRID)
-        prec[i * p + i] = F.lit(1.0) / (sd * sd + F.lit(FLOORS[i] ** 2))
-    now = written(spread.select("grp", F.array(*[F.col(f"m{i}") / F.lit(float(GRID)) for i in range(p)]).alias("mu"),
-                                F.array(*prec).alias("prec")), "estimate")
-    for _ in range(steps):
-        far = rows.join(now, "grp").select("grp", *xs, F.floor(F.log2(F.lit(1.0) + _distance(p)) * 64)
-                                           .cast("bigint").alias("far"))
-        limits = written(far.groupBy("grp").agg(F.percentile("far", F.lit(share)).alias("limit")), "limits")
-        close = far.join(limits, "grp").filter("far <= limit")
-        now = written(_estimate(close.groupBy("grp").agg(*sums), p, share), "estimate")
+    groups = rows.select("grp").distinct().count()
+    # A row of a group's estimate: its inverse scatter, its location and its name.
+    hint = F.broadcast if groups * 8 * (p * p + p + 16) * 3 <= BROADCAST_BYTES else (lambda df: df)
+
+    def step(now: DataFrame) -> DataFrame:
+        far = rows.join(hint(now), "grp").select("grp", "start", *xs, F.floor(F.log2(F.lit(1.0) + _distance(p)) * 64)
+                                                 .cast("bigint").alias("far"))
+        limits = written(far.groupBy("grp", "start").agg(F.percentile("far", F.lit(share)).alias("limit")), "limits")
+        close = far.join(hint(limits), ["grp", "start"]).filter("far <= limit")
+        return written(_estimate(close.groupBy("grp", "start").agg(*_sums(p)), p, share), "estimate")
+
+    def least(*frames: DataFrame) -> DataFrame:
+        """The estimate of the smallest determinant of each group; ties to the first start."""
+        every = frames[0]
+        for f in frames[1:]:
+            every = every.unionByName(f)
+        best = every.groupBy("grp").agg(F.min_by(F.struct("start", "mu", "prec", "logdet"), F.struct("logdet", "start")).alias("b"))
+        return written(best.select("grp", "b.*"), "estimate")
+
+    now = _starts(rows, p, hint)
+    for _ in range(TRIAL_STEPS):
+        now = step(now)
+    best = least(now)
+    going = best
+    while not going.isEmpty():
+        after = step(going)
+        lower = (after.join(going.select("grp", F.col("logdet").alias("was")), "grp")
+                 .filter(F.col("logdet") < F.col("was") - F.lit(CONVERGED)).drop("was"))
+        going = written(lower, "estimate")
+        best = least(best, going)
     # One step over all that are within the usual 97.5 % of the estimate.
-    inner = rows.join(now, "grp").filter(_distance(p) <= F.lit(chi_square_quantile(0.025, p)))
-    again = _estimate(inner.groupBy("grp").agg(*sums), p, 0.975)
-    both = now.withColumnRenamed("mu", "mu0").withColumnRenamed("prec", "prec0").join(again, "grp", "left")
+    inner = rows.join(hint(best), "grp").filter(_distance(p) <= F.lit(chi_square_quantile(0.025, p)))
+    again = _estimate(inner.groupBy("grp", "start").agg(*_sums(p)), p, 0.975).select("grp", "mu", "prec")
+    both = best.select("grp", F.col("mu").alias("mu0"), F.col("prec").alias("prec0")).join(again, "grp", "left")
     return written(both.select("grp", F.coalesce("mu", "mu0").alias("mu"), F.coalesce("prec", "prec0").alias("prec")),
                    "estimate")
 
@@ -242,7 +327,9 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     found = estimates(with_group(fit, "inner").select("grp", *[f"x{i}" for i in range(p)]))
     sizes = with_group(fit, "inner").groupBy("grp").agg(F.count("*").alias("members"))
     limit = chi_square_quantile(TAIL, p)
-    far = with_group(rows, "left").join(found.join(sizes, "grp"), "grp", "left")
+    judges = written(found.join(sizes, "grp"), "judges")
+    small = judges.count() * 8 * (p * p + p + 16) <= BROADCAST_BYTES
+    far = with_group(rows, "left").join(F.broadcast(judges) if small else judges, "grp", "left")
     distance = F.when(~F.col("base_failed"), _distance(p))
     kept = ~F.col("base_failed") & ((F.col("members") <= p) | F.coalesce(F.col("distance") <= limit, F.lit(True)))
     return far.withColumn("distance", distance).select(*base, "distance", kept.alias("kept"))
