@@ -137,7 +137,7 @@ def test_lifetime_figures_of_a_window_read_no_hour_outside_it(spark, stored, mon
 
     monkeypatch.setattr(pipeline.marts, "plant_efficiency", watched)
     m.materialize(root)
-    assert {f.split("/vatio/")[1].split("/")[1] for f in seen["files"]} == {"plant_days", "plants_geo"}
+    assert {f.removeprefix("file://").removeprefix("file:").split(root.removeprefix("file:"))[1].split("/")[1] for f in seen["files"]} == {"plant_days", "plants_geo"}
     again = {r.id_central: r for r in spark.read.parquet(f"{root}/plant_efficiency").collect()}
     assert again == full and full
 
@@ -344,3 +344,16 @@ def test_grain_finer_than_the_model_is_refused(models):
     with pytest.raises(ValueError, match="not one of"):
         query_metrics({"fact_hourly": models.fact_hourly}, ["generacion"], grain="minute")
     assert query_metrics({"fact_hourly": models.fact_hourly}, ["generacion"], grain="hour").count() > 0
+
+
+# ---- scratch -------------------------------------------------------------------
+
+def test_scratch_ends_with_the_application(tmp_path):
+    """The driver's folder under the shared one is there while it runs, and gone afterwards."""
+    code = ("import sys; from vatio.session import get_session, scratch_path; "
+            "s = get_session('local[1]', conf={'spark.checkpoint.dir': sys.argv[1]}); "
+            "p = scratch_path(s, 'x'); s.range(3).write.parquet(p); print(s.read.parquet(p).count()); s.stop()")
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path)], check=True, capture_output=True, text=True)
+    assert out.stdout.split()[-1] == "3"
+    left = [p for p in tmp_path.rglob("*") if "vatio" in p.parts and p.is_file()]
+    assert not left

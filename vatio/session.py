@@ -75,10 +75,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
+_RUN_FOLDERS: dict[str, str] = {}
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """The application's own folder under the shared checkpoint folder. The file system
+    of the driver deletes it when the driver ends."""
+    root, key = checkpoint_root(spark).rstrip("/"), session_key(spark)
+    if key is None:
+        return f"{root}/vatio"
+    name = f"{key}|{root}"
+    if name not in _RUN_FOLDERS:
+        folder = f"{root}/vatio/{key}"
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _RUN_FOLDERS[name] = folder
+    return _RUN_FOLDERS[name]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/vatio/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location under the shared checkpoint folder, for the life of the application."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def session_key(spark: SparkSession) -> str | None:
