@@ -27,5 +27,5 @@ def test_query_equals_sql(spark, name):
     assert values([tuple(r) for r in got.collect()], got.columns) == values(want.fetchall(), columns)
 
 
-def test_ten_operators_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))

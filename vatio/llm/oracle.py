@@ -115,5 +115,58 @@ ranked AS (
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
 """
 
+OP13 = f"""
+WITH RECURSIVE {_CRC32}
+runs AS (
+  SELECT k, run, count(*) AS times, hex(encode(k || ':' || run)) AS hx FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+summed AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(hx) // 2),
+    lambda i: CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[1 + xor(c & 255, b)]))) AS h
+  FROM runs, crc_table),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INTEGER))
+      || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word FROM summed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cut AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, CAST(unnest(range(length(word))) AS INTEGER) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT p.word, count(*) AS n_near, min({{'m': -w.n, 'near': p.near}}) AS top
+  FROM near p JOIN words w ON p.near = w.word GROUP BY p.word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.m >= 10 * n THEN top.near END AS form,
+    CASE WHEN -top.m >= 10 * n THEN -top.m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS steps FROM formed
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)
+"""
+OP12 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+usable AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(x) > 0
+    AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.label = b.label AND len(a.x) = len(b.x) AND a.r <> b.r
+  WHERE list_dot_product(a.x, b.x) >= 0.98 * sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))),
+reach AS (SELECT a, b FROM links UNION SELECT q.a, l.b FROM reach q JOIN links l ON q.b = l.a),
+least AS (SELECT q.a AS r, min(o.vec_id) AS other FROM reach q JOIN v o ON q.b = o.r GROUP BY q.a),
+counted AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+  coalesce(vec_id = least(vec_id, coalesce(other, vec_id)), false) AS kept
+FROM v LEFT JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
 ORACLE = {"op2_decontaminate": OP2, "op4_mix_sources": OP4, "op6_rendezvous_shards": OP6,
-          "op11_lexical_search": OP11}
+          "op11_lexical_search": OP11, "op12_embedding_dedup": OP12, "op13_spelling_variants": OP13}
