@@ -171,3 +171,20 @@ def test_slots_are_gapless_with_repeated_rows(spark, tmp_path):
     for s in {r["shard"] for r in got}:
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
     assert {(r["size"], r["text_crc32"]) for r in got} == {(5, zlib.crc32(b"same")), (1, 0)}
+
+
+def test_texts_of_one_id_lie_in_many_ranges(spark):
+    """The slots' order spreads the different texts of one hot id."""
+    from vatio.llm.queries import QUERIES
+    import tempfile
+    folder = tempfile.mkdtemp()
+    spark.createDataFrame([(5, f"text {i}") for i in range(300)] + [(None, "same")] * 20, "doc_id long, text string") \
+        .write.parquet(f"{folder}/documents.parquet")
+    got = QUERIES["op6_rendezvous_shards"](spark, folder)
+    rows = got.collect()
+    hot = [r for r in rows if r["doc_id"] == 5]
+    assert len({r["shard"] for r in hot}) == 1 and sorted(r["slot"] for r in rows if r["shard"] == hot[0]["shard"]) \
+        == list(range(sum(r["shard"] == hot[0]["shard"] for r in rows)))
+    digest = lambda r: __import__("hashlib").md5(f"5:{r['size']}:{r['text_crc32']}".encode()).hexdigest()
+    assert [digest(r) for r in sorted(hot, key=lambda r: r["slot"])] == sorted(map(digest, hot))
+    assert len({digest(r)[:3] for r in hot}) > 200

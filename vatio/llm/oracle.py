@@ -25,7 +25,7 @@ placed AS (SELECT *, list_position(d[1:16], list_min(d[1:16])) - 1 AS shard,
     list_position(d, list_min(d)) - 1 AS grown_shard FROM draws)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
   CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard
-    ORDER BY md5(k), doc_id, size, text_crc32) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+    ORDER BY md5(k || ':' || size || ':' || text_crc32), doc_id, size, text_crc32) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
 FROM placed
 """
 

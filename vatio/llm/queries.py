@@ -72,8 +72,10 @@ def op6_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select(
         "doc_id", (F.octet_length(_text()) + 1).cast("bigint").alias("size"),
-        F.crc32(_text().cast("binary")).alias("text_crc32"),
-        F.md5(sharding.key_text(F.col("doc_id")).cast("binary")).alias("digest"))
+        F.crc32(_text().cast("binary")).alias("text_crc32"))
+    # Ranges of slots are cut by what the slots are ordered by: texts that share an id are spread as well.
+    rows = rows.withColumn("digest", F.md5(F.concat_ws(":", sharding.key_text(F.col("doc_id")), F.col("size").cast("string"),
+                                                       F.col("text_crc32").cast("string")).cast("binary")))
     placed = sharding.assign_shards(rows, "doc_id", (1.0,) * 16, "shard", "grown_shard")
     return sharding.number_slots(placed, "shard", "digest", ["doc_id", "size", "text_crc32", "grown_shard"]) \
         .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

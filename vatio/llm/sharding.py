@@ -60,7 +60,9 @@ def number_slots(rows: DataFrame, shard: str, key_digest: str, columns: Sequence
     """One row per input row with ``shard``, ``columns`` and a gapless ``slot``
     from 0 in each shard, in the order of (``key_digest``, ``columns``).
 
-    Equal rows collapse to a count before the shuffle. A shard is cut into
+    ``key_digest`` should differ between rows that differ in ``columns``: a digest of an id
+    alone would leave all texts of one id in one range. Equal rows collapse to a count
+    before the shuffle. A shard is cut into
     16**RANGE_DIGITS ranges of the digest; the ranges' counts (a bounded table:
     shards times ranges) give each its first slot, and a window numbers inside
     a range only. Counts are spread out again at the end.
