@@ -64,11 +64,24 @@ def test_search_is_exact_when_every_bound_is_loose(spark, monkeypatch):
     expected = ranked(docs, items)
     monkeypatch.setattr(lexical_search, "FIRST_ROUND", 2)
     monkeypatch.setattr(lexical_search, "GROWTH", 2)
-    assert search(spark, docs, items) == expected
+    assert search(spark, docs, items, width=64) == expected
     monkeypatch.setattr(lexical_search, "BLOCK_TERMS", 30)      # several blocks of queries
     assert search(spark, docs, items) == expected
 
 
+def test_search_finds_all_copies_of_a_text_that_few_tasks_proposed(spark, monkeypatch):
+    """Copies lie behind documents of higher bounds and lower scores in other tasks."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    query = " ".join(words[:10])
+    docs = [(1000 - i, query + f" tail{i % 2}") for i in range(8)]
+    docs += [(2000 + i, " ".join(rng.choices(words[10:], k=60))) for i in range(200)]
+    items = [(0, query), (1, words[3])]
+    monkeypatch.setattr(lexical_search, "FIRST_ROUND", 1)
+    for width in (16, 200, 1 << 16):
+        assert search(spark, docs, items, width=width) == ranked(docs, items)
+
+
 def test_search_bounds_hold_and_frequencies_round_up():
     f = lexical_search.FREQUENCY
     assert (np.diff(f) > 0).all() and len(f) == 256

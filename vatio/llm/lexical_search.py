@@ -75,7 +75,7 @@ _TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binar
 _NAMES = [c.split()[0] for c in INDEX.split(", ")]
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """A row for each document (id, hash, n, coordinates, frequencies), and rows of a
     term and the number of the task's documents that hold it."""
     held: Counter = Counter()
@@ -95,7 +95,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = terms(text.as_py())
             tf = Counter(found)
             n.append(len(found))
-            at = np.fromiter((zlib.crc32(t) % WIDTH for t in tf), dtype=np.int64, count=len(tf))
+            at = np.fromiter((zlib.crc32(t) % width for t in tf), dtype=np.int64, count=len(tf))
             most = np.fromiter(tf.values(), dtype=np.int64, count=len(tf))
             order = np.argsort(at, kind="stable")
             at, most = at[order], most[order]
@@ -119,11 +119,12 @@ def _given(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(t, F.lit("")).cast("binary").alias("t"))
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """(sketches, term counts), both written: (doc_id, hash, n, coords, freqs) for each
     document with a term, and (term, df) as partial counts of the tasks."""
     ship(docs)
-    both = written(_given(docs, id_col, text_col).mapInArrow(_index, INDEX), "search-index")
+    both = written(_given(docs, id_col, text_col).mapInArrow(partial(_index, width=width), INDEX), "search-index")
     return (both.filter("term IS NULL AND n > 0").drop("term", "df"),
             both.filter("term IS NOT NULL").select("term", "df"))
 
@@ -131,17 +132,17 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 class Block:
     """The items of one block of queries: their terms, weights and thresholds."""
 
-    def __init__(self, rows: list) -> None:
+    def __init__(self, rows: list, width: int = WIDTH) -> None:
         self.terms = [[(bytes(t["term"]), int(t["w"]), int(t["times"])) for t in r["terms"]] for r in rows]
         hits: dict[int, Counter] = {}
         for i, ts in enumerate(self.terms):
             for t, w, times in ts:
-                hits.setdefault(zlib.crc32(t) % WIDTH, Counter())[i] += w * times
+                hits.setdefault(zlib.crc32(t) % width, Counter())[i] += w * times
         self.coords = np.array(sorted(hits), dtype=np.int64)
         self.start = np.cumsum([0, *(len(hits[c]) for c in self.coords)])
         self.item = np.array([i for c in self.coords for i in hits[c]], dtype=np.int64)
         self.weight = np.array([w for c in self.coords for w in hits[c].values()], dtype=np.float64)
-        self.slot = np.full(WIDTH, -1, dtype=np.int64)
+        self.slot = np.full(width, -1, dtype=np.int64)
         self.slot[self.coords] = np.arange(len(self.coords))
 
     def bounds(self, coords: list[bytes], freqs: list[bytes], m: np.ndarray) -> np.ndarray:
@@ -176,13 +177,13 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
 def _bounded(batches: Iterator[pa.RecordBatch], block: Block, floor: np.ndarray, floor_id: np.ndarray,
              best: int | None) -> Iterator[pa.RecordBatch]:
     """(item, bound, hash, doc_id) of the sketches whose bound is above an item's floor (or equal to it
-    with a smaller id). With ``best``: only bounds that are not below the task's so many best so far."""
+    with an id that is not larger). With ``best``: only bounds that are not below the task's so many best so far."""
     items = len(block.terms)
     lead = np.zeros((best or 0, items))
     for b in _slices(batches, max(16, min(1024, CELLS // items))):
         ids = np.array([2 ** 63 - 1 if i is None else i for i in b.column(0).to_pylist()], dtype=np.int64)
         up = block.bounds(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_numpy(zero_copy_only=False))
-        kept = (up > 0) & ((up > floor) | ((up == floor) & (ids[:, None] < floor_id)))
+        kept = (up > 0) & ((up > floor) | ((up == floor) & (ids[:, None] <= floor_id)))
         if best is not None:
             both = np.concatenate([lead, up])
             lead = np.partition(both, len(both) - best, axis=0)[len(both) - best:]
@@ -250,8 +251,8 @@ def _search(block: Block, sketches: DataFrame, given: DataFrame, top: int) -> Da
             F.max("bound").alias("bound"), F.min("doc_id").alias("doc_id"),
             F.sort_array(F.collect_list(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))).alias("ids"))
 
-    def rescore(chosen: DataFrame) -> DataFrame:
-        """(item, doc_id, score) of the chosen texts, one row for each of their ids."""
+    def scores(chosen: DataFrame) -> DataFrame:
+        """(item, hash, score) of the chosen texts."""
         wanted = written(chosen.groupBy("hash", F.col("doc_id").alias("lead"))
                          .agg(F.sort_array(F.collect_list("item")).alias("items")), "search-wanted")
         hint = F.broadcast if wanted.count() <= BROADCAST_ROWS else (lambda df: df)
@@ -259,9 +260,13 @@ def _search(block: Block, sketches: DataFrame, given: DataFrame, top: int) -> Da
         met = given.join(hint(wanted), (given["hash"] == wanted["hash"]) & given["doc_id"].eqNullSafe(wanted["lead"])) \
             .select("lead", wanted["hash"], "t", "items").dropDuplicates(["lead", "hash"])
         m = sketches.join(hint(wanted.select("hash")), "hash").groupBy("hash").agg(F.first("m").alias("m"))
-        scored = met.join(m, "hash").select("lead", "hash", "t", "m", "items").mapInArrow(
+        rows = met.join(m, "hash").select("lead", "hash", "t", "m", "items").mapInArrow(
             partial(_rescored, block=block), "item int, hash bigint, lead bigint, score bigint")
-        return (chosen.select("item", "hash", "ids").join(scored.drop("lead"), ["item", "hash"])
+        return written(rows.select("item", "hash", "score"), "search-scores")
+
+    def found(chosen: DataFrame, scored: DataFrame) -> DataFrame:
+        """(item, doc_id, score) of scored texts, one row for each of their ids."""
+        return (chosen.select("item", "hash", "ids").join(scored, ["item", "hash"])
                 .select("item", F.explode("ids.doc_id").alias("doc_id"), "score").filter("score > 0"))
 
     def thresholds(best: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -272,21 +277,24 @@ def _search(block: Block, sketches: DataFrame, given: DataFrame, top: int) -> Da
             floor_id[r["item"]] = np.iinfo(np.int64).max if r["doc_id"] is None else r["doc_id"]
         return floor, floor_id
 
-    def ranked(found: DataFrame) -> DataFrame:
-        return written(_leading(found.select("item", "doc_id", "score"), ["item"], _order(F.desc("score")), top), "search-best")
+    def ranked(rows: DataFrame) -> DataFrame:
+        return written(_leading(rows.select("item", "doc_id", "score"), ["item"], _order(F.desc("score")), top), "search-best")
 
     by_bound = _order(F.desc("bound"))
     start = written(texts(bounded(np.zeros(items), np.full(items, -1, dtype=np.int64), FIRST_ROUND)), "search-start")
     start = written(_leading(start, ["item"], by_bound, FIRST_ROUND).drop("rank"), "search-first")
-    best = ranked(rescore(start))
-    floor, floor_id = thresholds(best)
-    left = texts(bounded(floor, floor_id, None)).join(start.select("item", "hash"), ["item", "hash"], "left_anti")
-    left = written(left, "search-left")
+    scored = scores(start)
+    floor, floor_id = thresholds(ranked(found(start, scored)))
+    # All that reaches the threshold, with all its ids: the first round may have seen a
+    # text in some tasks only.
+    every = written(texts(bounded(floor, floor_id, None)), "search-every")
+    best = ranked(found(every, scored))
+    left = written(every.join(scored, ["item", "hash"], "left_anti"), "search-left")
     most = FIRST_ROUND
     while not left.isEmpty():
         most *= GROWTH
         taken = written(_leading(left, ["item"], by_bound, most).drop("rank"), "search-round")
-        best = ranked(best.drop("rank").unionByName(rescore(taken)))
+        best = ranked(best.drop("rank").unionByName(found(taken, scores(taken))))
         floor, floor_id = thresholds(best)
         floors = spark.createDataFrame(list(zip(range(items), (int(f) for f in floor), (int(i) for i in floor_id))),
                                        "item int, floor bigint, floor_id bigint")
@@ -299,10 +307,11 @@ def _search(block: Block, sketches: DataFrame, given: DataFrame, top: int) -> Da
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc_id", text_col: str = "text",
-           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(item_id, rank, doc_id, score): the best documents of each item; see the contract of op11."""
+           item_col: str = "item_id", item_text: str = "text", width: int = WIDTH) -> DataFrame:
+    """(item_id, rank, doc_id, score): the best documents of each item; see the contract of op11.
+    Ids of documents are whole numbers. A smaller ``width`` makes sketches smaller and bounds looser."""
     spark = docs.sparkSession
-    sketches, counts = build_index(docs, id_col, text_col)
+    sketches, counts = build_index(docs, id_col, text_col, width)
     total = sketches.agg(F.count(F.lit(1)), F.sum("n")).first()
     n_docs, n_terms = int(total[0]), int(total[1] or 0)
     sketches = sketches.withColumn("m", F.expr(f"25 + (75 * n * {n_docs}L) div {max(1, n_terms)}L"))
@@ -316,7 +325,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc
             continue
         names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(rows)],
                                       f"item int, item_id {dict(items.dtypes)[item_col]}")
-        best = _search(Block(rows), sketches, given, top).join(F.broadcast(names), "item") \
+        best = _search(Block(rows, width), sketches, given, top).join(F.broadcast(names), "item") \
             .select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
         out = best if out is None else out.unionByName(best)
     if out is None:
