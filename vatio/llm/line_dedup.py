@@ -1,47 +1,63 @@
 """Line dedup by an exact set-similarity join: the words of a line are ordered
 by rarity, lines that share a word of their prefixes are candidates, length,
 positional and bitmap filters thin them, the exact Jaccard similarity of the
-word sets decides, and later matches are removed. DataFrame functions only.
-
-A line is its set of lower-cased words. Two sets of a and b words reach the
-similarity t only if they share t / (1 + t) * (a + b) words, so one of the
-first a - ceil(t a) + 1 words of either, in any order common to all lines, is
-shared. The order is by rarity over all documents: exact occurrences for words
-of at least one in 2**FREQUENT of them (so at most 2**FREQUENT words), the mean
-occurrences of the words of its length for any other word. That table is of
-bounded size, so prefixes are cut where the lines lie.
-
-Equal lines are one record, put together before words are dealt out. In a list
-of lines that share a prefix word, each line is compared with the first one,
-and with all others where the list has up to SHORT_LIST lines. Longer lists are
-dealt with once these links are known. One minus the Jaccard similarity is a
-metric, so lines that lie within half the allowed distance of one first line
-(a ball) all match each other: such pairs are counted by the lines' places in
-the ball, and all other pairs are compared. So close copies by the thousand
-cost a comparison each, and no line loses a link."""
+word sets decides, and later matches are removed. Words are counted, ordered and
+listed with numpy in Arrow tasks; Spark does the shuffles and the joins (the
+README gives the figures of the native form, which did not meet the limits).
+
+A line is its set of lower-cased words, named by a 64-bit hash of its text. Two
+sets of a and b words reach the similarity t only if they share t / (1 + t) *
+(a + b) words, so the first word that they share, in any order common to all
+lines, stands early in both. The order is by a sketch: occurrences over all
+documents, summed on WIDTH hashed counters in whole, so that a word is never
+counted too low. The ranks of the counters, a byte each, go to the tasks; their
+number is fixed.
+
+A word's list holds the lines with the word in their prefix. A word that occurs
+fewer than HOT times has a list that fits one task; the list of any other is
+split by the names of its lines. Of lists up to ``short_list`` lines all pairs are
+compared at once. Of a longer list every line meets the first. One minus the
+Jaccard similarity is a metric, so lines within half the allowed distance of one
+line (a ball) all match each other: pairs of one ball are counted by the lines'
+places in it. All other pairs of the list are compared in cells of two blocks of
+about BLOCK lines; a ball that fills blocks of its own has no cells among them.
+So close copies by the thousand cost a comparison each, and no line loses a
+link."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from xxhash import xxh64_intdigest
 
-from .common import connected_components, own_names, plain, plain_names, row_key, written
+from .common import connected_components, own_names, plain, plain_names, row_key, ship, written
 
 MIN_SIMILARITY = 0.8
-#: Words of a share of 2**-FREQUENT and more are ranked by their own occurrences.
-FREQUENT = 16
+#: Counters of the sketch of occurrences.
+WIDTH = 1 << 20
+#: Ranks of a counter per doubling of it.
+STEPS = 6
+#: Occurrences from which a word's list is split between tasks.
+HOT = 1 << 16
 #: Lists of up to so many lines are compared pair by pair at once.
-SHORT_LIST = 16
-#: Word lengths told apart when rarer words are ranked.
-LENGTHS = 48
-HASH_BITS = 56
-#: Rows of a side that may be broadcast (16 bytes each); above, Spark shuffles.
-BROADCAST_ROWS = 2_000_000
+SHORT_LIST = 512
+#: Lines of a block of a longer list.
+BLOCK = 2048
+#: Bytes of a side that may be broadcast; above, Spark shuffles.
+BROADCAST_BYTES = 48 << 20
+#: Documents, and postings, that a task works on at a time.
+PIECE, BUFFER = 2000, 100_000
 _SPACES = r"[\x20\x09-\x0D]+"
 _NO_ID = (1 << 63) - 1
+LISTED = "tok long, salt int, k long, n int, rn int, bits long"
+MET = "listed boolean, tok long, k long, n int, rn int, bits long, o_k long"
 
 
 def _words(line: Column) -> Column:
@@ -71,84 +87,220 @@ def _lines(docs: DataFrame) -> DataFrame:
         "doc", F.shiftleft(F.col("no").cast("bigint"), 31).bitwiseOR(F.col("mark")).alias("part"), "line")
 
 
-def _line_key(line: Column) -> list[Column]:
-    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
-
-
 def _needed(a: Column, b: Column, similarity: float) -> Column:
     """Least number of words that sets of a and b words share at a similarity."""
     return F.ceil(F.lit(similarity / (1 + similarity)) * (a + b) - F.lit(1e-9))
 
 
-def rarity(docs: DataFrame) -> tuple[list[tuple[int, list[int]]], list[int]]:
-    """Classes of words from the commonest rare to the rarest: (class, hashes) of the
-    frequent words, and the class of other words by length. Class 0 is rarest."""
-    words = docs.select(F.explode(F.split(F.lower("text"), _SPACES)).alias("w"))
-    counts = words.filter("w <> ''").select(F.xxhash64("w").alias("h"), F.least(F.char_length("w"), F.lit(LENGTHS))
-                                            .alias("len")).groupBy("h", "len").agg(F.count("*").alias("n"))
-    counts = written(counts, "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    floor = max(2, total >> FREQUENT)
-    # At most 2**FREQUENT words can have this share of all occurrences.
-    tiers: dict[int, list[int]] = {}
-    for h, n in counts.filter(F.col("n") >= floor).groupBy("h").agg(F.sum("n")).collect():
-        tiers.setdefault(int(math.log2(n)), []).append(h)
-    by_length = {r[0]: r[1] / r[2] for r in counts.filter(F.col("n") < floor).groupBy("len")
-                 .agg(F.sum("n"), F.count("*")).collect()}
-    scale = sorted({*(2.0 ** t for t in tiers), *by_length.values(), 0.0})
-    place = {v: i for i, v in enumerate(scale)}
-    lengths = [place[by_length.get(i, 0.0)] for i in range(LENGTHS + 1)]
-    return [(place[2.0 ** t], sorted(hs)) for t, hs in sorted(tiers.items(), reverse=True)], lengths
-
-
-def _ordered(tiers: list[tuple[int, list[int]]], lengths: list[int]) -> Column:
-    """The distinct words of ``line`` as numbers whose order is the rarity order:
-    the class in the high bits, a hash of the word below. SQL text, as it holds
-    up to 2**FREQUENT literals, which Spark looks up in hash sets."""
-    among = lambda hs: f"x.h IN ({', '.join(f'{h}L' for h in hs)})"
-    rank = f"element_at(array({', '.join(f'{c}L' for c in lengths)}), x.n + 1)"
-    if tiers:
-        cases = " ".join(f"WHEN {among(hs)} THEN {c}L" for c, hs in tiers)
-        rank = f"CASE WHEN {among([h for _, hs in tiers for h in hs])} THEN CASE {cases} END ELSE {rank} END"
-    words = f"array_remove(split(lower(line), r'{_SPACES}'), '')"
-    return F.expr(f"""sort_array(array_distinct(transform(
-        transform({words}, w -> named_struct('h', xxhash64(w), 'n', least(char_length(w), {LENGTHS}))),
-        x -> shiftleft({rank}, {HASH_BITS}) | (x.h & {(1 << HASH_BITS) - 1}L))))""")
+def _named_lines(docs: DataFrame) -> DataFrame:
+    return _lines(docs).select("doc", "part", F.xxhash64("line").alias("k"), "line")
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A written table, broadcast if its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def postings(docs: DataFrame, similarity: float) -> DataFrame:
-    """(tok, doc, part, n, rn, bits): the prefix words of the distinct lines, named
-    by their first occurrence, with the words of the line, the place in its order
-    and a parity bitmap of its set."""
+    """A written table, broadcast if its counted rows are few bytes."""
+    return F.broadcast(df) if df.count() * (16 + 8 * len(df.columns)) <= BROADCAST_BYTES else df
+
+
+def _words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, word, hash): of each word of lower-cased texts the row and the place of
+    the word in ``hash``, the hashes of the different words."""
+    words = pc.ascii_split_whitespace(texts)
+    row = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    coded = words.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if "" in names:  # spaces at the ends of a text
+        real = word != names.index("")
+        row, word = row[real], word[real]
+    return row, word, np.array([xxh64_intdigest(w) for w in names], dtype=np.uint64)
+
+
+def _count(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(width, dtype=np.int64)
+    for batch in batches:
+        for start in range(0, len(batch), PIECE):
+            _, word, h = _words_of(batch.column(0).slice(start, PIECE))
+            np.add.at(total, (h % np.uint64(width)).astype(np.int64), np.bincount(word, minlength=len(h)))
+    place = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(total[place])], ["place", "n"])
+
+
+def rarity(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
+    """The rank of each counter of the sketch, a byte that grows with its sum."""
+    sums = docs.select(F.lower("text").alias("text")).mapInArrow(partial(_count, width=width), "place int, n long")
+    table = sums.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(width, dtype=np.int64)
+    counts[table["place"].to_numpy()] = table["n"].to_numpy()
+    return np.minimum(255, np.floor(STEPS * np.log2(1 + counts))).astype(np.uint8)
+
+
+def _post(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, similarity: float, hot: int) -> Iterator[pa.RecordBatch]:
+    # At most so many lines have a word of a rank, and so many tasks share its list.
+    most = 2.0 ** ((np.arange(256) + 1) / STEPS)
+    shares = np.where(most > hot, np.ceil(most / hot), 0).astype(np.int64)
+    for batch in batches:
+        k, first = np.unique(batch.column("k").to_numpy(), return_index=True)
+        row, word, h = _words_of(batch.column("line").take(pa.array(first)))
+        rank = ranks[h % np.uint64(len(ranks))]
+        by_rarity = np.lexsort((h, rank))
+        order = np.empty(len(h), dtype=np.int64)
+        order[by_rarity] = np.arange(len(h))
+        key = np.unique((row << 32) | order[word])
+        row, word = key >> 32, by_rarity[key & 0xFFFFFFFF]
+        n = np.bincount(row, minlength=len(k))
+        start = np.cumsum(n) - n
+        rn = np.arange(len(key)) - start[row]
+        bits = np.bitwise_xor.reduceat(np.uint64(1) << ((h[word] >> np.uint64(40)) & np.uint64(63)), start) \
+            if len(key) else np.zeros(0, dtype=np.uint64)
+        keep = rn <= (n - np.ceil(similarity * n - 1e-9))[row]
+        row, word, rn = row[keep], word[keep], rn[keep]
+        share = shares[rank[word]]
+        salt = np.where(share > 0, (k[row] & 0x7FFFFFFF) % np.maximum(share, 1), -1)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(h[word].view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(k[row]),
+            pa.array(n[row].astype(np.int32)), pa.array(rn.astype(np.int32)), pa.array(bits[row].view(np.int64))],
+            ["tok", "salt", "k", "n", "rn", "bits"])
+
+
+def postings(docs: DataFrame, similarity: float, hot: int = HOT) -> DataFrame:
+    """(tok, salt, k, n, rn, bits): the prefix words of the lines k, with the number
+    of words of the line, the place of the word in their order and a parity bitmap of
+    the set. ``salt`` is -1 but for the shares of a frequent word's list. A line is
+    repeated at most once per batch of rows."""
+    ship(docs)
     ranks = rarity(docs)
-    cut = _lines(docs).select("doc", "part", *_line_key(F.col("line")), _ordered(*ranks).alias("set"))
-    sized = cut.select(
-        "k1", "k2", "doc", "part", F.size("set").alias("n"),
-        F.expr("aggregate(set, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int)))").alias("bits"),
-        F.slice("set", 1, F.size("set") - F.ceil(F.size("set") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1)
-        .alias("prefix"))
-    records = sized.groupBy("k1", "k2").agg(F.min(F.struct("doc", "part", "n", "bits", "prefix")).alias("r"))
-    # A word's hash is cut to 40 bits here: words that share them only add candidates.
-    return records.select("r.*").select("doc", "part", "n", "bits", F.posexplode(F.transform(
-        "prefix", lambda t: t.bitwiseAND((1 << 40) - 1))).alias("rn", "tok"))
-
-
-def _passes(a: str, b: str, similarity: float) -> Column:
-    """Length, positional and bitmap filters of a pair of postings of one word."""
-    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
-    need = _needed(na, nb, similarity)
-    # Words after the shared one bound what else can be shared; parity bits that
-    # differ bound from below how many words only one side has.
-    rest = F.least(na - F.col(f"{a}rn"), nb - F.col(f"{b}rn"))
-    before = F.least(F.col(f"{a}rn"), F.col(f"{b}rn"))
-    differ = F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits")))
-    return ((F.least(na, nb) >= F.lit(similarity) * F.greatest(na, nb) - F.lit(1e-9))
-            & (rest + before >= need) & (differ <= na + nb - 2 * need))
+    lines = _named_lines(docs).select("k", F.lower("line").alias("line"))
+    return lines.mapInArrow(partial(_post, ranks=ranks, similarity=similarity, hot=hot), LISTED)
+
+
+def _may_match(n, rn, bits, o_n, o_rn, o_bits, similarity: float):  # noqa: ANN001, ANN202 - arrays
+    """Length, positional and bitmap filters of pairs of postings of a word, for the
+    list of the first word that both lines have."""
+    need = np.ceil(similarity / (1 + similarity) * (n + o_n) - 1e-9)
+    # What stands before the word in either line is in that line only.
+    ok = (np.minimum(n, o_n) >= similarity * np.maximum(n, o_n) - 1e-9) & (np.minimum(n - rn, o_n - o_rn) >= need)
+    # Of a negative number numpy would count the bits of its absolute value.
+    return ok & (np.bitwise_count((bits ^ o_bits).view(np.uint64)) <= n + o_n - 2 * need)
+
+
+def _passes(similarity: float) -> Column:
+    """``_may_match`` of a posting and one named o_."""
+    n, o_n = F.col("n"), F.col("o_n")
+    need = _needed(n, o_n, similarity)
+    return ((F.least(n, o_n) >= F.lit(similarity) * F.greatest(n, o_n) - F.lit(1e-9))
+            & (F.least(n - F.col("rn"), o_n - F.col("o_rn")) >= need)
+            & (F.bit_count(F.col("bits").bitwiseXOR(F.col("o_bits"))) <= n + o_n - 2 * need))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """Sorted rows as columns with the starts and lengths of the runs of equal keys;
+    a run is never cut."""
+    def ready(table: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
+        cols = {c: table[c].to_numpy() for c in table.column_names}
+        new = np.zeros(len(table), dtype=bool)
+        new[:1] = True
+        for c in keys:
+            new[1:] |= cols[c][1:] != cols[c][:-1]
+        start = np.flatnonzero(new)
+        return cols, start, np.diff(np.append(start, len(table)))
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) < BUFFER:
+            continue
+        table = pa.Table.from_batches(held)
+        _, start, _ = ready(table)
+        if len(start) > 1:
+            yield ready(table.slice(0, start[-1]))
+            held = table.slice(start[-1]).to_batches()
+    if held:
+        yield ready(pa.Table.from_batches(held))
+
+
+def _met(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    one = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, dtype=np.int64)
+    two = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, dtype=np.int64)
+    return one, two
+
+
+def _meet(batches: Iterator[pa.RecordBatch], similarity: float, short_list: int) -> Iterator[pa.RecordBatch]:
+    for cols, _, _ in _runs(batches, ["tok", "salt"]):
+        tok, salt, k = cols["tok"], cols["salt"], cols["k"]
+        again = np.zeros(len(k), dtype=bool)
+        again[1:] = (tok[1:] == tok[:-1]) & (salt[1:] == salt[:-1]) & (k[1:] == k[:-1])
+        cols = {c: v[~again] for c, v in cols.items()}
+        tok, salt, k = cols["tok"], cols["salt"], cols["k"]
+        new = np.ones(len(k), dtype=bool)
+        new[1:] = (tok[1:] != tok[:-1]) | (salt[1:] != salt[:-1])
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(k)))
+        of = np.cumsum(new) - 1
+        end = (start + size)[of]
+        long_list = (size[of] > short_list) | (salt >= 0)
+        n, rn, bits = cols["n"], cols["rn"], cols["bits"]
+        one, pairs, step = np.flatnonzero(~long_list), [], 1
+        while len(one := one[end[one] > one + step]):
+            two = one + step
+            ok = _may_match(n[one], rn[one], bits[one], n[two], rn[two], bits[two], similarity)
+            pairs.append((k[one[ok]], k[two[ok]]))
+            step += 1
+        a, b = _met(pairs)
+        none = pa.nulls(len(a), pa.int64())
+        narrow = pa.nulls(len(a), pa.int32())
+        names = ["listed", "tok", "k", "n", "rn", "bits", "o_k"]
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(a), dtype=bool)), none, pa.array(a), narrow, narrow, none,
+                                          pa.array(b)], names)
+        m = int(long_list.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ones(m, dtype=bool)), *[pa.array(cols[c][long_list]) for c in ("tok", "k", "n", "rn", "bits")],
+             pa.nulls(m, pa.int64())], names)
+
+
+def _cross(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    for cols, start, size in _runs(batches, ["tok", "one", "two"]):
+        for s, m in zip(start, size):
+            run = {c: v[s:s + m] for c, v in cols.items()}
+            left = np.flatnonzero(run["side"] == 0)
+            right = np.flatnonzero(run["side"] == 1)
+            same = run["one"][0] == run["two"][0]
+            right = left if same else right
+            rows = max(1, (1 << 20) // max(1, len(right)))
+            for i in range(0, len(left), rows):
+                a, b = left[i:i + rows, None], right[None, :]
+                ok = (run["ball"][a] != run["ball"][b]) | (run["ball"][a] == 0)
+                if same:
+                    ok &= a < b
+                ok &= _may_match(*[run[c][a] for c in ("n", "rn", "bits")], *[run[c][b] for c in ("n", "rn", "bits")], similarity)
+                x, y = np.nonzero(ok)
+                x, y = run["k"][left[i:i + rows][x]], run["k"][right[y]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["k", "o_k"])
+
+
+def _in_cells(known: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(k, o_k): the pairs of the long lists (tok, k, n, rn, bits, ball) that may match and
+    are not of one ball. A list is cut into blocks by hash, a ball of a block or more into
+    blocks of its own; any two blocks meet in a cell, but those of one ball."""
+    sizes = written(known.groupBy("tok", "ball").agg(F.count("*").alias("m")), "list-balls")
+    own = sizes.select("tok", "ball", F.when(F.col("m") >= block, F.col("ball")).otherwise(0).alias("grp"), "m")
+    groups = own.groupBy("tok", "grp").agg(F.ceil(F.sum("m") / block).alias("blocks"))
+    groups = written(groups, "list-groups")
+    blocks = groups.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    # A row per block of a list.
+    blocks = written(blocks.withColumn("no", F.row_number().over(Window.partitionBy("tok").orderBy("grp", "b"))), "list-blocks")
+    other = blocks.select("tok", F.col("no").alias("two"), F.col("grp").alias("o_grp"))
+    cells = written(blocks.join(other, "tok").filter("no <= two and (grp <> o_grp or grp = 0)").select(
+        "tok", F.col("no").alias("one"), "two"), "list-cells")
+    ends = cells.select("tok", F.col("one").alias("no"), "one", "two", F.lit(0).alias("side")).unionByName(
+        cells.filter("one <> two").select("tok", F.col("two").alias("no"), "one", "two", F.lit(1).alias("side")))
+    big = written(own.filter("grp <> 0").select("tok", "ball", "grp"), "list-own")
+    placed = (known.join(_small(big), ["tok", "ball"], "left").withColumn("grp", F.coalesce("grp", F.lit(0)))
+              .join(_small(groups), ["tok", "grp"]).withColumn("b", F.pmod(F.xxhash64("k", "tok"), "blocks"))
+              .join(_small(blocks.select("tok", "grp", "b", "no")), ["tok", "grp", "b"]))
+    dealt = placed.join(_small(written(ends, "list-ends")), ["tok", "no"]).select(
+        "tok", "one", "two", "side", "k", "n", "rn", "bits", "ball")
+    return (dealt.repartition("tok", "one", "two").sortWithinPartitions("tok", "one", "two")
+            .mapInArrow(partial(_cross, similarity=similarity), "k long, o_k long").distinct())
 
 
 def _parity(words: int) -> Column:
@@ -159,99 +311,61 @@ def _parity(words: int) -> Column:
                      for i in range(words)])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (doc, part, o_doc, o_part) whose sets reach the similarity, and
-    ``tight``: whether they are within half the allowed distance. Only the lines in a pair are read again. Their bitmaps are compared first, so that
-    the word sets are shuffled for few pairs but the true ones."""
+def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (k, o_k) whose sets reach the similarity, and ``tight``: whether they
+    are within half the allowed distance. Of the lines in a pair the first occurrence is
+    read again. Their bitmaps are compared first, so that the word sets are shuffled for
+    few pairs but the true ones."""
     pairs = written(pairs, "line-pairs")
-    ends = pairs.select("doc", "part").union(pairs.select("o_doc", "o_part")).distinct()
-    ends = written(ends, "pair-lines")
-    sets = written(_lines(docs).join(_small(ends), ["doc", "part"], "left_semi").select(
-        "doc", "part", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("set"))
-        .dropDuplicates(["doc", "part"]).select("*", F.size("set").alias("n"), _parity(4).alias("bits")), "pair-sets")
+    ends = pairs.select("k").union(pairs.select("o_k")).distinct()
+    ends = written(ends.join(firsts.select("k", F.col("f_doc").alias("doc"), F.col("f_part").alias("part")), "k"), "pair-lines")
+    sets = written(_named_lines(docs).join(_small(ends), ["k", "doc", "part"]).select(
+        "k", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("set"))
+        .dropDuplicates(["k"]).select("*", F.size("set").alias("n"), _parity(4).alias("bits")), "pair-sets")
 
     def attach(p: DataFrame, *columns: str) -> DataFrame:
-        other = sets.select(F.col("doc").alias("o_doc"), F.col("part").alias("o_part"),
-                            *[F.col(c).alias(f"o_{c}") for c in columns])
-        return p.join(sets.select("doc", "part", *columns), ["doc", "part"]).join(other, ["o_doc", "o_part"])
+        other = sets.select(F.col("k").alias("o_k"), *[F.col(c).alias(f"o_{c}") for c in columns])
+        return p.join(sets.select("k", *columns), "k").join(other, "o_k")
 
     differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("o_bits")[i])) for i in range(1, 4)),
                  F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("o_bits")[0])))
     close = attach(pairs, "n", "bits").filter(
         differ <= F.col("n") + F.col("o_n") - 2 * _needed(F.col("n"), F.col("o_n"), similarity))
-    close = written(close.select(*pairs.columns), "close-pairs")
+    close = written(close.select("k", "o_k"), "close-pairs")
     shared = F.size(F.array_intersect("set", "o_set"))
     union = F.size("set") + F.size("o_set") - shared
     return written(attach(close, "set").filter(shared >= F.lit(similarity) * union - F.lit(1e-9))
-                   .select("doc", "part", "o_doc", "o_part",
-                           (shared >= F.lit((1 + similarity) / 2) * union).alias("tight")), "line-links")
-
-
-def _classes(links: DataFrame) -> DataFrame:
-    """(doc, part, c_doc, c_part): the first line of each linked line's class."""
-    node = lambda d, p: F.xxhash64(F.lit(7), d, p)  # noqa: E731 - names lines in the edge table
-    roots = connected_components(links.select(node("doc", "part").alias("a"), node("o_doc", "o_part").alias("b")))
-    lines = links.select("doc", "part").union(links.select("o_doc", "o_part")).distinct()
-    rooted = lines.withColumn("node", node("doc", "part")).join(roots, "node")
-    first = rooted.groupBy("root").agg(F.min(F.struct("doc", "part")).alias("f"))
-    return written(rooted.join(first, "root").select(
-        "doc", "part", F.col("f.doc").alias("c_doc"), F.col("f.part").alias("c_part")), "line-classes")
-
-
-def links(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST) -> tuple[DataFrame, DataFrame]:
-    """(doc, part, o_doc, o_part, inside) and (doc, part, ball) of prepared
-    documents. The links between distinct lines, with o before the line, are the
-    verified ones in the first table that are not ``inside`` a ball, and all
-    pairs of lines of one ball. Two matching lines are connected through the
-    first table, and every line with an earlier match is in it."""
-    listed = postings(docs, similarity)
-    by_tok = Window.partitionBy("tok")
-    lists = listed.withColumn("many", F.count("*").over(by_tok)).filter("many > 1")
-    head = F.first(F.struct("doc", "part", "n", "rn", "bits")).over(
-        by_tok.orderBy("doc", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Of a short list every line meets all earlier ones: it carries them along, a bounded list.
-    ahead = F.when(F.col("many") <= short_list, F.collect_list(F.struct("doc", "part", "n", "rn", "bits")).over(
-        by_tok.orderBy("doc", "part").rowsBetween(-short_list, -1))).otherwise(F.array(head))
-    seen = lists.select("tok", "doc", "part", "n", "rn", "bits", "many", ahead.alias("ahead"))
-    # One pass gives the pairs met and the long lists, so the lines are cut and dealt out once.
-    # An entry without a partner stands for the line's place in a long list.
-    place = F.when(F.col("many") > short_list, F.array(F.lit(None).cast("struct<doc:bigint,part:bigint,n:int,rn:int,"
-                                                                        "bits:bigint>"))).otherwise(F.array())
-    met = seen.withColumn("o", F.explode(F.concat("ahead", place))).select(
-        "tok", "doc", "part", "n", "rn", "bits", F.col("o").isNull().alias("listed"),
-        *[F.col(f"o.{c}").alias(f"o_{c}") for c in ("doc", "part", "n", "rn", "bits")])
-    earlier = F.expr("o_doc < doc or (o_doc = doc and o_part < part)")
-    met = met.filter(F.col("listed") | (earlier & _passes("", "o_", similarity)))
-    kept = lambda c: F.when(F.col("listed"), F.col(c)).alias(c)
-    met = written(met.select("listed", kept("tok"), "doc", "part", kept("n"), kept("rn"), kept("bits"),
-                             "o_doc", "o_part"), "line-meetings")
-    near = _verified(docs, met.filter(~F.col("listed")).select("doc", "part", "o_doc", "o_part").distinct(), similarity)
-    long_lists = met.filter("listed").select("tok", "doc", "part", "n", "rn", "bits")
-    # A line's ball is named by the earliest line that is tight to it.
-    balls = written(near.filter("tight").groupBy(F.col("doc").alias("l_doc"), F.col("part").alias("l_part")).agg(
-        F.min(F.struct("o_doc", "o_part")).alias("o")).select(
-        "l_doc", "l_part", F.xxhash64("o.o_doc", "o.o_part").alias("ball")), "line-balls")
-    known = long_lists.join(_small(balls), (F.col("doc") == F.col("l_doc")) & (F.col("part") == F.col("l_part")), "left") \
-        .drop("l_doc", "l_part")
-    # Both sides read the same columns, so that the lists are dealt out once.
-    one, two = known.alias("one"), known.alias("two")
-    inside = F.coalesce(F.col("one.ball") == F.col("two.ball"), F.lit(False))
-    earlier = F.expr("two.doc < one.doc or (two.doc = one.doc and two.part < one.part)")
-    rest = (one.join(two, F.col("one.tok") == F.col("two.tok")).filter(earlier & ~inside)
-            .filter(_passes("one.", "two.", similarity))
-            .select("one.doc", "one.part", F.col("two.doc").alias("o_doc"), F.col("two.part").alias("o_part")).distinct())
-    pair = ["doc", "part", "o_doc", "o_part"]
-    mine = balls.withColumnsRenamed({"l_doc": "doc", "l_part": "part"})
-    other = balls.withColumnsRenamed({"l_doc": "o_doc", "l_part": "o_part", "ball": "o_ball"})
-    met = near.join(_small(mine), ["doc", "part"], "left").join(_small(other), ["o_doc", "o_part"], "left").select(
-        *pair, F.coalesce(F.col("ball") == F.col("o_ball"), F.lit(False)).alias("inside"))
+                   .select("k", "o_k", (shared >= F.lit((1 + similarity) / 2) * union).alias("tight")), "line-links")
+
+
+def links(docs: DataFrame, firsts: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST,
+          hot: int = HOT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(k, o_k, inside) and (k, ball) of prepared documents. The links between distinct
+    lines are the verified ones in the first table that are not ``inside`` a ball, and all
+    pairs of lines of one ball. Two matching lines are connected through the first table."""
+    listed = postings(docs, similarity, hot)
+    met = written(listed.repartition("tok", "salt").sortWithinPartitions("tok", "salt", "k").mapInArrow(
+        partial(_meet, similarity=similarity, short_list=short_list), MET), "line-meetings")
+    long_lists = met.filter("listed").select("tok", "k", "n", "rn", "bits")
+    heads = long_lists.groupBy("tok").agg(F.min(F.struct("k", "n", "rn", "bits")).alias("h"))
+    heads = written(heads.select("tok", *[F.col(f"h.{c}").alias(f"o_{c}") for c in ("k", "n", "rn", "bits")]), "line-heads")
+    to_head = long_lists.join(_small(heads), "tok").filter((F.col("o_k") < F.col("k")) & _passes(similarity)) \
+        .select(F.col("o_k").alias("k"), F.col("k").alias("o_k"))
+    near = _verified(docs, firsts, met.filter(~F.col("listed")).select("k", "o_k").unionByName(to_head).distinct(), similarity)
+    # A line's ball is named by the least line that is tight to it.
+    balls = written(near.filter("tight").groupBy(F.col("o_k").alias("k")).agg(F.min("k").alias("c")).select(
+        "k", F.xxhash64("c").alias("ball")), "line-balls")
+    known = long_lists.join(_small(balls), "k", "left").withColumn("ball", F.coalesce("ball", F.lit(0)))
+    rest = _verified(docs, firsts, _in_cells(written(known, "line-lists"), similarity, block), similarity)
+    other = balls.withColumnsRenamed({"k": "o_k", "ball": "o_ball"})
+    both = near.join(_small(balls), "k", "left").join(_small(other), "o_k", "left").select(
+        "k", "o_k", F.coalesce(F.col("ball") == F.col("o_ball"), F.lit(False)).alias("inside"))
     # A pair met before may be met again in a long list.
-    found = met.unionByName(_verified(docs, rest, similarity).select(*pair, F.lit(False).alias("inside"))).distinct()
-    return found, mine
+    return both.unionByName(rest.select("k", "o_k", F.lit(False).alias("inside"))).distinct(), balls
 
 
 def _places(balls: DataFrame) -> DataFrame:
-    """(doc, part, place): the number of earlier lines of a line's ball. Ranges of
+    """(k, place) of (k, ball, doc, part): the number of earlier lines of a line's ball. Ranges of
     the lines' order are numbered each by itself, so a large ball is no one task."""
     parts = int(balls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = written(balls.repartitionByRange(parts, "ball", "doc", "part")
@@ -261,10 +375,11 @@ def _places(balls: DataFrame) -> DataFrame:
         Window.partitionBy("ball").orderBy("range")) - F.col("n")).alias("start")), "ball-starts")
     own = F.row_number().over(Window.partitionBy("ball", "range").orderBy("doc", "part"))
     return ranged.withColumn("own", own).join(_small(starts), ["ball", "range"]).select(
-        "doc", "part", (F.col("start") + F.col("own") - 1).alias("place"))
+        "k", (F.col("start") + F.col("own") - 1).alias("place"))
 
 
-def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST) -> DataFrame:
+def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST,
+                 hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """One row per line with words: doc_id, line_no (from 0), class_doc_id and
     class_line_no (the first line that a chain of matches and equal lines
     reaches), n_links (earlier matches of the line's text, equal texts counted
@@ -275,7 +390,7 @@ def line_classes(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list
     lines are no lines here and always stay. Rows that repeat a document repeat
     its lines, all but the first removed. Other columns are ignored.
     """
-    placed = _placed(_prepared(docs), similarity, short_list)
+    placed = _placed(_prepared(docs), similarity, short_list, hot, block)
     number = lambda c: F.shiftrightunsigned(c, 31).cast("int")
     ident = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     out = placed.select(
@@ -293,25 +408,30 @@ def _repeats() -> Column:
     return ~first | (F.coalesce("n_links", F.lit(0)) > 0)
 
 
-def _placed(docs: DataFrame, similarity: float, short_list: int) -> DataFrame:
+def _placed(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST,
+            hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """A row for each line of prepared documents (equal rows once, counted in ``times``): its
     place (doc, part), the first of its equal lines, its class and its number of links."""
-    found, balls = links(docs, similarity, short_list)
+    lines = _named_lines(docs).select("doc", "part", "k")
+    firsts = written(lines.groupBy("k").agg(F.min(F.struct("doc", "part")).alias("f")).select(
+        "k", F.col("f.doc").alias("f_doc"), F.col("f.part").alias("f_part")), "line-firsts")
+    found, balls = links(docs, firsts, similarity, short_list, hot, block)
     found = written(found, "all-line-links")
-    classes = _classes(found)
-    counts = found.filter(~F.col("inside")).groupBy("doc", "part").agg(F.count("*").alias("apart"))
-    counts = counts.join(_places(balls), ["doc", "part"], "full").select(
-        "doc", "part", (F.coalesce("apart", F.lit(0)) + F.coalesce("place", F.lit(0))).alias("n_links"))
-    state = written(classes.join(counts, ["doc", "part"], "left").withColumnsRenamed(
-        {"doc": "f_doc", "part": "f_part"}), "line-results")
-    lines = _lines(docs).select("doc", "part", *_line_key(F.col("line")))
-    firsts = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "part")).alias("f"), F.count("*").alias("copies")) \
-        .select("k1", "k2", F.col("f.doc").alias("f_doc"), F.col("f.part").alias("f_part"), "copies")
-    firsts = firsts.join(_small(state), ["f_doc", "f_part"], "left")
-    firsts = written(firsts, "line-firsts")
+    roots = written(connected_components(found.select(F.col("k").alias("a"), F.col("o_k").alias("b")))
+                    .withColumnRenamed("node", "k").join(firsts, "k"), "line-roots")
+    first = roots.groupBy("root").agg(F.min(F.struct("f_doc", "f_part")).alias("f")).select(
+        "root", F.col("f.f_doc").alias("c_doc"), F.col("f.f_part").alias("c_part"))
+    at = roots.select("k", "f_doc", "f_part")
+    o_at = at.withColumnsRenamed({"k": "o_k", "f_doc": "o_doc", "f_part": "o_part"})
+    apart = (found.filter(~F.col("inside")).join(_small(at), "k").join(_small(o_at), "o_k")
+             .groupBy(F.when(F.expr("o_doc < f_doc or (o_doc = f_doc and o_part < f_part)"), F.col("k"))
+                      .otherwise(F.col("o_k")).alias("k")).agg(F.count("*").alias("apart")))
+    within = _places(balls.join(at.withColumnsRenamed({"f_doc": "doc", "f_part": "part"}), "k"))
+    state = written(roots.join(first, "root").join(apart, "k", "left").join(within, "k", "left").select(
+        "k", "c_doc", "c_part", (F.coalesce("apart", F.lit(0)) + F.coalesce("place", F.lit(0))).alias("n_links")), "line-results")
     # Equal rows have equal places: of these, all but one are removed.
-    again = lines.groupBy("doc", "part", "k1", "k2").agg(F.count("*").alias("times"))
-    return again.join(firsts, ["k1", "k2"])
+    again = lines.groupBy("doc", "part", "k").agg(F.count("*").alias("times"))
+    return again.join(firsts.join(_small(state), "k", "left"), "k")
 
 
 def remove_repeats(docs: DataFrame, similarity: float = MIN_SIMILARITY) -> DataFrame:
@@ -322,7 +442,7 @@ def remove_repeats(docs: DataFrame, similarity: float = MIN_SIMILARITY) -> DataF
     lines. Null texts stay null; blank lines stay."""
     own = plain_names(docs)
     doc_id, text = plain(docs, "doc_id"), plain(docs, "text")
-    lines = _placed(_prepared(own.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), similarity, SHORT_LIST)
+    lines = _placed(_prepared(own.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), similarity)
     gone = lines.filter(_repeats()).groupBy("doc", F.col("part").bitwiseAND((1 << 31) - 1).alias("mark")).agg(
         F.collect_set(F.shiftrightunsigned("part", 31).cast("int")).alias("gone"))
     doc, mark = _named(own, doc_id, text)
