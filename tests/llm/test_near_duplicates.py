@@ -161,6 +161,17 @@ def test_line_links_are_all_counted(spark):
         assert [r for r in got if r["n_links"] != want[lines[r["doc_id"], r["line_no"]]]] == []
 
 
+def test_split_lists_lose_no_link(spark):
+    rows = lines_fixture()
+    want, counts = brute_lines(rows), brute_link_counts(rows)
+    lines = {(i, n): line for i, text in rows for n, line in enumerate((text or "").split("\n"))}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # Lists of words from eight occurrences are split; the hub's ball fills blocks of its own.
+    got = line_dedup.line_classes(docs, short_list=2, hot=8, block=8).collect()
+    assert Counter((r["doc_id"], r["line_no"], r["class_doc_id"], r["class_line_no"], r["removed"]) for r in got) == want
+    assert [r for r in got if r["n_links"] != counts[lines[r["doc_id"], r["line_no"]]]] == []
+
+
 def test_lines_of_odd_rows(odd):
     got = line_dedup.line_classes(odd)
     want = brute_lines([(i, t) for i, t, *_ in ODD])
