@@ -114,13 +114,15 @@ def _parsed(text: DataFrame, row_schema: T.StructType, results_key: str | None)
 
 def _page_facts(parsed: DataFrame, row_schema: T.StructType, results_key: str | None) -> DataFrame:
     """A row for each page: file, position, page, declared total, number of rows, and the rows."""
-    arr = T.ArrayType(row_schema)
-    out = parsed.select(
-        "file", "position", F.col("env.page").alias("page"),
-        F.coalesce(F.nullif("env.totalCount", F.lit(0)), F.nullif("env.total", F.lit(0)),
-                   F.nullif("env.count", F.lit(0))).alias("declared_total"),
-        F.coalesce(f"env.{results_key or 'data'}", F.array().cast(arr)).alias("items"))
-    return out.withColumn("page_rows", F.size("items"))
+    page, total, items = _page_columns(row_schema, results_key)
+    return parsed.select("file", "position", page, total, items.alias("items")).withColumn("page_rows", F.size("items"))
+
+
+def _page_columns(row_schema: T.StructType, results_key: str | None) -> tuple[Column, Column, Column]:
+    """Page, declared total and rows of ``env``."""
+    total = F.coalesce(F.nullif("env.totalCount", F.lit(0)), F.nullif("env.total", F.lit(0)), F.nullif("env.count", F.lit(0)))
+    items = F.coalesce(f"env.{results_key or 'data'}", F.array().cast(T.ArrayType(row_schema)))
+    return F.col("env.page").alias("page"), total.alias("declared_total"), items
 
 
 def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
@@ -152,17 +154,26 @@ def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
 
 def landed_pages(files: DataFrame, row_schema: T.StructType, results_key: str | None = "data") -> DataFrame:
     """A row for each page of whole files (``value``; a stream or a table): file, page,
-    declared_total, page_rows. A file whose text is no page as it stands holds a page a line."""
+    declared_total, page_rows. A file whose text is no page as it stands holds a page a line.
+    A file of one line is parsed once."""
     named = files.select("value", F.col("_metadata.file_path").alias("file"), F.lit(0).alias("position"))
     first = F.regexp_extract("value", r"^\s*([^\r\n]*)", 1)
     broken = F.col("env").isNull() | F.col(f"env.{BROKEN}").isNotNull()
+    page, total, items = _page_columns(row_schema, results_key)
+    facts = F.struct(page, total, F.size(items).alias("page_rows"))
     by_line = _parsed(named.withColumn("whole", F.col("value")).withColumn("value", first), row_schema, results_key)
-    # The first line alone is a page: a page a line.
-    parts = F.when(broken, F.array("whole")).otherwise(F.filter(F.split("whole", r"\r?\n"), lambda x: F.trim(x) != ""))
-    text = by_line.select("file", F.posexplode(parts).alias("position", "value"))
+    by_line = by_line.select("file", "whole", "value", broken.alias("broken"), facts.alias("head")) \
+        .withColumn("lines", F.filter(F.split("whole", r"\r?\n"), lambda x: F.trim(x) != ""))
+    # The first line alone is a page: a page a line. The only line: its facts are known, no text is left to parse.
+    alone = ~F.col("broken") & (F.size("lines") == 1) & (F.trim(F.get("lines", F.lit(0))) == F.trim("value"))
+    parts = F.when(F.col("alone"), F.array(F.lit(None).cast("string"))).when(F.col("broken"), F.array("whole")) \
+        .otherwise(F.col("lines"))
+    text = by_line.withColumn("alone", alone).select("file", "alone", "head", F.explode(parts).alias("value"))
     parsed = _parsed(text, row_schema, results_key)
-    sound = F.when(~broken, F.col("env")).otherwise(F.raise_error(F.concat(F.lit("malformed page in "), F.col("file"))))
-    return _page_facts(parsed.withColumn("env", sound), row_schema, results_key).drop("items", "position")
+    sound = F.when(F.col("alone") | ~broken, F.col("env")).otherwise(
+        F.raise_error(F.concat(F.lit("malformed page in "), F.col("file"))))
+    known = F.when(F.col("alone"), F.col("head")).otherwise(facts)
+    return parsed.withColumn("env", sound).select("file", known.alias("k")).select("file", "k.page", "k.declared_total", "k.page_rows")
 
 
 def series_of(file: str) -> Column:

@@ -20,7 +20,7 @@ from .sources import catalog, era5, testdata, testdata_files
 from .sources.guarded import register_guarded
 from .sources.stored import StoredRawTables
 from .sources.testdata_files import IDS_PER_PAGE
-from .streaming import latest_audit, stream_audit
+from .streaming import files_per_trigger, latest_audit, stream_audit
 
 
 def _stored(spark, sf, root: str, *tables: str) -> str:
@@ -109,8 +109,8 @@ def pages_stream_audit(spark, sf):
     folder = testdata_files.write_pages(raw, pages_per_file=1)
     out = scratch_path(spark, "verdicts")
     schema = GENERATION.__class__([f for f in GENERATION.fields if f.name in GEN_COLS])
-    stream_audit(spark, f"{folder}/*.txt", schema, PAGE_SIZE, out, f"{out}-checkpoint",
-                 max_files_per_trigger=8).awaitTermination()
+    stream_audit(spark, folder, schema, PAGE_SIZE, out, f"{out}-checkpoint",
+                 max_files_per_trigger=files_per_trigger(spark, folder)).awaitTermination()
     return latest_audit(spark, out).select(
         "pages", "rows", "declared_total", "expected_pages", "short_pages", "empty_pages", "complete",
         F.size("missing").cast("bigint").alias("n_missing"), "status")

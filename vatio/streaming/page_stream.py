@@ -72,6 +72,14 @@ def stream_audit(spark: SparkSession, glob: str, row_schema: T.StructType, page_
     return writer.start()
 
 
+def files_per_trigger(spark: SparkSession, folder: str, batches: int = 8, least: int = 8) -> int:
+    """Page files for each micro-batch so that what lies in ``folder`` is taken in ``batches``
+    of them, however many files there are (a micro-batch costs seconds of its own); ``least``
+    for small folders."""
+    files = spark.read.format("binaryFile").load(folder).select("path").count()
+    return max(least, -(-files // batches))
+
+
 def latest_audit(spark: SparkSession, out: str) -> DataFrame | None:
     """The newest verdict of each series, None before the first batch."""
     if not path_exists(spark, out):
