@@ -138,11 +138,12 @@ def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
         .filter(F.length(F.trim("value")) > 0)
     parsed = _parsed(lines, row_schema, results_key).withColumn("broken", F.col("env").isNull() | F.col(f"env.{BROKEN}").isNotNull())
     # Files with a broken line: pages over several lines if the first line is broken, else an error.
+    # A row a file at most, as the driver's listing has them: sent to the pages, which are not shuffled.
     spread = parsed.groupBy("file").agg(F.max("broken").alias("some"), F.min_by("broken", "at").alias("first")).filter("some")
     whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")) \
-        .join(spread.filter("first").select("file"), "file").withColumn("position", F.lit(0).cast("bigint"))
+        .join(F.broadcast(spread.filter("first").select("file")), "file").withColumn("position", F.lit(0).cast("bigint"))
     whole = _parsed(whole, row_schema, results_key)
-    fine = parsed.join(spread.select("file", "first"), "file", "left").filter(~F.coalesce("first", F.lit(False)))
+    fine = parsed.join(F.broadcast(spread.select("file", "first")), "file", "left").filter(~F.coalesce("first", F.lit(False)))
     fine = fine.withColumn("position", F.col("at.line"))
     both = fine.select("file", "position", "value", "env").unionByName(whole.select("file", "position", "value", "env"))
     sound = F.col("env").isNotNull() & F.col(f"env.{BROKEN}").isNull()

@@ -20,14 +20,14 @@ IDS_PER_PAGE = 40_000  # a page holds the rows of so many operation ids: bounded
 
 
 def write_pages(rows: DataFrame, id_col: str = "id_opreal", pages_per_file: int = 0) -> str:
-    """Page envelopes of the rows, one page to a line and one for each range of ids; the folder."""
+    """Page envelopes of the rows, one page to a line and one for each range of ids, in gzip; the folder."""
     path = scratch_path(rows.sparkSession, "pages")
     total = rows.agg(F.count("*").alias("totalCount")).withColumn("one", F.lit(1))
     pages = rows.groupBy((F.floor(F.col(id_col) / IDS_PER_PAGE) + 1).alias("page")).agg(
         F.collect_list(F.struct(*rows.columns)).alias("data")).withColumn("one", F.lit(1))
     envelopes = pages.join(F.broadcast(total), "one").drop("one")  # one row
     envelopes.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite") \
-        .option("maxRecordsPerFile", pages_per_file).text(path)
+        .option("maxRecordsPerFile", pages_per_file).option("compression", "gzip").text(path)
     return path
 
 
