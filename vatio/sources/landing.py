@@ -11,6 +11,8 @@ from ..schemas import LANDING, RAW
 from ..session import path_exists
 from .catalog import SOURCES, write_table
 
+#: Rows of a landed file: gzip is read by one task a file.
+RECORDS_PER_FILE = 500_000
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
@@ -24,7 +26,7 @@ def landing_dir(root: str, source: str, run_date: str) -> str:
 
 def write_landing(df: DataFrame, root: str, source: str, entity: str, run_date: str | None = None,
                   batch_ts: str | None = None, batch_num: int = 0) -> str:
-    """Write one landed batch as JSON lines under {root}/{source}/{date}/.
+    """Write one landed batch as JSON lines, in gzip, under {root}/{source}/{date}/.
     ``entity`` may be an endpoint path: '/' becomes '_'.
 
     ``_extracted_at`` is one value for the whole batch (it replaces any
@@ -48,7 +50,8 @@ def write_landing(df: DataFrame, root: str, source: str, entity: str, run_date:
         if f.name == "_extracted_at" or f.name == "valid_time":
             c = _instant_text(c)
         cols.append(c.alias(f.name))
-    stamped.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    stamped.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false") \
+        .option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).json(path)
     return path
 
 
