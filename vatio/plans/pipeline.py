@@ -147,17 +147,34 @@ class Models:
                 out = bucketed_table(self.spark, path)
             else:
                 write_table(df, path, partition_by=part, cluster_by=cluster, replace_days_only=bool(window),
-                            watch=rows.watch)
+                            watch=rows.watch, dealt=n in dealt)
                 out = self.spark.read.parquet(path)
             self.observed |= rows.failures()
             self.tables[n] = path
             return out
 
         full: dict[str, DataFrame] = {}
+        keyed: dict[str, DataFrame] = {}
+        dealt: set[str] = set()
+
+        def deal(n: str) -> None:
+            """A model that takes its rows one by one from another of the same days is written
+            where they lie: read from its day folders, or dealt out by day before the plant's
+            attributes are joined on."""
+            source = SAME_DAY.get(n)
+            if source in self.tables or (source == "stg_generation" and self.plants_small):
+                if n == "generation_enriched" and not self.plants_small:
+                    return      # a shuffled join
+                if source not in self.tables:
+                    rows = self.stg_generation.withColumn(DAY, F.to_date(F.col(DAY_OF[source]))).hint("rebalance", DAY)
+                    self.__dict__[n] = intermediate.generation_enriched(rows, self.plants_geo, True)
+                dealt.add(n)
 
         def of_run(n: str, t: DataFrame) -> DataFrame:
             """What later models of the run read: its own days."""
             full[n] = t.drop(DAY, *marts.CELL_KEYS)
+            if n in BUCKETED:
+                keyed[n] = t.drop(DAY)
             part, _ = layout_of(n)
             if window is None or not part:
                 return t.drop(DAY)
@@ -172,12 +189,16 @@ class Models:
                 for n in wave:      # build plans in this thread; only the writes run in the pool
                     if n in LIFETIME and window is not None and "plant_days" in full:
                         self.__dict__[n] = marts.plant_efficiency(full["plant_days"], self.plants_geo, self.plants_small)
+                    deal(n)
                     getattr(self, n)
                 tables = list(pool.map(build, wave))
                 for n, t in zip(wave, tables):
                     self.__dict__[n] = of_run(n, t)
                 pending = [n for n in pending if n not in wave]
                 self.__dict__.pop("plants_small", None)
+        if "training_solar" not in wanted and set(BUCKETED) <= set(keyed):
+            # Joined bucket by bucket after the run as well, where it is asked for.
+            self.__dict__["training_solar"] = marts.training_solar(keyed["solar_target"], keyed["era5_features"])
         self.__dict__.update(full)
         return self
 
@@ -186,6 +207,8 @@ class Models:
 DAY = "fecha_part"
 DAY_OF = {"stg_generation": "timestamp_local", "stg_era5_solar": "valid_time", "era5_features": "timestamp_utc",
           "generation_enriched": "fecha", "solar_target": "fecha", "fact_hourly": "fecha", "training_solar": "fecha"}
+#: Hourly models whose rows are rows of another hourly model, of the same day.
+SAME_DAY = {"generation_enriched": "stg_generation", "fact_hourly": "generation_enriched"}
 ERA5_MODELS = ("stg_era5_solar", "era5_features")
 LIFETIME = ("plant_efficiency",)
 MODEL_ORDER = ["stg_generation", "stg_plants", "stg_era5_solar", "plants_geo", "era5_cells",

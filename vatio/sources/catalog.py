@@ -29,7 +29,7 @@ def _same(df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = (), mode: str = "overwrite",
                 max_records_per_file: int = MAX_RECORDS_PER_FILE,
-                replace_days_only: bool = False, watch=_same) -> None:
+                replace_days_only: bool = False, watch=_same, dealt: bool = False) -> None:
     """Write Parquet, optionally partitioned by ``partition_by`` and clustered by
     ``cluster_by``: the files of a partition hold disjoint ranges of the clustering
     columns and each is sorted by them, so that a filter on them skips files and
@@ -40,7 +40,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     well. The ranges come from a sample, for which Spark runs the stage before the
     shuffle once more (a narrow one: a shuffle of the input is not run again).
     Without clustering, the REBALANCE hint shuffles by the partition columns and
-    adaptive execution splits a hot day over several tasks, with no sample.
+    adaptive execution splits a hot day over several tasks, with no sample; ``dealt``
+    says that the rows lie by these columns already (read from a table in the same
+    folders, or shuffled so before they were widened): no shuffle.
 
     An overwrite replaces the whole table, whatever the session's conf says;
     with ``replace_days_only`` it replaces the partitions present in ``df`` and
@@ -52,7 +54,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     if cluster_by:
         spread = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t])
         out = out.repartitionByRange(*[F.col(k) for k in keys], spread)
-    elif partition_by:
+    elif partition_by and not dealt:
         out = out.hint("rebalance", *partition_by)
     if keys:
         out = out.sortWithinPartitions(*keys)
