@@ -175,7 +175,7 @@ def test_changed_input_gets_a_new_verdict(spark, tmp_path):
 
     from vatio.registry import QUERIES
     for t in ("nation", "region", "supplier", "lineitem"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")     # writable, whatever the mode of the source
     def failures():
         return {r.test_id: r.failures for r in QUERIES["dq_unique"](spark, str(tmp_path)).collect()}
     before = failures()
