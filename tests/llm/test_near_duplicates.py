@@ -172,6 +172,21 @@ def test_split_lists_lose_no_link(spark):
     assert [r for r in got if r["n_links"] != counts[lines[r["doc_id"], r["line_no"]]]] == []
 
 
+def test_copies_of_an_absent_text_are_one_ball(spark):
+    """Copies that are no close copies of each other, only of the text they were made from:
+    their links are counted, not listed."""
+    words = [f"t{i}" for i in range(24)]
+    rows = [(i, " ".join([*words[:i % 24], f"own{i}", *words[i % 24 + 1:]])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prepared = line_dedup._prepared(docs)
+    firsts = line_dedup._named_lines(prepared).select("k", F.col("doc").alias("f_doc"), F.col("part").alias("f_part"))
+    found, balls = line_dedup.links(prepared, firsts, short_list=8)
+    assert balls.groupBy("ball").count().agg(F.max("count")).first()[0] == 60
+    assert found.count() < 10 * 60       # of 1,770 links
+    got = line_dedup.line_classes(docs, short_list=8).collect()
+    assert sorted((r["doc_id"], r["n_links"], r["class_doc_id"]) for r in got) == [(i, i, 0) for i in range(60)]
+
+
 def test_lines_of_odd_rows(odd):
     got = line_dedup.line_classes(odd)
     want = brute_lines([(i, t) for i, t, *_ in ODD])

@@ -18,8 +18,9 @@ fewer than HOT times has a list that fits one task; the list of any other is
 split by the names of its lines. Of lists up to ``short_list`` lines all pairs are
 compared at once. Of a longer list every line meets the first. One minus the
 Jaccard similarity is a metric, so lines within half the allowed distance of one
-line (a ball) all match each other: pairs of one ball are counted by the lines'
-places in it. All other pairs of the list are compared in cells of two blocks of
+set (a ball) all match each other: pairs of one ball are counted by the lines'
+places in it. The set is that of the words which most matches of the list's first
+have, or else a line. All other pairs of the list are compared in cells of two blocks of
 about BLOCK lines; a ball that fills blocks of its own has no cells among them.
 So close copies by the thousand cost a comparison each, and no line loses a
 link."""
@@ -311,17 +312,20 @@ def _parity(words: int) -> Column:
                      for i in range(words)])
 
 
+def _sets(docs: DataFrame, firsts: DataFrame, lines: DataFrame) -> DataFrame:
+    """(k, set) of the lines (k): the hashes of their words, from the first occurrence, read again."""
+    ends = lines.join(firsts.select("k", F.col("f_doc").alias("doc"), F.col("f_part").alias("part")), "k")
+    return _named_lines(docs).join(_small(written(ends, "pair-lines")), ["k", "doc", "part"]).select(
+        "k", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("set")).dropDuplicates(["k"])
+
+
 def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (k, o_k) whose sets reach the similarity, and ``tight``: whether they
-    are within half the allowed distance. Of the lines in a pair the first occurrence is
-    read again. Their bitmaps are compared first, so that the word sets are shuffled for
-    few pairs but the true ones."""
+    are within half the allowed distance. Their bitmaps are compared first, so that the word
+    sets are shuffled for few pairs but the true ones."""
     pairs = written(pairs, "line-pairs")
     ends = pairs.select("k").union(pairs.select("o_k")).distinct()
-    ends = written(ends.join(firsts.select("k", F.col("f_doc").alias("doc"), F.col("f_part").alias("part")), "k"), "pair-lines")
-    sets = written(_named_lines(docs).join(_small(ends), ["k", "doc", "part"]).select(
-        "k", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("set"))
-        .dropDuplicates(["k"]).select("*", F.size("set").alias("n"), _parity(4).alias("bits")), "pair-sets")
+    sets = written(_sets(docs, firsts, ends).select("*", F.size("set").alias("n"), _parity(4).alias("bits")), "pair-sets")
 
     def attach(p: DataFrame, *columns: str) -> DataFrame:
         other = sets.select(F.col("k").alias("o_k"), *[F.col(c).alias(f"o_{c}") for c in columns])
@@ -338,6 +342,33 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity:
                    .select("k", "o_k", (shared >= F.lit((1 + similarity) / 2) * union).alias("tight")), "line-links")
 
 
+def _balls(docs: DataFrame, firsts: DataFrame, near: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+    """(k, ball): the lines of a ball are within half the allowed distance of one set, so they
+    match each other. Of lines that match the first of a long list (its head) it is the set of the
+    words that most of them have: copies of a text lie around it, though they may be too far
+    from the head. Any other line's ball is named by the least line that is tight to it."""
+    tight = near.filter("tight").groupBy(F.col("o_k").alias("k")).agg(F.min("k").alias("c")).select(
+        "k", F.xxhash64("c").alias("ball"))
+    first = written(heads.select(F.col("o_k").alias("k")).distinct(), "list-firsts")
+    if first.isEmpty():
+        return tight
+    members = near.join(_small(first), "k").select(F.col("o_k").alias("k"), F.col("k").alias("c")).unionByName(
+        first.withColumn("c", F.col("k"))).groupBy("k").agg(F.min("c").alias("c"))
+    members = written(members, "list-members")
+    sets = written(_sets(docs, firsts, members.select("k")).join(_small(members), "k"), "member-sets")
+    words = sets.select("c", F.explode("set").alias("h")).groupBy("c", "h").agg(F.count("*").alias("n"))
+    sizes = written(sets.groupBy("c").agg(F.count("*").alias("m")), "member-counts")
+    words = written(words.join(_small(sizes), "c").filter("2 * n > m").select("c", "h"), "center-words")
+    centers = words.groupBy("c").agg(F.collect_list("h").alias("center"))
+    if words.count() * 32 <= BROADCAST_BYTES:
+        centers = F.broadcast(centers)
+    shared = F.size(F.array_intersect("set", "center"))
+    union = F.size("set") + F.size("center") - shared
+    within = written(sets.join(centers, "c").filter(shared >= F.lit((1 + similarity) / 2) * union).select(
+        "k", F.xxhash64("c", F.lit("center")).alias("ball")), "center-balls")
+    return within.unionByName(tight.join(_small(within), "k", "left_anti"))
+
+
 def links(docs: DataFrame, firsts: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST,
           hot: int = HOT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(k, o_k, inside) and (k, ball) of prepared documents. The links between distinct
@@ -352,9 +383,7 @@ def links(docs: DataFrame, firsts: DataFrame, similarity: float = MIN_SIMILARITY
     to_head = long_lists.join(_small(heads), "tok").filter((F.col("o_k") < F.col("k")) & _passes(similarity)) \
         .select(F.col("o_k").alias("k"), F.col("k").alias("o_k"))
     near = _verified(docs, firsts, met.filter(~F.col("listed")).select("k", "o_k").unionByName(to_head).distinct(), similarity)
-    # A line's ball is named by the least line that is tight to it.
-    balls = written(near.filter("tight").groupBy(F.col("o_k").alias("k")).agg(F.min("k").alias("c")).select(
-        "k", F.xxhash64("c").alias("ball")), "line-balls")
+    balls = written(_balls(docs, firsts, near, heads, similarity), "line-balls")
     known = long_lists.join(_small(balls), "k", "left").withColumn("ball", F.coalesce("ball", F.lit(0)))
     rest = _verified(docs, firsts, _in_cells(written(known, "line-lists"), similarity, block), similarity)
     other = balls.withColumnsRenamed({"k": "o_k", "ball": "o_ball"})
