@@ -187,6 +187,32 @@ def test_copies_of_an_absent_text_are_one_ball(spark):
     assert sorted((r["doc_id"], r["n_links"], r["class_doc_id"]) for r in got) == [(i, i, 0) for i in range(60)]
 
 
+def test_links_of_loose_copies_are_counted_in_their_cells(spark):
+    """Copies of a text that are too far from it for a ball: most of their pairs match, and
+    what is listed still grows as the lines do, in long lists as in short ones."""
+    rng = random.Random(11)
+    words, rows = [f"t{i}" for i in range(40)], []
+    for i in range(150):
+        copy = list(words)
+        for j in rng.sample(range(40), rng.choice((1, 2, 3))):
+            copy[j] = f"own{i}_{j}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, text + "\n" + rows[i + 1][1]) for i, (_, text) in enumerate(rows[:20])]
+    want, counts = brute_lines(rows), brute_link_counts(rows)
+    lines = {(i, n): line for i, text in rows for n, line in enumerate(text.split("\n"))}
+    assert sum(counts.values()) > 5000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prepared = line_dedup._prepared(docs)
+    firsts = line_dedup._named_lines(prepared).groupBy("k").agg(F.min(F.struct("doc", "part")).alias("f")).select(
+        "k", F.col("f.doc").alias("f_doc"), F.col("f.part").alias("f_part"))
+    for short, block in ((512, 2048), (8, 32)):  # dense short lists, cells of two blocks
+        found, _ = line_dedup.links(prepared, firsts, short_list=short, block=block)
+        assert found.filter("not inside").count() < 8 * 150
+        got = line_dedup.line_classes(docs, short_list=short, block=block).collect()
+        assert Counter((r["doc_id"], r["line_no"], r["class_doc_id"], r["class_line_no"], r["removed"]) for r in got) == want
+        assert [r for r in got if r["n_links"] != counts[lines[r["doc_id"], r["line_no"]]]] == []
+
+
 def test_lines_of_odd_rows(odd):
     got = line_dedup.line_classes(odd)
     want = brute_lines([(i, t) for i, t, *_ in ODD])

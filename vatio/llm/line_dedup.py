@@ -21,7 +21,9 @@ Jaccard similarity is a metric, so lines within half the allowed distance of one
 set (a ball) all match each other: pairs of one ball are counted by the lines'
 places in it. The set is that of the words which most matches of the list's first
 have, or else a line. All other pairs of the list are compared in cells of two blocks of
-about BLOCK lines; a ball that fills blocks of its own has no cells among them.
+about BLOCK lines; a ball that fills blocks of its own has no cells among them. A short
+list most of whose pairs may match counts as a long one. A cell gives a row a line, with
+the number of its links and a line that it is connected to, whatever the number of pairs.
 So close copies by the thousand cost a comparison each, and no line loses a
 link."""
 
@@ -49,16 +51,21 @@ STEPS = 6
 HOT = 1 << 16
 #: Lists of up to so many lines are compared pair by pair at once.
 SHORT_LIST = 512
+#: Pairs a line that may match, from which a short list is taken as a longer one.
+DENSE = 16
 #: Lines of a block of a longer list.
 BLOCK = 2048
 #: Bytes of a side that may be broadcast; above, Spark shuffles.
 BROADCAST_BYTES = 48 << 20
 #: Documents, and postings, that a task works on at a time.
 PIECE, BUFFER = 2000, 100_000
+#: Rows of lines with their word sets, and pairs of them, that a task works on at a time.
+SETS, PAIRS = 10_000, 20_000
 _SPACES = r"[\x20\x09-\x0D]+"
 _NO_ID = (1 << 63) - 1
 LISTED = "tok long, salt int, k long, n int, rn int, bits long"
 MET = "listed boolean, tok long, k long, n int, rn int, bits long, o_k long"
+MET_IN_CELL = "tok long, one int, two int, k long, met array<long>"
 
 
 def _words(line: Column) -> Column:
@@ -193,30 +200,37 @@ def _passes(similarity: float) -> Column:
             & (F.bit_count(F.col("bits").bitwiseXOR(F.col("o_bits"))) <= n + o_n - 2 * need))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
-    """Sorted rows as columns with the starts and lengths of the runs of equal keys;
-    a run is never cut."""
-    def ready(table: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
-        cols = {c: table[c].to_numpy() for c in table.column_names}
-        new = np.zeros(len(table), dtype=bool)
-        new[:1] = True
-        for c in keys:
-            new[1:] |= cols[c][1:] != cols[c][:-1]
-        start = np.flatnonzero(new)
-        return cols, start, np.diff(np.append(start, len(table)))
+def _new(cols: dict, keys: list[str]) -> np.ndarray:
+    """Whether a row of sorted columns is the first with its keys."""
+    new = np.zeros(len(cols[keys[0]]), dtype=bool)
+    new[:1] = True
+    for c in keys:
+        new[1:] |= cols[c][1:] != cols[c][:-1]
+    return new
 
+
+def _whole(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
+    """Sorted rows as tables of ``rows`` or more; a run of equal keys is never cut."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(map(len, held)) < BUFFER:
+        if sum(map(len, held)) < rows:
             continue
         table = pa.Table.from_batches(held)
-        _, start, _ = ready(table)
+        start = np.flatnonzero(_new({c: table[c].to_numpy() for c in keys}, keys))
         if len(start) > 1:
-            yield ready(table.slice(0, start[-1]))
+            yield table.slice(0, start[-1])
             held = table.slice(start[-1]).to_batches()
     if held:
-        yield ready(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """Sorted rows as columns with the starts and lengths of the runs of equal keys."""
+    for table in _whole(batches, keys, BUFFER):
+        cols = {c: table[c].to_numpy() for c in table.column_names}
+        start = np.flatnonzero(_new(cols, keys))
+        yield cols, start, np.diff(np.append(start, len(table)))
 
 
 def _met(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,9 +258,13 @@ def _meet(batches: Iterator[pa.RecordBatch], similarity: float, short_list: int)
         while len(one := one[end[one] > one + step]):
             two = one + step
             ok = _may_match(n[one], rn[one], bits[one], n[two], rn[two], bits[two], similarity)
-            pairs.append((k[one[ok]], k[two[ok]]))
+            pairs.append((one[ok], two[ok]))
             step += 1
         a, b = _met(pairs)
+        dense = np.bincount(of[a], minlength=len(size)) > DENSE * size
+        long_list |= dense[of]
+        listed = ~dense[of[a]]
+        a, b = k[a[listed]], k[b[listed]]
         none = pa.nulls(len(a), pa.int64())
         narrow = pa.nulls(len(a), pa.int32())
         names = ["listed", "tok", "k", "n", "rn", "bits", "o_k"]
@@ -266,7 +284,7 @@ def _cross(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
             right = np.flatnonzero(run["side"] == 1)
             same = run["one"][0] == run["two"][0]
             right = left if same else right
-            rows = max(1, (1 << 20) // max(1, len(right)))
+            rows, met = max(1, (1 << 20) // max(1, len(right))), []
             for i in range(0, len(left), rows):
                 a, b = left[i:i + rows, None], right[None, :]
                 ok = (run["ball"][a] != run["ball"][b]) | (run["ball"][a] == 0)
@@ -274,14 +292,105 @@ def _cross(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
                     ok &= a < b
                 ok &= _may_match(*[run[c][a] for c in ("n", "rn", "bits")], *[run[c][b] for c in ("n", "rn", "bits")], similarity)
                 x, y = np.nonzero(ok)
-                x, y = run["k"][left[i:i + rows][x]], run["k"][right[y]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["k", "o_k"])
+                met.append((left[i:i + rows][x].astype(np.int32), right[y].astype(np.int32)))
+            x, y = _met(met)
+            if not len(x):
+                continue
+            # A row for each line of a pair; x ascends, so the pairs lie in the order of the rows.
+            lines = np.unique(np.concatenate([x, y]))
+            ends = np.searchsorted(x, lines, side="right")
+            yield pa.RecordBatch.from_arrays([
+                *[pa.array(np.full(len(lines), run[c][0])) for c in ("tok", "one", "two")], pa.array(run["k"][lines]),
+                pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(run["k"][y]))],
+                ["tok", "one", "two", "k", "met"])
+
+
+class _Lists:
+    """A list of numbers for each row of an Arrow column."""
+
+    def __init__(self, column: pa.ChunkedArray) -> None:
+        lists = pa.concat_arrays(column.chunks)
+        offsets = lists.offsets.to_numpy()
+        self.start, self.size = offsets[:-1].astype(np.int64), np.diff(offsets).astype(np.int64)
+        self.values = lists.values.to_numpy()
+        self.names, self.code = np.unique(self.values, return_inverse=True)
+        row, at = self.of(np.arange(len(self.size)))
+        self.key = np.sort(row * len(self.names) + self.code[at])
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(i, at): the places in ``values`` of the lists of ``rows[i]``, in order."""
+        size = self.size[rows]
+        i = np.repeat(np.arange(len(rows)), size)
+        return i, np.arange(len(i)) + np.repeat(self.start[rows] - (np.cumsum(size) - size), size)
+
+    def _in(self, row: np.ndarray, code: np.ndarray) -> np.ndarray:
+        key = row * len(self.names) + code
+        return self.key[np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)] == key
+
+    def holds(self, row: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Whether the list of a row has a number."""
+        if not len(self.key):
+            return np.zeros(len(row), dtype=bool)
+        code = np.minimum(np.searchsorted(self.names, number), len(self.names) - 1)
+        return (self.names[code] == number) & self._in(row, code)
+
+    def shared(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For two rows each, how many numbers of the first list the second has, and the first such."""
+        i, at = self.of(x)
+        both = self._in(y[i], self.code[at]) if len(self.key) else np.zeros(0, dtype=bool)
+        i, at = i[both], at[both]
+        first = np.zeros(len(x), dtype=np.int64)
+        first[i[::-1]] = self.values[at[::-1]]
+        return np.bincount(i, minlength=len(x)), first
+
+
+def _trees(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each row the least row that the pairs (x, y) connect it to; every row is an x."""
+    root = np.arange(x.max(initial=-1) + 1)
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _count_links(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    cells = ["tok", "one", "two"]
+    for table in _whole(batches, cells, SETS):
+        cols = {c: table[c].to_numpy() for c in (*cells, "k", "doc", "part")}
+        k, cell = cols["k"], np.cumsum(_new(cols, cells)) - 1
+        met, sets, near, lists = (_Lists(table[c]) for c in ("met", "set", "near", "lists"))
+        names = np.unique(k)
+        key = cell * len(names) + np.searchsorted(names, k)
+        total, rows = np.zeros(len(k), dtype=np.int64), np.arange(len(k))
+        root = rows
+        piece = np.cumsum(met.size) // PAIRS
+        for p in np.unique(piece):
+            x, at = met.of(mine := rows[piece == p])
+            x = mine[x]
+            y = np.searchsorted(key, cell[x] * len(names) + np.searchsorted(names, met.values[at]))
+            shared, _ = sets.shared(x, y)
+            ok = shared >= similarity * (sets.size[x] + sets.size[y] - shared) - 1e-9
+            x, y = x[ok], y[ok]
+            root = _trees(np.append(x, rows), np.append(y, root))
+            # A pair that meets in several lists counts in that of the first word, and not if it is listed.
+            own = (lists.shared(x, y)[1] == cols["tok"][x]) & ~near.holds(x, k[y]) & ~near.holds(y, k[x])
+            x, y = x[own], y[own]
+            earlier = (cols["doc"][x] < cols["doc"][y]) | ((cols["doc"][x] == cols["doc"][y]) & (cols["part"][x] < cols["part"][y]))
+            total += np.bincount(np.where(earlier, y, x), minlength=len(k))
+        out = (root != rows) | (total > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(k[out]), pa.array(k[root[out]]), pa.array(total[out])], ["k", "o_k", "more"])
 
 
 def _in_cells(known: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(k, o_k): the pairs of the long lists (tok, k, n, rn, bits, ball) that may match and
-    are not of one ball. A list is cut into blocks by hash, a ball of a block or more into
-    blocks of its own; any two blocks meet in a cell, but those of one ball."""
+    """(tok, one, two, k, met): the lines of a cell with those that they may match and that
+    are not of their ball, of the long lists (tok, k, n, rn, bits, ball). A list is cut into
+    blocks by hash, a ball of a block or more into blocks of its own; any two blocks meet in
+    a cell, but those of one ball."""
     sizes = written(known.groupBy("tok", "ball").agg(F.count("*").alias("m")), "list-balls")
     own = sizes.select("tok", "ball", F.when(F.col("m") >= block, F.col("ball")).otherwise(0).alias("grp"), "m")
     groups = own.groupBy("tok", "grp").agg(F.ceil(F.sum("m") / block).alias("blocks"))
@@ -301,7 +410,7 @@ def _in_cells(known: DataFrame, similarity: float, block: int) -> DataFrame:
     dealt = placed.join(_small(written(ends, "list-ends")), ["tok", "no"]).select(
         "tok", "one", "two", "side", "k", "n", "rn", "bits", "ball")
     return (dealt.repartition("tok", "one", "two").sortWithinPartitions("tok", "one", "two")
-            .mapInArrow(partial(_cross, similarity=similarity), "k long, o_k long").distinct())
+            .mapInArrow(partial(_cross, similarity=similarity), MET_IN_CELL))
 
 
 def _parity(words: int) -> Column:
@@ -369,11 +478,31 @@ def _balls(docs: DataFrame, firsts: DataFrame, near: DataFrame, heads: DataFrame
     return within.unionByName(tight.join(_small(within), "k", "left_anti"))
 
 
+def _in_long_lists(docs: DataFrame, firsts: DataFrame, known: DataFrame, near: DataFrame, similarity: float,
+                   block: int) -> DataFrame:
+    """(k, o_k, more): lines of the long lists, connected to o_k by links; ``more`` sums up to the
+    number of links with earlier lines that are not in ``near`` and not of one ball."""
+    cells = written(_in_cells(known, similarity, block), "line-cells")
+    ends = _small(written(cells.select("k").distinct(), "cell-ends"))
+    sets = _sets(docs, firsts, ends)
+    # The later line of a listed pair, never the first of a long list, holds the other.
+    listed = near.join(ends.withColumnRenamed("k", "o_k"), "o_k").groupBy(F.col("o_k").alias("k")).agg(
+        F.collect_set("k").alias("near"))
+    lists = known.join(ends, "k").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("rn", "tok"))).alias("l")).select(
+        "k", F.col("l.tok").alias("lists"))
+    lines = sets.join(firsts.withColumnsRenamed({"f_doc": "doc", "f_part": "part"}), "k").join(lists, "k").join(
+        listed, "k", "left").withColumn("near", F.coalesce("near", F.array().cast("array<bigint>")))
+    return (cells.join(written(lines, "cell-lines"), "k").repartition("tok", "one", "two")
+            .sortWithinPartitions("tok", "one", "two", "k")
+            .mapInArrow(partial(_count_links, similarity=similarity), "k long, o_k long, more long"))
+
+
 def links(docs: DataFrame, firsts: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int = SHORT_LIST,
           hot: int = HOT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(k, o_k, inside) and (k, ball) of prepared documents. The links between distinct
-    lines are the verified ones in the first table that are not ``inside`` a ball, and all
-    pairs of lines of one ball. Two matching lines are connected through the first table."""
+    """(k, o_k, inside, more) and (k, ball) of prepared documents. The links between distinct
+    lines are the verified ones in the first table that are not ``inside``, as many again with
+    earlier lines as ``more`` sums up to for k, and all pairs of lines of one ball. Two matching
+    lines are connected through the first table, whose rows grow as the lines do."""
     listed = postings(docs, similarity, hot)
     met = written(listed.repartition("tok", "salt").sortWithinPartitions("tok", "salt", "k").mapInArrow(
         partial(_meet, similarity=similarity, short_list=short_list), MET), "line-meetings")
@@ -384,13 +513,13 @@ def links(docs: DataFrame, firsts: DataFrame, similarity: float = MIN_SIMILARITY
         .select(F.col("o_k").alias("k"), F.col("k").alias("o_k"))
     near = _verified(docs, firsts, met.filter(~F.col("listed")).select("k", "o_k").unionByName(to_head).distinct(), similarity)
     balls = written(_balls(docs, firsts, near, heads, similarity), "line-balls")
-    known = long_lists.join(_small(balls), "k", "left").withColumn("ball", F.coalesce("ball", F.lit(0)))
-    rest = _verified(docs, firsts, _in_cells(written(known, "line-lists"), similarity, block), similarity)
+    known = written(long_lists.join(_small(balls), "k", "left").withColumn("ball", F.coalesce("ball", F.lit(0))), "line-lists")
     other = balls.withColumnsRenamed({"k": "o_k", "ball": "o_ball"})
     both = near.join(_small(balls), "k", "left").join(_small(other), "o_k", "left").select(
-        "k", "o_k", F.coalesce(F.col("ball") == F.col("o_ball"), F.lit(False)).alias("inside"))
-    # A pair met before may be met again in a long list.
-    return both.unionByName(rest.select("k", "o_k", F.lit(False).alias("inside"))).distinct(), balls
+        "k", "o_k", F.coalesce(F.col("ball") == F.col("o_ball"), F.lit(False)).alias("inside"),
+        F.lit(0).cast("bigint").alias("more"))
+    rest = _in_long_lists(docs, firsts, known, near, similarity, block)
+    return both.unionByName(rest.select("k", "o_k", F.lit(True).alias("inside"), "more")), balls
 
 
 def _places(balls: DataFrame) -> DataFrame:
@@ -452,9 +581,10 @@ def _placed(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int
         "root", F.col("f.f_doc").alias("c_doc"), F.col("f.f_part").alias("c_part"))
     at = roots.select("k", "f_doc", "f_part")
     o_at = at.withColumnsRenamed({"k": "o_k", "f_doc": "o_doc", "f_part": "o_part"})
-    apart = (found.filter(~F.col("inside")).join(_small(at), "k").join(_small(o_at), "o_k")
-             .groupBy(F.when(F.expr("o_doc < f_doc or (o_doc = f_doc and o_part < f_part)"), F.col("k"))
-                      .otherwise(F.col("o_k")).alias("k")).agg(F.count("*").alias("apart")))
+    later = (found.filter(~F.col("inside")).join(_small(at), "k").join(_small(o_at), "o_k")
+             .select(F.when(F.expr("o_doc < f_doc or (o_doc = f_doc and o_part < f_part)"), F.col("k"))
+                     .otherwise(F.col("o_k")).alias("k"), F.lit(1).cast("bigint").alias("more")))
+    apart = later.unionByName(found.filter("more > 0").select("k", "more")).groupBy("k").agg(F.sum("more").alias("apart"))
     within = _places(balls.join(at.withColumnsRenamed({"f_doc": "doc", "f_part": "part"}), "k"))
     state = written(roots.join(first, "root").join(apart, "k", "left").join(within, "k", "left").select(
         "k", "c_doc", "c_part", (F.coalesce("apart", F.lit(0)) + F.coalesce("place", F.lit(0))).alias("n_links")), "line-results")
