@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -213,6 +214,30 @@ def test_links_of_loose_copies_are_counted_in_their_cells(spark):
         assert [r for r in got if r["n_links"] != counts[lines[r["doc_id"], r["line_no"]]]] == []
 
 
+def test_documents_are_read_six_times(spark):
+    """Twice-used ids, places, occurrences, postings, sets of the pairs and heads, sets of the cells;
+    places and sets are written and serve all later steps."""
+    words = [f"t{i}" for i in range(24)]
+    rows = [(i, " ".join([*words[:i % 24], f"own{i}", *words[i % 24 + 1:]])) for i in range(60)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInPandas(counted, "doc_id long, text string")
+    assert line_dedup.line_classes(docs, short_list=8).count() == len(rows)
+    assert read.value <= 6 * len(rows)
+
+
+def test_words_of_texts_with_blanks_at_the_ends():
+    row, word, h = line_dedup._words_of(pa.array([" b a\t", "", "a\x0bß b ", " ", "ß a a"]))
+    names = {xxhash.xxh64_intdigest(w): w for w in ("a", "b", "ß")}
+    assert [(int(r), names[int(h[w])]) for r, w in zip(row, word)] == [
+        (0, "b"), (0, "a"), (2, "a"), (2, "ß"), (2, "b"), (4, "ß"), (4, "a"), (4, "a")]
+    assert [len(x) for x in line_dedup._words_of(pa.array(["x", ""]).slice(2))] == [0, 0, 0]
+
+
 def test_lines_of_odd_rows(odd):
     got = line_dedup.line_classes(odd)
     want = brute_lines([(i, t) for i, t, *_ in ODD])

@@ -115,12 +115,13 @@ def _words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = pc.ascii_split_whitespace(texts)
     row = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(words).to_numpy(zero_copy_only=False))
     coded = words.flatten().dictionary_encode()
-    names = coded.dictionary.to_pylist()
+    names = coded.dictionary.to_numpy(zero_copy_only=False)
     word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    if "" in names:  # spaces at the ends of a text
-        real = word != names.index("")
+    blank = pc.index(coded.dictionary, "").as_py()
+    if blank >= 0:  # spaces at the ends of a text
+        real = word != blank
         row, word = row[real], word[real]
-    return row, word, np.array([xxh64_intdigest(w) for w in names], dtype=np.uint64)
+    return row, word, np.fromiter(map(xxh64_intdigest, names), dtype=np.uint64, count=len(names))
 
 
 def _count(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -153,7 +154,8 @@ def _post(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, similarity: floa
         by_rarity = np.lexsort((h, rank))
         order = np.empty(len(h), dtype=np.int64)
         order[by_rarity] = np.arange(len(h))
-        key = np.unique((row << 32) | order[word])
+        key = np.sort((row << 32) | order[word])  # np.unique takes ten times as long
+        key = key[np.append(True, key[1:] != key[:-1])[:len(key)]]
         row, word = key >> 32, by_rarity[key & 0xFFFFFFFF]
         n = np.bincount(row, minlength=len(k))
         start = np.cumsum(n) - n
@@ -428,12 +430,14 @@ def _sets(docs: DataFrame, firsts: DataFrame, lines: DataFrame) -> DataFrame:
         "k", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("set")).dropDuplicates(["k"])
 
 
-def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (k, o_k) whose sets reach the similarity, and ``tight``: whether they
-    are within half the allowed distance. Their bitmaps are compared first, so that the word
-    sets are shuffled for few pairs but the true ones."""
+def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, heads: DataFrame,
+              similarity: float) -> tuple[DataFrame, DataFrame]:
+    """The pairs (k, o_k) whose sets reach the similarity, with ``tight``: whether they
+    are within half the allowed distance; and the word sets (k, set) of the lines of the pairs and
+    of the heads. Bitmaps are compared first, so that the word sets are shuffled for few pairs but
+    the true ones."""
     pairs = written(pairs, "line-pairs")
-    ends = pairs.select("k").union(pairs.select("o_k")).distinct()
+    ends = pairs.select("k").union(pairs.select("o_k")).union(heads.select("o_k")).distinct()
     sets = written(_sets(docs, firsts, ends).select("*", F.size("set").alias("n"), _parity(4).alias("bits")), "pair-sets")
 
     def attach(p: DataFrame, *columns: str) -> DataFrame:
@@ -447,11 +451,12 @@ def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, similarity:
     close = written(close.select("k", "o_k"), "close-pairs")
     shared = F.size(F.array_intersect("set", "o_set"))
     union = F.size("set") + F.size("o_set") - shared
-    return written(attach(close, "set").filter(shared >= F.lit(similarity) * union - F.lit(1e-9))
+    near = written(attach(close, "set").filter(shared >= F.lit(similarity) * union - F.lit(1e-9))
                    .select("k", "o_k", (shared >= F.lit((1 + similarity) / 2) * union).alias("tight")), "line-links")
+    return near, sets.select("k", "set")
 
 
-def _balls(docs: DataFrame, firsts: DataFrame, near: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+def _balls(sets: DataFrame, near: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
     """(k, ball): the lines of a ball are within half the allowed distance of one set, so they
     match each other. Of lines that match the first of a long list (its head) it is the set of the
     words that most of them have: copies of a text lie around it, though they may be too far
@@ -464,7 +469,7 @@ def _balls(docs: DataFrame, firsts: DataFrame, near: DataFrame, heads: DataFrame
     members = near.join(_small(first), "k").select(F.col("o_k").alias("k"), F.col("k").alias("c")).unionByName(
         first.withColumn("c", F.col("k"))).groupBy("k").agg(F.min("c").alias("c"))
     members = written(members, "list-members")
-    sets = written(_sets(docs, firsts, members.select("k")).join(_small(members), "k"), "member-sets")
+    sets = written(sets.join(_small(members), "k"), "member-sets")
     words = sets.select("c", F.explode("set").alias("h")).groupBy("c", "h").agg(F.count("*").alias("n"))
     sizes = written(sets.groupBy("c").agg(F.count("*").alias("m")), "member-counts")
     words = written(words.join(_small(sizes), "c").filter("2 * n > m").select("c", "h"), "center-words")
@@ -511,8 +516,9 @@ def links(docs: DataFrame, firsts: DataFrame, similarity: float = MIN_SIMILARITY
     heads = written(heads.select("tok", *[F.col(f"h.{c}").alias(f"o_{c}") for c in ("k", "n", "rn", "bits")]), "line-heads")
     to_head = long_lists.join(_small(heads), "tok").filter((F.col("o_k") < F.col("k")) & _passes(similarity)) \
         .select(F.col("o_k").alias("k"), F.col("k").alias("o_k"))
-    near = _verified(docs, firsts, met.filter(~F.col("listed")).select("k", "o_k").unionByName(to_head).distinct(), similarity)
-    balls = written(_balls(docs, firsts, near, heads, similarity), "line-balls")
+    near, sets = _verified(docs, firsts, met.filter(~F.col("listed")).select("k", "o_k").unionByName(to_head).distinct(),
+                           heads, similarity)
+    balls = written(_balls(sets, near, heads, similarity), "line-balls")
     known = written(long_lists.join(_small(balls), "k", "left").withColumn("ball", F.coalesce("ball", F.lit(0))), "line-lists")
     other = balls.withColumnsRenamed({"k": "o_k", "ball": "o_ball"})
     both = near.join(_small(balls), "k", "left").join(_small(other), "o_k", "left").select(
@@ -570,7 +576,7 @@ def _placed(docs: DataFrame, similarity: float = MIN_SIMILARITY, short_list: int
             hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """A row for each line of prepared documents (equal rows once, counted in ``times``): its
     place (doc, part), the first of its equal lines, its class and its number of links."""
-    lines = _named_lines(docs).select("doc", "part", "k")
+    lines = written(_named_lines(docs).select("doc", "part", "k"), "line-places")
     firsts = written(lines.groupBy("k").agg(F.min(F.struct("doc", "part")).alias("f")).select(
         "k", F.col("f.doc").alias("f_doc"), F.col("f.part").alias("f_part")), "line-firsts")
     found, balls = links(docs, firsts, similarity, short_list, hot, block)
